@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reporting job is a batch job triggered once per day (one call per
+trigger); it has no watermarks, windows, state or late data.  Every operator
+here is a batch DataFrame plan, so a scheduler runs it per report day.
+"""
