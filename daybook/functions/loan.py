@@ -11,7 +11,7 @@ Notation: ``rep`` is the report day, ``asof = rep + 1``.  ``late(x)`` is
 ``datediff(rep, date(x))``.  ``open`` = status 7/8, ``paid`` = status 10/11.
 
 NULL semantics follow the original SQL: ``greatest`` there returns NULL when
-any argument is NULL, while Spark's skips NULLs, so ``_greatest0`` restores
+any argument is NULL, while Spark's skips NULLs, so ``greatest_keep_null`` restores
 NULL where the original has no inner ``coalesce``.  Comparisons with NULL are
 unknown and fall to the ``otherwise`` branch, exactly like SQL ``IF``/``CASE``.
 """
@@ -53,12 +53,17 @@ def greatest0(*xs: Column) -> Column:
 
 
 class LoanRules:
-    """Column builders bound to one report day."""
-
-    def __init__(self, params: ReportParams):
-        self.p = params
-        self.rep = F.lit(params.rep)
-        self.asof_ts = F.lit(params.asof).cast("timestamp_ntz")
+    """Column builders bound to one report day, or to a per-row day column
+    (``rep_col``) when many days are reported in one plan."""
+
+    def __init__(self, params: ReportParams | None = None, rep_col: Column | None = None):
+        if rep_col is not None:
+            self.rep = rep_col
+            self.asof_ts = F.date_add(rep_col, 1).cast("timestamp_ntz")
+        else:
+            params = params or ReportParams()
+            self.rep = F.lit(params.rep)
+            self.asof_ts = F.lit(params.asof).cast("timestamp_ntz")
 
     # ---- row predicates -------------------------------------------------
     def status_in(self, prefix: str, codes) -> Column:

@@ -13,15 +13,11 @@ from __future__ import annotations
 import datetime as dt
 
 from daybook.params import ReportParams
-from daybook.sources.loan_model import oracle_model_ctes
+from daybook.sources.loan_model import MODEL_ASOF, oracle_model_ctes
 
-P = ReportParams()
-ASOF = P.asof.isoformat()
-REP = P.rep.isoformat()
-
-
-def late(x: str) -> str:
-    return f"date_diff('day', CAST({x} AS DATE), DATE '{REP}')"
+MODEL = oracle_model_ctes(MODEL_ASOF)
+OPEN = "IN (7, 8)"
+PAID = "IN (10, 11)"
 
 
 def between(later: str, earlier: str) -> str:
@@ -36,11 +32,27 @@ def gnull(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE greatest({x}, 0) END"
 
 
-OPEN = "IN (7, 8)"
-PAID = "IN (10, 11)"
+def iso(expr: str) -> str:
+    return f"CAST({expr} AS VARCHAR)"
+
 
-# Reported orders with bills and extension leg, before the population filter.
-CANDIDATES = f"""
+def with_model(*ctes: str) -> str:
+    return "WITH " + MODEL + ",\n" + ",\n".join(c.strip() for c in ctes)
+
+
+class ReportSQL:
+    """The report of one day as DuckDB SQL, in named pieces."""
+
+    def __init__(self, params: ReportParams | None = None):
+        self.p = params or ReportParams()
+        self.asof = self.p.asof.isoformat()
+        self.rep = self.p.rep.isoformat()
+
+    def late(self, x: str) -> str:
+        return f"date_diff('day', CAST({x} AS DATE), DATE '{self.rep}')"
+
+    # ---- CTE pieces -------------------------------------------------------
+    candidates = """
 a AS (
   SELECT uuid AS a_uuid, userUuid AS a_userUuid, status AS a_status, orderType AS a_orderType,
          amountApply AS a_amountApply, lendingTime AS a_lendingTime, refundTime AS a_refundTime,
@@ -60,14 +72,7 @@ cand AS (
   LEFT JOIN ordDelayRecord e ON a.a_uuid = e.orderNo
   LEFT JOIN ordOrder f ON e.delayOrderNo = f.uuid)"""
 
-POPULATION = f"""(
-     (CAST(a_updateTime AS DATE) = DATE '{REP}' AND a_orderType IN (0, 1))
-  OR ({late('a_refundTime')} <= 91 AND a_status {OPEN} AND a_orderType = 0)
-  OR ({late('f_refundTime')} <= 91 AND f_status {OPEN})
-  OR (a_orderType = 3 AND a_status {PAID} AND CAST(a_actualRefundTime AS DATE) = DATE '{REP}')
-  OR (a_orderType = 3 AND a_status {OPEN} AND {late('d_refundTime')} <= 91))"""
-
-LATEST_HISTORY = """
+    latest_history = """
 hmax AS (
   SELECT orderId, max(updateTime) AS mx FROM ordHistory WHERE status = 20 AND disabled = 0 GROUP BY orderId),
 c AS (
@@ -75,8 +80,19 @@ c AS (
   FROM ordHistory h JOIN hmax ON h.orderId = hmax.orderId AND h.updateTime = hmax.mx
   WHERE h.status = 20)"""
 
-JOINED = f"""
-adm AS (SELECT * FROM cand WHERE {POPULATION}),
+    def population(self) -> str:
+        late, rep = self.late, self.rep
+        return f"""(
+     (CAST(a_updateTime AS DATE) = DATE '{rep}' AND a_orderType IN (0, 1))
+  OR ({late('a_refundTime')} <= 91 AND a_status {OPEN} AND a_orderType = 0)
+  OR ({late('f_refundTime')} <= 91 AND f_status {OPEN})
+  OR (a_orderType = 3 AND a_status {PAID} AND CAST(a_actualRefundTime AS DATE) = DATE '{rep}')
+  OR (a_orderType = 3 AND a_status {OPEN} AND {late('d_refundTime')} <= 91))"""
+
+    def joined(self) -> str:
+        late, asof = self.late, self.asof
+        return f"""
+adm AS (SELECT * FROM cand WHERE {self.population()}),
 joined AS (
   SELECT adm.*, c.c_statusChangeTime, b.uuid AS b_uuid, b.realName AS b_realName, b.idCardNo AS b_idCardNo
   FROM adm
@@ -85,8 +101,8 @@ joined AS (
   WHERE b.disabled = 0),
 x AS (
   SELECT *,
-         CASE WHEN TIMESTAMP '{ASOF}' > d_refundTime THEN d_refundTime
-              WHEN TIMESTAMP '{ASOF}' > d2_refundTime THEN d2_refundTime
+         CASE WHEN TIMESTAMP '{asof}' > d_refundTime THEN d_refundTime
+              WHEN TIMESTAMP '{asof}' > d2_refundTime THEN d2_refundTime
               ELSE d1_refundTime END AS due_ts,
          {late('a_refundTime')} AS a_late, {late('f_refundTime')} AS f_late,
          {between('a_actualRefundTime', 'a_refundTime')} AS a_paid_late,
@@ -94,12 +110,9 @@ x AS (
   FROM joined),
 y AS (SELECT *, {late('due_ts')} AS due_late FROM x)"""
 
-
-def with_model(*ctes: str) -> str:
-    return "WITH " + oracle_model_ctes(P.asof) + ",\n" + ",\n".join(c.strip() for c in ctes)
-
-
-OUTSTANDING = f"""CAST(CASE
+    # ---- derived columns --------------------------------------------------
+    def outstanding(self) -> str:
+        return f"""CAST(CASE
     WHEN a_status {PAID} AND a_orderType IN (0, 3) THEN 0
     WHEN a_status {PAID} AND a_orderType = 2 AND f_status {OPEN} THEN f_amountApply
     WHEN a_status {OPEN} AND a_orderType = 0 THEN a_amountApply
@@ -109,14 +122,16 @@ OUTSTANDING = f"""CAST(CASE
            ELSE d2_billAmout * 2 END
     ELSE 0 END AS DECIMAL(18,2))"""
 
-DUE_DATE = "CASE WHEN a_orderType <> 3 THEN CAST(a_refundTime AS DATE) ELSE CAST(due_ts AS DATE) END"
+    def due_date(self) -> str:
+        return "CASE WHEN a_orderType <> 3 THEN CAST(a_refundTime AS DATE) ELSE CAST(due_ts AS DATE) END"
 
-QUALITY = f"""CAST(CASE
+    def quality(self) -> str:
+        return f"""CAST(CASE
     WHEN (a_status {PAID} AND a_paid_late < 30 AND a_orderType IN (0, 3))
       OR (a_status {OPEN} AND a_orderType = 0 AND a_late < 30)
       OR (a_status {OPEN} AND a_orderType = 3 AND due_late < 30)
       OR (a_status {PAID} AND f_status IN (7, 8, 10, 11) AND a_orderType = 2
-          AND date_diff('day', CAST(f_refundTime AS DATE), CAST(coalesce(f_actualRefundTime, TIMESTAMP '{REP}') AS DATE)) < 30)
+          AND date_diff('day', CAST(f_refundTime AS DATE), CAST(coalesce(f_actualRefundTime, TIMESTAMP '{self.rep}') AS DATE)) < 30)
       THEN 1
     WHEN (a_status {PAID} AND coalesce(a_paid_late, 0) BETWEEN 30 AND 90 AND a_orderType IN (0, 3))
       OR (a_status {OPEN} AND a_late >= 30 AND a_late <= 90 AND a_orderType = 0)
@@ -126,7 +141,8 @@ QUALITY = f"""CAST(CASE
       THEN 2
     ELSE 3 END AS INTEGER)"""
 
-DPD = f"""CAST(CASE
+    def dpd(self) -> str:
+        return f"""CAST(CASE
     WHEN a_status {OPEN} AND a_orderType = 0 THEN {gnull('a_late')}
     WHEN a_status {OPEN} AND a_orderType = 3 THEN {gnull('due_late')}
     WHEN a_status {PAID} AND a_orderType = 2 AND f_status {OPEN} THEN {g0('f_late')}
@@ -134,7 +150,11 @@ DPD = f"""CAST(CASE
     WHEN a_status {PAID} AND a_orderType = 2 AND f_status {PAID} THEN {g0('f_paid_late')}
     ELSE 0 END AS INTEGER)"""
 
-MAX_DPD = f"""CAST(CASE
+    def max_dpd(self) -> str:
+        late = self.late
+        d1_paid = between("d1_actualRefundTime", "d1_refundTime")
+        d2_paid = between("d2_actualRefundTime", "d2_refundTime")
+        return f"""CAST(CASE
     WHEN a_status {OPEN} AND a_orderType = 0 THEN {g0('a_late')}
     WHEN a_status {PAID} AND a_orderType = 2 AND f_status {OPEN} THEN
       CASE WHEN coalesce(f_late, 0) < a_paid_late THEN {g0('a_paid_late')} ELSE {g0('f_late')} END
@@ -143,53 +163,254 @@ MAX_DPD = f"""CAST(CASE
       CASE WHEN {g0('f_paid_late')} < a_paid_late THEN {g0('a_paid_late')} ELSE {g0('f_paid_late')} END
     WHEN a_status {OPEN} AND a_orderType = 3 THEN
       CASE WHEN d1_actualRefundTime IS NULL THEN {g0(late('d1_refundTime'))}
-           WHEN d2_actualRefundTime IS NULL
-             THEN {g0(late('d2_refundTime'), between('d1_actualRefundTime', 'd1_refundTime'))}
-           ELSE {g0(late('d_refundTime'), between('d1_actualRefundTime', 'd1_refundTime'), between('d2_actualRefundTime', 'd2_refundTime'))}
+           WHEN d2_actualRefundTime IS NULL THEN {g0(late('d2_refundTime'), d1_paid)}
+           ELSE {g0(late('d_refundTime'), d1_paid, d2_paid)}
       END
     WHEN a_status {PAID} AND a_orderType = 3 THEN
-      {g0(between('a_actualRefundTime', 'd_refundTime'), between('d2_actualRefundTime', 'd2_refundTime'), between('d1_actualRefundTime', 'd1_refundTime'))}
+      {g0(between('a_actualRefundTime', 'd_refundTime'), d2_paid, d1_paid)}
     ELSE 0 END AS INTEGER)"""
 
-LOAN_STATUS = f"""CASE
+    def loan_status(self) -> str:
+        return f"""CASE
     WHEN (a_status {PAID} AND a_orderType IN (0, 3)) OR (a_status {PAID} AND a_orderType = 2 AND f_status {PAID}) THEN 'L'
     WHEN (a_status {OPEN} AND a_orderType = 0 AND a_late <= 90)
-      OR (a_status {OPEN} AND a_orderType = 3 AND {late('d_refundTime')} <= 90)
+      OR (a_status {OPEN} AND a_orderType = 3 AND {self.late('d_refundTime')} <= 90)
       OR (a_status {PAID} AND a_orderType = 2 AND f_late <= 90 AND f_status {OPEN}) THEN 'O'
     ELSE 'W' END"""
 
-
-def iso(expr: str) -> str:
-    return f"CAST({expr} AS VARCHAR)"
-
-
-REPORT_SELECT = f"""
-  CAST(NULL AS BIGINT) AS id,
-  CAST({P.provider_id} AS INTEGER) AS id_penyelenggara,
-  b_uuid AS id_borrower,
-  CAST(1 AS INTEGER) AS jenis_pengguna,
-  b_realName AS nama_borrower,
-  substring(b_idCardNo, 1, 16) AS no_identitas,
-  CAST(NULL AS VARCHAR) AS no_npwp,
-  a_uuid AS id_pinjaman,
-  {iso('CAST(coalesce(c_statusChangeTime, a_lendingTime) AS DATE)')} AS tgl_perjanjian_borrower,
-  {iso('CAST(a_lendingTime AS DATE)')} AS tgl_penyaluran_dana,
-  CAST(a_amountApply AS DOUBLE) AS nilai_pendanaan,
-  '{REP}' AS tgl_pelaporan_data,
-  CAST({OUTSTANDING} AS DOUBLE) AS sisa_pinjaman_berjalan,
-  {iso(DUE_DATE)} AS tgl_jatuh_tempo_pinjaman,
-  {QUALITY} AS id_kualitas_pinjaman,
-  {DPD} AS status_pinjaman_dpd,
-  {MAX_DPD} AS status_pinjaman_max_dpd,
-  {LOAN_STATUS} AS status_pinjaman,
-  {iso('CAST(a_updateTime AS DATE)')} AS tgl_update"""
-
-REPORT = with_model(CANDIDATES, LATEST_HISTORY, JOINED) + f"\nSELECT {REPORT_SELECT}\nFROM y"
-
-
-def report_sql() -> str:
-    return REPORT
+    def columns(self, date_fmt=None) -> dict[str, str]:
+        """The 19 report columns, presented engine-neutrally (dates as ISO text
+        unless ``date_fmt`` renders them otherwise)."""
+        fmt = date_fmt or iso
+        return {
+            "id": "CAST(NULL AS BIGINT)",
+            "id_penyelenggara": f"CAST({self.p.provider_id} AS INTEGER)",
+            "id_borrower": "b_uuid",
+            "jenis_pengguna": "CAST(1 AS INTEGER)",
+            "nama_borrower": "b_realName",
+            "no_identitas": "substring(b_idCardNo, 1, 16)",
+            "no_npwp": "CAST(NULL AS VARCHAR)",
+            "id_pinjaman": "a_uuid",
+            "tgl_perjanjian_borrower": fmt("CAST(coalesce(c_statusChangeTime, a_lendingTime) AS DATE)"),
+            "tgl_penyaluran_dana": fmt("CAST(a_lendingTime AS DATE)"),
+            "nilai_pendanaan": "CAST(a_amountApply AS DOUBLE)",
+            "tgl_pelaporan_data": fmt(f"DATE '{self.rep}'"),
+            "sisa_pinjaman_berjalan": f"CAST({self.outstanding()} AS DOUBLE)",
+            "tgl_jatuh_tempo_pinjaman": fmt(self.due_date()),
+            "id_kualitas_pinjaman": self.quality(),
+            "status_pinjaman_dpd": self.dpd(),
+            "status_pinjaman_max_dpd": self.max_dpd(),
+            "status_pinjaman": self.loan_status(),
+            "tgl_update": fmt("CAST(a_updateTime AS DATE)"),
+        }
+
+    def select(self, names=None, extra: dict[str, str] | None = None, date_fmt=None, cols=None) -> str:
+        cols = cols or self.columns(date_fmt)
+        names = list(cols) if names is None else list(names)
+        items = [f"{cols[n]} AS {n}" for n in names] + [f"{v} AS {k}" for k, v in (extra or {}).items()]
+        return with_model(self.candidates, self.latest_history, self.joined()) + "\nSELECT " + ",\n  ".join(items) + "\nFROM y"
+
+    def report(self) -> str:
+        return self.select()
+
+
+def report_sql(params: ReportParams | None = None) -> str:
+    return ReportSQL(params).report()
+
+
+def report_days_sql(first_rep: dt.date, last_rep: dt.date) -> str:
+    """Union of independent daily reports (checks the one-plan backfill)."""
+    parts = []
+    d = first_rep
+    while d <= last_rep:
+        parts.append(f"SELECT * FROM ({report_sql(ReportParams.for_report_day(d))})")
+        d += dt.timedelta(days=1)
+    return "\nUNION ALL\n".join(parts)
+
+
+
+# ---- registered query oracles ---------------------------------------------
+P = ReportParams()
+REP = P.rep
+FIRST = REP - dt.timedelta(days=7)
+WINDOW_FIRST = REP - dt.timedelta(days=6)
+RUN_CUTOFF = "2024-01-08 00:00:00"
+EXPORT_COLUMNS = [
+    "id_penyelenggara", "id_borrower", "jenis_pengguna", "nama_borrower", "no_identitas", "no_npwp",
+    "id_pinjaman", "tgl_perjanjian_borrower", "tgl_penyaluran_dana", "nilai_pendanaan",
+    "tgl_pelaporan_data", "sisa_pinjaman_berjalan", "tgl_jatuh_tempo_pinjaman",
+    "id_kualitas_pinjaman", "status_pinjaman_dpd", "status_pinjaman_max_dpd", "status_pinjaman",
+]
+
+
+def ymd(expr: str) -> str:
+    return f"strftime({expr}, '%Y%m%d')"
+
+
+def history(first: dt.date = FIRST, last: dt.date = REP) -> str:
+    return f"({report_days_sql(first, last)})"
+
+
+def zfill2(expr: str) -> str:
+    return f"CASE WHEN length(CAST({expr} AS VARCHAR)) >= 2 THEN CAST({expr} AS VARCHAR) ELSE lpad(CAST({expr} AS VARCHAR), 2, '0') END"
+
+
+def csv_field(expr: str) -> str:
+    v = f"coalesce(CAST({expr} AS VARCHAR), '')"
+    return f"""CASE WHEN regexp_matches({v}, '[|"\r\n]') THEN '"' || replace({v}, '"', '""') || '"' ELSE {v} END"""
+
+
+def export_lines_sql() -> str:
+    r = ReportSQL(P)
+    cols = r.columns(date_fmt=ymd)
+    # amounts as text keep their decimal scale (like str(Decimal))
+    cols["nilai_pendanaan"] = "CAST(a_amountApply AS DECIMAL(18,2))"
+    cols["sisa_pinjaman_berjalan"] = r.outstanding()
+    line = " || '|' || ".join(csv_field(cols[c]) for c in EXPORT_COLUMNS)
+    return r.select(names=[], extra={"line": line}, cols=cols)
+
+
+def export_text_sql() -> str:
+    return f"SELECT string_agg(line || chr(13) || chr(10), '' ORDER BY line) AS text FROM ({export_lines_sql()})"
+
+
+RUNS = f"""runs AS (
+  SELECT ts, CAST(ts + INTERVAL 7 HOUR AS DATE) - 1 AS day FROM events),
+state AS (SELECT day, CAST(count(*) AS INTEGER) AS counter FROM runs GROUP BY day)"""
+
+
+def stat_pairs_sql(docs: str) -> str:
+    """Pairs of the first object of JSON-array documents ``docs(doc_id, doc)``."""
+    return f"""WITH docs AS ({docs}),
+parsed AS (
+  SELECT doc_id, doc,
+         CASE WHEN json_valid(doc) AND json_type(doc) = 'ARRAY' AND json_type(doc, '$[0]') = 'OBJECT'
+              THEN json_keys(doc, '$[0]') END AS ks
+  FROM docs),
+pairs AS (
+  SELECT doc_id, doc, unnest(ks) AS key, unnest(range(len(ks))) AS i FROM parsed WHERE len(ks) > 0)
+SELECT doc_id, CAST(i AS INTEGER) AS pos, key,
+       json_extract_string(doc, '$[0]."' || key || '"') AS value FROM pairs
+UNION ALL
+SELECT doc_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM parsed WHERE ks IS NULL OR len(ks) = 0"""
+
+
+def _oracles_a_to_h() -> dict[str, str]:
+    r = ReportSQL(P)
+    o: dict[str, str] = {}
+    o["report"] = r.report()
+    o["scan_tables"] = with_model(
+        "n AS (SELECT 'ordOrder' AS table_name, count(*) AS n_rows FROM ordOrder "
+        "UNION ALL SELECT 'usrUser', count(*) FROM usrUser "
+        "UNION ALL SELECT 'ordHistory', count(*) FROM ordHistory "
+        "UNION ALL SELECT 'ordBill', count(*) FROM ordBill "
+        "UNION ALL SELECT 'ordDelayRecord', count(*) FROM ordDelayRecord)"
+    ) + "\nSELECT * FROM n"
+    o["config_lookup"] = """WITH long AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS grp, 'name' AS name, c_name AS value FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'nation', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'segment', c_mktsegment FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'balance', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) FROM customer)
+SELECT grp AS "group", CAST(count(DISTINCT name) AS INTEGER) AS n_attributes,
+       string_agg(name || '=' || value, ',' ORDER BY name) AS attributes_text
+FROM long GROUP BY grp"""
+    o["replace_snapshot"] = f"SELECT * FROM {history()}"
+    o["scan_snapshot"] = r.select(EXPORT_COLUMNS)
+    o["export_projection"] = r.select(EXPORT_COLUMNS, date_fmt=ymd)
+    o["export_psv"] = export_lines_sql()
+    o["read_result_text"] = f"SELECT CAST(octet_length(encode(text)) AS BIGINT) AS length, text FROM ({export_text_sql()})"
+    o["attachment_b64"] = (
+        f"SELECT '{P.partner}{REP.strftime('%Y%m%d')}SIK01.csv' AS filename, to_base64(encode(text)) AS content "
+        f"FROM ({export_text_sql()})"
+    )
+    o["counter_upsert"] = f"WITH {RUNS}\nSELECT CAST(day AS VARCHAR) AS tgl_pelaporan_data, counter FROM state"
+    o["counter_read"] = f"""WITH {RUNS},
+days AS (
+  SELECT CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) + 1 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM state)
+SELECT CAST(days.day AS VARCHAR) AS tgl_pelaporan_data, coalesce({zfill2('state.counter')}, '00') AS counter_text
+FROM days LEFT JOIN state ON days.day = state.day"""
+    o["export_name"] = (
+        f"WITH {RUNS}\nSELECT CAST(day AS VARCHAR) AS tgl_pelaporan_data, "
+        f"'{P.partner}' || strftime(day, '%Y%m%d') || 'SIK' || {zfill2('counter')} AS export_name FROM state"
+    )
+    o["report_date"] = "SELECT event_id, CAST(CAST(ts + INTERVAL 7 HOUR AS DATE) - 1 AS VARCHAR) AS report_day FROM events"
+    for key, names in {
+        "proj_constants": ["id_pinjaman", "id", "id_penyelenggara", "jenis_pengguna", "no_npwp"],
+        "proj_identity": ["id_pinjaman", "id_borrower", "nama_borrower", "no_identitas"],
+        "proj_dates": ["id_pinjaman", "tgl_perjanjian_borrower", "tgl_penyaluran_dana", "tgl_pelaporan_data", "tgl_update"],
+        "outstanding": ["id_pinjaman", "nilai_pendanaan", "sisa_pinjaman_berjalan"],
+        "due_date": ["id_pinjaman", "tgl_jatuh_tempo_pinjaman"],
+        "quality": ["id_pinjaman", "id_kualitas_pinjaman"],
+        "dpd": ["id_pinjaman", "status_pinjaman_dpd"],
+        "max_dpd": ["id_pinjaman", "status_pinjaman_max_dpd"],
+        "loan_status": ["id_pinjaman", "status_pinjaman"],
+    }.items():
+        o[key] = r.select(names)
+    o["filter_base"] = with_model(
+        "s AS (SELECT uuid AS a_uuid, status AS a_status, orderType AS a_orderType FROM ordOrder "
+        "WHERE disabled = 0 AND status IN (7, 8, 10, 11) AND orderType IN (0, 2, 3))"
+    ) + "\nSELECT * FROM s"
+    o["filter_population"] = (
+        with_model(r.candidates) + f"\nSELECT a_uuid, a_status, a_orderType, f_status FROM cand WHERE {r.population()}"
+    )
+    o["filter_report_day"] = r.report()
+    o["filter_last_7_days"] = (
+        "SELECT tgl_pelaporan_data, id_pinjaman, status_pinjaman, status_pinjaman_dpd "
+        f"FROM {history(WINDOW_FIRST, REP)}"
+    )
+    a_only = r.candidates.split("cand AS")[0].rstrip().rstrip(",")
+    o["join_borrower"] = with_model(a_only) + (
+        "\nSELECT a.a_uuid, b.uuid AS b_uuid, b.realName AS b_realName FROM a JOIN usrUser b "
+        "ON a.a_userUuid = b.uuid WHERE b.disabled = 0"
+    )
+    o["join_latest_history"] = with_model(a_only, r.latest_history) + (
+        "\nSELECT a.a_uuid, c.c_statusChangeTime FROM a LEFT JOIN c ON a.a_uuid = c.c_orderId"
+    )
+    o["join_bills"] = with_model(r.candidates) + (
+        "\nSELECT a_uuid, d_refundTime, CAST(d_billAmout AS DOUBLE) AS d_billAmout, d1_refundTime, "
+        "d1_actualRefundTime, d2_refundTime, d2_actualRefundTime FROM cand"
+    )
+    o["join_extension"] = with_model(r.candidates) + (
+        "\nSELECT a_uuid, f_status, CAST(f_amountApply AS DOUBLE) AS f_amountApply, f_refundTime, f_actualRefundTime FROM cand"
+    )
+    o["max_in_group"] = with_model(r.latest_history.split("c AS")[0].rstrip().rstrip(",")) + (
+        "\nSELECT orderId, mx AS maxUpdateTime FROM hmax"
+    )
+    counts = (
+        f"SELECT tgl_pelaporan_data, count(*) AS count FROM {history()} "
+        f"WHERE tgl_pelaporan_data BETWEEN '{WINDOW_FIRST}' AND '{REP}' GROUP BY tgl_pelaporan_data"
+    )
+    o["daily_counts"] = counts
+    o["order_by_ordinal"] = counts + " ORDER BY 1"
+    day_docs = f"""SELECT tgl_pelaporan_data AS doc_id,
+         '[{{' || string_agg('"' || status_pinjaman || '":"' || n || '"', ',' ORDER BY status_pinjaman) || '}}]' AS doc
+  FROM (SELECT tgl_pelaporan_data, status_pinjaman, count(*) AS n FROM {history()} GROUP BY ALL)
+  GROUP BY tgl_pelaporan_data
+  UNION ALL SELECT CAST(event_id AS VARCHAR), props FROM events"""
+    o["read_stat_json"] = stat_pairs_sql(day_docs)
+    name = f"{P.partner}{REP.strftime('%Y%m%d')}SIK01.zip.out"
+    o["summary_message"] = f"""WITH hist AS (SELECT * FROM {history()}),
+counts AS (SELECT tgl_pelaporan_data AS d, count(*) AS n FROM hist
+           WHERE tgl_pelaporan_data BETWEEN '{WINDOW_FIRST}' AND '{REP}' GROUP BY 1),
+rep AS (SELECT * FROM hist WHERE tgl_pelaporan_data = '{REP}'),
+st AS (SELECT status_pinjaman AS s, count(*) AS n FROM rep GROUP BY 1)
+SELECT 'Terlampir hasil output dari folder out sftp pusdafil.<br /><br />'
+    || '<table style=''width: 30%;'' border=''2'' cellpadding=''1''>'
+    || '<tr><th>tanggal</th> <th>count</th></tr>'
+    || (SELECT string_agg('<tr><td>' || d || '</td> <td>' || n || '</td></tr>', '' ORDER BY d) FROM counts)
+    || '</table><p>{name}:<br /> <pre><div style=''padding-left:2em''>'
+    || (SELECT 'received ' || count(*) || ' rows' FROM rep)
+    || '</div></pre></p><p>statistic_{P.partner}.json:<br /><pre><div style=''padding-left:2em''>'
+    || (SELECT string_agg(s || ': ' || n || '<br/>', '' ORDER BY s) FROM st)
+    || '</div></pre></p>' AS message"""
+    return o
+
+
+def oracles() -> dict[str, str]:
+    return _oracles_a_to_h()
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
-    print(REPORT)
+    print(report_sql())
