@@ -90,7 +90,6 @@ c AS (
   OR (a_orderType = 3 AND a_status {OPEN} AND {late('d_refundTime')} <= 91))"""
 
     def joined(self) -> str:
-        late, asof = self.late, self.asof
         return f"""
 adm AS (SELECT * FROM cand WHERE {self.population()}),
 joined AS (
@@ -98,7 +97,12 @@ joined AS (
   FROM adm
   LEFT JOIN c ON adm.a_uuid = c.c_orderId
   JOIN usrUser b ON adm.a_userUuid = b.uuid
-  WHERE b.disabled = 0),
+  WHERE b.disabled = 0),""" + self.derive("joined")
+
+    def derive(self, source: str) -> str:
+        """CTEs ``x``, ``y``: the due pick and the day differences of a joined row."""
+        late, asof = self.late, self.asof
+        return f"""
 x AS (
   SELECT *,
          CASE WHEN TIMESTAMP '{asof}' > d_refundTime THEN d_refundTime
@@ -107,7 +111,7 @@ x AS (
          {late('a_refundTime')} AS a_late, {late('f_refundTime')} AS f_late,
          {between('a_actualRefundTime', 'a_refundTime')} AS a_paid_late,
          {between('f_actualRefundTime', 'f_refundTime')} AS f_paid_late
-  FROM joined),
+  FROM {source}),
 y AS (SELECT *, {late('due_ts')} AS due_late FROM x)"""
 
     # ---- derived columns --------------------------------------------------
