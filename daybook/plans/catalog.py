@@ -32,7 +32,8 @@ from daybook.plans.report import (
     reported_orders,
 )
 from daybook.session import scratch_path, tune
-from daybook.sources import partner
+from daybook.functions import decode
+from daybook.sources import partner, raw_text
 from daybook.sources.loan_model import LoanTables, loan_tables
 from daybook.sources.tables import read_table
 
@@ -348,3 +349,99 @@ QUERIES = {
     "counter_read": q_counter_read,
     "report_date": q_report_date,
 }
+
+
+# ---- I. typed decoding of text columns ---------------------------------------------
+def _decoded(raw_df: DataFrame, decoder) -> DataFrame:
+    d = decoder(F.col("raw"))
+    return comparable(raw_df.select("id", "raw", d["value"].alias("value"), d["reject"].alias("reject")))
+
+
+def q_decode_datetime(spark, sf):
+    tune(spark)
+    return _decoded(raw_text.datetime_texts(read_table(spark, sf, "events")), decode.decode_datetime)
+
+
+def q_decode_date(spark, sf):
+    tune(spark)
+    return _decoded(raw_text.date_texts(read_table(spark, sf, "orders")), decode.decode_date)
+
+
+def q_decode_time_interval(spark, sf):
+    tune(spark)
+    return _decoded(raw_text.interval_texts(read_table(spark, sf, "events")), decode.decode_time_interval)
+
+
+def q_decode_time_of_day(spark, sf):
+    tune(spark)
+    return _decoded(raw_text.time_texts(read_table(spark, sf, "events")), decode.decode_time_of_day)
+
+
+def q_decode_compact_timestamp(spark, sf):
+    tune(spark)
+    return _decoded(raw_text.compact_texts(read_table(spark, sf, "events")), decode.decode_compact_timestamp)
+
+
+def q_decode_set(spark, sf):
+    tune(spark)
+    raw = raw_text.set_texts(read_table(spark, sf, "pages"))
+    members = decode.decode_set(F.col("raw"))
+    return raw.select("id", F.size(members).alias("n_members"), F.array_join(members, "|").alias("members_text"))
+
+
+def q_decode_numeric(spark, sf):
+    tune(spark)
+    raw = raw_text.numeric_texts(read_table(spark, sf, "orders"))
+    d = decode.decode_numeric(F.col("raw"))
+    return comparable(raw.select("id", "raw", d["as_int"].alias("as_int"), d["as_float"].alias("as_float"),
+                                 d["as_decimal"].alias("as_decimal"), d["reject"].alias("reject")))
+
+
+def q_decode_charset(spark, sf):
+    tune(spark)
+    raw = raw_text.charset_bytes(read_table(spark, sf, "documents"))
+    d = decode.decode_charset(F.col("content"), F.col("charset"))
+    return comparable(raw.select("id", "charset", d["value"].alias("value"), d["binary"].alias("binary"),
+                                 d["reject"].alias("reject")))
+
+
+def q_encode_temporal(spark, sf):
+    tune(spark)
+    ev = read_table(spark, sf, "events")
+    secs = F.col("event_id") * 37 % 360000
+    iv = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (secs + F.lit(0.25) * (F.col("event_id") % 4)).cast("decimal(16,6)"))
+    iv = F.when(F.col("event_type") == "error", -iv).otherwise(iv)
+    return ev.select(
+        F.col("event_id").alias("id"),
+        decode.encode_timestamp(F.col("ts")).alias("ts_text"),
+        decode.encode_timestamp(F.date_trunc("second", F.col("ts"))).alias("ts_whole_text"),
+        decode.encode_date(F.to_date("ts")).alias("date_text"),
+        decode.encode_interval(iv).alias("interval_text"),
+    )
+
+
+def q_ticks_to_temporal(spark, sf):
+    tune(spark)
+    ev = read_table(spark, sf, "events")
+    ticks = (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("ticks")
+    t = ev.select(F.col("event_id").alias("id"), ticks)
+    return comparable(t.select(
+        "id",
+        decode.ticks_to_timestamp(F.col("ticks")).alias("as_timestamp"),
+        decode.ticks_to_date(F.col("ticks")).alias("as_date"),
+        decode.ticks_to_time(F.col("ticks")).alias("as_time"),
+    ))
+
+
+QUERIES.update({
+    "decode_datetime": q_decode_datetime,
+    "decode_date": q_decode_date,
+    "decode_time_interval": q_decode_time_interval,
+    "decode_time_of_day": q_decode_time_of_day,
+    "decode_compact_timestamp": q_decode_compact_timestamp,
+    "decode_set": q_decode_set,
+    "decode_numeric": q_decode_numeric,
+    "decode_charset": q_decode_charset,
+    "encode_temporal": q_encode_temporal,
+    "ticks_to_temporal": q_ticks_to_temporal,
+})

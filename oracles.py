@@ -412,8 +412,158 @@ SELECT 'Terlampir hasil output dari folder out sftp pusdafil.<br /><br />'
     return o
 
 
+# ---- I. typed decoding ------------------------------------------------------
+DT_P = r"^([0-9]{1,4})-([0-9]{1,2})-([0-9]{1,2})[T ]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
+IV_P = r"^(-)?([0-9]{1,3}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
+TOD_P = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
+
+
+def _g(raw: str, pattern: str, i: int) -> str:
+    return f"regexp_extract({raw}, '{pattern}', {i})"
+
+
+def _gi(raw: str, pattern: str, i: int) -> str:
+    return f"CAST({_g(raw, pattern, i)} AS BIGINT)"
+
+
+def _frac_us(raw: str, pattern: str, i: int) -> str:
+    return f"CAST(rpad(CASE WHEN {_g(raw, pattern, i)} = '' THEN '0' ELSE {_g(raw, pattern, i)} END, 6, '0') AS BIGINT)"
+
+
+def sql_date_value(raw: str) -> str:
+    part = lambda i: f"TRY_CAST(trim(string_split({raw}, '-')[{i}]) AS BIGINT)"
+    return (
+        f"CASE WHEN regexp_matches({raw}, '^\\s*\\+?[0-9]+\\s*-\\s*\\+?[0-9]+\\s*-\\s*\\+?[0-9]+\\s*$') "
+        f"THEN CAST(try_strptime(printf('%04d-%02d-%02d', {part(1)}, {part(2)}, {part(3)}), '%Y-%m-%d') AS DATE) END"
+    )
+
+
+def sql_datetime_value(raw: str) -> str:
+    g = [_gi(raw, DT_P, i) for i in range(1, 7)]
+    text = f"printf('%04d-%02d-%02d %02d:%02d:%02d.%06d', {', '.join(g)}, {_frac_us(raw, DT_P, 7)})"
+    ts = f"CASE WHEN regexp_matches({raw}, '{DT_P}') THEN try_strptime({text}, '%Y-%m-%d %H:%M:%S.%f') END"
+    return f"coalesce({ts}, CAST({sql_date_value(raw)} AS TIMESTAMP))"
+
+
+def _decoded(raw_sql: str, value: str) -> str:
+    return f"SELECT id, raw, value, CASE WHEN value IS NULL THEN raw END AS reject FROM (SELECT id, raw, {value} AS value FROM ({raw_sql}))"
+
+
+RAW_DATETIME = """SELECT event_id AS id, CASE event_type
+  WHEN 'error' THEN strftime(ts, '%Y') || '-02-31 ' || strftime(ts, '%H:%M:%S')
+  WHEN 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.') || substr(strftime(ts, '%f'), 1, 3)
+  WHEN 'signup' THEN strftime(ts, '%Y-%m-%d')
+  WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC'
+  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS raw FROM events"""
+
+RAW_DATE = """SELECT o_orderkey AS id, CASE o_orderpriority
+  WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y') || '-02-31'
+  WHEN '2-HIGH' THEN '0000-00-00'
+  WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y') || '-' || CAST(month(o_orderdate) AS VARCHAR) || '-' || CAST(day(o_orderdate) AS VARCHAR)
+  WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m')
+  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS raw FROM orders"""
+
+
+def _hms_sql(secs: str, minute_offset: int = 0) -> str:
+    return f"printf('%d:%02d:%02d', {secs} // 3600, ({secs} // 60) % 60 + {minute_offset}, {secs} % 60)"
+
+
+_SECS = "(event_id * 37 % 360000)"
+RAW_INTERVAL = f"""SELECT event_id AS id, CASE event_type
+  WHEN 'error' THEN '-' || {_hms_sql(_SECS)}
+  WHEN 'click' THEN {_hms_sql(_SECS)} || '.' || strftime(ts, '%f')
+  WHEN 'signup' THEN 'n/a'
+  WHEN 'purchase' THEN {_hms_sql(_SECS, 60)}
+  ELSE {_hms_sql(_SECS)} END AS raw FROM events"""
+
+RAW_TIME = """SELECT event_id AS id, CASE event_type
+  WHEN 'error' THEN '-' || strftime(ts, '%H:%M:%S')
+  WHEN 'click' THEN '24:' || strftime(ts, '%M:%S')
+  WHEN 'signup' THEN strftime(ts, '%H:%M')
+  WHEN 'purchase' THEN CAST(hour(ts) AS VARCHAR) || ':' || CAST(minute(ts) AS VARCHAR) || ':'
+                       || CAST(second(ts) AS VARCHAR) || '.' || substr(strftime(ts, '%f'), 1, 3)
+  ELSE strftime(ts, '%H:%M:%S.%f') END AS raw FROM events"""
+
+RAW_COMPACT = """SELECT event_id AS id, CASE event_type
+  WHEN 'click' THEN strftime(ts, '%Y%m%d%H')
+  WHEN 'signup' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+  WHEN 'error' THEN strftime(ts, '%Y') || '0231' || strftime(ts, '%H%M%S')
+  WHEN 'purchase' THEN strftime(ts, '%Y%m%d') || 'xx'
+  ELSE strftime(ts, '%Y%m%d%H%M%S') END AS raw FROM events"""
+
+RAW_NUMERIC = """SELECT o_orderkey AS id, CASE o_orderpriority
+  WHEN '1-URGENT' THEN printf('%.2f', o_totalprice) || 'x'
+  WHEN '2-HIGH' THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
+  WHEN '3-MEDIUM' THEN '  ' || printf('%.2f', o_totalprice) || ' '
+  WHEN '4-NOT SPECIFIED' THEN ''
+  ELSE printf('%.2f', o_totalprice) END AS raw FROM orders"""
+
+
+def _oracles_i() -> dict[str, str]:
+    o: dict[str, str] = {}
+    o["decode_datetime"] = _decoded(RAW_DATETIME, sql_datetime_value("raw"))
+    o["decode_date"] = (
+        "SELECT id, raw, CAST(value AS VARCHAR) AS value, CASE WHEN value IS NULL THEN raw END AS reject "
+        f"FROM (SELECT id, raw, {sql_date_value('raw')} AS value FROM ({RAW_DATE}))"
+    )
+    sign = f"CASE WHEN {_g('raw', IV_P, 1)} = '-' THEN -1 ELSE 1 END"
+    iv_us = (
+        f"CASE WHEN regexp_matches(raw, '{IV_P}') THEN {sign} * (({_gi('raw', IV_P, 2)} * 3600 + "
+        f"{_gi('raw', IV_P, 3)} * 60 + {_gi('raw', IV_P, 4)}) * 1000000 + {_frac_us('raw', IV_P, 5)}) END"
+    )
+    o["decode_time_interval"] = _decoded(RAW_INTERVAL, iv_us)
+    h, m, sec = (_gi("raw", TOD_P, i) for i in (1, 2, 3))
+    tod_us = (
+        f"CASE WHEN regexp_matches(raw, '{TOD_P}') AND {h} < 24 AND {m} < 60 AND {sec} < 60 "
+        f"THEN ({h} * 3600 + {m} * 60 + {sec}) * 1000000 + {_frac_us('raw', TOD_P, 4)} END"
+    )
+    o["decode_time_of_day"] = _decoded(RAW_TIME, tod_us)
+    compact = (
+        f"CASE WHEN substr(raw, 5, 1) = '-' THEN {sql_datetime_value('raw')} "
+        "WHEN length(raw) >= 5 AND regexp_matches(rpad(raw, 14, '0'), '^[0-9]{14}$') "
+        "THEN try_strptime(rpad(raw, 14, '0'), '%Y%m%d%H%M%S') END"
+    )
+    o["decode_compact_timestamp"] = _decoded(RAW_COMPACT, compact)
+    o["decode_set"] = """SELECT id, CAST(len(m) AS INTEGER) AS n_members, array_to_string(m, '|') AS members_text
+FROM (SELECT page_id AS id,
+             list_sort(list_distinct(string_split(regexp_replace(url, '[/?#&=.:]+', ',', 'g'), ','))) AS m
+      FROM pages)"""
+    o["decode_numeric"] = f"""SELECT id, raw,
+  CASE WHEN regexp_matches(raw, '^\\s*[+-]?[0-9]+\\s*$') THEN CAST(trim(raw) AS BIGINT) END AS as_int,
+  TRY_CAST(raw AS DOUBLE) AS as_float,
+  CAST(TRY_CAST(raw AS DECIMAL(38,10)) AS DOUBLE) AS as_decimal,
+  CASE WHEN TRY_CAST(raw AS DOUBLE) IS NULL THEN raw END AS reject
+FROM ({RAW_NUMERIC})"""
+    o["decode_charset"] = """SELECT id, charset, value,
+  CASE WHEN charset = 'binary' THEN hex(encode(text)) END AS "binary",
+  CASE WHEN charset <> 'binary' AND value IS NULL THEN hex(encode(text)) END AS reject
+FROM (SELECT doc_id AS id, text, charset,
+        CASE WHEN charset IN ('utf8mb4', 'utf8mb3') THEN text
+             WHEN charset = 'ascii' AND regexp_matches(text, '^[\\x00-\\x7F]*$') THEN text END AS value
+      FROM (SELECT *, CASE lang WHEN 'en' THEN 'utf8mb4' WHEN 'de' THEN 'ascii' WHEN 'fr' THEN 'binary'
+                                WHEN 'es' THEN 'koi8r' ELSE 'utf8mb3' END AS charset FROM documents))"""
+    us = "(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END * ((event_id * 37 % 360000) * 1000000 + 250000 * (event_id % 4)))"
+    secs = f"CAST(floor({us} / 1000000.0) AS BIGINT)"
+    frac = f"((({us}) % 1000000) + 1000000) % 1000000"
+    base = (
+        f"printf('%02d:%02d:%02d', CAST(floor({secs} / 3600.0) AS BIGINT), "
+        f"(((CAST(floor({secs} / 60.0) AS BIGINT)) % 60) + 60) % 60, (({secs} % 60) + 60) % 60)"
+    )
+    o["encode_temporal"] = f"""SELECT event_id AS id,
+  CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_text,
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts_whole_text,
+  strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_text,
+  CASE WHEN {frac} = 0 THEN {base} ELSE {base} || printf('.%06d', {frac}) END AS interval_text
+FROM events"""
+    o["ticks_to_temporal"] = """SELECT id, t AS as_timestamp, CAST(CAST(t AS DATE) AS VARCHAR) AS as_date,
+  (hour(t) * 3600 + minute(t) * 60 + second(t)) * 1000000 AS as_time
+FROM (SELECT event_id AS id, make_timestamp(CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) * 1000000) AS t FROM events)"""
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return _oracles_a_to_h()
+    return {**_oracles_a_to_h(), **_oracles_i()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
