@@ -9,6 +9,7 @@ so they compare one-to-one with the DuckDB oracles in ``oracles.py``.
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 import uuid
 
@@ -32,7 +33,7 @@ from daybook.plans.report import (
     reported_orders,
 )
 from daybook.session import scratch_path, tune
-from daybook.functions import decode
+from daybook.functions import decode, protect
 from daybook.sources import partner, raw_text
 from daybook.sources.loan_model import LoanTables, loan_tables
 from daybook.sources.tables import read_table
@@ -445,3 +446,135 @@ QUERIES.update({
     "encode_temporal": q_encode_temporal,
     "ticks_to_temporal": q_ticks_to_temporal,
 })
+
+
+# ---- L. column protection -------------------------------------------------------------
+# Fixed test keys (parameters of the jobs, not secrets).
+HMAC_KEY = b"daybook-test-hmac-key"
+GCM_KEY = bytes(range(32))
+GCM_AAD = b"customer"
+TOKEN_KEY = base64.urlsafe_b64encode(bytes(range(32))).decode()
+TOKEN_KEY_OLD = base64.urlsafe_b64encode(bytes(range(100, 132))).decode()
+TOKEN_KEY_UNKNOWN = base64.urlsafe_b64encode(bytes(range(200, 232))).decode()
+TOKEN_EPOCH = 1_700_000_000
+TOKEN_NOW = "2024-01-15 00:00:00"
+TOKEN_TTL = 7 * 86400
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    cust = read_table(spark, sf, "customer").select(
+        F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("value")
+    )
+    docs = read_table(spark, sf, "documents").select(
+        F.lit("documents").alias("source"), F.col("doc_id").alias("id"), F.col("text").alias("value")
+    )
+    return cust.unionByName(docs)
+
+
+def q_digest_column(spark, sf):
+    tune(spark)
+    v = F.col("value")
+    return _texts(spark, sf).select(
+        "source", "id",
+        protect.digest_column(v, "md5").alias("md5_hex"),
+        protect.digest_column(v, "sha1").alias("sha1_hex"),
+        protect.digest_column(v, "sha256").alias("sha256_hex"),
+        protect.digest_column(v, "sha256", "base64").alias("sha256_b64"),
+    )
+
+
+def q_hmac_column(spark, sf):
+    tune(spark)
+    return _texts(spark, sf).select("source", "id", protect.hmac_column(F.col("value"), HMAC_KEY).alias("mac"))
+
+
+def q_hmac_verify(spark, sf):
+    tune(spark)
+    macs = _texts(spark, sf).withColumn("mac", protect.hmac_column(F.col("value"), HMAC_KEY))
+    return macs.select(
+        "source", "id",
+        protect.hmac_verify(F.col("value"), F.col("mac"), HMAC_KEY).alias("ok_self"),
+        protect.hmac_verify(F.concat(F.col("value"), F.lit(".")), F.col("mac"), HMAC_KEY).alias("ok_tampered"),
+    )
+
+
+def q_aes_gcm_column(spark, sf):
+    tune(spark)
+    cust = read_table(spark, sf, "customer")
+    sealed = protect.aes_gcm_encrypt(F.encode(F.col("c_name"), "UTF-8"), GCM_KEY, GCM_AAD)
+    checks = protect.bind(sealed, lambda b: F.struct(
+        protect.aes_gcm_decrypt(b, GCM_KEY, GCM_AAD).cast("string").alias("roundtrip"),
+        protect.aes_gcm_decrypt(b, GCM_KEY, b"other").isNull().alias("wrong_aad_rejected"),
+        F.length(protect.aes_gcm_ciphertext(b)).alias("sealed_len"),
+    ))
+    return cust.select(F.col("c_custkey").alias("id"), checks.alias("c")).select("id", "c.*")
+
+
+def _customer_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    cust = read_table(spark, sf, "customer")
+    return cust.select(
+        F.col("c_custkey").alias("id"), "c_name", "c_mktsegment",
+        protect.token_encrypt(F.col("c_name"), TOKEN_KEY, F.lit(TOKEN_EPOCH) + F.col("c_custkey")).alias("token"),
+    )
+
+
+def q_token_encrypt(spark, sf):
+    tune(spark)
+    opened = protect.token_decrypt(F.col("token"), TOKEN_KEY)
+    return _customer_tokens(spark, sf).select(
+        "id", F.length("token").alias("token_len"), opened["value"].cast("string").alias("plain"),
+        opened["seconds"].alias("seconds"),
+    )
+
+
+def q_token_timestamp(spark, sf):
+    tune(spark)
+    return _customer_tokens(spark, sf).select(
+        "id",
+        F.when(F.col("c_mktsegment") == "BUILDING", protect.token_timestamp(F.col("token"), TOKEN_KEY_OLD))
+        .otherwise(protect.token_timestamp(F.col("token"), TOKEN_KEY)).alias("seconds"),
+    )
+
+
+def _event_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of ``events.props`` stamped with the event time; ``click`` events
+    under the old key, ``error`` events under a key nobody holds."""
+    ev = read_table(spark, sf, "events")
+    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
+    kind = F.col("event_type")
+    token = (
+        F.when(kind == "click", protect.token_encrypt(F.col("props"), TOKEN_KEY_OLD, secs))
+        .when(kind == "error", protect.token_encrypt(F.col("props"), TOKEN_KEY_UNKNOWN, secs))
+        .otherwise(protect.token_encrypt(F.col("props"), TOKEN_KEY, secs))
+    )
+    return ev.select(F.col("event_id").alias("id"), token.alias("token"))
+
+
+def q_token_decrypt(spark, sf):
+    tune(spark)
+    now = F.unix_seconds(F.lit(TOKEN_NOW).cast("timestamp"))
+    opened = protect.token_decrypt(F.col("token"), TOKEN_KEY, ttl=TOKEN_TTL, now=now)
+    return _event_tokens(spark, sf).select(
+        "id", opened["value"].cast("string").alias("value"), opened["reason"].alias("reason")
+    )
+
+
+def q_token_rotate(spark, sf):
+    tune(spark)
+    rotated = protect.token_rotate(F.col("token"), [TOKEN_KEY, TOKEN_KEY_OLD])
+    opened = protect.token_decrypt(rotated, TOKEN_KEY)
+    return _event_tokens(spark, sf).select(
+        "id", opened["value"].cast("string").alias("value"), opened["seconds"].alias("seconds")
+    )
+
+
+QUERIES.update({
+    "digest_column": q_digest_column,
+    "hmac_column": q_hmac_column,
+    "hmac_verify": q_hmac_verify,
+    "aes_gcm_column": q_aes_gcm_column,
+    "token_encrypt": q_token_encrypt,
+    "token_decrypt": q_token_decrypt,
+    "token_timestamp": q_token_timestamp,
+    "token_rotate": q_token_rotate,
+})

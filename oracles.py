@@ -562,8 +562,44 @@ FROM (SELECT event_id AS id, make_timestamp(CAST(floor(epoch_us(ts) / 1000000.0)
     return o
 
 
+# ---- L. column protection ---------------------------------------------------
+TEXTS = """SELECT 'customer' AS source, c_custkey AS id, c_name AS value FROM customer
+UNION ALL SELECT 'documents', doc_id, text FROM documents"""
+
+
+def _oracles_l() -> dict[str, str]:
+    from daybook.functions.protect import _pads
+    from daybook.plans.catalog import HMAC_KEY, TOKEN_EPOCH, TOKEN_NOW, TOKEN_TTL
+
+    ipad, opad = (p.hex() for p in _pads(HMAC_KEY))
+    mac = f"sha256(from_hex('{opad}') || from_hex(sha256(from_hex('{ipad}') || encode(value))))"
+    now = int(dt.datetime.fromisoformat(TOKEN_NOW).replace(tzinfo=dt.timezone.utc).timestamp())
+    secs = "CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT)"
+    o: dict[str, str] = {}
+    o["digest_column"] = f"""SELECT source, id, md5(value) AS md5_hex, sha1(value) AS sha1_hex, sha256(value) AS sha256_hex,
+  to_base64(from_hex(sha256(value))) AS sha256_b64 FROM ({TEXTS})"""
+    o["hmac_column"] = f"SELECT source, id, {mac} AS mac FROM ({TEXTS})"
+    o["hmac_verify"] = f"SELECT source, id, true AS ok_self, false AS ok_tampered FROM ({TEXTS})"
+    o["aes_gcm_column"] = """SELECT c_custkey AS id, c_name AS roundtrip, true AS wrong_aad_rejected,
+  CAST(octet_length(encode(c_name)) + 16 AS INTEGER) AS sealed_len FROM customer"""
+    o["token_encrypt"] = f"""SELECT c_custkey AS id,
+  CAST(4 * ((57 + 16 * (octet_length(encode(c_name)) // 16 + 1) + 2) // 3) AS INTEGER) AS token_len,
+  c_name AS plain, {TOKEN_EPOCH} + c_custkey AS seconds FROM customer"""
+    o["token_timestamp"] = f"""SELECT c_custkey AS id,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE {TOKEN_EPOCH} + c_custkey END AS seconds FROM customer"""
+    o["token_decrypt"] = f"""SELECT id, CASE WHEN reason IS NULL THEN props END AS value, reason FROM (
+  SELECT event_id AS id, props,
+    CASE WHEN {secs} + {TOKEN_TTL} < {now} THEN 'expired'
+         WHEN {now} + 60 < {secs} THEN 'future'
+         WHEN event_type IN ('click', 'error') THEN 'bad_signature' END AS reason
+  FROM events)"""
+    o["token_rotate"] = f"""SELECT event_id AS id, CASE WHEN event_type = 'error' THEN NULL ELSE props END AS value,
+  CASE WHEN event_type = 'error' THEN NULL ELSE {secs} END AS seconds FROM events"""
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return {**_oracles_a_to_h(), **_oracles_i()}
+    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
