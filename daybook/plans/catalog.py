@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import report_day_of
-from daybook.operators import joins
+from daybook.operators import joins, manifest
 from daybook.operators.aggregates import daily_counts, daily_counts_sql
 from daybook.operators.counter import counter_read, counter_upsert, runs_per_day
 from daybook.operators.filters import REPORT_DATE_COLUMN, filter_last_days, filter_report_day
@@ -33,7 +33,7 @@ from daybook.plans.report import (
     reported_orders,
 )
 from daybook.session import scratch_path, tune
-from daybook.functions import decode, protect
+from daybook.functions import decode, paths, protect
 from daybook.sources import partner, raw_text
 from daybook.sources.loan_model import LoanTables, loan_tables
 from daybook.sources.tables import read_table
@@ -578,3 +578,78 @@ QUERIES.update({
     "token_timestamp": q_token_timestamp,
     "token_rotate": q_token_rotate,
 })
+
+
+# ---- K. file manifests ------------------------------------------------------------------
+MIRROR_ROOT = "/mirror"
+DIGEST_BLOCK = 4096
+_HOST = r"^[a-z]+://([^/?#]+)"
+_PATH = r"^[a-z]+://[^/?#]+(/[^?#]*)?"
+
+
+def _page_paths(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "pages")
+    return pages.select(
+        "page_id",
+        F.regexp_extract("url", _HOST, 1).alias("host"),
+        F.regexp_extract("url", _PATH, 1).alias("path"),
+    )
+
+
+def _written_pages(spark: SparkSession, sf: str) -> str:
+    """Every page's html written as text, one folder per host."""
+    pages = read_table(spark, sf, "pages").select(F.regexp_extract("url", _HOST, 1).alias("host"), "html")
+    path = scratch_path(spark, "pages")
+    pages.write.mode("overwrite").partitionBy("host").text(path)
+    return path
+
+
+def q_file_inventory(spark, sf):
+    tune(spark)
+    return manifest.file_inventory(spark, _written_pages(spark, sf), glob="*.txt")
+
+
+def q_manifest_reconcile(spark, sf):
+    """Expected bytes per host folder (from the table) against the files
+    actually written (from the listing)."""
+    tune(spark)
+    inv = manifest.file_inventory(spark, _written_pages(spark, sf), glob="*.txt")
+    actual = inv.groupBy(F.regexp_extract("relative_path", r"^([^/]+)/", 1).alias("relative_path")).agg(
+        F.sum("size").alias("size"), F.max("mtime").alias("mtime")
+    )
+    pages = read_table(spark, sf, "pages")
+    expected = pages.groupBy(F.concat(F.lit("host="), F.regexp_extract("url", _HOST, 1)).alias("relative_path")).agg(
+        F.sum(F.octet_length("html") + 1).alias("size"), F.lit(None).cast("timestamp").alias("mtime")
+    )
+    return manifest.manifest_reconcile(expected, actual)
+
+
+def q_reparent_paths(spark, sf):
+    tune(spark)
+    p = _page_paths(spark, sf)
+    return p.select("page_id", paths.reparent(MIRROR_ROOT, F.col("path")).alias("new_path"),
+                    paths.reparent("", F.concat("host", "path")).alias("relative_path"))
+
+
+def q_path_ancestors(spark, sf):
+    tune(spark)
+    p = _page_paths(spark, sf)
+    return p.select("page_id", F.posexplode(paths.path_prefixes(F.concat("host", "path"))).alias("pos", "ancestor")).select(
+        "page_id", (F.col("pos") + 1).alias("depth"), "ancestor"
+    )
+
+
+def q_block_digests(spark, sf):
+    tune(spark)
+    docs = read_table(spark, sf, "documents")
+    blocks = paths.block_digests(F.encode("text", "UTF-8"), "sha1", DIGEST_BLOCK)
+    return docs.select("doc_id", F.posexplode(blocks).alias("block", "digest"))
+
+
+QUERIES.update({
+    "file_inventory": q_file_inventory,
+    "reparent_paths": q_reparent_paths,
+    "path_ancestors": q_path_ancestors,
+    "manifest_reconcile": q_manifest_reconcile,
+    "block_digests": q_block_digests,
+})

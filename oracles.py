@@ -598,8 +598,42 @@ def _oracles_l() -> dict[str, str]:
     return o
 
 
+# ---- K. file manifests --------------------------------------------------------
+PAGE_PATHS = """SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
+  regexp_extract(url, '^[a-z]+://[^/?#]+(/[^?#]*)?', 1) AS path FROM pages"""
+
+
+def _reparent_sql(parent: str, p: str) -> str:
+    rel = f"CASE WHEN substr({p}, 1, 1) IN ('/', '\\') THEN '.' || {p} ELSE {p} END"
+    if parent == "":
+        return rel
+    return f"'{parent.rstrip('/')}/' || {rel}"
+
+
+def _oracles_k() -> dict[str, str]:
+    o: dict[str, str] = {}
+    o["reparent_paths"] = (
+        f"SELECT page_id, {_reparent_sql('/mirror', 'path')} AS new_path, "
+        f"{_reparent_sql('', 'host || path')} AS relative_path FROM ({PAGE_PATHS})"
+    )
+    o["path_ancestors"] = f"""SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) AS INTEGER) AS depth, ancestor
+FROM (SELECT page_id, i, array_to_string(parts[1:i], '/') AS ancestor
+      FROM (SELECT page_id, parts, unnest(generate_series(1, len(parts))) AS i
+            FROM (SELECT page_id, string_split(host || path, '/') AS parts FROM ({PAGE_PATHS}))))
+WHERE ancestor <> ''"""
+    o["manifest_reconcile"] = """SELECT 'host=' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS relative_path,
+  sum(octet_length(encode(html)) + 1) AS source_size, sum(octet_length(encode(html)) + 1) AS target_size, 'ok' AS status
+FROM pages GROUP BY 1"""
+    n = 4096
+    o["block_digests"] = f"""SELECT doc_id, CAST(b AS INTEGER) AS block,
+  sha1(from_hex(substring(h, b * {2 * n} + 1, {2 * n}))) AS digest
+FROM (SELECT doc_id, h, unnest(generate_series(0, CAST(ceil(length(h) / {2 * n}) AS BIGINT) - 1)) AS b
+      FROM (SELECT doc_id, hex(encode(text)) AS h FROM documents))"""
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l()}
+    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
