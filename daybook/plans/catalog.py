@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import report_day_of
-from daybook.operators import joins, manifest
+from daybook.operators import joins, manifest, surface
 from daybook.operators.aggregates import daily_counts, daily_counts_sql
 from daybook.operators.counter import counter_read, counter_upsert, runs_per_day
 from daybook.operators.filters import REPORT_DATE_COLUMN, filter_last_days, filter_report_day
@@ -34,7 +34,7 @@ from daybook.plans.report import (
 )
 from daybook.session import scratch_path, tune
 from daybook.functions import decode, paths, protect
-from daybook.sources import partner, raw_text
+from daybook.sources import jdbc, partner, raw_text
 from daybook.sources.loan_model import LoanTables, loan_tables
 from daybook.sources.tables import read_table
 
@@ -653,3 +653,64 @@ QUERIES.update({
     "manifest_reconcile": q_manifest_reconcile,
     "block_digests": q_block_digests,
 })
+
+
+# ---- J. query surface, and bulk text load -------------------------------------------
+PARAM_SQL = (
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} "
+    "WHERE o_orderpriority = %(prio)s AND o_totalprice > %(min_price)s"
+)
+PARAM_ARGS = {"prio": "1-URGENT", "min_price": 100000.0}
+PAGE_OFFSET, PAGE_SIZE = 200, 100
+
+
+def q_param_query(spark, sf):
+    tune(spark)
+    return surface.param_query(spark, PARAM_SQL, PARAM_ARGS, orders=read_table(spark, sf, "orders"))
+
+
+def q_page_rows(spark, sf):
+    tune(spark)
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return surface.page(orders, ["o_orderkey"], PAGE_OFFSET, PAGE_SIZE)
+
+
+def q_dedupe_columns(spark, sf):
+    """Orders, their borrower, delay record and follow-up order: ``uuid``,
+    ``status`` and ``disabled`` occur several times."""
+    t = _t(spark, sf)
+    a = t.order.select("uuid", "userUuid", "status", "disabled").alias("a")
+    b = t.user.select("uuid", "realName", "disabled").alias("b")
+    e = t.delay.alias("e")
+    f = t.order.select("uuid", "status", "disabled").alias("f")
+    return surface.join_unique(
+        [("ordOrder", a), ("usrUser", b), ("ordDelayRecord", e), ("ordOrder", f)],
+        [F.col("a.userUuid") == F.col("b.uuid"), F.col("a.uuid") == F.col("e.orderNo"),
+         F.col("e.delayOrderNo") == F.col("f.uuid")],
+    )
+
+
+EXPORT_SCHEMA = (
+    "id_penyelenggara int, id_borrower bigint, jenis_pengguna int, nama_borrower string, no_identitas string, "
+    "no_npwp string, id_pinjaman bigint, tgl_perjanjian_borrower date, tgl_penyaluran_dana date, "
+    "nilai_pendanaan decimal(18,2), tgl_pelaporan_data date, sisa_pinjaman_berjalan decimal(18,2), "
+    "tgl_jatuh_tempo_pinjaman date, id_kualitas_pinjaman int, status_pinjaman_dpd int, "
+    "status_pinjaman_max_dpd int, status_pinjaman string"
+)
+
+
+def q_bulk_text_load(spark, sf):
+    """The export file loaded back with its schema (dates as yyyyMMdd)."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    path = _export_file(spark, sf)
+    schema = _parse_datatype_string(EXPORT_SCHEMA)
+    return comparable(jdbc.bulk_text_load(spark, path, schema, date_format="yyyyMMdd"))
+
+
+QUERIES.update({
+    "param_query": q_param_query,
+    "page_rows": q_page_rows,
+    "dedupe_columns": q_dedupe_columns,
+    "bulk_text_load": q_bulk_text_load,
+})

@@ -632,8 +632,26 @@ FROM (SELECT doc_id, h, unnest(generate_series(0, CAST(ceil(length(h) / {2 * n})
     return o
 
 
+# ---- J. query surface, bulk load -------------------------------------------------
+def _oracles_j() -> dict[str, str]:
+    r = ReportSQL(P)
+    o: dict[str, str] = {}
+    o["param_query"] = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 100000.0"""
+    o["page_rows"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 200"
+    o["dedupe_columns"] = with_model("j AS (SELECT 1)") + """
+SELECT a.uuid AS "uuid", a.userUuid AS "userUuid", a.status AS "status", a.disabled AS "disabled",
+       b.uuid AS "usrUser.uuid", b.realName AS "realName", b.disabled AS "usrUser.disabled",
+       e.orderNo AS "orderNo", e.delayOrderNo AS "delayOrderNo",
+       f.uuid AS "ordOrder.uuid", f.status AS "ordOrder.status", f.disabled AS "ordOrder.disabled"
+FROM ordOrder a JOIN usrUser b ON a.userUuid = b.uuid
+JOIN ordDelayRecord e ON a.uuid = e.orderNo JOIN ordOrder f ON e.delayOrderNo = f.uuid"""
+    o["bulk_text_load"] = r.select(EXPORT_COLUMNS, extra={"_corrupt_record": "CAST(NULL AS VARCHAR)"})
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k()}
+    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k(), **_oracles_j()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
