@@ -132,7 +132,7 @@ def q_export_projection(spark, sf):
 def _export_file(spark: SparkSession, sf: str) -> str:
     lines = snapshot.export_lines(snapshot.export_projection(_report(spark, sf)))
     path = scratch_path(spark, "export")
-    snapshot.write_export(lines.orderBy("line"), path, single_file=True)
+    snapshot.write_export(lines, path, single_file=True, order_by=["line"])
     return path
 
 

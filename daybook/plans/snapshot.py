@@ -112,15 +112,21 @@ def export_lines(projected: DataFrame) -> DataFrame:
     return projected.select(csv_line(*[F.col(c) for c in EXPORT_COLUMNS]).alias("line"))
 
 
-def write_export(lines: DataFrame, path: str, single_file: bool = False) -> str:
+def write_export(lines: DataFrame, path: str, single_file: bool = False, order_by: list[str] | None = None) -> str:
     """Write lines with CRLF line ends, no header.
 
-    By default every task writes its own part file (the parts concatenate
-    byte-exactly to the full export).  ``single_file`` gives the one file a
-    partner expects: only the formatted lines are shuffled into one writer
-    task, the report itself keeps its parallelism."""
+    By default every task writes its own part file; with ``order_by`` the
+    lines are range-partitioned and sorted, so the parts concatenate in order.
+    ``single_file`` gives the one file a partner expects: only the formatted
+    lines are shuffled into one writer task (the report keeps its
+    parallelism) and sorted there (a round-robin shuffle does not keep an
+    earlier sort)."""
     if single_file:
         lines = lines.repartition(1)
+        if order_by:
+            lines = lines.sortWithinPartitions(*order_by)
+    elif order_by:
+        lines = lines.orderBy(*order_by)
     lines.write.mode("overwrite").option("lineSep", LINE_END).text(path)
     return path
 

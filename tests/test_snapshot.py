@@ -53,19 +53,32 @@ EDGE = ["plain", "a|b", 'say "hi"', "line\nbreak", "cr\rhere", "crlf\r\nx", " le
 
 def test_export_bytes_equal_python_csv(spark):
     rows = [(i, v, v) for i, v in enumerate(EDGE)]
-    df = spark.createDataFrame(rows, "k int, a string, b string").orderBy("k")
+    df = spark.createDataFrame(rows, "k int, a string, b string").repartition(3)
     from daybook.functions.text import csv_line
 
     lines = df.select(csv_line(F.col("k"), F.col("a"), F.col("b")).alias("line"))
     path = scratch_path(spark, "t-export")
-    snapshot.write_export(lines, path, single_file=True)
+    snapshot.write_export(lines, path, single_file=True, order_by=["line"])
     (part,) = glob.glob(os.path.join(local_dir(path), "part-*"))
     got = open(part, "rb").read()
-    buf = io.StringIO(newline="")
-    w = csv.DictWriter(buf, fieldnames=["k", "a", "b"], delimiter="|", quotechar='"', quoting=csv.QUOTE_MINIMAL)
-    for k, a, b in rows:
-        w.writerow({"k": k, "a": a, "b": b})
-    assert got == buf.getvalue().encode("utf-8")
+
+    def py_line(k, a, b):
+        buf = io.StringIO(newline="")
+        csv.DictWriter(buf, fieldnames=["k", "a", "b"], delimiter="|", quotechar='"',
+                       quoting=csv.QUOTE_MINIMAL).writerow({"k": k, "a": a, "b": b})
+        return buf.getvalue().encode("utf-8")
+
+    want = b"".join(sorted(py_line(*r) for r in rows))
+    assert got == want
+
+
+def test_parallel_export_parts_concatenate_in_order(spark):
+    df = spark.range(0, 5000, numPartitions=7).select(F.format_string("%06d", "id").alias("line"))
+    path = scratch_path(spark, "t-export")
+    snapshot.write_export(df, path, order_by=["line"])
+    parts = sorted(glob.glob(os.path.join(local_dir(path), "part-*")))
+    data = b"".join(open(p, "rb").read() for p in parts)
+    assert data == b"".join(b"%06d\r\n" % i for i in range(5000))
 
 
 def test_export_name_and_zero_padding(spark):
