@@ -13,18 +13,16 @@ from pyspark.sql import functions as F
 
 
 def config_lookup(long: DataFrame) -> DataFrame:
-    """``group -> map(name -> value)`` with names sorted.  A repeated name
-    keeps one value deterministically (the greatest), where the original's
-    dict would keep whichever came last from the store."""
+    """``group -> map(name -> value)`` with names sorted.
+
+    Copies are collapsed first: one value per (group, name), by a partially
+    aggregated ``groupBy`` (a repeated name keeps its greatest value, where
+    the original's dict kept whichever came last from the store).  The fold
+    into a map then only sees each group's distinct attribute names, however
+    many copies a hot group has."""
+    attrs = long.groupBy("group", "name").agg(F.max("value").alias("value"))
     entries = F.array_sort(F.collect_list(F.struct(F.col("name"), F.col("value"))))
-    return long.groupBy("group").agg(
-        F.map_from_entries(
-            F.transform(
-                F.array_distinct(F.transform(entries, lambda e: e["name"])),
-                lambda n: F.struct(n.alias("name"), F.element_at(F.filter(entries, lambda e: e["name"] == n), -1)["value"].alias("value")),
-            )
-        ).alias("attributes")
-    )
+    return attrs.groupBy("group").agg(F.map_from_entries(entries).alias("attributes"))
 
 
 def config_of(long: DataFrame, group: str) -> DataFrame:
