@@ -92,12 +92,34 @@ class LoanRules:
             .otherwise(col("d1", "refundTime"))
         )
 
+    # ---- day differences, computed once per row ----------------------------
+    def day_columns(self) -> list[tuple[str, Column]]:
+        """Day differences the rules read, in dependency order (``due_late``
+        needs ``due_ts``).  Added as columns by ``with_days`` so every
+        difference is computed once per row and the rule expressions stay
+        small (cheaper to analyse, optimise and compile)."""
+        paid_late = lambda p: days_between(col(p, "actualRefundTime"), col(p, "refundTime"))
+        return [
+            ("due_ts", self.due_ts()),
+            ("a_late", self.late(F.col("a_refundTime"))),
+            ("f_late", self.late(F.col("f_refundTime"))),
+            ("d_late", self.late(col("d", "refundTime"))),
+            ("d1_late", self.late(col("d1", "refundTime"))),
+            ("d2_late", self.late(col("d2", "refundTime"))),
+            ("a_paid_late", paid_late("a")),
+            ("f_paid_late", paid_late("f")),
+            ("d1_paid_late", paid_late("d1")),
+            ("d2_paid_late", paid_late("d2")),
+            ("a_paid_vs_d", days_between(F.col("a_actualRefundTime"), col("d", "refundTime"))),
+            ("f_late_to_rep", days_between(F.coalesce(F.col("f_actualRefundTime"), self.rep), F.col("f_refundTime"))),
+        ]
+
     # ---- reported columns -----------------------------------------------
     def agreement_date(self) -> Column:
         return F.to_date(F.coalesce(F.col("c_statusChangeTime"), F.col("a_lendingTime")))
 
-    def due_date(self, due: Column) -> Column:
-        return F.when(self.otype() != 3, F.to_date(F.col("a_refundTime"))).otherwise(F.to_date(due))
+    def due_date(self) -> Column:
+        return F.when(self.otype() != 3, F.to_date(F.col("a_refundTime"))).otherwise(F.to_date(F.col("due_ts")))
 
     def outstanding(self) -> Column:
         t = self.otype()
@@ -117,46 +139,38 @@ class LoanRules:
             .cast(AMOUNT_TYPE)
         )
 
-    def _a_late_paid(self) -> Column:
-        return days_between(F.col("a_actualRefundTime"), F.col("a_refundTime"))
-
-    def _f_late_paid(self) -> Column:
-        return days_between(F.col("f_actualRefundTime"), F.col("f_refundTime"))
-
-    def quality(self, due: Column) -> Column:
+    def quality(self) -> Column:
         t = self.otype()
         open_, paid = self.is_open(), self.is_paid()
         lo, hi = QUALITY_1_BELOW_DAYS, QUALITY_2_MAX_DAYS
-        a_paid_late = self._a_late_paid()
-        a_open_late = self.late(F.col("a_refundTime"))
-        due_late = self.late(due)
-        f_open_late = self.late(F.col("f_refundTime"))
-        f_late_to_rep = days_between(F.coalesce(F.col("f_actualRefundTime"), self.rep), F.col("f_refundTime"))
+        a_paid, a_open, due, f_open, f_paid = (
+            F.col(c) for c in ("a_paid_late", "a_late", "due_late", "f_late", "f_paid_late")
+        )
         bucket1 = (
-            (paid & (a_paid_late < lo) & t.isin(0, 3))
-            | (open_ & (t == 0) & (a_open_late < lo))
-            | (open_ & (t == 3) & (due_late < lo))
-            | (paid & self.status_in("f", OPEN_STATUSES + PAID_STATUSES) & (f_late_to_rep < lo) & (t == 2))
+            (paid & (a_paid < lo) & t.isin(0, 3))
+            | (open_ & (t == 0) & (a_open < lo))
+            | (open_ & (t == 3) & (due < lo))
+            | (paid & self.status_in("f", OPEN_STATUSES + PAID_STATUSES) & (F.col("f_late_to_rep") < lo) & (t == 2))
         )
-        a_paid0 = F.coalesce(a_paid_late, F.lit(0))
+        a_paid0 = F.coalesce(a_paid, F.lit(0))
         bucket2 = (
-            (paid & (a_paid0 >= lo) & (a_paid0 <= hi) & t.isin(0, 3))
-            | (open_ & (a_open_late >= lo) & (a_open_late <= hi) & (t == 0))
-            | (open_ & (due_late >= lo) & (due_late <= hi) & (t == 3))
-            | (paid & self.is_paid("f") & (self._f_late_paid() >= lo) & (self._f_late_paid() <= hi) & (t == 2))
-            | (paid & self.is_open("f") & (f_open_late >= lo) & (f_open_late <= hi) & (t == 2))
+            (paid & a_paid0.between(lo, hi) & t.isin(0, 3))
+            | (open_ & a_open.between(lo, hi) & (t == 0))
+            | (open_ & due.between(lo, hi) & (t == 3))
+            | (paid & self.is_paid("f") & f_paid.between(lo, hi) & (t == 2))
+            | (paid & self.is_open("f") & f_open.between(lo, hi) & (t == 2))
         )
         return F.when(bucket1, 1).when(bucket2, 2).otherwise(3).cast("int")
 
-    def dpd(self, due: Column) -> Column:
+    def dpd(self) -> Column:
         t = self.otype()
         open_, paid = self.is_open(), self.is_paid()
         return (
-            F.when(open_ & (t == 0), greatest_keep_null(self.late(F.col("a_refundTime"))))
-            .when(open_ & (t == 3), greatest_keep_null(self.late(due)))
-            .when(paid & (t == 2) & self.is_open("f"), greatest0(self.late(F.col("f_refundTime"))))
-            .when(paid & t.isin(0, 3), greatest0(self._a_late_paid()))
-            .when(paid & (t == 2) & self.is_paid("f"), greatest0(self._f_late_paid()))
+            F.when(open_ & (t == 0), greatest_keep_null(F.col("a_late")))
+            .when(open_ & (t == 3), greatest_keep_null(F.col("due_late")))
+            .when(paid & (t == 2) & self.is_open("f"), greatest0(F.col("f_late")))
+            .when(paid & t.isin(0, 3), greatest0(F.col("a_paid_late")))
+            .when(paid & (t == 2) & self.is_paid("f"), greatest0(F.col("f_paid_late")))
             .otherwise(0)
             .cast("int")
         )
@@ -164,26 +178,18 @@ class LoanRules:
     def max_dpd(self) -> Column:
         t = self.otype()
         open_, paid = self.is_open(), self.is_paid()
-        a_leg = self._a_late_paid()
-        f_open_leg = F.coalesce(self.late(F.col("f_refundTime")), F.lit(0))
-        f_paid_leg = greatest0(self._f_late_paid())
-
-        def term_late(p: str) -> Column:
-            return days_between(col(p, "actualRefundTime"), col(p, "refundTime"))
-
+        a_leg = F.col("a_paid_late")
+        f_open_leg = F.coalesce(F.col("f_late"), F.lit(0))
+        f_paid_leg = greatest0(F.col("f_paid_late"))
+        d1_paid, d2_paid = F.col("d1_paid_late"), F.col("d2_paid_late")
         open_instalment = (
-            F.when(col("d1", "actualRefundTime").isNull(), greatest0(self.late(col("d1", "refundTime"))))
-            .when(
-                col("d2", "actualRefundTime").isNull(),
-                greatest0(self.late(col("d2", "refundTime")), term_late("d1")),
-            )
-            .otherwise(greatest0(self.late(col("d", "refundTime")), term_late("d1"), term_late("d2")))
-        )
-        paid_instalment = greatest0(
-            days_between(F.col("a_actualRefundTime"), col("d", "refundTime")), term_late("d2"), term_late("d1")
+            F.when(col("d1", "actualRefundTime").isNull(), greatest0(F.col("d1_late")))
+            .when(col("d2", "actualRefundTime").isNull(), greatest0(F.col("d2_late"), d1_paid))
+            .otherwise(greatest0(F.col("d_late"), d1_paid, d2_paid))
         )
+        paid_instalment = greatest0(F.col("a_paid_vs_d"), d2_paid, d1_paid)
         return (
-            F.when(open_ & (t == 0), greatest0(self.late(F.col("a_refundTime"))))
+            F.when(open_ & (t == 0), greatest0(F.col("a_late")))
             .when(
                 paid & (t == 2) & self.is_open("f"),
                 F.when(f_open_leg < a_leg, greatest0(a_leg)).otherwise(greatest0(f_open_leg)),
@@ -205,9 +211,9 @@ class LoanRules:
         m = OPEN_STATUS_MAX_DAYS
         settled = (paid & t.isin(0, 3)) | (paid & (t == 2) & self.is_paid("f"))
         current = (
-            (open_ & (t == 0) & (self.late(F.col("a_refundTime")) <= m))
-            | (open_ & (t == 3) & (self.late(col("d", "refundTime")) <= m))
-            | (paid & (t == 2) & (self.late(F.col("f_refundTime")) <= m) & self.is_open("f"))
+            (open_ & (t == 0) & (F.col("a_late") <= m))
+            | (open_ & (t == 3) & (F.col("d_late") <= m))
+            | (paid & (t == 2) & (F.col("f_late") <= m) & self.is_open("f"))
         )
         return F.when(settled, "L").when(current, "O").otherwise("W")
 

@@ -87,13 +87,15 @@ def joined_rows(t: LoanTables, params: ReportParams) -> DataFrame:
     return joins.join_borrower(rows, t.user)
 
 
-def with_due(rows: DataFrame, rules: LoanRules) -> DataFrame:
-    """Compute the type-3 due time once; quality, dpd and due date reuse it."""
-    return rows.withColumn("due_ts", rules.due_ts())
+def with_days(rows: DataFrame, rules: LoanRules) -> DataFrame:
+    """Add the type-3 due time and the day differences the rules read (two
+    projections: ``due_late`` reads ``due_ts``)."""
+    cols = rules.day_columns()
+    rows = rows.withColumn(cols[0][0], cols[0][1])
+    return rows.withColumns(dict(cols[1:])).withColumn("due_late", rules.late(F.col("due_ts")))
 
 
 def report_columns(rules: LoanRules, params: ReportParams) -> list:
-    due = F.col("due_ts")
     return [
         F.lit(None).cast("bigint").alias("id"),
         F.lit(params.provider_id).cast("int").alias("id_penyelenggara"),
@@ -108,9 +110,9 @@ def report_columns(rules: LoanRules, params: ReportParams) -> list:
         F.col("a_amountApply").cast(AMOUNT_TYPE).alias("nilai_pendanaan"),
         rules.rep.alias("tgl_pelaporan_data"),
         rules.outstanding().alias("sisa_pinjaman_berjalan"),
-        rules.due_date(due).alias("tgl_jatuh_tempo_pinjaman"),
-        rules.quality(due).alias("id_kualitas_pinjaman"),
-        rules.dpd(due).alias("status_pinjaman_dpd"),
+        rules.due_date().alias("tgl_jatuh_tempo_pinjaman"),
+        rules.quality().alias("id_kualitas_pinjaman"),
+        rules.dpd().alias("status_pinjaman_dpd"),
         rules.max_dpd().alias("status_pinjaman_max_dpd"),
         rules.loan_status().alias("status_pinjaman"),
         F.to_date(F.col("a_updateTime")).alias("tgl_update"),
@@ -121,7 +123,7 @@ def build_report(t: LoanTables, params: ReportParams | None = None) -> DataFrame
     """The report of one day (``params.rep``)."""
     params = params or ReportParams()
     rules = LoanRules(params)
-    rows = with_due(joined_rows(t, params), rules)
+    rows = with_days(joined_rows(t, params), rules)
     return rows.select(*report_columns(rules, params))
 
 
@@ -142,5 +144,5 @@ def build_report_days(t: LoanTables, first_rep: dt.date, last_rep: dt.date, para
     rows = candidate_rows(t).withColumn(REP_DAY, F.explode(F.array(*[F.lit(d) for d in days])))
     rows = rows.where(rules.population())
     rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history))
-    rows = with_due(joins.join_borrower(rows, t.user), rules)
+    rows = with_days(joins.join_borrower(rows, t.user), rules)
     return rows.select(*report_columns(rules, params))

@@ -75,12 +75,12 @@ COMBOS = [
 def test_branch_combinations_non_empty(spark, otype, a_status, f_status, status, qualities):
     t = loan_tables(spark, SF01)
     from daybook.functions.loan import LoanRules
-    from daybook.plans.report import with_due
+    from daybook.plans.report import with_days
 
     rules = LoanRules(ReportParams())
-    rows = with_due(joined_rows(t, ReportParams()), rules).select(
+    rows = with_days(joined_rows(t, ReportParams()), rules).select(
         "a_orderType", "a_status", "f_status",
-        rules.loan_status().alias("st"), rules.quality(F.col("due_ts")).alias("q"),
+        rules.loan_status().alias("st"), rules.quality().alias("q"),
     )
     cond = (F.col("a_orderType") == otype) & F.col("a_status").isin(*a_status) & (F.col("st") == status)
     cond = cond & (F.col("f_status").isNull() if f_status is None else F.col("f_status").isin(*f_status))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 import oracles
 from daybook.functions.loan import LoanRules
 from daybook.params import ReportParams
-from daybook.plans.report import with_due
+from daybook.plans.report import with_days
 
 P = ReportParams()
 REP = dt.datetime.combine(P.rep, dt.time())
@@ -72,13 +72,12 @@ def random_rows(seed: int, n: int = 500) -> list[dict]:
 def spark_rules(spark, rows):
     df = spark.createDataFrame([{"row_id": i, **r} for i, r in enumerate(rows)], SCHEMA)
     rules = LoanRules(P)
-    due = F.col("due_ts")
-    return with_due(df, rules).select(
+    return with_days(df, rules).select(
         "row_id",
         rules.outstanding().cast("double").alias("outstanding"),
-        F.date_format(rules.due_date(due), "yyyy-MM-dd").alias("due_date"),
-        rules.quality(due).alias("quality"),
-        rules.dpd(due).alias("dpd"),
+        F.date_format(rules.due_date(), "yyyy-MM-dd").alias("due_date"),
+        rules.quality().alias("quality"),
+        rules.dpd().alias("dpd"),
         rules.max_dpd().alias("max_dpd"),
         rules.loan_status().alias("status"),
         rules.population().alias("admitted"),
