@@ -9,8 +9,29 @@ from pyspark.sql import functions as F
 BUSINESS_ZONE = "Asia/Jakarta"
 
 
-def report_day_of(instant_utc: Column, zone: str = BUSINESS_ZONE) -> Column:
-    """Report day of a run started at ``instant_utc``: yesterday in the
-    business zone.  A column rule, so a whole event-time column is mapped in
-    one projection (the original computed it once from the host clock)."""
-    return F.date_sub(F.to_date(F.from_utc_timestamp(instant_utc, zone)), 1)
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def report_day_of(utc_wall_clock: Column, zone: str = BUSINESS_ZONE) -> Column:
+    """Report day of a run started at ``utc_wall_clock`` (a timestamp_ntz in
+    UTC): yesterday in the business zone.  A column rule, so a whole
+    event-time column is mapped in one projection (the original computed it
+    once from the host clock).  ``convert_timezone`` on the NTZ value does not
+    depend on the session time zone."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall_clock)
+    return F.date_sub(F.to_date(local), 1)
+
+
+def epoch_seconds(utc_wall_clock: Column) -> Column:
+    """Whole epoch seconds of a UTC timestamp_ntz (session-zone independent)."""
+    return F.floor(epoch_micros(utc_wall_clock) / 1_000_000).cast("bigint")
+
+
+def epoch_micros(utc_wall_clock: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), utc_wall_clock)
+
+
+def from_epoch_seconds(seconds: Column, zone: str = "UTC") -> Column:
+    """Wall clock (timestamp_ntz) in ``zone`` of whole epoch seconds."""
+    utc = F.timestamp_add("SECOND", seconds.cast("bigint"), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)

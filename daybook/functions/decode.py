@@ -189,17 +189,22 @@ def encode_interval(iv: Column) -> Column:
     return F.when(frac == 0, base).otherwise(F.concat(base, F.format_string(".%06d", frac)))
 
 
-def ticks_to_timestamp(ticks: Column) -> Column:
-    """Epoch seconds -> local wall-clock timestamp (session zone), whole
-    seconds (a fraction is dropped, as ``localtime`` does)."""
-    return F.timestamp_seconds(F.floor(ticks)).cast("timestamp_ntz")
+def ticks_to_timestamp(ticks: Column, zone: str | None = None) -> Column:
+    """Epoch seconds -> wall-clock timestamp in ``zone`` (default: the
+    session zone, like the process-local zone of the original), whole seconds
+    (a fraction is dropped, as ``localtime`` does)."""
+    from daybook.functions.dates import from_epoch_seconds
 
+    if zone is None:
+        return F.timestamp_seconds(F.floor(ticks)).cast("timestamp_ntz")
+    return from_epoch_seconds(F.floor(ticks), zone)
 
-def ticks_to_date(ticks: Column) -> Column:
-    return F.to_date(ticks_to_timestamp(ticks))
 
+def ticks_to_date(ticks: Column, zone: str | None = None) -> Column:
+    return F.to_date(ticks_to_timestamp(ticks, zone))
 
-def ticks_to_time(ticks: Column) -> Column:
+
+def ticks_to_time(ticks: Column, zone: str | None = None) -> Column:
     """Time of day as the interval since local midnight."""
-    ts = ticks_to_timestamp(ticks)
+    ts = ticks_to_timestamp(ticks, zone)
     return F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.second(ts).cast("decimal(16,6)"))

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.dates import report_day_of
+from daybook.functions.dates import epoch_micros, epoch_seconds, report_day_of
 from daybook.operators import joins, manifest, surface
 from daybook.operators.aggregates import daily_counts, daily_counts_sql
 from daybook.operators.counter import counter_read, counter_upsert, runs_per_day
@@ -424,13 +424,13 @@ def q_encode_temporal(spark, sf):
 def q_ticks_to_temporal(spark, sf):
     tune(spark)
     ev = read_table(spark, sf, "events")
-    ticks = (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("ticks")
+    ticks = (epoch_micros(F.col("ts")) / 1_000_000).alias("ticks")
     t = ev.select(F.col("event_id").alias("id"), ticks)
     return comparable(t.select(
         "id",
-        decode.ticks_to_timestamp(F.col("ticks")).alias("as_timestamp"),
-        decode.ticks_to_date(F.col("ticks")).alias("as_date"),
-        decode.ticks_to_time(F.col("ticks")).alias("as_time"),
+        decode.ticks_to_timestamp(F.col("ticks"), "UTC").alias("as_timestamp"),
+        decode.ticks_to_date(F.col("ticks"), "UTC").alias("as_date"),
+        decode.ticks_to_time(F.col("ticks"), "UTC").alias("as_time"),
     ))
 
 
@@ -540,7 +540,7 @@ def _event_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of ``events.props`` stamped with the event time; ``click`` events
     under the old key, ``error`` events under a key nobody holds."""
     ev = read_table(spark, sf, "events")
-    secs = F.unix_seconds(F.col("ts").cast("timestamp"))
+    secs = epoch_seconds(F.col("ts"))
     kind = F.col("event_type")
     token = (
         F.when(kind == "click", protect.token_encrypt(F.col("props"), TOKEN_KEY_OLD, secs))
@@ -552,7 +552,7 @@ def _event_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_token_decrypt(spark, sf):
     tune(spark)
-    now = F.unix_seconds(F.lit(TOKEN_NOW).cast("timestamp"))
+    now = epoch_seconds(F.lit(TOKEN_NOW).cast("timestamp_ntz"))
     opened = protect.token_decrypt(F.col("token"), TOKEN_KEY, ttl=TOKEN_TTL, now=now)
     return _event_tokens(spark, sf).select(
         "id", opened["value"].cast("string").alias("value"), opened["reason"].alias("reason")

@@ -27,3 +27,16 @@ def test_query_matches_oracle(spark, duck001, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+ZONE_SENSITIVE = ["report", "report_date", "counter_upsert", "export_name", "ticks_to_temporal", "token_decrypt"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, duck001, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert_same(QUERIES[name](spark, SF001), duck001, ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
