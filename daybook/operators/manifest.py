@@ -8,23 +8,57 @@ relative path, so it scales with the number of files.
 
 from __future__ import annotations
 
+import datetime as dt
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _zero_length_files(spark: SparkSession, root: str, glob: str | None) -> list[tuple[str, int, dt.datetime]]:
+    """Zero-length files under ``root`` from a Hadoop listing on the driver
+    (metadata only; the ``binaryFile`` scan skips empty files)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    it = fs.listFiles(path, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0 and (glob is None or fnmatch.fnmatchcase(st.getPath().getName(), glob)):
+            mtime = dt.datetime.fromtimestamp(st.getModificationTime() / 1000, dt.timezone.utc).replace(tzinfo=None)
+            out.append((st.getPath().toString(), 0, mtime))
+    return out
+
+
 def file_inventory(
     spark: SparkSession,
     root: str,
     glob: str | None = None,
     modified_after: str | None = None,
+    include_empty: bool = False,
 ) -> DataFrame:
-    """Regular files under ``root`` (recursive): relative path, size, mtime."""
+    """Regular files under ``root`` (recursive): relative path, size, mtime,
+    sorted by path (a listing-sized sort).
+
+    Files are listed by the ``binaryFile`` source with ``content`` pruned, so
+    no file body is read.  That scan skips zero-length files;
+    ``include_empty`` adds them from a driver-side listing (metadata only,
+    for moderate trees)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     files = reader.load(root).select("path", "length", "modificationTime")
+    if include_empty:
+        empty = _zero_length_files(spark, root, glob)
+        if modified_after:
+            cutoff = dt.datetime.fromisoformat(modified_after)
+            empty = [e for e in empty if e[2] > cutoff]
+        if empty:
+            extra = spark.createDataFrame(empty, "path string, length bigint, modificationTime timestamp_ntz")
+            files = files.unionByName(extra.select("path", "length", F.col("modificationTime").cast("timestamp")))
     base = root.rstrip("/")
     base_uri = base if ":" in base.split("/")[0] else f"file:{base}"
     rel = F.regexp_replace(
@@ -34,7 +68,7 @@ def file_inventory(
         rel.alias("relative_path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("mtime"),
-    )
+    ).orderBy("relative_path")
 
 
 def _quote(s: str) -> str:

@@ -154,7 +154,7 @@ def test_day_boundaries_open_normal_loan(spark, late, quality, status, admitted)
 
 
 def test_open_loan_without_due_time_keeps_null_dpd(spark):
-    """MySQL's greatest(NULL, 0) is NULL; no coalesce in that branch."""
+    """The original SQL's greatest(NULL, 0) is NULL; no coalesce in that branch."""
     r = spark_rules(spark, [_row(a_refundTime=None)]).first()
     assert r["dpd"] is None and r["max_dpd"] == 0 and r["quality"] == 3 and r["status"] == "W"
 
