@@ -15,7 +15,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daybook.functions import decode, paths, protect
 from daybook.functions.dates import epoch_micros, epoch_seconds, report_day_of
 from daybook.operators import joins, manifest, surface
 from daybook.operators.aggregates import daily_counts, daily_counts_sql
@@ -33,8 +35,8 @@ from daybook.plans.report import (
     reported_orders,
 )
 from daybook.session import scratch_path, tune
-from daybook.functions import decode, paths, protect
 from daybook.sources import jdbc, partner, raw_text
+from daybook.sources.config import config_lookup, long_config
 from daybook.sources.loan_model import LoanTables, loan_tables
 from daybook.sources.tables import read_table
 
@@ -43,7 +45,6 @@ REP = P.rep
 FIRST = REP - dt.timedelta(days=7)  # eight report days: one outside the 7-day window
 WINDOW_FIRST = REP - dt.timedelta(days=6)
 RUN_CUTOFF = "2024-01-08 00:00:00"  # events before it are the counter's old state
-RESULT_NAME_PREFIX = P.partner
 STAT_FILE = f"statistic_{P.partner}.json"
 
 
@@ -91,8 +92,6 @@ def q_scan_tables(spark, sf):
 def q_config_lookup(spark, sf):
     """Config records: one key (the customer) with its attributes folded to a
     map; every key of the long table in one grouped job."""
-    from daybook.sources.config import config_lookup, long_config
-
     long = long_config(read_table(spark, sf, "customer"))
     folded = config_lookup(long)
     return folded.select(
@@ -701,10 +700,8 @@ EXPORT_SCHEMA = (
 
 def q_bulk_text_load(spark, sf):
     """The export file loaded back with its schema (dates as yyyyMMdd)."""
-    from pyspark.sql.types import _parse_datatype_string
-
     path = _export_file(spark, sf)
-    schema = _parse_datatype_string(EXPORT_SCHEMA)
+    schema = T.StructType.fromDDL(EXPORT_SCHEMA)
     return comparable(jdbc.bulk_text_load(spark, path, schema, date_format="yyyyMMdd"))
 
 
