@@ -77,9 +77,12 @@ def replace_snapshot(
     Every day in ``days`` is replaced, also when ``report`` has no row for it
     (that day is then cleared, as a delete-then-insert would do)."""
     staging = f"{table_path}/_staging/{uuid.uuid4().hex}"
-    report.where(F.col(REPORT_DATE_COLUMN).isin(*days)).write.mode("overwrite").partitionBy(
-        REPORT_DATE_COLUMN
-    ).parquet(staging)
+    rows = report.where(F.col(REPORT_DATE_COLUMN).isin(*days))
+    # Rebalance by day: AQE cuts each day into advisory-size write tasks (a
+    # big day is split, small ones are merged), instead of one small file per
+    # upstream task and day.
+    rows = rows.hint("rebalance", REPORT_DATE_COLUMN)
+    rows.write.mode("overwrite").partitionBy(REPORT_DATE_COLUMN).parquet(staging)
     for day in days:
         target = partition_path(table_path, day)
         _delete(spark, target)
@@ -87,6 +90,9 @@ def replace_snapshot(
         if _exists(spark, staged):
             _rename(spark, staged, target)
     _delete(spark, staging)
+    fs, parent = _fs(spark, f"{table_path}/_staging")
+    if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+        fs.delete(parent, False)  # only when empty: a concurrent run may stage there
     return table_path
 
 
