@@ -92,11 +92,13 @@ class SendResult:
 def _move_single_part(spark: SparkSession, folder: str, target: str) -> None:
     fs, root = snapshot._fs(spark, folder)
     parts = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
+    if len(parts) > 1:
         raise IOError(f"expected one part file in {folder}, found {len(parts)}")
     _, dst = snapshot._fs(spark, target)
     snapshot._delete(spark, target)
-    if not fs.rename(parts[0], dst):
+    if not parts:  # an empty report: Spark may write no part file at all
+        fs.create(dst).close()
+    elif not fs.rename(parts[0], dst):
         raise IOError(f"rename failed: {parts[0]} -> {target}")
     fs.delete(root, True)
 
@@ -110,10 +112,12 @@ def send(
     export_dir: str,
 ) -> SendResult:
     rep = params.rep
-    snapshot.replace_snapshot(spark, build_report(tables, params), snapshot_path, [rep])
+    report = build_report(tables, params)
+    snapshot.replace_snapshot(spark, report, snapshot_path, [rep])
     state = bump_counter(spark, counter_path, [rep])
     name = f"{params.partner}{rep.strftime('%Y%m%d')}{snapshot.EXPORT_NAME_TAG}{counter_text(state, rep)}"
-    lines = snapshot.export_lines(snapshot.export_projection(snapshot.scan_snapshot(spark, snapshot_path, rep)))
+    day = snapshot.scan_snapshot(spark, snapshot_path, rep, schema=report.schema)
+    lines = snapshot.export_lines(snapshot.export_projection(day))
     staging = f"{export_dir}/_{name}"
     snapshot.write_export(lines, staging, single_file=True)
     target = f"{export_dir}/{name}.csv"
@@ -145,7 +149,8 @@ def check(
     texts = partner.read_result_text(files)
     result_text = texts.where(F.col("file_name") == result_name).select("text")
     stat = partner.stat_pairs(texts.where(F.col("file_name") == stat_name).select(F.col("text").alias("doc")), "doc")
-    counts = daily_counts(filter_last_days(snapshot.read_snapshot(spark, snapshot_path), rep, 7))
+    days = snapshot.read_snapshot(spark, snapshot_path, schema=f"{REPORT_DATE_COLUMN} date")
+    counts = daily_counts(filter_last_days(days, rep, 7))
     message = summary_message(counts, F.lit(result_name), result_text, F.lit(stat_name), stat)
     attachments = partner.attachment_b64(files)
     return CheckResult(message=message, attachments=attachments)

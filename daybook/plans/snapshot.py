@@ -76,6 +76,8 @@ def replace_snapshot(
 
     Every day in ``days`` is replaced, also when ``report`` has no row for it
     (that day is then cleared, as a delete-then-insert would do)."""
+    fs_root, root = _fs(spark, table_path)
+    fs_root.mkdirs(root)  # an all-empty table still reads as empty
     staging = f"{table_path}/_staging/{uuid.uuid4().hex}"
     rows = report.where(F.col(REPORT_DATE_COLUMN).isin(*days))
     # Rebalance by day: AQE cuts each day into advisory-size write tasks (a
@@ -96,13 +98,16 @@ def replace_snapshot(
     return table_path
 
 
-def read_snapshot(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.option("basePath", table_path).parquet(table_path)
+def read_snapshot(spark: SparkSession, table_path: str, schema=None) -> DataFrame:
+    """The snapshot table; with ``schema`` (e.g. the report's) no inference is
+    needed, so a table without any day yet reads as empty."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", table_path).parquet(table_path)
 
 
-def scan_snapshot(spark: SparkSession, table_path: str, rep: dt.date) -> DataFrame:
+def scan_snapshot(spark: SparkSession, table_path: str, rep: dt.date, schema=None) -> DataFrame:
     """One report day (partition pruning), the 17 exported columns in order."""
-    return filter_report_day(read_snapshot(spark, table_path), rep).select(*EXPORT_COLUMNS)
+    return filter_report_day(read_snapshot(spark, table_path, schema), rep).select(*EXPORT_COLUMNS)
 
 
 def export_projection(snapshot_day: DataFrame) -> DataFrame:

@@ -58,3 +58,18 @@ def test_send_then_check(spark):
         f.write(b"not json")
     message = daily.check(spark, P, snap, counter, results).message.first()["message"]
     assert message.endswith("statistic_820053.json:<br /><pre><div style='padding-left:2em'></div></pre></p>")
+
+
+def test_send_with_empty_report_writes_empty_file(spark):
+    import dataclasses
+
+    t = loan_tables(spark, SF001)
+    t = dataclasses.replace(t, order=t.order.limit(0))
+    snap, counter, export_dir = (scratch_path(spark, n) for n in ("t-snap", "t-counter", "t-export"))
+    sent = daily.send(spark, t, P, snap, counter, export_dir)
+    assert os.path.getsize(local_dir(sent.export_file)) == 0
+    assert snapshot.read_snapshot(spark, snap, schema=build_report(t, P).schema).count() == 0
+    results = scratch_path(spark, "t-results")
+    os.makedirs(local_dir(results), exist_ok=True)
+    message = daily.check(spark, P, snap, counter, results).message.first()["message"]
+    assert "<th>count</th></tr></table>" in message  # no day rows, no files: empty sections
