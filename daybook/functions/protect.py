@@ -189,22 +189,39 @@ def token_decrypt(
     """struct(value binary, seconds, reason): ``value`` is NULL and ``reason``
     names the first failed check: ``malformed``, ``expired``, ``future``
     (beyond the 60 s clock skew), ``bad_signature``, ``bad_padding``.  Time
-    checks apply only with ``ttl``; ``now`` defaults to the query time."""
+    checks apply only with ``ttl``; ``now`` defaults to the query time.
+
+    The decoded bytes and the MAC / decryption results are bound once per
+    row: inside the chain of checks Spark could not share them and would
+    decode and hash the token once per check."""
     signing, encryption = split_key(key_b64)
-    well_formed, seconds, body, mac, sealed = _parts(token, raw)
     now = now if now is not None else F.unix_seconds(F.current_timestamp())
-    plain = F.try_aes_decrypt(sealed, F.lit(encryption), F.lit("CBC"), F.lit("PKCS"))
-    reason = F.when(~F.coalesce(well_formed, F.lit(False)), F.lit("malformed"))
-    if ttl is not None:
-        reason = reason.when(seconds + ttl < now, F.lit("expired")).when(now + MAX_CLOCK_SKEW < seconds, F.lit("future"))
-    reason = reason.when(hmac_sha256(body, signing) != mac, F.lit("bad_signature")).when(
-        plain.isNull(), F.lit("bad_padding")
-    )
-    return F.struct(
-        F.when(reason.isNull(), plain).alias("value"),
-        F.when(F.coalesce(well_formed, F.lit(False)), seconds.cast("bigint")).alias("seconds"),
-        reason.alias("reason"),
-    )
+
+    def open_bytes(r: Column) -> Column:
+        well_formed, seconds, body, mac, sealed = _parts(None, r)
+        facts = F.struct(
+            F.coalesce(well_formed, F.lit(False)).alias("ok"),
+            seconds.alias("seconds"),
+            (hmac_sha256(body, signing) == mac).alias("signed"),
+            F.try_aes_decrypt(sealed, F.lit(encryption), F.lit("CBC"), F.lit("PKCS")).alias("plain"),
+        )
+
+        def verdict(f: Column) -> Column:
+            reason = F.when(~f["ok"], F.lit("malformed"))
+            if ttl is not None:
+                reason = reason.when(f["seconds"] + ttl < now, F.lit("expired")).when(
+                    now + MAX_CLOCK_SKEW < f["seconds"], F.lit("future")
+                )
+            reason = reason.when(~f["signed"], F.lit("bad_signature")).when(f["plain"].isNull(), F.lit("bad_padding"))
+            return F.struct(
+                F.when(reason.isNull(), f["plain"]).alias("value"),
+                F.when(f["ok"], f["seconds"].cast("bigint")).alias("seconds"),
+                reason.alias("reason"),
+            )
+
+        return bind(facts, verdict)
+
+    return bind(raw if raw is not None else token_bytes(token), open_bytes)
 
 
 def token_timestamp(token: Column, key_b64: str) -> Column:
@@ -223,10 +240,14 @@ def token_rotate(token: Column, keys_b64: list[str], iv: Column | None = None) -
     key opens the token."""
 
     def reissue(raw: Column) -> Column:
-        opened = [token_decrypt(token, k, raw=raw) for k in keys_b64]
-        plain = F.coalesce(*[o["value"] for o in opened])
-        seconds = F.coalesce(*[F.when(o["value"].isNotNull(), o["seconds"]) for o in opened])
-        return F.when(plain.isNotNull(), token_encrypt(plain, keys_b64[0], seconds, iv, binary=True))
+        def pick(opened: Column) -> Column:
+            tries = [opened[i] for i in range(len(keys_b64))]
+            plain = F.coalesce(*[o["value"] for o in tries])
+            seconds = F.coalesce(*[F.when(o["value"].isNotNull(), o["seconds"]) for o in tries])
+            return F.when(plain.isNotNull(), token_encrypt(plain, keys_b64[0], seconds, iv, binary=True))
+
+        # every key's attempt is evaluated once, then read from the bound array
+        return bind(F.array(*[token_decrypt(token, k, raw=raw) for k in keys_b64]), pick)
 
     return bind(token_bytes(token), reissue)
 
