@@ -622,7 +622,8 @@ FROM (SELECT page_id, i, array_to_string(parts[1:i], '/') AS ancestor
             FROM (SELECT page_id, string_split(host || path, '/') AS parts FROM ({PAGE_PATHS}))))
 WHERE ancestor <> ''"""
     o["manifest_reconcile"] = """SELECT 'host=' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS relative_path,
-  sum(octet_length(encode(html)) + 1) AS source_size, sum(octet_length(encode(html)) + 1) AS target_size, 'ok' AS status
+  CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS source_size,
+  CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS target_size, 'ok' AS status
 FROM pages GROUP BY 1"""
     n = 4096
     o["block_digests"] = f"""SELECT doc_id, CAST(b AS INTEGER) AS block,
