@@ -9,6 +9,9 @@ All rules work on the flat, prefixed row the report joins produce:
 
 Notation: ``rep`` is the report day, ``asof = rep + 1``.  ``late(x)`` is
 ``datediff(rep, date(x))``.  ``open`` = status 7/8, ``paid`` = status 10/11.
+The day differences (``a_late``, ``due_late``, ``a_paid_late``, ...) are
+added as columns once per row (``plans.report.with_days``); the rules read
+those columns.
 
 NULL semantics follow the original SQL: ``greatest`` there returns NULL when
 any argument is NULL, while Spark's skips NULLs, so ``greatest_keep_null`` restores
@@ -94,10 +97,11 @@ class LoanRules:
 
     # ---- day differences, computed once per row ----------------------------
     def day_columns(self) -> list[tuple[str, Column]]:
-        """Day differences the rules read, in dependency order (``due_late``
-        needs ``due_ts``).  Added as columns by ``with_days`` so every
-        difference is computed once per row and the rule expressions stay
-        small (cheaper to analyse, optimise and compile)."""
+        """The due time and the day differences the rules read.  Added as
+        columns by ``with_days`` (which then adds ``due_late`` from
+        ``due_ts``), so every difference is computed once per row and the
+        rule expressions stay small (cheaper to analyse, optimise and
+        compile)."""
         paid_late = lambda p: days_between(col(p, "actualRefundTime"), col(p, "refundTime"))
         return [
             ("due_ts", self.due_ts()),
