@@ -82,8 +82,10 @@ def replace_snapshot(
     rows = report.where(F.col(REPORT_DATE_COLUMN).isin(*days))
     # Rebalance by day: AQE cuts each day into advisory-size write tasks (a
     # big day is split, small ones are merged), instead of one small file per
-    # upstream task and day.
-    rows = rows.hint("rebalance", REPORT_DATE_COLUMN)
+    # upstream task and day.  Only with AQE on: without it a rebalance by day
+    # would send a whole day to one task.
+    if str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true":
+        rows = rows.hint("rebalance", REPORT_DATE_COLUMN)
     rows.write.mode("overwrite").partitionBy(REPORT_DATE_COLUMN).parquet(staging)
     for day in days:
         target = partition_path(table_path, day)
