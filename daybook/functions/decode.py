@@ -38,12 +38,15 @@ def _group(raw: Column, pattern: str, i: int) -> Column:
 
 
 def _int(c: Column) -> Column:
-    return F.when(c != "", c.cast("bigint"))
+    # try_cast, not cast: Spark may evaluate a repeated subexpression before
+    # the guard that protects it, and an ANSI cast of bad text would fail the
+    # job instead of rejecting the row.
+    return F.when(c != "", c.try_cast("bigint"))
 
 
 def _micros(frac: Column) -> Column:
     """Fraction digits right-padded to microseconds (``'5'`` -> 500000)."""
-    return F.when(frac == "", F.lit(0)).otherwise(F.rpad(frac, 6, "0").cast("int"))
+    return F.when(frac == "", F.lit(0)).otherwise(F.rpad(frac, 6, "0").try_cast("int"))
 
 
 def _seconds(s: Column, frac: Column) -> Column:
@@ -64,7 +67,7 @@ def date_value(raw: Column) -> Column:
     (surrounding blanks allowed); invalid calendar dates are NULL."""
     parts = F.split(raw, "-", 3)
     ok = (F.size(parts) == 3) & F.forall(parts, lambda p: p.rlike(DATE_PART_TEXT))
-    y, mo, d = (F.trim(F.get(parts, i)).cast("bigint") for i in range(3))
+    y, mo, d = (F.trim(F.get(parts, i)).try_cast("bigint") for i in range(3))
     safe = ok & y.between(1, 9999) & mo.between(1, 12) & d.between(1, 31)
     return F.to_date(F.when(safe, F.try_make_timestamp_ntz(y, mo, d, F.lit(0), F.lit(0), F.lit(0))))
 
@@ -111,7 +114,7 @@ def decode_compact_timestamp(raw: Column) -> Column:
     character is ``-`` follows the datetime rule instead."""
     padded = F.rpad(raw, 14, "0")
     digits = padded.rlike(r"^[0-9]{14}$") & (F.length(raw) >= 5)
-    f = [F.substring(padded, a, n).cast("bigint") for a, n in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+    f = [F.substring(padded, a, n).try_cast("bigint") for a, n in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
     compact = F.when(digits, _timestamp(*f, F.lit(0)))
     value = F.when(F.substring(raw, 5, 1) == "-", datetime_value(raw)).otherwise(compact)
     return _result(value, raw)
@@ -125,7 +128,7 @@ def decode_set(raw: Column) -> Column:
 def decode_numeric(raw: Column, decimal_type: str = "decimal(38,10)") -> Column:
     """Integer, float and exact decimal readings of the same text.  The
     integer reading rejects a fraction (no silent rounding)."""
-    as_int = F.when(raw.rlike(INT_TEXT), F.trim(raw).cast("bigint"))
+    as_int = F.when(raw.rlike(INT_TEXT), F.trim(raw).try_cast("bigint"))  # NULL beyond 64 bits
     return F.struct(
         as_int.alias("as_int"),
         raw.try_cast("double").alias("as_float"),

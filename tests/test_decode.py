@@ -108,3 +108,22 @@ def test_encode_interval_like_timedelta(spark):
     df = spark.createDataFrame([(c,) for c in cases], "iv interval day to second")
     got = [r[0] for r in df.select(decode.encode_interval(F.col("iv"))).collect()]
     assert got == [py(c) for c in cases]
+
+
+MESSY = ["2024-02-31 00:00:07", "x-y-z", "1-2-3-4", "", "-", "--", "2024-13-01", "99999999999999999999-1-1",
+         "20240231000000", "2024xx", "12", "99999999999999999999", " 7 ", "1:2", "::", "-1:-2:-3", "٣-1-1"]
+
+
+@pytest.mark.parametrize(
+    "fn",
+    [decode.decode_date, decode.decode_datetime, decode.decode_time_interval, decode.decode_time_of_day,
+     decode.decode_compact_timestamp, decode.decode_numeric, decode.decode_set,
+     lambda c: decode.date_value(c), lambda c: decode.datetime_value(c)],
+)
+def test_decoders_never_fail_on_messy_text(spark, fn):
+    """Each decoder alone, over text that does not parse: rows are rejected,
+    the job never fails (no ANSI cast error through eager subexpressions)."""
+    df = spark.createDataFrame([(m,) for m in MESSY] + [(None,)], "raw string")
+    out = df.select(fn(F.col("raw")).alias("d"))
+    assert out.count() == len(MESSY) + 1
+    out.collect()
