@@ -59,12 +59,14 @@ class LoanRules:
     """Column builders bound to one report day, or to a per-row day column
     (``rep_col``) when many days are reported in one plan."""
 
-    def __init__(self, params: ReportParams | None = None, rep_col: Column | None = None):
+    def __init__(self, params: ReportParams | None = None, rep_col: str | None = None):
         if rep_col is not None:
-            self.rep = rep_col
-            self.asof_ts = F.date_add(rep_col, 1).cast("timestamp_ntz")
+            self.key = ("column", rep_col)
+            self.rep = F.col(rep_col)
+            self.asof_ts = F.date_add(self.rep, 1).cast("timestamp_ntz")
         else:
             params = params or ReportParams()
+            self.key = ("day", params.rep)
             self.rep = F.lit(params.rep)
             self.asof_ts = F.lit(params.asof).cast("timestamp_ntz")
 

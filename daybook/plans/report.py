@@ -23,6 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.cache import cached
 from daybook.functions.loan import LoanRules
 from daybook.operators import joins
 from daybook.operators.filters import filter_base
@@ -77,7 +78,8 @@ def candidate_rows(t: LoanTables) -> DataFrame:
 
 
 def admitted_rows(t: LoanTables, params: ReportParams) -> DataFrame:
-    return candidate_rows(t).where(LoanRules(params).population())
+    rules = LoanRules(params)
+    return candidate_rows(t).where(cached(("population", rules.key), rules.population))
 
 
 def joined_rows(t: LoanTables, params: ReportParams) -> DataFrame:
@@ -90,12 +92,16 @@ def joined_rows(t: LoanTables, params: ReportParams) -> DataFrame:
 def with_days(rows: DataFrame, rules: LoanRules) -> DataFrame:
     """Add the type-3 due time and the day differences the rules read (two
     projections: ``due_late`` reads ``due_ts``)."""
-    cols = rules.day_columns()
+    cols = cached(("day_columns", rules.key), lambda: rules.day_columns() + [("due_late", rules.late(F.col("due_ts")))])
     rows = rows.withColumn(cols[0][0], cols[0][1])
-    return rows.withColumns(dict(cols[1:])).withColumn("due_late", rules.late(F.col("due_ts")))
+    return rows.withColumns(dict(cols[1:-1])).withColumn(cols[-1][0], cols[-1][1])
 
 
 def report_columns(rules: LoanRules, params: ReportParams) -> list:
+    return cached(("report_columns", rules.key, params), lambda: _report_columns(rules, params))
+
+
+def _report_columns(rules: LoanRules, params: ReportParams) -> list:
     return [
         F.lit(None).cast("bigint").alias("id"),
         F.lit(params.provider_id).cast("int").alias("id_penyelenggara"),
@@ -140,9 +146,9 @@ def build_report_days(t: LoanTables, first_rep: dt.date, last_rep: dt.date, para
     reports, at the cost of one join pipeline instead of one per day."""
     params = params or ReportParams()
     days = [first_rep + dt.timedelta(days=i) for i in range((last_rep - first_rep).days + 1)]
-    rules = LoanRules(rep_col=F.col(REP_DAY))
+    rules = LoanRules(rep_col=REP_DAY)
     rows = candidate_rows(t).withColumn(REP_DAY, F.explode(F.array(*[F.lit(d) for d in days])))
-    rows = rows.where(rules.population())
+    rows = rows.where(cached(("population", rules.key), rules.population))
     rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history))
     rows = with_days(joins.join_borrower(rows, t.user), rules)
     return rows.select(*report_columns(rules, params))

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.cache import cached
 from daybook.params import AMOUNT_TYPE
 from daybook.sources.tables import read_table
 
@@ -61,6 +62,10 @@ def _plus_days(ts: Column, days: Column) -> Column:
 
 
 def order_model(orders: DataFrame, asof: dt.date = MODEL_ASOF) -> DataFrame:
+    return orders.select(*cached(("order_model", asof), lambda: _order_columns(asof)))
+
+
+def _order_columns(asof: dt.date) -> list[Column]:
     k = F.col("o_orderkey")
     otype = _lookup(F.floor(k / 6) % 4, TYPE_BY_K_DIV_6_MOD_4)
     lending = _day(asof, k % 181)
@@ -74,7 +79,7 @@ def order_model(orders: DataFrame, asof: dt.date = MODEL_ASOF) -> DataFrame:
         .when(otype == 3, _day(asof, 1 + k % 2))
         .otherwise(_plus_days(lending, 30 + k % 130 - 10))
     )
-    return orders.select(
+    return [
         k.alias("uuid"),
         F.col("o_custkey").alias("userUuid"),
         F.when(k % 97 == 0, 1).otherwise(0).cast("int").alias("disabled"),
@@ -85,7 +90,7 @@ def order_model(orders: DataFrame, asof: dt.date = MODEL_ASOF) -> DataFrame:
         refund.alias("refundTime"),
         actual.alias("actualRefundTime"),
         _day(asof, F.floor(k / 7) % 3).alias("updateTime"),
-    )
+    ]
 
 
 def user_model(customer: DataFrame) -> DataFrame:
@@ -99,36 +104,44 @@ def user_model(customer: DataFrame) -> DataFrame:
 
 
 def history_model(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
+    return lineitem.select(*cached(("history_model",), _history_columns))
+
+
+def _history_columns() -> list[Column]:
+    return [
         F.col("l_orderkey").alias("orderId"),
         F.when(F.col("l_returnflag") == "N", 20).otherwise(10).cast("int").alias("status"),
         F.when(F.col("l_linenumber") % 5 == 0, 1).otherwise(0).cast("int").alias("disabled"),
         F.col("l_shipdate").alias("updateTime"),
         _plus_days(F.col("l_shipdate"), F.lit(1)).alias("statusChangeTime"),
-    )
+    ]
 
 
 def bill_model(orders: DataFrame, asof: dt.date = MODEL_ASOF) -> DataFrame:
     """Three bills per order, as a union of one projection per term: a filter
     on ``billTerm`` prunes the other branches at planning time, as a term
     filter would be pushed into the scan of a real bill table."""
-    k = F.col("o_orderkey")
     out = None
     for term in (1, 2, 3):
-        t = F.lit(term)
-        refund = _plus_days(_day(asof, k % 181), 30 * t)
-        actual = F.when((k % 6).isin(2, 3, 4) | (k % 5 >= t), _plus_days(refund, k % 37 - 5))
-        part = orders.select(
-            k.alias("orderNo"),
-            t.cast("int").alias("billTerm"),
-            refund.alias("refundTime"),
-            actual.alias("actualRefundTime"),
-            (F.col("o_totalprice") / 3).cast(AMOUNT_TYPE).alias("billAmout"),
-        )
+        part = orders.select(*cached(("bill_model", asof, term), lambda: _bill_columns(asof, term)))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _bill_columns(asof: dt.date, term: int) -> list[Column]:
+    k = F.col("o_orderkey")
+    t = F.lit(term)
+    refund = _plus_days(_day(asof, k % 181), 30 * t)
+    actual = F.when((k % 6).isin(2, 3, 4) | (k % 5 >= t), _plus_days(refund, k % 37 - 5))
+    return [
+        k.alias("orderNo"),
+        t.cast("int").alias("billTerm"),
+        refund.alias("refundTime"),
+        actual.alias("actualRefundTime"),
+        (F.col("o_totalprice") / 3).cast(AMOUNT_TYPE).alias("billAmout"),
+    ]
+
+
 def delay_model(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     return orders.where(F.floor(k / 6) % 4 == 1).select(
