@@ -22,7 +22,7 @@ DATETIME_PATTERN = (
 INTERVAL_PATTERN = r"^(-)?([0-9]{1,3}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
 TIME_OF_DAY_PATTERN = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-DATE_PART_TEXT = r"^\s*\+?[0-9]+\s*$"
+DATE_TEXT = r"^\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*$"
 UTF8_CHARSETS = ("utf8", "utf8mb3", "utf8mb4", "utf-8")
 LATIN1_CHARSETS = ("latin1", "iso-8859-1")
 ASCII_CHARSETS = ("ascii", "us-ascii")
@@ -64,11 +64,12 @@ def _timestamp(y, mo, d, h, mi, s, us) -> Column:
 
 def date_value(raw: Column) -> Column:
     """``y-m-d`` split on the first two ``-``, each part an unsigned integer
-    (surrounding blanks allowed); invalid calendar dates are NULL."""
+    (surrounding blanks allowed); invalid calendar dates are NULL.  (Three
+    integer parts split on the first two ``-`` is exactly one anchored
+    pattern, checked once per row.)"""
     parts = F.split(raw, "-", 3)
-    ok = (F.size(parts) == 3) & F.forall(parts, lambda p: p.rlike(DATE_PART_TEXT))
     y, mo, d = (F.trim(F.get(parts, i)).try_cast("bigint") for i in range(3))
-    safe = ok & y.between(1, 9999) & mo.between(1, 12) & d.between(1, 31)
+    safe = raw.rlike(DATE_TEXT) & y.between(1, 9999) & mo.between(1, 12) & d.between(1, 31)
     return F.to_date(F.when(safe, F.try_make_timestamp_ntz(y, mo, d, F.lit(0), F.lit(0), F.lit(0))))
 
 
