@@ -17,9 +17,15 @@ T = TypeVar("T")
 _CACHE: dict[tuple, object] = {}
 
 
-def cached(key: Hashable, build: Callable[[], T]) -> T:
+def _context_key() -> tuple | None:
     sc = SparkContext._active_spark_context
-    k = (id(sc._jsc) if sc is not None else None, key)
+    # application id and start time identify a context for good (an object id
+    # could be reused after a context is stopped)
+    return None if sc is None else (sc.applicationId, sc.startTime)
+
+
+def cached(key: Hashable, build: Callable[[], T]) -> T:
+    k = (_context_key(), key)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]  # type: ignore[return-value]
