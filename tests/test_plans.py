@@ -47,3 +47,27 @@ def test_config_lookup_collapses_copies(spark):
     )
     got = {r["group"]: dict(r["attributes"]) for r in config_lookup(long).collect()}
     assert got == {"g": {"a": "2", "b": "x"}, "h": {"a": "y"}}
+
+
+def test_filters_reach_the_scans_of_stored_tables(spark):
+    """With the operational tables stored as parquet (as in a deployment),
+    the report's base filters are pushed into the scans."""
+    import dataclasses
+
+    from daybook.session import scratch_path
+
+    t = loan_tables(spark, SF001)
+    stored = {}
+    for name in ("order", "user", "history", "bill"):
+        path = scratch_path(spark, f"t-{name}")
+        getattr(t, name).write.parquet(path)
+        stored[name] = spark.read.parquet(path)
+    t = dataclasses.replace(t, **stored)
+    plan = build_report(t, ReportParams())._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.split("\n") if "PushedFilters" in line]
+    text = " ".join(pushed)
+    assert "EqualTo(disabled,0)" in text  # enabled orders / borrowers
+    assert "In(status, [10,11,7,8])" in text  # reported statuses
+    assert "In(orderType, [0,2,3])" in text  # reported types
+    assert "EqualTo(billTerm,3)" in text and "EqualTo(billTerm,1)" in text  # one term per bill join
+    assert "EqualTo(status,20)" in text  # agreement history rows
