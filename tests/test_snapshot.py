@@ -96,3 +96,20 @@ def test_counter_upsert_and_read(spark):
     days = spark.createDataFrame([(day(n),) for n in range(1, 6)], "tgl_pelaporan_data date")
     read = {r[0]: r[1] for r in counter_read(days, counter_upsert(state, inc)).collect()}
     assert read == {day(1): "10", day(2): "100", day(3): "01", day(4): "01", day(5): "00"}
+
+
+def test_report_day_is_yesterday_in_business_zone(spark):
+    """A run at 16:59:59 UTC is still the same day in UTC+7; at 17:00 it is
+    the next day there, so the report day moves with it."""
+    import datetime as dt
+
+    from daybook.functions.dates import report_day_of
+
+    cases = [
+        (dt.datetime(2020, 6, 15, 16, 59, 59), dt.date(2020, 6, 14)),
+        (dt.datetime(2020, 6, 15, 17, 0, 0), dt.date(2020, 6, 15)),
+        (dt.datetime(2020, 6, 15, 0, 0, 0), dt.date(2020, 6, 14)),
+        (dt.datetime(2020, 12, 31, 23, 30, 0), dt.date(2020, 12, 31)),
+    ]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "ts timestamp_ntz")
+    assert [r[0] for r in df.select(report_day_of(F.col("ts"))).collect()] == [d for _, d in cases]
