@@ -15,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted shapes of temporal text.
-DATETIME_PATTERN = (
-    r"^([0-9]{1,4})-([0-9]{1,2})-([0-9]{1,2})[T ]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
-)
-INTERVAL_PATTERN = r"^(-)?([0-9]{1,3}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
-TIME_OF_DAY_PATTERN = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
+# Accepted shapes of temporal text, as the client library
+# states them, plus a leading ``^`` (it matches at the start of the text;
+# ``rlike`` / ``regexp_extract`` search).  ``\d`` is an ASCII digit here.
+DATETIME_PATTERN = r"^(\d{1,4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{1,2}):(\d{1,2})(?:.(\d{1,6}))?"
+INTERVAL_PATTERN = r"^(-)?(\d{1,3}):(\d{1,2}):(\d{1,2})(?:.(\d{1,6}))?"
+TIME_OF_DAY_PATTERN = r"^(\d{1,2}):(\d{1,2}):(\d{1,2})(?:.(\d{1,6}))?"
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 DATE_TEXT = r"^\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*$"
 UTF8_CHARSETS = ("utf8", "utf8mb3", "utf8mb4", "utf-8")

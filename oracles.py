@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from daybook.functions.decode import DATETIME_PATTERN, INTERVAL_PATTERN, TIME_OF_DAY_PATTERN
 from daybook.params import ReportParams
 from daybook.sources.loan_model import MODEL_ASOF, oracle_model_ctes
 
@@ -413,9 +414,8 @@ SELECT 'Terlampir hasil output dari folder out sftp pusdafil.<br /><br />'
 
 
 # ---- I. typed decoding ------------------------------------------------------
-DT_P = r"^([0-9]{1,4})-([0-9]{1,2})-([0-9]{1,2})[T ]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
-IV_P = r"^(-)?([0-9]{1,3}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
-TOD_P = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})(?:.([0-9]{1,6}))?"
+# the accepted text shapes are fixed values of the specification, shared
+DT_P, IV_P, TOD_P = DATETIME_PATTERN, INTERVAL_PATTERN, TIME_OF_DAY_PATTERN
 
 
 def _g(raw: str, pattern: str, i: int) -> str:
