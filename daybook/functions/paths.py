@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.protect import digest_hex
 
+# Path separator; smallest digest block (0 means whole range).
 SEP = "/"
 MIN_BLOCK = 256
 

@@ -21,6 +21,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Supported digests, the HMAC block size, and the signed-token
+# layout (version byte, allowed clock skew in seconds, MAC length).
 DIGESTS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 HMAC_BLOCK = 64
 TOKEN_VERSION = b"\x80"

@@ -25,7 +25,8 @@ from daybook.functions.text import LINE_END, csv_line, ymd, zfill
 from daybook.operators.filters import REPORT_DATE_COLUMN, filter_report_day
 from daybook.plans.report import REPORT_COLUMNS
 
-# The 17 exported columns: the report without ``id`` and ``tgl_update``.
+# The 17 exported columns (the report without ``id`` and
+# ``tgl_update``), the dates rendered as yyyyMMdd, the file name tag.
 EXPORT_COLUMNS = tuple(c for c in REPORT_COLUMNS if c not in ("id", "tgl_update"))
 EXPORT_DATE_COLUMNS = (
     "tgl_perjanjian_borrower",
