@@ -8,6 +8,7 @@
   ``orderBy + offset + limit`` as a per-task top-(offset + size) followed by a
   merge, so memory is bounded by the page end, not by the table.  ``Pager``
   keeps a cursor position on the driver (the position only, never rows).
+  ``page_after`` pages by key instead (bounded by the page size alone).
 * ``dedupe_columns``: after a join, a repeated column name keeps its name for
   the first column; later ones become ``table.name`` and further clashes are
   numbered.
@@ -19,6 +20,7 @@ import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PLACEHOLDER = re.compile(r"%(?:\((\w+)\))?([s%])")
 
@@ -65,6 +67,17 @@ def page(df: DataFrame, order: Sequence[str | Column], offset: int, size: int) -
     return df.orderBy(*order).offset(offset).limit(size)
 
 
+def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
+    """Keyset paging: the ``size`` rows after key value ``last`` (None for the
+    first page) in ascending order of a unique ``key``.  Memory per task is
+    bounded by ``size`` however deep the page, and the key filter can be
+    pushed into the scan; ``page`` (offset based) keeps offset + size rows."""
+    if size < 0:
+        raise ValueError("size must be >= 0")
+    rows = df if last is None else df.where(F.col(key) > F.lit(last))
+    return rows.orderBy(key).limit(size)
+
+
 class Pager:
     """fetchone / fetchmany / scroll over an ordered DataFrame.  Only the
     position lives on the driver; each fetch runs one bounded query."""
