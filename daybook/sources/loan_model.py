@@ -150,6 +150,24 @@ def delay_model(orders: DataFrame) -> DataFrame:
     )
 
 
+OPERATIONAL_TABLES = ("ordOrder", "usrUser", "ordHistory", "ordBill", "ordDelayRecord")
+
+
+def read_loan_tables(spark: SparkSession, tables_dir: str) -> LoanTables:
+    """The operational tables stored as parquet folders
+    ``<tables_dir>/<ordOrder|usrUser|ordHistory|ordBill|ordDelayRecord>``
+    (for example exported from the operational database)."""
+    r = lambda name: spark.read.parquet(f"{tables_dir.rstrip('/')}/{name}")
+    return LoanTables(
+        order=r("ordOrder"), user=r("usrUser"), history=r("ordHistory"), bill=r("ordBill"), delay=r("ordDelayRecord")
+    )
+
+
+def write_loan_tables(t: LoanTables, tables_dir: str) -> None:
+    for name, df in zip(OPERATIONAL_TABLES, (t.order, t.user, t.history, t.bill, t.delay)):
+        df.write.mode("overwrite").parquet(f"{tables_dir.rstrip('/')}/{name}")
+
+
 def loan_tables(spark: SparkSession, base_dir: str, asof: dt.date = MODEL_ASOF) -> LoanTables:
     orders = read_table(spark, base_dir, "orders")
     return LoanTables(

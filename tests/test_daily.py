@@ -73,3 +73,27 @@ def test_send_with_empty_report_writes_empty_file(spark):
     os.makedirs(local_dir(results), exist_ok=True)
     message = daily.check(spark, P, snap, counter, results).message.first()["message"]
     assert "<th>count</th></tr></table>" in message  # no day rows, no files: empty sections
+
+
+def test_command_line_send_and_check(spark, capsys):
+    """The jobs as a user runs them: operational tables stored as parquet."""
+    import json
+
+    from daybook.__main__ import main
+
+    tables, snap, counter, export_dir, results = (
+        scratch_path(spark, n) for n in ("t-tables", "t-snap", "t-counter", "t-export", "t-results")
+    )
+    assert main(["model", "--from-testdata", SF001, "--tables", tables]) == 0
+    capsys.readouterr()
+    assert main(["send", "--tables", tables, "--snapshot", snap, "--counter", counter, "--export-dir", export_dir,
+                 "--asof", "2020-06-16"]) == 0
+    sent = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert sent["export_name"] == "82005320200615SIK01"
+    n_lines = open(local_dir(sent["export_file"]), "rb").read().count(b"\r\n")
+    assert n_lines == build_report(loan_tables(spark, SF001), P).count()
+    os.makedirs(local_dir(results), exist_ok=True)
+    assert main(["check", "--snapshot", snap, "--counter", counter, "--results", results, "--asof", "2020-06-16"]) == 0
+    checked = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert f"<tr><td>2020-06-15</td> <td>{n_lines}</td></tr>" in checked["message"]
+    assert checked["attachments"] == []
