@@ -18,7 +18,7 @@ _CACHE: dict[tuple, object] = {}
 
 
 def _context_key() -> tuple | None:
-    sc = SparkContext._active_spark_context
+    sc = SparkContext._active_spark_context  # None for a remote (Connect) session
     # application id and start time identify a context for good (an object id
     # could be reused after a context is stopped)
     return None if sc is None else (sc.applicationId, sc.startTime)

@@ -27,7 +27,10 @@ _DEFAULTS = {
 
 
 def _explicit_keys(spark: SparkSession) -> set[str]:
-    return {k for k, _ in spark.sparkContext.getConf().getAll()}
+    try:
+        return {k for k, _ in spark.sparkContext.getConf().getAll()}
+    except Exception:  # a remote (Connect) session has no local context
+        return set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
