@@ -28,3 +28,17 @@ def test_inventory_and_reconcile(spark):
     assert rec == {"a.txt": "ok", "d/b.txt": "size_mismatch", "d/e/c.txt": "ok", "d/gone.txt": "missing", "new.txt": "extra"}
     only_txt = file_inventory(spark, src, glob="b.*")
     assert [r.relative_path for r in only_txt.collect()] == ["d/b.txt"]
+
+
+def test_reconcile_with_mtime(spark):
+    src, dst = scratch_path(spark, "t-src"), scratch_path(spark, "t-dst")
+    _tree(local_dir(src), {"a.txt": b"abc", "b.txt": b"xyz"})
+    _tree(local_dir(dst), {"a.txt": b"abc", "b.txt": b"xyz"})
+    os.utime(os.path.join(local_dir(src), "a.txt"), (1_600_000_000, 1_600_000_000))
+    os.utime(os.path.join(local_dir(dst), "a.txt"), (1_600_000_000, 1_600_000_000))
+    os.utime(os.path.join(local_dir(dst), "b.txt"), (1_600_000_100, 1_600_000_100))
+    os.utime(os.path.join(local_dir(src), "b.txt"), (1_600_000_000, 1_600_000_000))
+    rec = manifest_reconcile(file_inventory(spark, src), file_inventory(spark, dst), check_mtime=True)
+    assert {r.relative_path: r.status for r in rec.collect()} == {"a.txt": "ok", "b.txt": "mtime_mismatch"}
+    plain = manifest_reconcile(file_inventory(spark, src), file_inventory(spark, dst))
+    assert {r.relative_path: r.status for r in plain.collect()} == {"a.txt": "ok", "b.txt": "ok"}
