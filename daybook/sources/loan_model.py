@@ -142,9 +142,11 @@ def _bill_columns(asof: dt.date, term: int) -> list[Column]:
     ]
 
 
-def delay_model(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    return orders.where(F.floor(k / 6) % 4 == 1).select(
+def delay_model(order: DataFrame) -> DataFrame:
+    """One delay record per extended order (type 2), pointing at its
+    follow-up order (always a type-1 order; it may lie past the last key)."""
+    k = F.col("uuid")
+    return order.where(F.col("orderType") == 2).select(
         k.alias("orderNo"),
         (k - k % 6 + 12 + F.floor(k / 24) % 6).alias("delayOrderNo"),
     )
@@ -170,12 +172,13 @@ def write_loan_tables(t: LoanTables, tables_dir: str) -> None:
 
 def loan_tables(spark: SparkSession, base_dir: str, asof: dt.date = MODEL_ASOF) -> LoanTables:
     orders = read_table(spark, base_dir, "orders")
+    order = order_model(orders, asof)
     return LoanTables(
-        order=order_model(orders, asof),
+        order=order,
         user=user_model(read_table(spark, base_dir, "customer")),
         history=history_model(read_table(spark, base_dir, "lineitem")),
         bill=bill_model(orders, asof),
-        delay=delay_model(orders),
+        delay=delay_model(order),
     )
 
 
@@ -216,8 +219,8 @@ ordBill AS (
          CAST(o_totalprice / 3 AS DECIMAL(18,2)) AS billAmout
   FROM orders CROSS JOIN (VALUES (1), (2), (3)) AS terms(t)),
 ordDelayRecord AS (
-  SELECT o_orderkey AS orderNo, o_orderkey - o_orderkey % 6 + 12 + (o_orderkey // 24) % 6 AS delayOrderNo
-  FROM orders WHERE (o_orderkey // 6) % 4 = 1)
+  SELECT uuid AS orderNo, uuid - uuid % 6 + 12 + (uuid // 24) % 6 AS delayOrderNo
+  FROM ordOrder WHERE orderType = 2)
 """
 
 
