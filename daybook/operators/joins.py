@@ -37,28 +37,41 @@ def latest_agreement_max(history: DataFrame) -> DataFrame:
 
 
 def latest_agreement_rows(history: DataFrame) -> DataFrame:
-    """Agreement rows whose ``updateTime`` equals that maximum.
+    """Agreement rows whose ``updateTime`` equals that maximum, as distinct
+    (order, statusChangeTime) rows with their number of copies.
 
     The original is a correlated scalar subquery inside ``ON``; Spark rejects
     that form, so the maximum is pre-aggregated and joined back on
-    (order, time).  All status-20 rows on the maximum time are kept (ties and
+    (order, time).  All status-20 rows on the maximum time count (ties and
     disabled rows sharing the time fan out, as in the original).  Joining on
-    both keys spreads a hot order's rows over partitions by time."""
+    both keys spreads a hot order's rows over partitions by time, and the
+    final count collapses identical copies before they reach the report join
+    (``c_copies``; the report repeats its row that many times at the end)."""
     agreement = history.where(F.col("status") == AGREEMENT_HISTORY_STATUS).select(
         "orderId", "updateTime", "statusChangeTime"
     )
     latest = latest_agreement_max(history)
-    return agreement.join(
+    rows = agreement.join(
         latest,
         (agreement.orderId == latest.orderId) & (agreement.updateTime == latest.maxUpdateTime),
         "inner",
-    ).select(agreement.orderId.alias("c_orderId"), agreement.statusChangeTime.alias("c_statusChangeTime"))
+    )
+    return rows.groupBy(
+        agreement.orderId.alias("c_orderId"), agreement.statusChangeTime.alias("c_statusChangeTime")
+    ).agg(F.count(F.lit(1)).alias("c_copies"))
 
 
 def join_latest_history(rows: DataFrame, latest: DataFrame) -> DataFrame:
     return rows.join(latest, rows.a_uuid == latest.c_orderId, "left")
 
 
+def expand_copies(rows: DataFrame) -> DataFrame:
+    """Repeat each row by its history copies (1 without a history match):
+    the fan-out of identical agreement rows, restored after the joins."""
+    n = F.coalesce(F.col("c_copies"), F.lit(1)).cast("int")
+    return rows.withColumn("c_copy", F.explode(F.array_repeat(F.lit(0), n))).drop("c_copy", "c_copies")
+
+
 # ---- bills -----------------------------------------------------------------
 BILL_COLUMNS = ("orderNo", "refundTime", "actualRefundTime", "billAmout")
 

@@ -245,7 +245,7 @@ def q_join_borrower(spark, sf):
 def q_join_latest_history(spark, sf):
     t = _t(spark, sf)
     rows = joins.join_latest_history(reported_orders(t.order), joins.latest_agreement_rows(t.history))
-    return rows.select("a_uuid", "c_statusChangeTime")
+    return joins.expand_copies(rows).select("a_uuid", "c_statusChangeTime")
 
 
 def q_join_bills(spark, sf):

@@ -77,3 +77,18 @@ def test_bills_only_join_instalment_orders(spark):
     t = tables(spark, [order(1, otype=0)], USERS, [], bills, [])
     (row,) = build_report(t, P).collect()
     assert row["sisa_pinjaman_berjalan"] == AMT  # open normal loan: whole amount, bills ignored
+
+
+def test_copies_of_history_rows_are_collapsed_before_the_join(spark):
+    """A group of identical agreement rows (here 1,000 copies) crosses the
+    report join as one distinct row with its count, and the report still
+    repeats the loan once per copy."""
+    from daybook.operators.joins import latest_agreement_rows
+
+    hist = [(1, 20, 0, D(30), D(29))] * 1000 + [(1, 20, 0, D(31), D(30)), (3, 20, 0, D(30), D(29))]
+    orders = [order(1), order(3)]
+    t = tables(spark, orders, USERS, hist, [], [])
+    latest = {(r.c_orderId, r.c_copies) for r in latest_agreement_rows(t.history).collect()}
+    assert latest == {(1, 1000), (3, 1)}
+    got = [r["id_pinjaman"] for r in build_report(t, P).collect()]
+    assert sorted(got) == [1] * 1000 + [3]
