@@ -65,11 +65,18 @@ def join_latest_history(rows: DataFrame, latest: DataFrame) -> DataFrame:
     return rows.join(latest, rows.a_uuid == latest.c_orderId, "left")
 
 
+COPY_COLUMNS = ("c_copies", "e_copies")
+
+
 def expand_copies(rows: DataFrame) -> DataFrame:
-    """Repeat each row by its history copies (1 without a history match):
-    the fan-out of identical agreement rows, restored after the joins."""
-    n = F.coalesce(F.col("c_copies"), F.lit(1)).cast("int")
-    return rows.withColumn("c_copy", F.explode(F.array_repeat(F.lit(0), n))).drop("c_copy", "c_copies")
+    """Repeat each row by the copies of its history and delay-record matches
+    (1 without a match): the fan-out of identical rows, restored after the
+    joins.  Copies of two joined sides multiply, as the joins would."""
+    present = [c for c in COPY_COLUMNS if c in rows.columns]
+    n = F.lit(1)
+    for c in present:
+        n = n * F.coalesce(F.col(c), F.lit(1))
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int")))).drop("_copy", *present)
 
 
 # ---- bills -----------------------------------------------------------------
@@ -105,7 +112,11 @@ def extension_leg(delay: DataFrame, order: DataFrame) -> DataFrame:
     shuffled by the follow-up key: ``a ⟕ e ⟕ f  ==  a ⟕ (e ⟕ f)`` because the
     second condition references only ``e`` and ``f``."""
     f = prefixed(order, "f", FOLLOW_UP_COLUMNS)
-    e = delay.select(F.col("orderNo").alias("e_orderNo"), F.col("delayOrderNo").alias("e_delayOrderNo"))
+    # identical delay records are counted (partially, before the shuffle) and
+    # travel as one row with ``e_copies``; the report repeats them at the end
+    e = delay.groupBy(F.col("orderNo").alias("e_orderNo"), F.col("delayOrderNo").alias("e_delayOrderNo")).agg(
+        F.count(F.lit(1)).alias("e_copies")
+    )
     return e.join(f, e.e_delayOrderNo == f.f_uuid, "left").drop("e_delayOrderNo", "f_uuid")
 
 

@@ -221,7 +221,8 @@ def q_filter_base(spark, sf):
 
 
 def q_filter_population(spark, sf):
-    return admitted_rows(_t(spark, sf), P).select("a_uuid", "a_status", "a_orderType", "f_status")
+    rows = joins.expand_copies(admitted_rows(_t(spark, sf), P))
+    return rows.select("a_uuid", "a_status", "a_orderType", "f_status")
 
 
 def q_filter_report_day(spark, sf):
@@ -262,7 +263,9 @@ def q_join_bills(spark, sf):
 def q_join_extension(spark, sf):
     t = _t(spark, sf)
     rows = joins.join_extension(reported_orders(t.order), joins.extension_leg(t.delay, t.order))
-    return comparable(rows.select("a_uuid", "f_status", "f_amountApply", "f_refundTime", "f_actualRefundTime"))
+    return comparable(
+        joins.expand_copies(rows).select("a_uuid", "f_status", "f_amountApply", "f_refundTime", "f_actualRefundTime")
+    )
 
 
 # ---- F. aggregation -------------------------------------------------------------------

@@ -92,3 +92,16 @@ def test_copies_of_history_rows_are_collapsed_before_the_join(spark):
     assert latest == {(1, 1000), (3, 1)}
     got = [r["id_pinjaman"] for r in build_report(t, P).collect()]
     assert sorted(got) == [1] * 1000 + [3]
+
+
+def test_copies_of_delay_records_multiply_with_history_copies(spark):
+    from daybook.operators.joins import extension_leg
+
+    orders = [order(4, status=10, otype=2, refund=50, actual=D(45)), order(10, refund=2)]
+    hist = [(4, 20, 0, D(30), D(29))] * 3
+    delays = [(4, 10)] * 500
+    t = tables(spark, orders, USERS, hist, [], delays)
+    leg = extension_leg(t.delay, t.order).collect()
+    assert [(r.e_orderNo, r.e_copies) for r in leg] == [(4, 500)]
+    got = [r["id_pinjaman"] for r in build_report(t, P).collect()]
+    assert sorted(got) == [4] * 1500 + [10]
