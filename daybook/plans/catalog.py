@@ -283,23 +283,22 @@ def q_order_by_ordinal(spark, sf):
     return comparable(daily_counts_sql(spark, view, WINDOW_FIRST, REP))
 
 
-def _stat_docs(rep_rows: DataFrame) -> DataFrame:
-    """The statistic document of a report day: a JSON array of one object with
-    the row count per loan status (keys in status order)."""
-    per_status = rep_rows.groupBy("status_pinjaman").agg(F.count(F.lit(1)).cast("string").alias("n"))
+def _stat_docs(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Statistic documents (one per ``by`` group, or one in all): a JSON array
+    of one object with the row count per loan status, keys in status order.
+    Each document folds at most one entry per status."""
+    per_status = rows.groupBy(*by, "status_pinjaman").agg(F.count(F.lit(1)).cast("string").alias("n"))
     entries = F.array_sort(F.collect_list(F.struct(F.col("status_pinjaman"), F.col("n"))))
-    return per_status.agg(F.to_json(F.array(F.map_from_entries(entries))).alias("doc"))
+    return per_status.groupBy(*by).agg(F.to_json(F.array(F.map_from_entries(entries))).alias("doc"))
 
 
 def q_read_stat_json(spark, sf):
     """Statistic documents: per report day of the history, plus every event's
     ``props`` read as a document (objects, not arrays: read as empty)."""
     tune(spark)
-    hist = _history(spark, sf)
-    per_day = hist.groupBy(REPORT_DATE_COLUMN, "status_pinjaman").agg(F.count(F.lit(1)).cast("string").alias("n"))
-    docs = per_day.groupBy(REPORT_DATE_COLUMN).agg(
-        F.to_json(F.array(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status_pinjaman", "n")))))).alias("doc")
-    ).select(F.date_format(REPORT_DATE_COLUMN, "yyyy-MM-dd").alias("doc_id"), "doc")
+    docs = _stat_docs(_history(spark, sf), (REPORT_DATE_COLUMN,)).select(
+        F.date_format(REPORT_DATE_COLUMN, "yyyy-MM-dd").alias("doc_id"), "doc"
+    )
     ev = read_table(spark, sf, "events").select(F.col("event_id").cast("string").alias("doc_id"), F.col("props").alias("doc"))
     return partner.stat_pairs(docs.unionByName(ev), "doc", key_cols=("doc_id",))
 
