@@ -606,8 +606,14 @@ def _written_pages(spark: SparkSession, sf: str) -> str:
 
 
 def q_file_inventory(spark, sf):
-    tune(spark)
-    return manifest.file_inventory(spark, _written_pages(spark, sf), glob="*.txt")
+    """The export folder after a daily send: the named export file and its
+    size (the modification time is left out: it differs per run)."""
+    from daybook.plans import daily
+
+    t = _t(spark, sf)
+    paths = {n: scratch_path(spark, n) for n in ("inv-snapshot", "inv-counter", "inv-export")}
+    daily.send(spark, t, P, paths["inv-snapshot"], paths["inv-counter"], paths["inv-export"])
+    return manifest.file_inventory(spark, paths["inv-export"]).select("relative_path", "size")
 
 
 def q_manifest_reconcile(spark, sf):

@@ -625,6 +625,10 @@ WHERE ancestor <> ''"""
   CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS source_size,
   CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS target_size, 'ok' AS status
 FROM pages GROUP BY 1"""
+    o["file_inventory"] = (
+        f"SELECT '{P.partner}{REP.strftime('%Y%m%d')}SIK01.csv' AS relative_path, "
+        f"CAST(sum(octet_length(encode(line)) + 2) AS BIGINT) AS size FROM ({export_lines_sql()})"
+    )
     n = 4096
     o["block_digests"] = f"""SELECT doc_id, CAST(b AS INTEGER) AS block,
   sha1(from_hex(substring(h, b * {2 * n} + 1, {2 * n}))) AS digest
