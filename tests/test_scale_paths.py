@@ -60,3 +60,22 @@ def test_hot_borrower_is_split_by_aqe(no_broadcast):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == expected
     assert "skew=true" in plan, plan[:2000]
+
+
+def test_bucketed_tables_join_without_shuffling_orders_or_bills(no_broadcast, duck001):
+    """Operational tables stored bucketed by order id: the order side and
+    the three bill joins read matching buckets side by side (no exchange)."""
+    import uuid
+
+    from daybook.session import scratch_path
+    from daybook.sources.loan_model import read_catalog_loan_tables, write_bucketed_loan_tables
+
+    spark = no_broadcast
+    names = write_bucketed_loan_tables(
+        loan_tables(spark, SF001), scratch_path(spark, "t-bucketed"), 8, prefix=f"t{uuid.uuid4().hex[:8]}_"
+    )
+    df = build_report(read_catalog_loan_tables(spark, names), ReportParams())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(a_uuid" not in plan
+    assert not any(f"Exchange hashpartitioning({p}_orderNo" in plan for p in ("d", "d1", "d2"))
+    assert_same(comparable(df), duck001, oracles.report_sql())
