@@ -36,7 +36,7 @@ def latest_agreement_max(history: DataFrame) -> DataFrame:
     )
 
 
-def latest_agreement_rows(history: DataFrame) -> DataFrame:
+def latest_agreement_rows(history: DataFrame, co_located: bool = False) -> DataFrame:
     """Agreement rows whose ``updateTime`` equals that maximum, as distinct
     (order, statusChangeTime) rows with their number of copies.
 
@@ -46,16 +46,23 @@ def latest_agreement_rows(history: DataFrame) -> DataFrame:
     disabled rows sharing the time fan out, as in the original).  Joining on
     both keys spreads a hot order's rows over partitions by time, and the
     final count collapses identical copies before they reach the report join
-    (``c_copies``; the report repeats its row that many times at the end)."""
+    (``c_copies``; the report repeats its row that many times at the end).
+
+    ``co_located``: the history is stored bucketed by order id.  The
+    join-back then keys on the order id alone (the time equality becomes a
+    non-key condition), so it, the copy count and the report join all reuse
+    the bucket partitioning and the history is never shuffled."""
     agreement = history.where(F.col("status") == AGREEMENT_HISTORY_STATUS).select(
         "orderId", "updateTime", "statusChangeTime"
     )
     latest = latest_agreement_max(history)
-    rows = agreement.join(
-        latest,
-        (agreement.orderId == latest.orderId) & (agreement.updateTime == latest.maxUpdateTime),
-        "inner",
-    )
+    if co_located:
+        # between max and max: equal for the non-NULL maximum, but not
+        # extracted as a join key
+        at_max = agreement.updateTime.between(latest.maxUpdateTime, latest.maxUpdateTime)
+    else:
+        at_max = agreement.updateTime == latest.maxUpdateTime
+    rows = agreement.join(latest, (agreement.orderId == latest.orderId) & at_max, "inner")
     return rows.groupBy(
         agreement.orderId.alias("c_orderId"), agreement.statusChangeTime.alias("c_statusChangeTime")
     ).agg(F.count(F.lit(1)).alias("c_copies"))

@@ -85,7 +85,7 @@ def admitted_rows(t: LoanTables, params: ReportParams) -> DataFrame:
 def joined_rows(t: LoanTables, params: ReportParams) -> DataFrame:
     """All joins and filters of the report; one wide row per output row."""
     rows = admitted_rows(t, params)
-    rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history))
+    rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history, co_located=t.bucketed))
     return joins.expand_copies(joins.join_borrower(rows, t.user))
 
 
@@ -149,6 +149,6 @@ def build_report_days(t: LoanTables, first_rep: dt.date, last_rep: dt.date, para
     rules = LoanRules(rep_col=REP_DAY)
     rows = candidate_rows(t).withColumn(REP_DAY, F.explode(F.array(*[F.lit(d) for d in days])))
     rows = rows.where(cached(("population", rules.key), rules.population))
-    rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history))
+    rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history, co_located=t.bucketed))
     rows = with_days(joins.expand_copies(joins.join_borrower(rows, t.user)), rules)
     return rows.select(*report_columns(rules, params))

@@ -35,6 +35,7 @@ class LoanTables:
     history: DataFrame  # ordHistory: orderId, status, disabled, updateTime, statusChangeTime
     bill: DataFrame  # ordBill: orderNo, billTerm, refundTime, actualRefundTime, billAmout
     delay: DataFrame  # ordDelayRecord: orderNo, delayOrderNo
+    bucketed: bool = False  # order-keyed tables stored bucketed by order id
 
     def register(self) -> None:
         """Expose the tables under their operational names for ``spark.sql``."""
@@ -195,7 +196,8 @@ def write_bucketed_loan_tables(t: LoanTables, tables_dir: str, buckets: int, pre
 def read_catalog_loan_tables(spark: SparkSession, names: dict[str, str]) -> LoanTables:
     t = {k: spark.table(v) for k, v in names.items()}
     return LoanTables(
-        order=t["ordOrder"], user=t["usrUser"], history=t["ordHistory"], bill=t["ordBill"], delay=t["ordDelayRecord"]
+        order=t["ordOrder"], user=t["usrUser"], history=t["ordHistory"], bill=t["ordBill"], delay=t["ordDelayRecord"],
+        bucketed=True,
     )
 
 
