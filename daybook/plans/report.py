@@ -4,16 +4,20 @@ Plan shape (all joins keyed on the order id except the borrower lookup)::
 
     ordOrder a  --filter_base (pushed to scan)--+
     ordBill x3  (term 3/1/2, type-3 orders only) -+- left joins on a.uuid
-    ordDelayRecord e ⟕ ordOrder f               -+
+    ordDelayRecord e (copies counted) ⟕ ordOrder f -+
                       population filter (needs a, d, f only)
-    latest agreement history c (pre-aggregated max, joined back) -- left join on a.uuid
+    latest agreement history c (pre-aggregated max, joined back,
+                                copies counted) -- left join on a.uuid
     usrUser b (enabled)  -- inner join on a.userUuid
+                      repeat each row by its copy counts
                       project the 19 report columns
 
 The population filter runs before the history and borrower joins: it only
 references ``a``, ``d`` and ``f`` columns, and the later joins only add columns
 or repeat rows, so the result is the same while the biggest join (history)
-and the borrower shuffle only see admitted loans.
+and the borrower shuffle only see admitted loans.  Identical history rows and
+delay records cross the joins once, with a count, and the fan-out they cause
+is restored by one generator at the end.
 """
 
 from __future__ import annotations
