@@ -53,6 +53,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # catalog tables of tests and benches go to scratch, not the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="daybook-warehouse-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
