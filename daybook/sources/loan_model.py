@@ -171,8 +171,9 @@ def write_loan_tables(t: LoanTables, tables_dir: str) -> None:
         df.write.mode("overwrite").parquet(f"{tables_dir.rstrip('/')}/{name}")
 
 
-# The order-id column of each operational table (the key of the report's joins).
-ORDER_KEY = {"ordOrder": "uuid", "ordBill": "orderNo", "ordHistory": "orderId", "ordDelayRecord": "orderNo"}
+# The bucketing column of each operational table: the order id it is first
+# joined on (delay records join their follow-up order first).
+ORDER_KEY = {"ordOrder": "uuid", "ordBill": "orderNo", "ordHistory": "orderId", "ordDelayRecord": "delayOrderNo"}
 
 
 def write_bucketed_loan_tables(t: LoanTables, tables_dir: str, buckets: int, prefix: str = "") -> dict[str, str]:

@@ -81,5 +81,5 @@ def test_bucketed_tables_join_without_shuffling_orders_or_bills(no_broadcast, du
     # the history (the largest table) is never shuffled either
     assert "Exchange hashpartitioning(orderId" not in plan and "Exchange hashpartitioning(c_orderId" not in plan
     exchanges = sorted(line.split("hashpartitioning(")[1].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line)
-    assert exchanges == ["a_userUuid", "b_uuid", "e_delayOrderNo", "e_orderNo"], exchanges
+    assert exchanges == ["a_userUuid", "b_uuid", "e_orderNo"], exchanges
     assert_same(comparable(df), duck001, oracles.report_sql())
