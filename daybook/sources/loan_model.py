@@ -177,9 +177,10 @@ ORDER_KEY = {"ordOrder": "uuid", "ordBill": "orderNo", "ordHistory": "orderId",
 
 
 def write_bucketed_loan_tables(t: LoanTables, tables_dir: str, buckets: int, prefix: str = "") -> dict[str, str]:
-    """Store the operational tables bucketed (and sorted) by order id, all
-    with the same bucket count, as catalog tables at ``tables_dir``.  Joins
-    on the order id between them then need no shuffle: Spark reads matching
+    """Store the operational tables bucketed (and sorted) by the order id
+    they are first joined on (``ORDER_KEY``; delay records by their
+    follow-up order), all with the same bucket count, as catalog tables at
+    ``tables_dir``.  Those joins then need no shuffle: Spark reads matching
     buckets side by side.  ``usrUser`` is keyed by the borrower and is left
     unbucketed.  Returns the catalog names."""
     frames = dict(zip(OPERATIONAL_TABLES, (t.order, t.user, t.history, t.bill, t.delay)))
