@@ -492,10 +492,15 @@ def q_hmac_column(spark, sf):
 def q_hmac_verify(spark, sf):
     tune(spark)
     macs = _texts(spark, sf).withColumn("mac", protect.hmac_column(F.col("value"), HMAC_KEY))
-    return macs.select(
+    normalized = F.regexp_replace(F.col("value"), "[ \t\n\r]+", " ")
+    both = macs.withColumn("normalized_mac", protect.hmac_column(normalized, HMAC_KEY))
+    return both.select(
         "source", "id",
         protect.hmac_verify(F.col("value"), F.col("mac"), HMAC_KEY).alias("ok_self"),
         protect.hmac_verify(F.concat(F.col("value"), F.lit(".")), F.col("mac"), HMAC_KEY).alias("ok_tampered"),
+        # the MAC of the whitespace-normalized text verifies exactly when the
+        # text has no whitespace runs, tabs or line breaks
+        protect.hmac_verify(F.col("value"), F.col("normalized_mac"), HMAC_KEY).alias("ok_normalized"),
     )
 
 

@@ -579,7 +579,11 @@ def _oracles_l() -> dict[str, str]:
     o["digest_column"] = f"""SELECT source, id, md5(value) AS md5_hex, sha1(value) AS sha1_hex, sha256(value) AS sha256_hex,
   to_base64(from_hex(sha256(value))) AS sha256_b64 FROM ({TEXTS})"""
     o["hmac_column"] = f"SELECT source, id, {mac} AS mac FROM ({TEXTS})"
-    o["hmac_verify"] = f"SELECT source, id, true AS ok_self, false AS ok_tampered FROM ({TEXTS})"
+    o["hmac_verify"] = (
+        "SELECT source, id, true AS ok_self, false AS ok_tampered, "
+        r"value = regexp_replace(value, '[ \t\n\r]+', ' ', 'g') AS ok_normalized "
+        f"FROM ({TEXTS})"
+    )
     o["aes_gcm_column"] = """SELECT c_custkey AS id, c_name AS roundtrip, true AS wrong_aad_rejected,
   CAST(octet_length(encode(c_name)) + 16 AS INTEGER) AS sealed_len FROM customer"""
     o["token_encrypt"] = f"""SELECT c_custkey AS id,
