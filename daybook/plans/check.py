@@ -22,12 +22,10 @@ BLOCK_OPEN = "<pre><div style='padding-left:2em'>"
 BLOCK_CLOSE = "</div></pre></p>"
 
 
-def _ordered_concat(parts: Column, order: Column) -> Column:
-    """Concatenate ``parts`` of the group in ``order`` (bounded groups only)."""
-    return F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), parts.alias("s")))), lambda x: x["s"]),
-        "",
-    )
+def _section(parts: Column, section: int) -> Column:
+    """The texts of one section of the sorted (section, order, text) array,
+    concatenated in order."""
+    return F.array_join(F.transform(F.filter(parts, lambda p: p["section"] == section), lambda p: p["s"]), "")
 
 
 def summary_message(
@@ -56,10 +54,11 @@ def summary_message(
         F.concat(F.col("key"), F.lit(": "), F.coalesce(F.col("value"), F.lit("None")), F.lit("<br/>")).alias("s"),
     )
     parts = count_rows.unionByName(text_rows).unionByName(stat_rows)
-    folded = parts.agg(
-        _ordered_concat(F.when(F.col("section") == 1, F.col("s")).otherwise(F.lit("")), F.concat(F.col("section"), F.col("o"))).alias("table_rows"),
-        _ordered_concat(F.when(F.col("section") == 2, F.col("s")).otherwise(F.lit("")), F.concat(F.col("section"), F.col("o"))).alias("result_text"),
-        _ordered_concat(F.when(F.col("section") == 3, F.col("s")).otherwise(F.lit("")), F.concat(F.col("section"), F.col("o"))).alias("stat_rows"),
+    # one bounded collection, sorted by (section, order), split by section
+    folded = parts.agg(F.array_sort(F.collect_list(F.struct("section", "o", "s"))).alias("parts")).select(
+        _section(F.col("parts"), 1).alias("table_rows"),
+        _section(F.col("parts"), 2).alias("result_text"),
+        _section(F.col("parts"), 3).alias("stat_rows"),
     )
     message = F.concat(
         F.lit(INTRO + TABLE_OPEN + TABLE_HEAD),
