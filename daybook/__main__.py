@@ -28,9 +28,15 @@ from daybook.sources.loan_model import loan_tables, read_loan_tables, write_loan
 
 
 def _asof(text: str | None) -> dt.date:
+    """The run day: given, or today in the business zone (UTC+7, no daylight
+    saving; the fixed offset is used where no time zone data is installed)."""
     if text:
         return dt.date.fromisoformat(text)
-    return dt.datetime.now(ZoneInfo(BUSINESS_ZONE)).date()
+    try:
+        zone = ZoneInfo(BUSINESS_ZONE)
+    except Exception:
+        zone = dt.timezone(dt.timedelta(hours=7))
+    return dt.datetime.now(zone).date()
 
 
 def main(argv: list[str] | None = None) -> int:
