@@ -71,3 +71,26 @@ def test_filters_reach_the_scans_of_stored_tables(spark):
     assert "In(orderType, [0,2,3])" in text  # reported types
     assert "EqualTo(billTerm,3)" in text and "EqualTo(billTerm,1)" in text  # one term per bill join
     assert "EqualTo(status,20)" in text  # agreement history rows
+
+
+def test_backfill_runs_the_joins_once_for_all_days(spark):
+    """Eight report days in one plan: the order side is shuffled once and no
+    table is read more often than for a single day (no per-day plans)."""
+    import datetime as dt
+
+    from daybook.plans.report import build_report_days
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = loan_tables(spark, SF001)
+        rep = ReportParams().rep
+        one = plan_of(build_report(t, ReportParams()))
+        eight = plan_of(build_report_days(t, rep - dt.timedelta(days=7), rep))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert eight.count("Exchange hashpartitioning(a_uuid") == 1
+    assert eight.count("FileScan parquet") == one.count("FileScan parquet")
+    assert "Generate explode" in eight  # the days are a generator, not a join
