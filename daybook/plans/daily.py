@@ -143,9 +143,10 @@ def check(
     cc = counter_text(read_counter(spark, counter_path), rep)
     result_name = f"{params.partner}{rep.strftime('%Y%m%d')}{snapshot.EXPORT_NAME_TAG}{cc}.zip.out"
     stat_name = f"statistic_{params.partner}.json"
-    files = partner.read_files(spark, result_dir, recursive=False).where(
-        partner.file_name(F.col("path")).isin(result_name, stat_name)
-    )
+    # only the two expected files are listed and read (the folder keeps
+    # every day's results); the name filter stays as a guard
+    files = partner.read_files(spark, result_dir, glob="{" + result_name + "," + stat_name + "}", recursive=False)
+    files = files.where(partner.file_name(F.col("path")).isin(result_name, stat_name))
     texts = partner.read_result_text(files)
     result_text = texts.where(F.col("file_name") == result_name).select("text")
     stat = partner.stat_pairs(texts.where(F.col("file_name") == stat_name).select(F.col("text").alias("doc")), "doc")
