@@ -97,3 +97,20 @@ def test_command_line_send_and_check(spark, capsys):
     checked = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert f"<tr><td>2020-06-15</td> <td>{n_lines}</td></tr>" in checked["message"]
     assert checked["attachments"] == []
+
+
+def test_check_raises_on_a_result_file_that_is_not_utf8(spark):
+    """The original logged and swallowed every error; here a bad partner file
+    fails the check loudly."""
+    import pytest
+
+    from pyspark.errors import PySparkException
+
+    t = loan_tables(spark, SF001)
+    snap, counter, export_dir, results = (scratch_path(spark, n) for n in ("t-snap", "t-counter", "t-export", "t-res"))
+    sent = daily.send(spark, t, P, snap, counter, export_dir)
+    os.makedirs(local_dir(results), exist_ok=True)
+    with open(os.path.join(local_dir(results), sent.export_name + ".zip.out"), "wb") as f:
+        f.write(b"\xff\xfe not utf-8")
+    with pytest.raises((PySparkException, Exception)):
+        daily.check(spark, P, snap, counter, results).message.collect()
