@@ -9,6 +9,9 @@ sort-merge join, with AQE splitting skewed partitions.
 
 Fan-out of the original SQL is kept: tied latest history rows, duplicate bills
 per term and several delay records per order each yield extra report rows.
+Identical copies of history rows and delay records are counted before the
+joins (partial aggregates, so a copy group never crosses a shuffle whole) and
+their rows repeated after the joins (``expand_copies``).
 """
 
 from __future__ import annotations
