@@ -138,6 +138,17 @@ def decode_numeric(raw: Column, decimal_type: str = "decimal(38,10)") -> Column:
     )
 
 
+UNSIGNED_64_MAX = 18446744073709551615  # fixed value: 2**64 - 1
+
+
+def decode_unsigned(raw: Column) -> Column:
+    """Unsigned 64-bit integer text as ``decimal(20,0)`` (it may exceed
+    ``bigint``); a sign, a fraction or a value beyond 2**64 - 1 is rejected."""
+    value = F.when(raw.rlike(r"^\s*\+?[0-9]+\s*$"), F.trim(raw).try_cast("decimal(38,0)"))
+    ok = value.between(F.lit(0), F.lit(str(UNSIGNED_64_MAX)).cast("decimal(38,0)"))
+    return _result(F.when(ok, value.cast("decimal(20,0)")), raw)
+
+
 def decode_charset(content: Column, charset: Column) -> Column:
     """Bytes to text by the column's charset name.  UTF-8 family: valid UTF-8
     only; ASCII: 7-bit bytes only; latin1: every byte; ``binary`` stays bytes

@@ -127,3 +127,19 @@ def test_decoders_never_fail_on_messy_text(spark, fn):
     out = df.select(fn(F.col("raw")).alias("d"))
     assert out.count() == len(MESSY) + 1
     out.collect()
+
+
+def test_unsigned_64(spark):
+    import decimal
+
+    raws = ["18446744073709551615", "18446744073709551616", " +42 ", "-1", "1.5", "9223372036854775808"]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string").select(decode.decode_unsigned(F.col("raw")).alias("d"))
+    got = [(r.d.value, r.d.reject) for r in df.collect()]
+    assert got == [
+        (decimal.Decimal("18446744073709551615"), None),
+        (None, "18446744073709551616"),
+        (decimal.Decimal(42), None),
+        (None, "-1"),
+        (None, "1.5"),
+        (decimal.Decimal("9223372036854775808"), None),
+    ]
