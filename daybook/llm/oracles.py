@@ -16,10 +16,10 @@ win AS (
   SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i:i + 12], ' ') AS phrase
   FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT size FROM win),
-at AS (
+place AS (
   SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
   FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
-hit AS (SELECT doc_id, item_id, i, size FROM at JOIN win USING (size, phrase)),
+hit AS (SELECT doc_id, item_id, i, size FROM place JOIN win USING (size, phrase)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM hit GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
