@@ -3,10 +3,11 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import decontam, neardup
+from . import decontam, langid, neardup
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
+    "op2_langid": langid.op2_langid,
     "op4_neardup": neardup.op4_neardup,
     "op9_decontaminate": decontam.op9_decontaminate,
 }
