@@ -31,3 +31,40 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 ORACLES = {
     "op9_decontaminate": DECONTAMINATE,
 }
+
+
+def _packing(max_len: int = 4096, n_buckets: int = 8, budget: int = 65536, seed: str = "pack-1") -> str:
+    """Least padding with exactly b buckets, b = 1, 2, ...; fewer never help."""
+    steps = ["b1 AS MATERIALIZED (SELECT j, size, rows_upto, size * rows_upto AS best, 0 AS came FROM h)"]
+    for b in range(2, n_buckets + 1):
+        steps.append(f"""b{b} AS MATERIALIZED (
+  SELECT j, any_value(size) AS size, any_value(rows_upto) AS rows_upto, min(cost) AS best, arg_min(i, (cost, i)) AS came
+  FROM (SELECT h.j, h.size, h.rows_upto, p.j AS i, p.best + h.size * (h.rows_upto - p.rows_upto) AS cost
+        FROM h JOIN (SELECT j, rows_upto, best FROM b{b - 1} UNION ALL SELECT 0, 0, 0) p ON p.j < h.j)
+  GROUP BY j)""")
+    walk = [f"w{n_buckets} AS (SELECT max(j) AS j FROM h)"]
+    for b in range(n_buckets, 1, -1):
+        walk.append(f"w{b - 1} AS (SELECT came AS j FROM b{b} JOIN w{b} USING (j))")
+    ends = " UNION ALL ".join(f"SELECT j FROM w{b}" for b in range(1, n_buckets + 1))
+    return f"""
+WITH n AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS n FROM documents),
+pieces AS (
+  SELECT doc_id, piece, piece * {max_len} AS start, least({max_len}, n - piece * {max_len}) AS n_tokens
+  FROM (SELECT doc_id, n, unnest(range(0, (n + {max_len} - 1) // {max_len})) AS piece FROM n)),
+g AS (SELECT n_tokens AS size, count(*) AS c FROM pieces GROUP BY 1),
+h AS MATERIALIZED (SELECT row_number() OVER (ORDER BY size) AS j, size, (sum(c) OVER (ORDER BY size))::BIGINT AS rows_upto FROM g),
+{", ".join(steps)},
+{", ".join(walk)},
+ends AS (SELECT size, row_number() OVER (ORDER BY size) - 1 AS bucket FROM h WHERE j IN ({ends})),
+placed AS (
+  SELECT p.*, (SELECT min(size) FROM ends WHERE size >= n_tokens) AS bucket_len,
+    md5('{seed}-' || doc_id || '-' || piece) AS ord
+  FROM pieces p),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY ord, doc_id, piece) - 1 AS place FROM placed)
+SELECT doc_id, piece::BIGINT AS piece, start::BIGINT AS start, n_tokens::BIGINT AS n_tokens, bucket::BIGINT AS bucket, bucket_len::BIGINT AS bucket_len,
+  (place // greatest(1, {budget} // bucket_len))::BIGINT AS batch, (place % greatest(1, {budget} // bucket_len))::BIGINT AS slot
+FROM ranked JOIN ends ON ends.size = bucket_len
+"""
+
+
+ORACLES["op1_packing"] = _packing()

@@ -3,10 +3,11 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import decontam, langid, neardup
+from . import decontam, langid, neardup, packing
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op2_langid": langid.op2_langid,
     "op4_neardup": neardup.op4_neardup,
     "op9_decontaminate": decontam.op9_decontaminate,
