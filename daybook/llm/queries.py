@@ -3,12 +3,13 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import decontam, langid, neardup, packing
+from . import decontam, langid, neardup, packing, pseudonyms
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_langid": langid.op2_langid,
+    "op3_pii": pseudonyms.op3_pii,
     "op4_neardup": neardup.op4_neardup,
     "op9_decontaminate": decontam.op9_decontaminate,
 }
