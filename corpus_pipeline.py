@@ -8,17 +8,52 @@ every stage's result to the shared folder and reads it again for the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import decontam
+from daybook.llm import decontam, langid, neardup, packing, pseudonyms
 from daybook.llm.common import table, written
 
 
+#: Documents whose best language is less likely than this are rejected.
+MIN_SCORE = 0.5
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter and those of no clear language.  The
+    model learns from the documents' own ``lang``, without the held-out rows."""
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    judged = langid.predict(docs, model)
+    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate class: the least doc_id."""
+    return neardup.drop_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which benchmark windows cover a twentieth or more."""
     return decontam.drop_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontamination", decontaminate)]
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pseudonyms in the text; ``n_chars`` follows the new text."""
+    done = pseudonyms.pseudonymise(docs, kinds_col=None)
+    return done.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length-bucketed batches: one row per piece of a document."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("language-id", identify),
+    ("near-duplicates", deduplicate),
+    ("decontamination", decontaminate),
+    ("pseudonyms", pseudonymise),
+    ("packing", pack),
+]
 
 #: Language ID learns a model, which SQL cannot express.
 ORACLE_SQL = None
