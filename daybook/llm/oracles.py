@@ -68,3 +68,25 @@ FROM ranked JOIN ends ON ends.size = bucket_len
 
 
 ORACLES["op1_packing"] = _packing()
+
+ORACLES["op8_chat"] = """
+WITH t AS (
+  SELECT conv_id, turn, CASE WHEN coalesce(role, '') IN ('', 'system') THEN 'system' ELSE role END AS role,
+    replace(coalesce(text, ''), '<|', '< |') AS body, text, coalesce(floor(turn / 256), -1)::BIGINT AS part
+  FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS assistant FROM t WHERE role <> 'system'),
+s AS (
+  SELECT t.conv_id, assistant, part, turn, role, text, body, role = assistant AS mine,
+    CASE WHEN role = 'system' THEN '<|im_start|>system' WHEN role = assistant THEN '<|im_start|>assistant'
+      ELSE '<|im_start|>user name=' || regexp_replace(role, '[\\s<>|]+', '_', 'g') END || chr(10) AS head
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+o AS (
+  SELECT *, row_number() OVER w AS n,
+    sum(length(head) + length(body) + length('<|im_end|>') + 1) OVER w - length(body) - length('<|im_end|>') - 1 AS at_body
+  FROM s WINDOW w AS (PARTITION BY conv_id, assistant, part ORDER BY turn NULLS FIRST, role, text NULLS FIRST ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, assistant, part, count(*) AS n_turns, count(*) FILTER (WHERE mine) AS n_trained,
+  string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered,
+  string_agg(mine::INT::VARCHAR, '' ORDER BY n) AS mask,
+  coalesce(string_agg(at_body::BIGINT || '-' || (at_body + length(body))::BIGINT, ',' ORDER BY n) FILTER (WHERE mine), '') AS spans
+FROM o GROUP BY conv_id, assistant, part
+"""
