@@ -90,3 +90,56 @@ SELECT conv_id, assistant, part, count(*) AS n_turns, count(*) FILTER (WHERE min
   coalesce(string_agg(at_body::BIGINT || '-' || (at_body + length(body))::BIGINT, ',' ORDER BY n) FILTER (WHERE mine), '') AS spans
 FROM o GROUP BY conv_id, assistant, part
 """
+
+
+def _split(text: str, pattern: str, kind: str) -> str:
+    return f"[ '{kind}:' || regexp_replace(w, '[0-9]+', '#', 'g') FOR w IN string_split_regex({text}, '{pattern}') IF w <> '']"
+
+
+def _url_rules(min_support: float = 0.005, min_pages: int = 5, min_confidence: float = 0.6) -> str:
+    rest = "regexp_extract(lower(url), '(?s)^.*?://[^/?#]*(.*)$', 1)"
+    return f"""
+WITH p AS (
+  SELECT page_id, url,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+t AS (
+  SELECT url, list_sort(list_distinct(flatten([
+    {_split("regexp_extract(lower(url), '(?s)^(.*?)://', 1)", "://", "scheme")},
+    {_split("host", "[.]", "host")},
+    {_split(f"regexp_extract({rest}, '(?s)^([^?#]*)', 1)", "[/.]+", "path")},
+    {_split(f"regexp_extract({rest}, '(?s)^[^?#]*[?]([^#]*)', 1)", "&", "query")},
+    {_split(f"regexp_extract({rest}, '(?s)#(.*)$', 1)", "#", "part")}]))) AS tokens
+  FROM (SELECT DISTINCT url, host FROM p WHERE url LIKE '%://%')),
+marked AS (SELECT doc_id AS page_id, max(coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0) AS blocked FROM labels GROUP BY 1),
+baskets AS (SELECT row_number() OVER () AS n, tokens, blocked FROM p JOIN t USING (url) JOIN marked USING (page_id) WHERE len(tokens) > 0),
+least_count AS (SELECT greatest(ceil({min_support} * count(*)), {min_pages}) AS least FROM baskets),
+e AS (SELECT n, blocked, unnest(tokens) AS a FROM baskets),
+sets AS (
+  SELECT n, blocked, [a] AS tokens FROM e
+  UNION ALL SELECT x.n, x.blocked, [x.a, y.a] FROM e x JOIN e y ON x.n = y.n AND x.a < y.a
+  UNION ALL SELECT x.n, x.blocked, [x.a, y.a, z.a] FROM e x JOIN e y ON x.n = y.n AND x.a < y.a JOIN e z ON y.n = z.n AND y.a < z.a),
+rules AS (
+  SELECT tokens, count(*) FILTER (WHERE blocked) AS support, count(*) FILTER (WHERE blocked)::DOUBLE / count(*) AS confidence
+  FROM sets GROUP BY tokens HAVING count(*) FILTER (WHERE blocked) >= (SELECT least FROM least_count)
+    AND count(*) FILTER (WHERE blocked)::DOUBLE / count(*) >= {min_confidence}),
+best AS (
+  SELECT url, array_to_string(r.tokens, ' ') AS learnt, confidence,
+    row_number() OVER (PARTITION BY url ORDER BY confidence DESC, support DESC, array_to_string(r.tokens, ' ')) AS n
+  FROM t JOIN rules r ON list_has_all(t.tokens, r.tokens)),
+fit AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN learnt IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  learnt, confidence
+FROM fit LEFT JOIN (SELECT * FROM best WHERE n = 1) b USING (url)
+"""
+
+
+ORACLES["op5_urlrules"] = _url_rules()

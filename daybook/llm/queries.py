@@ -3,7 +3,7 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import chat, decontam, langid, neardup, packing, pseudonyms, sharding
+from . import chat, decontam, langid, neardup, packing, pseudonyms, sharding, urlrules
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op2_langid": langid.op2_langid,
     "op3_pii": pseudonyms.op3_pii,
     "op4_neardup": neardup.op4_neardup,
+    "op5_urlrules": urlrules.op5_urlrules,
     "op7_shards": sharding.op7_shards,
     "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontam.op9_decontaminate,
