@@ -35,6 +35,7 @@ id; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -234,18 +235,17 @@ def _star_input(links: DataFrame) -> DataFrame:
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
 
 
-def _close_blocks(members: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different classes inside a bucket whose signatures are
-    within the margin.  ``members``: key, size, node, comp, signature.  A
-    bucket is cut into blocks by a hash of the node; every block goes once to
-    each block of its bucket, so no task holds more than two blocks."""
-    k = bands * rows
-    floor = threshold - MARGIN * (threshold * (1 - threshold) / k) ** 0.5
+def _close_blocks(members: DataFrame, floor: float, values: str) -> DataFrame:
+    """Pairs (a, b) of different classes inside a bucket whose signatures agree
+    on a share of ``floor`` or more.  ``members``: key, size, node, comp,
+    signature (packed ``values``).  A bucket is cut into blocks by a hash of the
+    node; every block goes once to each block of its bucket, so no task holds
+    more than two blocks."""
     chunked = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     blocks = chunked.groupBy("key", "block").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("node", "comp", "signature")).alias("rows"))
     sent = blocks.select("key", "block", "rows", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = (
-        sent.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rows")
+        sent.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rows")
         .groupBy("key", "lo", "hi")
         .agg(F.collect_list("rows").alias("sides"))
     )
@@ -253,22 +253,43 @@ def _close_blocks(members: DataFrame, bands: int, rows: int, threshold: float) -
     def task(batches):
         for batch in batches:
             for sides in batch.column(0):
-                sides = [[(x["node"], x["comp"], np.frombuffer(x["signature"], "<u4")) for x in side] for side in sides.as_py()]
+                sides = [[(x["node"], x["comp"], np.frombuffer(x["signature"], values)) for x in side] for side in sides.as_py()]
                 left, right = sides[0], sides[-1]
-                table_ = np.array([s for _, _, s in right])
+                signatures = np.array([s for _, _, s in right])
                 comps = np.array([c for _, c, _ in right], object)
                 a, b = [], []
                 for node, comp, signature in left:
-                    close = np.flatnonzero(((table_ == signature).mean(1) >= floor) & (comps != comp))
-                    for j in close:
-                        other = right[j][0]
-                        a.append(max(node, other))
-                        b.append(min(node, other))
+                    for j in np.flatnonzero(((signatures == signature).mean(1) >= floor) & (comps != comp)):
+                        a.append(max(node, right[j][0]))
+                        b.append(min(node, right[j][0]))
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return paired.select("sides").mapInArrow(task, "a binary, b binary").distinct()
 
 
+def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float, floor: float, values: str = "<u4") -> DataFrame:
+    """(node, comp) of the nodes that ``verify`` links to others, steps 2 to 5
+    above.  ``nodes``: node, weight, copies, signature, bands; texts whose
+    weights differ by more than ``threshold`` allows are not compared."""
+    buckets = nodes.select("node", "weight", "copies", F.explode("bands").alias("key"))
+    rank = F.struct("copies", F.xxhash64("node").alias("order"), "node", "weight")
+    leaders = buckets.groupBy("key").agg(F.max(rank).alias("leader"), F.count("*").alias("size")).where("size > 1")
+    buckets = written(buckets.join(leaders, "key").select("key", "size", "node", "weight", "leader"), "buckets")
+    stars = (
+        buckets.where(F.col("node") != F.col("leader.node"))
+        .where(F.least("weight", "leader.weight") >= threshold * F.greatest("weight", "leader.weight"))
+        .select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
+        .distinct()
+    )
+    links = written(verify(written(stars, "stars")), "verified")
+    first = written(components(links), "components")
+    members = written(buckets.join(first, "node", "left").select("key", "size", "node", F.coalesce("comp", "node").alias("comp")), "members")
+    open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    unresolved = members.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
+    more = written(_close_blocks(unresolved, floor, values), "block-pairs")
+    return components(links.unionByName(verify(more)))
+
+
 def classes(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -283,25 +304,8 @@ def classes(
         .select("node", "row.id", "row.hash", "copies", "weight", "signature", "bands"),
         "texts",
     )
-    buckets = nodes.select("node", "weight", "copies", F.explode("bands").alias("key"))
-    rank = F.struct("copies", F.xxhash64("node").alias("order"), "node", "weight")
-    leaders = buckets.groupBy("key").agg(F.max(rank).alias("leader"), F.count("*").alias("size")).where("size > 1")
-    buckets = written(buckets.join(leaders, "key").select("key", "size", "node", "weight", "leader"), "buckets")
-    stars = (
-        buckets.where(F.col("node") != F.col("leader.node"))
-        .where(F.least("weight", "leader.weight") >= threshold * F.greatest("weight", "leader.weight"))
-        .select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    links = written(_verified(docs, id_col, text_col, nodes, written(stars, "stars"), threshold), "verified")
-    first = written(components(links), "components")
-    comp = F.coalesce("comp", "node").alias("comp")
-    members = written(buckets.join(first, "node", "left").select("key", "size", "node", comp), "members")
-    open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    unresolved = members.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
-    more = written(_close_blocks(unresolved, bands, rows, threshold), "block-pairs")
-    links = links.unionByName(_verified(docs, id_col, text_col, nodes, more, threshold))
-    final = written(components(links), "components")
+    floor = threshold - MARGIN * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
+    final = written(linked(nodes, lambda pairs: _verified(docs, id_col, text_col, nodes, pairs, threshold), threshold, floor), "components")
     labelled = rowwise.select("id", "hash", "node").join(final, "node", "left").select(
         "id", "hash",
         # A null text is a class of its own row: it has no node to share.

@@ -3,7 +3,7 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import chat, decontam, langid, neardup, packing, pseudonyms, sharding, urlrules
+from . import chat, decontam, editprints, langid, neardup, packing, pseudonyms, sharding, urlrules
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op3_pii": pseudonyms.op3_pii,
     "op4_neardup": neardup.op4_neardup,
     "op5_urlrules": urlrules.op5_urlrules,
+    "op6_editprints": editprints.op6_editprints,
     "op7_shards": sharding.op7_shards,
     "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontam.op9_decontaminate,
