@@ -143,3 +143,35 @@ FROM fit LEFT JOIN (SELECT * FROM best WHERE n = 1) b USING (url)
 
 
 ORACLES["op5_urlrules"] = _url_rules()
+
+
+def _licenses(threshold: float = 0.8) -> str:
+    from .licenses import TEMPLATES
+
+    rows = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for n, (name, text) in enumerate(TEMPLATES))
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH tpl AS MATERIALIZED (SELECT n, name, {grams} AS g FROM (SELECT n, name, {_words("text")} AS w FROM (VALUES {rows}) v(n, name, text))),
+par AS (SELECT doc_id, text, string_split_regex(text, '\\n[ \\t\\r]*\\n\\s*') AS parts FROM documents),
+unit AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
+  UNION ALL SELECT doc_id, u FROM (SELECT doc_id, unnest(parts) AS u FROM par) WHERE contains(u, chr(10))
+  UNION ALL SELECT doc_id, text FROM par WHERE len(parts) > 1),
+numbered AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, {grams} AS g FROM (SELECT doc_id, {_words("u")} AS w FROM unit) WHERE len(w) > 1),
+ug AS (SELECT k, unnest(g) AS x FROM numbered),
+tg AS (SELECT n, unnest(g) AS x FROM tpl),
+shared AS (SELECT k, n, count(*) AS c FROM ug JOIN tg USING (x) GROUP BY k, n),
+scored AS (
+  SELECT k, doc_id, name, (2 * c)::DOUBLE / (len(numbered.g) + len(tpl.g)) AS dice
+  FROM shared JOIN numbered USING (k) JOIN tpl USING (n)),
+hit AS (
+  SELECT k, doc_id, name, dice, row_number() OVER (PARTITION BY k ORDER BY dice DESC, name) AS r
+  FROM scored WHERE dice >= {threshold}),
+best AS (
+  SELECT doc_id, arg_min(name, (-dice, name)) AS licence, max(dice) AS dice, count(*) AS n_units, array_to_string(list_sort(list(DISTINCT name)), ',') AS licences
+  FROM hit WHERE r = 1 GROUP BY doc_id)
+SELECT doc_id, licence, dice, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(licences, '') AS licences FROM documents LEFT JOIN best USING (doc_id)
+"""
+
+
+ORACLES["op10_licenses"] = _licenses()

@@ -3,7 +3,7 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import chat, decontam, editprints, langid, neardup, packing, pseudonyms, sharding, urlrules
+from . import chat, decontam, editprints, langid, licenses, neardup, packing, pseudonyms, sharding, urlrules
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op7_shards": sharding.op7_shards,
     "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontam.op9_decontaminate,
+    "op10_licenses": licenses.op10_licenses,
 }
 
 ORACLES = {k: v for k, v in _SQL.items() if k in QUERIES}
