@@ -48,8 +48,8 @@ def _letters() -> np.ndarray:
 def ngrams(text: str, letters: np.ndarray):
     """Hashed numbers of a text's n-grams, in pieces of bounded length."""
     for first in range(0, len(text), PIECE):
-        # Two characters before the piece, so that no n-gram is cut; only
-        # n-grams that end in the piece count.
+        # Two characters before the piece, so that no n-gram is cut (the three
+        # n-grams inside these two count twice).
         code = np.frombuffer(text[max(0, first - 2) : first + PIECE].lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         alpha = np.where(code < 1 << 16, letters[np.minimum(code, 0xFFFF).astype(np.int64)], True)
         code[~alpha] = 32
