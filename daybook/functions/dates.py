@@ -24,7 +24,13 @@ def report_day_of(utc_wall_clock: Column, zone: str = BUSINESS_ZONE) -> Column:
 
 def epoch_seconds(utc_wall_clock: Column) -> Column:
     """Whole epoch seconds of a UTC timestamp_ntz (session-zone independent)."""
-    return F.floor(epoch_micros(utc_wall_clock) / 1_000_000).cast("bigint")
+    micros = epoch_micros(utc_wall_clock)  # integer arithmetic: a double has too few digits for far dates
+    return floor_div(micros, 1_000_000)
+
+
+def floor_div(n: Column, by: int) -> Column:
+    """Floor of an integer quotient, without a double in between."""
+    return ((n - F.pmod(n, F.lit(by).cast("bigint"))).cast("decimal(20,0)") / F.lit(by)).cast("bigint")
 
 
 def epoch_micros(utc_wall_clock: Column) -> Column:

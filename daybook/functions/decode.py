@@ -12,9 +12,14 @@ the start only, like a regex ``match``: trailing text is ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daybook.functions.dates import floor_div
+from daybook.functions.protect import bind
+
 # Accepted shapes of temporal text, as the client library
 # states them, plus a leading ``^`` (it matches at the start of the text;
 # ``rlike`` / ``regexp_extract`` search).  ``\d`` is an ASCII digit here.
@@ -22,6 +27,8 @@ DATETIME_PATTERN = r"^(\d{1,4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{1,2}):(\d{1
 INTERVAL_PATTERN = r"^(-)?(\d{1,3}):(\d{1,2}):(\d{1,2})(?:.(\d{1,6}))?"
 TIME_OF_DAY_PATTERN = r"^(\d{1,2}):(\d{1,2}):(\d{1,2})(?:.(\d{1,6}))?"
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+DECIMAL_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,4})?\s*$"
+FLOAT_TEXT = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?|nan))\s*$"
 DATE_TEXT = r"^\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*-\s*\+?[0-9]+\s*$"
 UTF8_CHARSETS = ("utf8", "utf8mb3", "utf8mb4", "utf-8")
 LATIN1_CHARSETS = ("latin1", "iso-8859-1")
@@ -29,12 +36,22 @@ ASCII_CHARSETS = ("ascii", "us-ascii")
 BINARY_CHARSETS = ("binary",)
 
 
+_MARK = "\x01"
+
+
 def _result(value: Column, raw: Column) -> Column:
-    return F.struct(value.alias("value"), F.when(value.isNull(), raw).alias("reject"))
+    """The value (computed once) and the text it leaves."""
+    return bind(value, lambda v: F.struct(v.alias("value"), F.when(v.isNull(), raw).alias("reject")))
 
 
-def _group(raw: Column, pattern: str, i: int) -> Column:
-    return F.regexp_extract(raw, pattern, i)
+def _matched(raw: Column, pattern: str, n: int, fn: Callable[[Callable[[int], Column]], Column]) -> Column:
+    """``fn`` of the groups 1 to ``n`` of one match at the start of the text,
+    NULL without a match.  The pattern runs once: the text is replaced by its
+    groups, each after a mark; a text that itself begins with the mark fits no
+    pattern."""
+    marked = F.regexp_replace(raw, pattern + r"(?s:.*)\z", "".join(f"{_MARK}${i}" for i in range(1, n + 1)))
+    groups = F.when(marked.startswith(_MARK) & ~raw.startswith(_MARK), F.split(marked, _MARK, -1))
+    return bind(groups, lambda g: F.when(g.isNotNull(), fn(lambda i: F.get(g, i))))
 
 
 def _int(c: Column) -> Column:
@@ -80,9 +97,7 @@ def decode_date(raw: Column) -> Column:
 def datetime_value(raw: Column) -> Column:
     """Datetime shape (``T`` or blank, 1..6 fraction digits); if that fails,
     the date rule (value at midnight)."""
-    p = DATETIME_PATTERN
-    g = [_int(_group(raw, p, i)) for i in range(1, 7)]
-    ts = F.when(raw.rlike(p), _timestamp(*g, _micros(_group(raw, p, 7))))
+    ts = _matched(raw, DATETIME_PATTERN, 7, lambda g: _timestamp(*[_int(g(i)) for i in range(1, 7)], _micros(g(7))))
     return F.coalesce(ts, date_value(raw).cast("timestamp_ntz"))
 
 
@@ -93,21 +108,25 @@ def decode_datetime(raw: Column) -> Column:
 def decode_time_interval(raw: Column) -> Column:
     """Signed ``H:M:S[.f]`` duration, hours up to 3 digits; minutes and
     seconds above 59 are accepted and carried over."""
-    p = INTERVAL_PATTERN
-    h, mi, s = (_int(_group(raw, p, i)) for i in (2, 3, 4))
-    sign = F.when(_group(raw, p, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    value = F.make_dt_interval(F.lit(0), h, mi, _seconds(s, _group(raw, p, 5))) * sign
-    return _result(F.when(raw.rlike(p), value), raw)
+
+    def value(g: Callable[[int], Column]) -> Column:
+        h, mi, s = (_int(g(i)) for i in (2, 3, 4))
+        sign = F.when(g(1) == "-", F.lit(-1)).otherwise(F.lit(1))
+        return F.make_dt_interval(F.lit(0), h, mi, _seconds(s, g(5))) * sign
+
+    return _result(_matched(raw, INTERVAL_PATTERN, 5, value), raw)
 
 
 def decode_time_of_day(raw: Column) -> Column:
     """``H:M:S[.f]`` time of day (as the interval since midnight); hours < 24,
     minutes and seconds < 60, no sign."""
-    p = TIME_OF_DAY_PATTERN
-    h, mi, s = (_int(_group(raw, p, i)) for i in (1, 2, 3))
-    ok = raw.rlike(p) & h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
-    value = F.make_dt_interval(F.lit(0), h, mi, _seconds(s, _group(raw, p, 4)))
-    return _result(F.when(ok, value), raw)
+
+    def value(g: Callable[[int], Column]) -> Column:
+        h, mi, s = (_int(g(i)) for i in (1, 2, 3))
+        ok = h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
+        return F.when(ok, F.make_dt_interval(F.lit(0), h, mi, _seconds(s, g(4))))
+
+    return _result(_matched(raw, TIME_OF_DAY_PATTERN, 4, value), raw)
 
 
 def decode_compact_timestamp(raw: Column) -> Column:
@@ -126,15 +145,27 @@ def decode_set(raw: Column) -> Column:
     return F.when(raw.isNotNull(), F.array_sort(F.array_distinct(F.split(raw, ",", -1))))
 
 
-def decode_numeric(raw: Column, decimal_type: str = "decimal(38,10)") -> Column:
-    """Integer, float and exact decimal readings of the same text.  The
-    integer reading rejects a fraction (no silent rounding)."""
-    as_int = F.when(raw.rlike(INT_TEXT), F.trim(raw).try_cast("bigint"))  # NULL beyond 64 bits
+def decode_numeric(raw: Column, precision: int = 38, scale: int = 18) -> Column:
+    """Integer, float and exact decimal readings of the same text.
+
+    A reading that cannot hold the text is NULL: the integer reading of a
+    fraction, of 64 bits exceeded, the decimal reading of more digits than the
+    type has (never rounded), of infinities and of not-a-number.  ``reject``
+    keeps the raw text whenever an integer text or any number lost a reading
+    that way, and for text that is no number (``1d`` and ``0x1p3`` are none)."""
+    whole, text = raw.rlike(INT_TEXT), F.trim(raw)
+    as_int = F.when(whole, text.try_cast("bigint"))
+    # Digits before and after the point, without the zeros that carry nothing.
+    before = F.length(F.regexp_extract(text, r"^[+-]?0*([0-9]*)", 1))
+    after = F.length(F.regexp_replace(F.regexp_extract(text, r"\.([0-9]*)", 1), "0+$", ""))
+    shift = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]{1,4})\s*$", 1).try_cast("int"), F.lit(0))
+    exact = raw.rlike(DECIMAL_TEXT) & (before + shift <= precision - scale) & (after - shift <= scale)
+    as_decimal = F.when(exact, text.try_cast(f"decimal({precision},{scale})"))
     return F.struct(
         as_int.alias("as_int"),
-        raw.try_cast("double").alias("as_float"),
-        raw.try_cast(decimal_type).alias("as_decimal"),
-        F.when(raw.try_cast("double").isNull(), raw).alias("reject"),
+        F.when(raw.rlike(FLOAT_TEXT), text.try_cast("double")).alias("as_float"),
+        as_decimal.alias("as_decimal"),
+        F.when(as_decimal.isNull() | (whole & as_int.isNull()), raw).alias("reject"),
     )
 
 
@@ -196,10 +227,10 @@ def encode_interval(iv: Column) -> Column:
     negative), minutes and seconds are the floor remainders, fraction only
     when not zero (``-25:06:17``, and ``-1:59:59`` for minus one second)."""
     us = interval_micros(iv)
-    secs = F.floor(us / 1_000_000)
+    secs = floor_div(us, 1_000_000)
     frac = F.pmod(us, F.lit(1_000_000))
     base = F.format_string(
-        "%02d:%02d:%02d", F.floor(secs / 3600), F.pmod(F.floor(secs / 60), F.lit(60)), F.pmod(secs, F.lit(60))
+        "%02d:%02d:%02d", floor_div(secs, 3600), F.pmod(floor_div(secs, 60), F.lit(60)), F.pmod(secs, F.lit(60))
     )
     return F.when(frac == 0, base).otherwise(F.concat(base, F.format_string(".%06d", frac)))
 

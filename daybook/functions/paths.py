@@ -27,7 +27,8 @@ def reparent(new_parent: str, old_path: Column) -> Column:
 def path_prefixes(path: Column, top_down: bool = True) -> Column:
     """All non-empty prefixes of ``path`` ending at a separator or at its end,
     top-down (``/a``, ``/a/b``, ``/a/b/c``) or bottom-up.  A leading separator
-    stays on every prefix."""
+    stays on every prefix; repeated separators count as one."""
+    path = F.regexp_replace(path, SEP + "{2,}", SEP)
     parts = F.split(path, SEP, -1)
     absolute = F.substring(path, 1, 1) == SEP
     start = F.when(absolute, F.lit(2)).otherwise(F.lit(1))

@@ -94,7 +94,7 @@ def aes_gcm_encrypt(value: Column, key: bytes, aad: bytes = b"", iv: Column | No
 
 def aes_gcm_ciphertext(blob: Column) -> Column:
     """The ``ciphertext | tag`` part (what a nonce-separate AEAD API returns)."""
-    return F.substring(blob, GCM_IV_LEN + 1, 1 << 30)
+    return F.substring(blob, F.lit(GCM_IV_LEN + 1), F.greatest(F.length(blob) - GCM_IV_LEN, F.lit(0)))
 
 
 def aes_gcm_decrypt(blob: Column, key: bytes, aad: bytes = b"") -> Column:

@@ -12,22 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def config_lookup(long: DataFrame) -> DataFrame:
+def config_lookup(long: DataFrame, order_col: str | None = None) -> DataFrame:
     """``group -> map(name -> value)`` with names sorted.
 
     Copies are collapsed first: one value per (group, name), by a partially
-    aggregated ``groupBy`` (a repeated name keeps its greatest value, where
-    the original's dict kept whichever came last from the store).  The fold
-    into a map then only sees each group's distinct attribute names, however
-    many copies a hot group has."""
-    attrs = long.groupBy("group", "name").agg(F.max("value").alias("value"))
+    aggregated ``groupBy``.  A repeated name keeps the value of the greatest
+    ``order_col`` (the last one, as the original's dict did); without an order
+    there is no last one, so different values of one name raise an error.  The
+    fold into a map then only sees each group's distinct attribute names,
+    however many copies a hot group has."""
+    if order_col:
+        value = F.max(F.struct(F.col(order_col), F.col("value")))["value"]
+    else:
+        clash = F.concat(F.lit("conflicting values of attribute "), F.col("name"), F.lit(" in group "), F.col("group"))
+        value = F.when(F.min("value") < F.max("value"), F.raise_error(clash).cast("string")).otherwise(F.max("value"))
+    attrs = long.groupBy("group", "name").agg(value.alias("value"))
     entries = F.array_sort(F.collect_list(F.struct(F.col("name"), F.col("value"))))
     return attrs.groupBy("group").agg(F.map_from_entries(entries).alias("attributes"))
 
 
-def config_of(long: DataFrame, group: str) -> DataFrame:
+def config_of(long: DataFrame, group: str, order_col: str | None = None) -> DataFrame:
     """The attributes of one group (filter pushed below the aggregate)."""
-    return config_lookup(long.where(F.col("group") == group))
+    return config_lookup(long.where(F.col("group") == group), order_col)
 
 
 def long_config(customer: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.cache import cached
+from daybook.functions.dates import floor_div
 from daybook.params import AMOUNT_TYPE
 from daybook.sources.tables import read_table
 
@@ -68,7 +69,7 @@ def order_model(orders: DataFrame, asof: dt.date = MODEL_ASOF) -> DataFrame:
 
 def _order_columns(asof: dt.date) -> list[Column]:
     k = F.col("o_orderkey")
-    otype = _lookup(F.floor(k / 6) % 4, TYPE_BY_K_DIV_6_MOD_4)
+    otype = _lookup(floor_div(k, 6) % 4, TYPE_BY_K_DIV_6_MOD_4)
     lending = _day(asof, k % 181)
     refund = (
         F.when(k % 89 == 0, F.lit(None).cast("timestamp_ntz"))
@@ -90,7 +91,7 @@ def _order_columns(asof: dt.date) -> list[Column]:
         lending.alias("lendingTime"),
         refund.alias("refundTime"),
         actual.alias("actualRefundTime"),
-        _day(asof, F.floor(k / 7) % 3).alias("updateTime"),
+        _day(asof, floor_div(k, 7) % 3).alias("updateTime"),
     ]
 
 
@@ -149,7 +150,7 @@ def delay_model(order: DataFrame) -> DataFrame:
     k = F.col("uuid")
     return order.where(F.col("orderType") == 2).select(
         k.alias("orderNo"),
-        (k - k % 6 + 12 + F.floor(k / 24) % 6).alias("delayOrderNo"),
+        (k - k % 6 + 12 + floor_div(k, 24) % 6).alias("delayOrderNo"),
     )
 
 

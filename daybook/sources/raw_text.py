@@ -90,16 +90,19 @@ def set_texts(pages: DataFrame) -> DataFrame:
 
 
 def numeric_texts(orders: DataFrame) -> DataFrame:
-    price, prio = F.col("o_totalprice"), F.col("o_orderpriority")
+    """Prices as text, with suffixes that are no number, integers around 64
+    bits, long fractions, more digits than a decimal has, and exponents."""
+    price, prio, k = F.col("o_totalprice"), F.col("o_orderpriority"), F.col("o_orderkey")
     text = F.format_string("%.2f", price)
     raw = (
-        F.when(prio == "1-URGENT", F.concat(text, F.lit("x")))
+        F.when(prio == "1-URGENT", F.concat(text, F.when(k % 3 == 0, "x").when(k % 3 == 1, "d").otherwise("")))
+        .when((prio == "2-HIGH") & (k % 3 == 0), F.when(k % 2 == 0, "9223372036854775807").otherwise("9223372036854775808"))
         .when(prio == "2-HIGH", F.floor(price).cast("string"))
-        .when(prio == "3-MEDIUM", F.concat(F.lit("  "), text, F.lit(" ")))
-        .when(prio == "4-NOT SPECIFIED", F.lit(""))
-        .otherwise(text)
+        .when(prio == "3-MEDIUM", F.concat(F.lit("  "), text, F.when(k % 2 == 0, "0123456789012 ").otherwise(" ")))
+        .when(prio == "4-NOT SPECIFIED", F.when(k % 3 == 0, "").when(k % 3 == 1, "123456789012345678901234567890.5").otherwise("0." + "1" * 20))
+        .otherwise(F.concat(text, F.when(k % 2 == 0, "e1").otherwise("")))
     )
-    return orders.select(F.col("o_orderkey").alias("id"), raw.alias("raw"))
+    return orders.select(k.alias("id"), raw.alias("raw"))
 
 
 # Declared charset per document language in the test data.

@@ -95,19 +95,60 @@ def test_set_numeric_charset(spark):
 
 
 def test_encode_interval_like_timedelta(spark):
-    cases = [dt.timedelta(days=1, seconds=3977), dt.timedelta(days=-2, seconds=83177), dt.timedelta(seconds=-1),
-             dt.timedelta(seconds=5, microseconds=250)]
-
-    def py(td):  # the client library's rendering rule
-        secs = td.seconds % 60
-        mins = td.seconds // 60 % 60
-        hours = td.seconds // 3600 % 24 + td.days * 24
-        fmt = "{0:02d}:{1:02d}:{2:02d}.{3:06d}" if td.microseconds else "{0:02d}:{1:02d}:{2:02d}"
-        return fmt.format(hours, mins, secs, td.microseconds)
-
+    cases = {
+        dt.timedelta(days=1, seconds=3977): "25:06:17",
+        dt.timedelta(days=-2, seconds=83177): "-25:06:17",
+        dt.timedelta(seconds=-1): "-1:59:59",
+        dt.timedelta(seconds=5, microseconds=250): "00:00:05.000250",
+    }
     df = spark.createDataFrame([(c,) for c in cases], "iv interval day to second")
     got = [r[0] for r in df.select(decode.encode_interval(F.col("iv"))).collect()]
-    assert got == [py(c) for c in cases]
+    assert got == list(cases.values())
+
+
+@pytest.mark.parametrize(
+    "raw,as_int,as_float,as_decimal,rejected",
+    [
+        ("1.123456789012", None, 1.123456789012, "1.123456789012000000", False),
+        ("0.1234567890123456789", None, 0.1234567890123456789, None, True),
+        ("0.1000000000000000000000", None, 0.1, "0.100000000000000000", False),
+        ("12345678901234567890123456789012.5", None, 1.2345678901234567e31, None, True),
+        ("00012", 12, 12.0, "12.000000000000000000", False),
+        ("9223372036854775807", 2**63 - 1, 2.0**63, "9223372036854775807.000000000000000000", False),
+        ("9223372036854775808", None, 2.0**63, "9223372036854775808.000000000000000000", True),
+        ("-.5e1", None, -5.0, "-5.000000000000000000", False),
+        ("1e30", None, 1e30, None, True),
+        ("1d", None, None, None, True),
+        ("1f", None, None, None, True),
+        ("0x1p3", None, None, None, True),
+        (" inf ", None, float("inf"), None, True),
+        ("", None, None, None, True),
+    ],
+)
+def test_numeric_readings_lose_nothing_silently(spark, raw, as_int, as_float, as_decimal, rejected):
+    d = spark.createDataFrame([(raw,)], "raw string").select(decode.decode_numeric(F.col("raw")).alias("d")).first()["d"]
+    assert (d.as_int, d.as_float, None if d.as_decimal is None else f"{d.as_decimal:f}") == (as_int, as_float, as_decimal)
+    assert d.reject == (raw if rejected else None)
+
+
+def test_a_pattern_runs_once_per_text(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00",)], "raw string").select(decode.decode_datetime(F.col("raw")).alias("d"))
+    plan = df.select("d.value", "d.reject")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and plan.count("regexp_replace") <= 2
+
+
+def test_text_that_begins_like_the_internal_mark(spark):
+    raw = "\x012024\x0101\x0101\x0100\x0100\x0100\x01"
+    assert one(spark, decode.decode_datetime, raw) == (None, raw)
+    assert one(spark, decode.decode_datetime, "2024-01-02 03:04:05\x01\n") == (dt.datetime(2024, 1, 2, 3, 4, 5), None)
+
+
+def test_far_seconds_stay_whole(spark):
+    from daybook.functions.dates import epoch_seconds
+
+    far = dt.datetime(9999, 12, 31, 23, 59, 59, 999999)
+    df = spark.createDataFrame([(far,), (dt.datetime(1969, 12, 31, 23, 59, 59, 1),)], "t timestamp_ntz")
+    assert [r[0] for r in df.select(epoch_seconds(F.col("t"))).collect()] == [253402300799, -1]
 
 
 MESSY = ["2024-02-31 00:00:07", "x-y-z", "1-2-3-4", "", "-", "--", "2024-13-01", "99999999999999999999-1-1",
