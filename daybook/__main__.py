@@ -72,7 +72,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     res = daily.check(spark, params, args.snapshot, args.counter, args.results)
     message = res.message.first()["message"]
-    print(json.dumps({"message": message, "attachments": [r.asDict() for r in res.attachments.collect()]}))
+    out = f"{args.results}/_attachments-{params.rep:%Y%m%d}"
+    res.attachments.write.mode("overwrite").json(out)
+    print(json.dumps({"message": message, "attachments": out}))
     return 0
 
 

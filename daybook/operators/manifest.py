@@ -15,17 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _zero_length_files(spark: SparkSession, root: str, glob: str | None) -> list[tuple[str, int, dt.datetime]]:
+def _fits(name: str, glob: str) -> bool:
+    """A file name against a glob, with alternatives in one pair of braces."""
+    head, brace, rest = glob.partition("{")
+    inner, _, tail = rest.partition("}")
+    return any(fnmatch.fnmatchcase(name, head + x + tail) for x in (inner.split(",") if brace else [""]))
+
+
+def zero_length_files(
+    spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True
+) -> list[tuple[str, int, dt.datetime]]:
     """Zero-length files under ``root`` from a Hadoop listing on the driver
     (metadata only; the ``binaryFile`` scan skips empty files)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = []
-    it = fs.listFiles(path, True)
+    it = fs.listFiles(path, recursive)
     while it.hasNext():
         st = it.next()
-        if st.getLen() == 0 and (glob is None or fnmatch.fnmatchcase(st.getPath().getName(), glob)):
+        if st.getLen() == 0 and (glob is None or _fits(st.getPath().getName(), glob)):
             mtime = dt.datetime.fromtimestamp(st.getModificationTime() / 1000, dt.timezone.utc).replace(tzinfo=None)
             out.append((st.getPath().toString(), 0, mtime))
     return out
@@ -36,15 +45,15 @@ def file_inventory(
     root: str,
     glob: str | None = None,
     modified_after: str | None = None,
-    include_empty: bool = False,
+    include_empty: bool = True,
 ) -> DataFrame:
     """Regular files under ``root`` (recursive): relative path, size, mtime,
     sorted by path (a listing-sized sort).
 
     Files are listed by the ``binaryFile`` source with ``content`` pruned, so
-    no file body is read.  That scan skips zero-length files;
-    ``include_empty`` adds them from a driver-side listing (metadata only,
-    for moderate trees)."""
+    no file body is read.  That scan skips zero-length files; they are added
+    from the file system's listing (metadata only) unless ``include_empty``
+    is off."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -52,7 +61,7 @@ def file_inventory(
         reader = reader.option("modifiedAfter", modified_after)
     files = reader.load(root).select("path", "length", "modificationTime")
     if include_empty:
-        empty = _zero_length_files(spark, root, glob)
+        empty = zero_length_files(spark, root, glob)
         if modified_after:
             cutoff = dt.datetime.fromisoformat(modified_after)
             empty = [e for e in empty if e[2] > cutoff]

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from daybook.operators.filters import REPORT_DATE_COLUMN
 
+# The opening line; a job passes its own.
+INTRO = "Results of the last report.<br /><br />"
 # The notification's HTML layout.
-INTRO = "Terlampir hasil output dari folder out sftp pusdafil.<br /><br />"
 TABLE_OPEN = "<table style='width: 30%;' border='2' cellpadding='1'>"
 TABLE_HEAD = "<tr><th>tanggal</th> <th>count</th></tr>"
 TABLE_CLOSE = "</table>"
@@ -34,6 +35,7 @@ def summary_message(
     result_text: DataFrame,
     stat_name: Column,
     stat: DataFrame,
+    intro: str = INTRO,
 ) -> DataFrame:
     """One row ``message``.
 
@@ -61,7 +63,7 @@ def summary_message(
         _section(F.col("parts"), 3).alias("stat_rows"),
     )
     message = F.concat(
-        F.lit(INTRO + TABLE_OPEN + TABLE_HEAD),
+        F.lit(intro + TABLE_OPEN + TABLE_HEAD),
         F.col("table_rows"),
         F.lit(TABLE_CLOSE + "<p>"),
         result_name,

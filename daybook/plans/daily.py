@@ -1,7 +1,8 @@
 """The two daily jobs, end to end.
 
 ``send``: build the day's report -> replace its snapshot partition -> count
-the run -> write the export file named ``<partner><yyyyMMdd>SIK<nn>.csv``.
+the run -> write the export ``<partner><yyyyMMdd>SIK<nn>.csv``, a folder of
+parts ordered by loan (one part for a small report).
 
 ``check``: read the run counter (no change) -> read the partner's result file
 and statistic document -> count the snapshot's last 7 days -> the
@@ -11,15 +12,17 @@ Rows never pass through the driver.  The driver only handles folder metadata
 (swap, rename, listing) and two single values: the day's counter (for the
 file name) and the latest counter version.
 
-The counter is a small versioned parquet table: each update writes a complete
-new version folder (Spark's commit protocol marks it complete with
-``_SUCCESS``), and readers take the highest complete version.  A failed
-update leaves the previous version in force.
+The counter is a small versioned parquet table: each update writes a new
+version into a folder of its own and renames it into place when it is whole, so
+every version folder that is seen is complete, whatever marker files the
+committer writes.  A failed update leaves the previous version in force, and
+the next update takes the next free number.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +33,7 @@ from daybook.operators.counter import counter_upsert
 from daybook.operators.filters import REPORT_DATE_COLUMN, filter_last_days
 from daybook.params import ReportParams
 from daybook.plans import snapshot
-from daybook.plans.check import summary_message
+from daybook.plans.check import INTRO, summary_message
 from daybook.plans.report import build_report
 from daybook.sources import partner
 from daybook.sources.loan_model import LoanTables
@@ -48,8 +51,7 @@ def _versions(spark: SparkSession, counter_path: str) -> list[int]:
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit():
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[1:]))
+            out.append(int(name[1:]))
     return sorted(out)
 
 
@@ -63,7 +65,12 @@ def read_counter(spark: SparkSession, counter_path: str) -> DataFrame:
 def write_counter(spark: SparkSession, counter_path: str, state: DataFrame) -> None:
     versions = _versions(spark, counter_path)
     nxt = (versions[-1] + 1) if versions else 1
-    state.write.mode("errorifexists").parquet(f"{counter_path}/{VERSION_PREFIX}{nxt:08d}")
+    target = f"{counter_path}/{VERSION_PREFIX}{nxt:08d}"
+    staging = f"{counter_path}/_staging-{uuid.uuid4().hex}"
+    state.write.parquet(staging)
+    if snapshot._exists(spark, target):  # another run took this number meanwhile
+        raise FileExistsError(f"counter version exists: {target}")
+    snapshot._rename(spark, staging, target)
 
 
 def bump_counter(spark: SparkSession, counter_path: str, days: list[dt.date]) -> DataFrame:
@@ -81,6 +88,9 @@ def counter_text(state: DataFrame, day: dt.date) -> str:
     return "00" if value is None else str(value).zfill(2)
 
 
+ORDER_COLUMN = "id_pinjaman"
+
+
 # ---- send ----------------------------------------------------------------------------
 @dataclass(frozen=True)
 class SendResult:
@@ -89,20 +99,6 @@ class SendResult:
     snapshot_path: str
 
 
-def _move_single_part(spark: SparkSession, folder: str, target: str) -> None:
-    fs, root = snapshot._fs(spark, folder)
-    parts = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")]
-    if len(parts) > 1:
-        raise IOError(f"expected one part file in {folder}, found {len(parts)}")
-    _, dst = snapshot._fs(spark, target)
-    snapshot._delete(spark, target)
-    if not parts:  # an empty report: Spark may write no part file at all
-        fs.create(dst).close()
-    elif not fs.rename(parts[0], dst):
-        raise IOError(f"rename failed: {parts[0]} -> {target}")
-    fs.delete(root, True)
-
-
 def send(
     spark: SparkSession,
     tables: LoanTables,
@@ -117,11 +113,9 @@ def send(
     state = bump_counter(spark, counter_path, [rep])
     name = f"{params.partner}{rep.strftime('%Y%m%d')}{snapshot.EXPORT_NAME_TAG}{counter_text(state, rep)}"
     day = snapshot.scan_snapshot(spark, snapshot_path, rep, schema=report.schema)
-    lines = snapshot.export_lines(snapshot.export_projection(day))
-    staging = f"{export_dir}/_{name}"
-    snapshot.write_export(lines, staging, single_file=True)
+    lines = snapshot.export_lines(snapshot.export_projection(day), keep=(ORDER_COLUMN,))
     target = f"{export_dir}/{name}.csv"
-    _move_single_part(spark, staging, target)
+    snapshot.write_export(lines, target, order_by=[ORDER_COLUMN, "line"])
     return SendResult(export_name=name, export_file=target, snapshot_path=snapshot_path)
 
 
@@ -138,11 +132,15 @@ def check(
     snapshot_path: str,
     counter_path: str,
     result_dir: str,
+    intro: str = INTRO,
 ) -> CheckResult:
     rep = params.rep
     cc = counter_text(read_counter(spark, counter_path), rep)
     result_name = f"{params.partner}{rep.strftime('%Y%m%d')}{snapshot.EXPORT_NAME_TAG}{cc}.zip.out"
     stat_name = f"statistic_{params.partner}.json"
+    for name in (result_name, stat_name):
+        if not snapshot._exists(spark, f"{result_dir}/{name}"):
+            raise FileNotFoundError(f"the partner's file is missing: {result_dir}/{name}")
     # only the two expected files are listed and read (the folder keeps
     # every day's results); the name filter stays as a guard
     files = partner.read_files(spark, result_dir, glob="{" + result_name + "," + stat_name + "}", recursive=False)
@@ -152,6 +150,6 @@ def check(
     stat = partner.stat_pairs(texts.where(F.col("file_name") == stat_name).select(F.col("text").alias("doc")), "doc")
     days = snapshot.read_snapshot(spark, snapshot_path, schema=f"{REPORT_DATE_COLUMN} date")
     counts = daily_counts(filter_last_days(days, rep, 7))
-    message = summary_message(counts, F.lit(result_name), result_text, F.lit(stat_name), stat)
+    message = summary_message(counts, F.lit(result_name), result_text, F.lit(stat_name), stat, intro)
     attachments = partner.attachment_b64(files)
     return CheckResult(message=message, attachments=attachments)

@@ -67,6 +67,25 @@ def partition_path(table_path: str, day: dt.date) -> str:
     return f"{table_path}/{REPORT_DATE_COLUMN}={day.isoformat()}"
 
 
+ASIDE = "_aside"  # old day folders during a swap
+
+
+def restore_snapshot(spark: SparkSession, table_path: str) -> list[str]:
+    """Put back the days that a stopped swap left aside (folder names).  A day
+    whose new folder is in place already keeps the new one."""
+    fs, aside = _fs(spark, f"{table_path}/{ASIDE}")
+    back = []
+    if fs.exists(aside):
+        for st in fs.listStatus(aside):
+            name = st.getPath().getName()
+            if _exists(spark, f"{table_path}/{name}"):
+                fs.delete(st.getPath(), True)
+            else:
+                _rename(spark, f"{table_path}/{ASIDE}/{name}", f"{table_path}/{name}")
+                back.append(name)
+    return back
+
+
 def replace_snapshot(
     spark: SparkSession,
     report: DataFrame,
@@ -76,11 +95,17 @@ def replace_snapshot(
     """Replace the partitions of ``days`` in the snapshot table by ``report``.
 
     Every day in ``days`` is replaced, also when ``report`` has no row for it
-    (that day is then cleared, as a delete-then-insert would do)."""
+    (that day is then cleared, as a delete-then-insert would do).  Rows of any
+    other day are an error, raised before a day is touched.
+
+    A day is swapped by two renames: the old folder aside, the new one in.  If
+    a run stops in between, the next call finds the folder aside and puts it
+    back first, so no day is lost."""
     fs_root, root = _fs(spark, table_path)
     fs_root.mkdirs(root)  # an all-empty table still reads as empty
+    restore_snapshot(spark, table_path)
     staging = f"{table_path}/_staging/{uuid.uuid4().hex}"
-    rows = report.where(F.col(REPORT_DATE_COLUMN).isin(*days))
+    rows = report
     # Rebalance by day: AQE cuts each day into advisory-size write tasks (a
     # big day is split, small ones are merged), instead of one small file per
     # upstream task and day.  Only with AQE on: without it a rebalance by day
@@ -88,12 +113,19 @@ def replace_snapshot(
     if str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true":
         rows = rows.hint("rebalance", REPORT_DATE_COLUMN)
     rows.write.mode("overwrite").partitionBy(REPORT_DATE_COLUMN).parquet(staging)
+    expected = {partition_path("", day).strip("/") for day in days}
+    found = {st.getPath().getName() for st in fs_root.listStatus(_fs(spark, staging)[1]) if st.isDirectory()}
+    if strangers := sorted(x for x in found - expected if "=" in x):
+        _delete(spark, staging)
+        raise ValueError(f"the report has rows outside the replaced days: {', '.join(strangers[:5])}")
     for day in days:
-        target = partition_path(table_path, day)
-        _delete(spark, target)
+        target, aside = partition_path(table_path, day), partition_path(f"{table_path}/{ASIDE}", day)
+        if _exists(spark, target):
+            _rename(spark, target, aside)
         staged = partition_path(staging, day)
         if _exists(spark, staged):
             _rename(spark, staged, target)
+        _delete(spark, aside)
     _delete(spark, staging)
     fs, parent = _fs(spark, f"{table_path}/_staging")
     if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
@@ -120,28 +152,23 @@ def export_projection(snapshot_day: DataFrame) -> DataFrame:
     )
 
 
-def export_lines(projected: DataFrame) -> DataFrame:
+def export_lines(projected: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One ``line`` per row: ``|``-separated, minimal quoting, NULL as empty.
-    Values render like the original's ``str()``: decimals keep their scale."""
-    return projected.select(csv_line(*[F.col(c) for c in EXPORT_COLUMNS]).alias("line"))
-
-
-def write_export(lines: DataFrame, path: str, single_file: bool = False, order_by: list[str] | None = None) -> str:
-    """Write lines with CRLF line ends, no header.
-
-    By default every task writes its own part file; with ``order_by`` the
-    lines are range-partitioned and sorted, so the parts concatenate in order.
-    ``single_file`` gives the one file a partner expects: only the formatted
-    lines are shuffled into one writer task (the report keeps its
-    parallelism) and sorted there (a round-robin shuffle does not keep an
-    earlier sort)."""
-    if single_file:
-        lines = lines.repartition(1)
-        if order_by:
-            lines = lines.sortWithinPartitions(*order_by)
-    elif order_by:
+    Values render like the original's ``str()``: decimals keep their scale.
+    ``keep``: columns to carry along (to sort by)."""
+    return projected.select(*keep, csv_line(*[F.col(c) for c in EXPORT_COLUMNS]).alias("line"))
+
+
+def write_export(lines: DataFrame, path: str, order_by: list[str] | None = None) -> str:
+    """Write lines with CRLF line ends, no header, as part files.
+
+    With ``order_by`` the rows are range-partitioned and sorted, so the parts
+    concatenate in order; a small export is one part, and no task or value
+    holds a whole large one.  ``lines`` may carry the sort columns next to
+    ``line``."""
+    if order_by:
         lines = lines.orderBy(*order_by)
-    lines.write.mode("overwrite").option("lineSep", LINE_END).text(path)
+    lines.select("line").write.mode("overwrite").option("lineSep", LINE_END).text(path)
     return path
 
 

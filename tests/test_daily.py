@@ -3,6 +3,8 @@
 import base64
 import os
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -16,6 +18,13 @@ from tests_helpers import local_dir
 P = ReportParams()
 
 
+def _export(sent) -> bytes:
+    """The parts of an export, one after the other."""
+    folder = local_dir(sent.export_file)
+    parts = sorted(x for x in os.listdir(folder) if x.startswith("part-"))
+    return b"".join(open(os.path.join(folder, x), "rb").read() for x in parts)
+
+
 def test_send_then_check(spark):
     t = loan_tables(spark, SF001)
     snap, counter = scratch_path(spark, "t-snap"), scratch_path(spark, "t-counter")
@@ -26,7 +35,9 @@ def test_send_then_check(spark):
     assert first.export_name == "82005320200615SIK01"
     assert second.export_name == "82005320200615SIK02"
 
-    data = open(local_dir(second.export_file), "rb").read()
+    data = _export(second)
+    loans = [int(x.split(b"|")[6]) for x in data.split(b"\r\n")[:-1]]
+    assert loans == sorted(loans)  # the parts follow each other in order
     lines = data.split(b"\r\n")
     assert lines[-1] == b""  # CRLF after every line
     want = snapshot.export_lines(snapshot.export_projection(build_report(t, P)))
@@ -67,12 +78,39 @@ def test_send_with_empty_report_writes_empty_file(spark):
     t = dataclasses.replace(t, order=t.order.limit(0))
     snap, counter, export_dir = (scratch_path(spark, n) for n in ("t-snap", "t-counter", "t-export"))
     sent = daily.send(spark, t, P, snap, counter, export_dir)
-    assert os.path.getsize(local_dir(sent.export_file)) == 0
+    assert _export(sent) == b""
     assert snapshot.read_snapshot(spark, snap, schema=build_report(t, P).schema).count() == 0
     results = scratch_path(spark, "t-results")
     os.makedirs(local_dir(results), exist_ok=True)
-    message = daily.check(spark, P, snap, counter, results).message.first()["message"]
-    assert "<th>count</th></tr></table>" in message  # no day rows, no files: empty sections
+    # Empty result files are files: sections without rows, two attachments.
+    for name in (sent.export_name + ".zip.out", "statistic_820053.json"):
+        with pytest.raises(FileNotFoundError):
+            daily.check(spark, P, snap, counter, results)
+        open(os.path.join(local_dir(results), name), "wb").close()
+    out = daily.check(spark, P, snap, counter, results, intro="Today.")
+    message = out.message.first()["message"]
+    assert message.startswith("Today.") and "<th>count</th></tr></table>" in message
+    assert sorted(r.content for r in out.attachments.collect()) == ["", ""]
+
+
+def test_counter_goes_on_after_a_failed_update(spark):
+    path = scratch_path(spark, "t-counter")
+    daily.bump_counter(spark, path, [P.rep])
+    broken = spark.range(1).select(F.raise_error(F.lit("stopped")).cast("date").alias("tgl_pelaporan_data"), F.lit(1).alias("counter"))
+    with pytest.raises(PySparkException):
+        daily.write_counter(spark, path, broken)
+    assert daily.counter_text(daily.read_counter(spark, path), P.rep) == "01"
+    os.remove(os.path.join(local_dir(path), "v00000001", "_SUCCESS"))  # some committers write none
+    daily.bump_counter(spark, path, [P.rep])
+    assert daily.counter_text(daily.read_counter(spark, path), P.rep) == "02"
+
+
+def test_last_value_of_a_repeated_key(spark):
+    from daybook.sources.partner import stat_pairs
+
+    docs = spark.createDataFrame([('[{"a": "1", "b": "2", "a": "3"}]',), ("[]",), ("x",)], "doc string")
+    got = [(r.pos, r.key, r.value) for r in stat_pairs(docs).collect()]
+    assert got == [(0, "a", "3"), (1, "b", "2"), (None, None, None), (None, None, None)]
 
 
 def test_command_line_send_and_check(spark, capsys):
@@ -90,27 +128,29 @@ def test_command_line_send_and_check(spark, capsys):
                  "--asof", "2020-06-16"]) == 0
     sent = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert sent["export_name"] == "82005320200615SIK01"
-    n_lines = open(local_dir(sent["export_file"]), "rb").read().count(b"\r\n")
+    parts = [x for x in os.listdir(local_dir(sent["export_file"])) if x.startswith("part-")]
+    n_lines = sum(open(os.path.join(local_dir(sent["export_file"]), x), "rb").read().count(b"\r\n") for x in parts)
     assert n_lines == build_report(loan_tables(spark, SF001), P).count()
     os.makedirs(local_dir(results), exist_ok=True)
+    for name in (sent["export_name"] + ".zip.out", "statistic_820053.json"):
+        with open(os.path.join(local_dir(results), name), "w") as f:
+            f.write("[]")
     assert main(["check", "--snapshot", snap, "--counter", counter, "--results", results, "--asof", "2020-06-16"]) == 0
     checked = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert f"<tr><td>2020-06-15</td> <td>{n_lines}</td></tr>" in checked["message"]
-    assert checked["attachments"] == []
+    written = spark.read.json(checked["attachments"]).collect()
+    assert sorted(r.filename for r in written) == sorted([sent["export_name"] + ".zip.out", "statistic_820053.json"])
 
 
 def test_check_raises_on_a_result_file_that_is_not_utf8(spark):
     """The original logged and swallowed every error; here a bad partner file
     fails the check loudly."""
-    import pytest
-
-    from pyspark.errors import PySparkException
-
     t = loan_tables(spark, SF001)
     snap, counter, export_dir, results = (scratch_path(spark, n) for n in ("t-snap", "t-counter", "t-export", "t-res"))
     sent = daily.send(spark, t, P, snap, counter, export_dir)
     os.makedirs(local_dir(results), exist_ok=True)
     with open(os.path.join(local_dir(results), sent.export_name + ".zip.out"), "wb") as f:
         f.write(b"\xff\xfe not utf-8")
-    with pytest.raises((PySparkException, Exception)):
+    open(os.path.join(local_dir(results), "statistic_820053.json"), "wb").close()
+    with pytest.raises(PySparkException, match="MALFORMED_CHARACTER_CODING"):
         daily.check(spark, P, snap, counter, results).message.collect()

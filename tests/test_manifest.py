@@ -19,12 +19,13 @@ def test_inventory_and_reconcile(spark):
     src, dst = scratch_path(spark, "t-src"), scratch_path(spark, "t-dst")
     _tree(local_dir(src), {"a.txt": b"abc", "d/b.txt": b"12345", "d/e/c.txt": b"", "d/gone.txt": b"x"})
     _tree(local_dir(dst), {"a.txt": b"abc", "d/b.txt": b"1234", "d/e/c.txt": b"", "new.txt": b"n"})
-    assert [r.relative_path for r in file_inventory(spark, src).collect()] == ["a.txt", "d/b.txt", "d/gone.txt"]
-    inv = file_inventory(spark, src, include_empty=True)
+    full = file_inventory(spark, src, include_empty=False)
+    assert [r.relative_path for r in full.collect()] == ["a.txt", "d/b.txt", "d/gone.txt"]
+    inv = file_inventory(spark, src)
     assert [(r.relative_path, r.size) for r in inv.collect()] == [
         ("a.txt", 3), ("d/b.txt", 5), ("d/e/c.txt", 0), ("d/gone.txt", 1)
     ]
-    rec = {r.relative_path: r.status for r in manifest_reconcile(inv, file_inventory(spark, dst, include_empty=True)).collect()}
+    rec = {r.relative_path: r.status for r in manifest_reconcile(inv, file_inventory(spark, dst)).collect()}
     assert rec == {"a.txt": "ok", "d/b.txt": "size_mismatch", "d/e/c.txt": "ok", "d/gone.txt": "missing", "new.txt": "extra"}
     only_txt = file_inventory(spark, src, glob="b.*")
     assert [r.relative_path for r in only_txt.collect()] == ["d/b.txt"]

@@ -37,6 +37,44 @@ def test_replace_is_idempotent_and_clears_empty_days(spark):
     assert days_left == [days[0]]
 
 
+def test_rows_outside_the_replaced_days_are_an_error(spark):
+    t = loan_tables(spark, SF001)
+    path, day = scratch_path(spark, "t-snapshot"), P.rep - dt.timedelta(days=1)
+    snapshot.replace_snapshot(spark, build_report(t, P), path, [P.rep])
+    both = build_report_days(t, day, P.rep, P)
+    with pytest.raises(ValueError, match=day.isoformat()):
+        snapshot.replace_snapshot(spark, both, path, [P.rep])
+    assert [r[0] for r in snapshot.read_snapshot(spark, path).select("tgl_pelaporan_data").distinct().collect()] == [P.rep]
+
+
+@pytest.mark.parametrize("stop_at", [1, 2])
+def test_a_stopped_swap_loses_no_day(spark, monkeypatch, stop_at):
+    """Stopped after the old folder went aside (1) or the new one came in (2)."""
+    t = loan_tables(spark, SF001)
+    path = scratch_path(spark, "t-snapshot")
+    report = build_report(t, P)
+    snapshot.replace_snapshot(spark, report, path, [P.rep])
+    n, rename, calls = report.count(), snapshot._rename, []
+
+    def stopping(*args):
+        if len(calls) == stop_at:
+            raise OSError("stopped")
+        calls.append(args)
+        rename(*args)
+
+    monkeypatch.setattr(snapshot, "_rename", stopping)
+    if stop_at == 2:
+        monkeypatch.setattr(snapshot, "_delete", lambda *a: stopping() if "_aside" in a[1] else None)
+    with pytest.raises(OSError, match="stopped"):
+        snapshot.replace_snapshot(spark, report.limit(n - 1), path, [P.rep])
+    monkeypatch.undo()
+    snapshot.restore_snapshot(spark, path)
+    assert snapshot.read_snapshot(spark, path).count() == (n if stop_at == 1 else n - 1)
+    snapshot.replace_snapshot(spark, report, path, [P.rep])
+    assert snapshot.read_snapshot(spark, path).count() == n
+    assert not snapshot._exists(spark, f"{path}/_aside/{snapshot.REPORT_DATE_COLUMN}={P.rep}")
+
+
 def test_scan_snapshot_prunes_partitions(spark):
     t = loan_tables(spark, SF001)
     path = scratch_path(spark, "t-snapshot")
@@ -58,9 +96,9 @@ def test_export_bytes_equal_python_csv(spark):
 
     lines = df.select(csv_line(F.col("k"), F.col("a"), F.col("b")).alias("line"))
     path = scratch_path(spark, "t-export")
-    snapshot.write_export(lines, path, single_file=True, order_by=["line"])
-    (part,) = glob.glob(os.path.join(local_dir(path), "part-*"))
-    got = open(part, "rb").read()
+    snapshot.write_export(lines, path, order_by=["line"])
+    parts = sorted(glob.glob(os.path.join(local_dir(path), "part-*")))
+    got = b"".join(open(p, "rb").read() for p in parts)
 
     def py_line(k, a, b):
         buf = io.StringIO(newline="")
@@ -98,6 +136,18 @@ def test_counter_upsert_and_read(spark):
     assert read == {day(1): "10", day(2): "100", day(3): "01", day(4): "01", day(5): "00"}
 
 
+def test_copies_expand_in_chunks(spark):
+    from daybook.operators.joins import expand_copies
+
+    df = spark.createDataFrame([(1, 7, 3), (2, None, None), (3, 1, 5)], "k int, c_copies long, e_copies long")
+    got = {r.k: r["count"] for r in expand_copies(df, chunk=4).groupBy("k").count().collect()}
+    assert got == {1: 21, 2: 1, 3: 5}
+    big = spark.createDataFrame([(1, 100_000, 30)], "k int, c_copies long, e_copies long")
+    assert expand_copies(big, chunk=1000).count() == 3_000_000
+    huge = expand_copies(spark.createDataFrame([(1, 50_000, 50_000)], "k int, c_copies long, e_copies long"))
+    assert huge.limit(5).count() == 5  # a count beyond 32 bits is no error
+
+
 def test_report_day_is_yesterday_in_business_zone(spark):
     """A run at 16:59:59 UTC is still the same day in UTC+7; at 17:00 it is
     the next day there, so the report day moves with it."""
