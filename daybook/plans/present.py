@@ -1,8 +1,8 @@
 """Engine-neutral presentation of a result for cross-engine comparison.
 
-Decimals become DOUBLE, dates ISO ``yyyy-MM-dd`` text, day-time intervals
-their signed microseconds and binary values upper-case hex; everything else
-is left as is.  Applied only at the very end of a registered query (a projection,
+Decimals become text with all digits of their scale, dates ISO ``yyyy-MM-dd``
+text, day-time intervals their signed microseconds and binary values upper-case
+hex; everything else is left as is.  Applied only at the very end of a registered query (a projection,
 no extra stage); the library functions keep their typed columns.
 """
 
@@ -20,7 +20,7 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = F.replace(F.format_number(c, field.dataType.scale), F.lit(","), F.lit(""))
         elif isinstance(field.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.DayTimeIntervalType):

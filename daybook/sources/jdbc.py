@@ -80,9 +80,12 @@ def bulk_text_load(
     schema: T.StructType,
     sep: str = "|",
     date_format: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a fixed schema; malformed lines keep their text in
-    ``_corrupt_record`` (PERMISSIVE) instead of failing the load."""
+    """Delimited text (a file or a folder of parts) with a fixed schema;
+    malformed lines keep their text in ``_corrupt_record`` (PERMISSIVE) instead
+    of failing the load.  Files are split between tasks; with ``multi_line``
+    (quoted fields may hold line breaks) a task reads a whole part."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = (
         spark.read.schema(full)
@@ -91,7 +94,7 @@ def bulk_text_load(
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", "true")
+        .option("multiLine", str(multi_line).lower())
     )
     if date_format:
         reader = reader.option("dateFormat", date_format)

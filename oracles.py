@@ -4,7 +4,7 @@ Only the driver's tables are registered in DuckDB, so the loan model views are
 inlined as CTEs (``daybook.sources.loan_model.ORACLE_MODEL_CTES``).  The report
 logic is written independently here as plain SQL (the correlated maximum is a
 pre-aggregated join).  Outputs are presented engine-neutrally: amounts as
-DOUBLE, dates as ISO text, integers with explicit widths, matching
+text with their scale, dates as ISO text, integers with explicit widths, matching
 ``daybook.plans.present.comparable`` on the Spark side.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from daybook.functions.decode import DATETIME_PATTERN, INTERVAL_PATTERN, TIME_OF_DAY_PATTERN
 from daybook.params import ReportParams
 from daybook.sources.loan_model import MODEL_ASOF, oracle_model_ctes
 
@@ -198,9 +197,9 @@ y AS (SELECT *, {late('due_ts')} AS due_late FROM x)"""
             "id_pinjaman": "a_uuid",
             "tgl_perjanjian_borrower": fmt("CAST(coalesce(c_statusChangeTime, a_lendingTime) AS DATE)"),
             "tgl_penyaluran_dana": fmt("CAST(a_lendingTime AS DATE)"),
-            "nilai_pendanaan": "CAST(a_amountApply AS DOUBLE)",
+            "nilai_pendanaan": "CAST(CAST(a_amountApply AS DECIMAL(18,2)) AS VARCHAR)",
             "tgl_pelaporan_data": fmt(f"DATE '{self.rep}'"),
-            "sisa_pinjaman_berjalan": f"CAST({self.outstanding()} AS DOUBLE)",
+            "sisa_pinjaman_berjalan": f"CAST({self.outstanding()} AS VARCHAR)",
             "tgl_jatuh_tempo_pinjaman": fmt(self.due_date()),
             "id_kualitas_pinjaman": self.quality(),
             "status_pinjaman_dpd": self.dpd(),
@@ -275,10 +274,6 @@ def export_lines_sql() -> str:
     return r.select(names=[], extra={"line": line}, cols=cols)
 
 
-def export_text_sql() -> str:
-    return f"SELECT string_agg(line || chr(13) || chr(10), '' ORDER BY line) AS text FROM ({export_lines_sql()})"
-
-
 RUNS = f"""runs AS (
   SELECT ts, CAST(ts + INTERVAL 7 HOUR AS DATE) - 1 AS day FROM events),
 state AS (SELECT day, CAST(count(*) AS INTEGER) AS counter FROM runs GROUP BY day)"""
@@ -305,13 +300,19 @@ def _oracles_a_to_h() -> dict[str, str]:
     r = ReportSQL(P)
     o: dict[str, str] = {}
     o["report"] = r.report()
-    o["scan_tables"] = with_model(
-        "n AS (SELECT 'ordOrder' AS table_name, count(*) AS n_rows FROM ordOrder "
-        "UNION ALL SELECT 'usrUser', count(*) FROM usrUser "
-        "UNION ALL SELECT 'ordHistory', count(*) FROM ordHistory "
-        "UNION ALL SELECT 'ordBill', count(*) FROM ordBill "
-        "UNION ALL SELECT 'ordDelayRecord', count(*) FROM ordDelayRecord)"
-    ) + "\nSELECT * FROM n"
+    tables = {
+        "ordOrder": "uuid userUuid disabled status orderType amountApply lendingTime refundTime actualRefundTime updateTime",
+        "usrUser": "uuid realName idCardNo disabled",
+        "ordHistory": "orderId status disabled updateTime statusChangeTime",
+        "ordBill": "orderNo billTerm refundTime billAmout actualRefundTime",
+        "ordDelayRecord": "orderNo delayOrderNo",
+    }
+    scans = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS n_nulls, "
+        f"CAST(sum(CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM {t}"
+        for t, cols in tables.items() for c in cols.split()
+    )
+    o["scan_tables"] = with_model(f"n AS ({scans})") + "\nSELECT * FROM n"
     o["config_lookup"] = """WITH long AS (
   SELECT CAST(c_custkey AS VARCHAR) AS grp, 'name' AS name, c_name AS value FROM customer
   UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'nation', CAST(c_nationkey AS VARCHAR) FROM customer
@@ -324,11 +325,8 @@ FROM long GROUP BY grp"""
     o["scan_snapshot"] = r.select(EXPORT_COLUMNS)
     o["export_projection"] = r.select(EXPORT_COLUMNS, date_fmt=ymd)
     o["export_psv"] = export_lines_sql()
-    o["read_result_text"] = f"SELECT CAST(octet_length(encode(text)) AS BIGINT) AS length, text FROM ({export_text_sql()})"
-    o["attachment_b64"] = (
-        f"SELECT '{P.partner}{REP.strftime('%Y%m%d')}SIK01.csv' AS filename, to_base64(encode(text)) AS content "
-        f"FROM ({export_text_sql()})"
-    )
+    o["read_result_text"] = f"SELECT CAST(octet_length(encode(line)) AS BIGINT) AS length, line AS text FROM ({export_lines_sql()})"
+    o["attachment_b64"] = f"SELECT '{P.partner}{REP.strftime('%Y%m%d')}SIK01.csv' AS filename, line FROM ({export_lines_sql()})"
     o["counter_upsert"] = f"WITH {RUNS}\nSELECT CAST(day AS VARCHAR) AS tgl_pelaporan_data, counter FROM state"
     o["counter_read"] = f"""WITH {RUNS},
 days AS (
@@ -374,11 +372,11 @@ FROM days LEFT JOIN state ON days.day = state.day"""
         "\nSELECT a.a_uuid, c.c_statusChangeTime FROM a LEFT JOIN c ON a.a_uuid = c.c_orderId"
     )
     o["join_bills"] = with_model(r.candidates) + (
-        "\nSELECT a_uuid, d_refundTime, CAST(d_billAmout AS DOUBLE) AS d_billAmout, d1_refundTime, "
+        "\nSELECT a_uuid, d_refundTime, CAST(CAST(d_billAmout AS DECIMAL(18,2)) AS VARCHAR) AS d_billAmout, d1_refundTime, "
         "d1_actualRefundTime, d2_refundTime, d2_actualRefundTime FROM cand"
     )
     o["join_extension"] = with_model(r.candidates) + (
-        "\nSELECT a_uuid, f_status, CAST(f_amountApply AS DOUBLE) AS f_amountApply, f_refundTime, f_actualRefundTime FROM cand"
+        "\nSELECT a_uuid, f_status, CAST(CAST(f_amountApply AS DECIMAL(18,2)) AS VARCHAR) AS f_amountApply, f_refundTime, f_actualRefundTime FROM cand"
     )
     o["max_in_group"] = with_model(r.latest_history.split("c AS")[0].rstrip().rstrip(",")) + (
         "\nSELECT orderId, mx AS maxUpdateTime FROM hmax"
@@ -401,7 +399,7 @@ counts AS (SELECT tgl_pelaporan_data AS d, count(*) AS n FROM hist
            WHERE tgl_pelaporan_data BETWEEN '{WINDOW_FIRST}' AND '{REP}' GROUP BY 1),
 rep AS (SELECT * FROM hist WHERE tgl_pelaporan_data = '{REP}'),
 st AS (SELECT status_pinjaman AS s, count(*) AS n FROM rep GROUP BY 1)
-SELECT 'Terlampir hasil output dari folder out sftp pusdafil.<br /><br />'
+SELECT 'Results of the last report.<br /><br />'
     || '<table style=''width: 30%;'' border=''2'' cellpadding=''1''>'
     || '<tr><th>tanggal</th> <th>count</th></tr>'
     || (SELECT string_agg('<tr><td>' || d || '</td> <td>' || n || '</td></tr>', '' ORDER BY d) FROM counts)
@@ -414,8 +412,11 @@ SELECT 'Terlampir hasil output dari folder out sftp pusdafil.<br /><br />'
 
 
 # ---- I. typed decoding ------------------------------------------------------
-# the accepted text shapes are fixed values of the specification, shared
-DT_P, IV_P, TOD_P = DATETIME_PATTERN, INTERVAL_PATTERN, TIME_OF_DAY_PATTERN
+# The accepted text shapes, stated here on their own.
+_FRACTION = r"(?:.(\d{1,6}))?"
+DT_P = r"^(\d{1,4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{1,2}):(\d{1,2})" + _FRACTION
+IV_P = r"^(-)?(\d{1,3}):(\d{1,2}):(\d{1,2})" + _FRACTION
+TOD_P = r"^(\d{1,2}):(\d{1,2}):(\d{1,2})" + _FRACTION
 
 
 def _g(raw: str, pattern: str, i: int) -> str:
@@ -492,11 +493,12 @@ RAW_COMPACT = """SELECT event_id AS id, CASE event_type
   ELSE strftime(ts, '%Y%m%d%H%M%S') END AS raw FROM events"""
 
 RAW_NUMERIC = """SELECT o_orderkey AS id, CASE o_orderpriority
-  WHEN '1-URGENT' THEN printf('%.2f', o_totalprice) || 'x'
-  WHEN '2-HIGH' THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
-  WHEN '3-MEDIUM' THEN '  ' || printf('%.2f', o_totalprice) || ' '
-  WHEN '4-NOT SPECIFIED' THEN ''
-  ELSE printf('%.2f', o_totalprice) END AS raw FROM orders"""
+  WHEN '1-URGENT' THEN printf('%.2f', o_totalprice) || CASE o_orderkey % 3 WHEN 0 THEN 'x' WHEN 1 THEN 'd' ELSE '' END
+  WHEN '2-HIGH' THEN CASE o_orderkey % 3 WHEN 0 THEN CAST(9223372036854775807 + CAST(o_orderkey % 2 AS HUGEINT) AS VARCHAR)
+    ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END
+  WHEN '3-MEDIUM' THEN '  ' || printf('%.2f', o_totalprice) || CASE o_orderkey % 2 WHEN 0 THEN '0123456789012 ' ELSE ' ' END
+  WHEN '4-NOT SPECIFIED' THEN CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '123456789012345678901234567890' || '.5' ELSE '0.' || repeat('1', 20) END
+  ELSE printf('%.2f', o_totalprice) || CASE o_orderkey % 2 WHEN 0 THEN 'e1' ELSE '' END END AS raw FROM orders"""
 
 
 def _oracles_i() -> dict[str, str]:
@@ -528,12 +530,20 @@ def _oracles_i() -> dict[str, str]:
 FROM (SELECT page_id AS id,
              list_sort(list_distinct(string_split(regexp_replace(url, '[/?#&=.:]+', ',', 'g'), ','))) AS m
       FROM pages)"""
-    o["decode_numeric"] = f"""SELECT id, raw,
-  CASE WHEN regexp_matches(raw, '^\\s*[+-]?[0-9]+\\s*$') THEN CAST(trim(raw) AS BIGINT) END AS as_int,
-  TRY_CAST(raw AS DOUBLE) AS as_float,
-  CAST(TRY_CAST(raw AS DECIMAL(38,10)) AS DOUBLE) AS as_decimal,
-  CASE WHEN TRY_CAST(raw AS DOUBLE) IS NULL THEN raw END AS reject
-FROM ({RAW_NUMERIC})"""
+    number = r"'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
+    # Exact in 38 digits, 18 of them after the point; all exponents here are 1.
+    power = "CASE WHEN raw LIKE '%e1%' THEN 1 ELSE 0 END"
+    before = r"length(regexp_extract(trim(raw), '^[+-]?0*([0-9]*)', 1))"
+    after = r"length(regexp_replace(regexp_extract(trim(raw), '\.([0-9]*)', 1), '0+$', ''))"
+    exact = f"regexp_matches(raw, {number}) AND {before} + {power} <= 20 AND {after} - {power} <= 18"
+    mantissa = "CAST(trim(regexp_replace(raw, 'e1', '')) AS DECIMAL(38,18))"
+    o["decode_numeric"] = f"""SELECT *, CASE WHEN as_decimal IS NULL OR (whole AND as_int IS NULL) THEN raw END AS reject FROM (
+SELECT id, raw, regexp_matches(raw, '^\\s*[+-]?[0-9]+\\s*$') AS whole,
+  CASE WHEN regexp_matches(raw, '^\\s*[+-]?[0-9]+\\s*$') THEN TRY_CAST(trim(raw) AS BIGINT) END AS as_int,
+  CASE WHEN regexp_matches(raw, {number}) THEN TRY_CAST(trim(raw) AS DOUBLE) END AS as_float,
+  CASE WHEN {exact} THEN CAST(CASE WHEN {power} = 1 THEN CAST({mantissa} * 10 AS DECIMAL(38,18)) ELSE {mantissa} END AS VARCHAR) END AS as_decimal
+FROM ({RAW_NUMERIC}))"""
+    o["decode_numeric"] = f"SELECT id, raw, as_int, as_float, as_decimal, reject FROM ({o['decode_numeric']})"
     o["decode_charset"] = """SELECT id, charset, value,
   CASE WHEN charset = 'binary' THEN hex(encode(text)) END AS "binary",
   CASE WHEN charset <> 'binary' AND value IS NULL THEN hex(encode(text)) END AS reject
@@ -568,10 +578,10 @@ UNION ALL SELECT 'documents', doc_id, text FROM documents"""
 
 
 def _oracles_l() -> dict[str, str]:
-    from daybook.functions.protect import _pads
     from daybook.plans.catalog import HMAC_KEY, TOKEN_EPOCH, TOKEN_NOW, TOKEN_TTL
 
-    ipad, opad = (p.hex() for p in _pads(HMAC_KEY))
+    padded = HMAC_KEY.ljust(64, b"\0")  # shorter than a block
+    ipad, opad = (bytes(b ^ x for b in padded).hex() for x in (0x36, 0x5C))
     mac = f"sha256(from_hex('{opad}') || from_hex(sha256(from_hex('{ipad}') || encode(value))))"
     now = int(dt.datetime.fromisoformat(TOKEN_NOW).replace(tzinfo=dt.timezone.utc).timestamp())
     secs = "CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT)"
@@ -625,14 +635,12 @@ FROM (SELECT page_id, i, array_to_string(parts[1:i], '/') AS ancestor
       FROM (SELECT page_id, parts, unnest(generate_series(1, len(parts))) AS i
             FROM (SELECT page_id, string_split(host || path, '/') AS parts FROM ({PAGE_PATHS}))))
 WHERE ancestor <> ''"""
-    o["manifest_reconcile"] = """SELECT 'host=' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS relative_path,
-  CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS source_size,
-  CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS target_size, 'ok' AS status
-FROM pages GROUP BY 1"""
-    o["file_inventory"] = (
-        f"SELECT '{P.partner}{REP.strftime('%Y%m%d')}SIK01.csv' AS relative_path, "
-        f"CAST(sum(octet_length(encode(line)) + 2) AS BIGINT) AS size FROM ({export_lines_sql()})"
-    )
+    hosts = "SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS size FROM pages GROUP BY 1"
+    o["file_inventory"] = f"SELECT 'host=' || host AS relative_path, size FROM ({hosts})"
+    o["manifest_reconcile"] = f"""WITH h AS (SELECT *, length(host) % 5 AS kind FROM ({hosts}))
+SELECT 'host=' || host AS relative_path, CASE WHEN kind = 0 THEN NULL WHEN kind = 1 THEN size + 1 ELSE size END AS source_size,
+  size AS target_size, CASE kind WHEN 0 THEN 'extra' WHEN 1 THEN 'size_mismatch' ELSE 'ok' END AS status FROM h
+UNION ALL SELECT 'host=' || host || '.gone', size, NULL, 'missing' FROM h WHERE kind = 2"""
     n = 4096
     o["block_digests"] = f"""SELECT doc_id, CAST(b AS INTEGER) AS block,
   sha1(from_hex(substring(h, b * {2 * n} + 1, {2 * n}))) AS digest

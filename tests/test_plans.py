@@ -1,10 +1,12 @@
 """Plan shape: what the physical plans of the registered queries must (not) contain."""
 
 import pytest
+from pyspark.errors import PySparkException
 
 import __spark_entry__ as entry
 from conftest import SF001
 from daybook.params import ReportParams
+from daybook.plans.catalog import QUERIES
 from daybook.plans.report import build_report
 from daybook.sources.config import config_lookup
 from daybook.sources.loan_model import loan_tables
@@ -16,9 +18,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_rows_and_no_pair_explosion(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF001))
+    plan = plan_of(QUERIES[name](spark, SF001))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op} in plan"
 
@@ -42,11 +44,22 @@ def test_report_shuffles_the_order_side_once_at_scale(spark):
 
 
 def test_config_lookup_collapses_copies(spark):
-    long = spark.createDataFrame(
-        [("g", "a", "1")] * 50 + [("g", "a", "2"), ("g", "b", "x"), ("h", "a", "y")], "group string, name string, value string"
-    )
-    got = {r["group"]: dict(r["attributes"]) for r in config_lookup(long).collect()}
-    assert got == {"g": {"a": "2", "b": "x"}, "h": {"a": "y"}}
+    rows = [("g", "a", "1", i) for i in range(50)] + [("g", "a", "0", 99), ("g", "b", "x", 1), ("h", "a", "y", 1)]
+    long = spark.createDataFrame(rows, "group string, name string, value string, at int")
+    got = {r["group"]: dict(r["attributes"]) for r in config_lookup(long, "at").collect()}
+    assert got == {"g": {"a": "0", "b": "x"}, "h": {"a": "y"}}  # the last value of a name
+    got = {r["group"]: dict(r["attributes"]) for r in config_lookup(long.where("at < 60")).collect()}
+    assert got == {"g": {"a": "1", "b": "x"}, "h": {"a": "y"}}
+    with pytest.raises(PySparkException, match="conflicting values of attribute a in group g"):
+        config_lookup(long).collect()
+
+
+@pytest.mark.parametrize("name", ["filter_report_day", "filter_last_7_days", "daily_counts", "order_by_ordinal"])
+def test_history_queries_read_the_stored_snapshot(spark, name):
+    """One pruned scan of the written table; no report is rebuilt."""
+    plan = plan_of(QUERIES[name](spark, SF001))
+    assert "PartitionFilters: [isnotnull(tgl_pelaporan_data" in plan
+    assert "Join" not in plan and plan.count("FileScan") == 1
 
 
 def test_filters_reach_the_scans_of_stored_tables(spark):
