@@ -11,7 +11,9 @@ Fan-out of the original SQL is kept: tied latest history rows, duplicate bills
 per term and several delay records per order each yield extra report rows.
 Identical copies of history rows and delay records are counted before the
 joins (partial aggregates, so a copy group never crosses a shuffle whole) and
-their rows repeated after the joins (``expand_copies``).
+their rows repeated after the joins (``expand_copies``).  Different tied rows
+of one order (not copies) meet in that order's task; the sort-merge join
+streams and spills them, but AQE cannot split the right side of a left join.
 """
 
 from __future__ import annotations
@@ -78,15 +80,27 @@ def join_latest_history(rows: DataFrame, latest: DataFrame) -> DataFrame:
 COPY_COLUMNS = ("c_copies", "e_copies")
 
 
-def expand_copies(rows: DataFrame) -> DataFrame:
+CHUNK_COPIES = 1 << 16
+
+
+def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES) -> DataFrame:
     """Repeat each row by the copies of its history and delay-record matches
     (1 without a match): the fan-out of identical rows, restored after the
-    joins.  Copies of two joined sides multiply, as the joins would."""
+    joins.  Copies of two joined sides multiply, as the joins would.
+
+    Two steps: a row becomes one row per ``chunk`` copies, then each of these
+    its copies, so arrays stay short (the chunk's length, and the count over it)
+    and any 64-bit count works.  Rows of one task stream out one by one."""
     present = [c for c in COPY_COLUMNS if c in rows.columns]
-    n = F.lit(1)
+    n = F.lit(1).cast("bigint")
     for c in present:
-        n = n * F.coalesce(F.col(c), F.lit(1))
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int")))).drop("_copy", *present)
+        n = n * F.coalesce(F.col(c), F.lit(1)).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    counted = rows.withColumn("_n", n)
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / F.lit(chunk)).cast("bigint"))
+    left = F.least(F.lit(chunk).cast("bigint"), F.col("_n") - F.col("_chunk") * chunk)
+    chunked = counted.withColumn("_chunk", F.explode(chunks))
+    return chunked.withColumn("_copy", F.explode(F.sequence(one, left))).drop("_n", "_chunk", "_copy", *present)
 
 
 # ---- bills -----------------------------------------------------------------

@@ -6,8 +6,7 @@
   is ever pasted into SQL text.
 * ``page``: a page of rows in a total order.  Spark plans
   ``orderBy + offset + limit`` as a per-task top-(offset + size) followed by a
-  merge, so memory is bounded by the page end, not by the table.  ``Pager``
-  keeps a cursor position on the driver (the position only, never rows).
+  merge, so memory is bounded by the page end, not by the table.
   ``page_after`` pages by key instead (bounded by the page size alone).
 * ``dedupe_columns``: after a join, a repeated column name keeps its name for
   the first column; later ones become ``table.name`` and further clashes are
@@ -78,33 +77,6 @@ def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
     return rows.orderBy(key).limit(size)
 
 
-class Pager:
-    """fetchone / fetchmany / scroll over an ordered DataFrame.  Only the
-    position lives on the driver; each fetch runs one bounded query."""
-
-    def __init__(self, df: DataFrame, order: Sequence[str | Column]):
-        self.df, self.order, self.pos = df, list(order), 0
-
-    def fetchmany(self, n: int) -> DataFrame:
-        out = page(self.df, self.order, self.pos, n)
-        self.pos += n
-        return out
-
-    def fetchone(self) -> DataFrame:
-        return self.fetchmany(1)
-
-    def scroll(self, value: int, mode: str = "relative") -> None:
-        if mode == "relative":
-            target = self.pos + value
-        elif mode == "absolute":
-            target = value
-        else:
-            raise ValueError(f"unknown scroll mode {mode!r}")
-        if target < 0:
-            raise IndexError("out of range")
-        self.pos = target
-
-
 def unique_names(names: Sequence[str], tables: Sequence[str]) -> list[str]:
     """First occurrence keeps the name; later ones ``table.name``; clashes of
     those get ``_2``, ``_3``, ..."""

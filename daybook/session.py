@@ -67,8 +67,9 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    directory).  Only when nothing is configured (local tests) a fresh scratch
-    folder is created and registered as the checkpoint directory.
+    directory).  Only in local mode, when nothing is configured, a fresh scratch
+    folder is created and registered as the checkpoint directory; on a cluster
+    a folder of one machine would be incomplete, so that is an error.
     """
     sc = spark.sparkContext
     root = None
@@ -84,6 +85,8 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        if not str(sc.master).split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="daybook-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
