@@ -6,7 +6,7 @@ import random
 import pytest
 
 from daybook.llm import decontam as dc
-from tests.llm.conftest import EDGES, docs_of
+from llm_cases import EDGES, docs_of, edges, no_docs  # noqa: F401
 
 
 def bench_of(spark, items):

@@ -3,7 +3,7 @@
 import random
 
 from daybook.llm import licenses as lc
-from tests.llm.conftest import EDGES, docs_of
+from llm_cases import EDGES, docs_of, edges, no_docs  # noqa: F401
 
 
 def brute(text):

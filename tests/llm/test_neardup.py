@@ -9,7 +9,7 @@ import pytest
 from conftest import SF001
 from daybook.llm import neardup as nd
 from daybook.llm.decontam import words_of
-from tests.llm.conftest import docs_of
+from llm_cases import docs_of, edges, no_docs  # noqa: F401
 
 
 def multiset(words, size=5):

@@ -8,7 +8,7 @@ import string
 import pytest
 
 from daybook.llm import pseudonyms as ps
-from tests.llm.conftest import EDGES, docs_of
+from llm_cases import EDGES, docs_of, edges, no_docs  # noqa: F401
 
 KEY = b"test key"
 

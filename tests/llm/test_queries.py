@@ -36,7 +36,7 @@ def test_stages_keep_the_columns_of_documents(spark, stages):
 
 
 def test_language_stage_rejects_texts_without_a_language(spark, stages):
-    from tests.llm.conftest import docs_of
+    from llm_cases import docs_of
 
     docs = stages[0][1].unionByName(docs_of(spark, [None, "", "123 456"], [9001, 9002, 9003]))
     kept = {r.doc_id for r in corpus_pipeline.identify(spark, docs, SF001).collect()}
@@ -44,7 +44,7 @@ def test_language_stage_rejects_texts_without_a_language(spark, stages):
 
 
 def test_near_duplicate_stage_keeps_one_of_each_class(stages):
-    from tests.llm.test_neardup import brute_classes
+    from test_neardup import brute_classes
 
     _, docs, out = stages[1]
     want = brute_classes([(r.doc_id, r.text) for r in docs.collect()])
@@ -52,7 +52,7 @@ def test_near_duplicate_stage_keeps_one_of_each_class(stages):
 
 
 def test_decontamination_stage_drops_what_the_rule_says(spark, stages):
-    from tests.llm.test_decontam import brute
+    from test_decontam import brute
 
     _, docs, out = stages[2]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]

@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SF01
 from daybook.llm import sharding as sh
-from tests.llm.conftest import EDGES, docs_of
+from llm_cases import EDGES, docs_of, edges, no_docs  # noqa: F401
 
 
 @pytest.fixture(scope="module")
