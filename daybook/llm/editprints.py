@@ -32,12 +32,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import mix, table, text_hash, written
-from .neardup import linked
+from .neardup import Same, linked
 
 WINDOW = 512  # a multiple of 4
 SLOTS = 256
@@ -240,32 +240,37 @@ def compare_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return rows.select("halo", "place", "id", "text").mapInArrow(task, schema)
 
 
-def edit_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: float = 0.1, bands: int = 32, rows: int = 8) -> DataFrame:
+def edit_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: float = 0.1, bands: int = 42, rows: int = 6) -> DataFrame:
     """One row per document: ``id``, ``hash``, ``class_id`` (least id): texts
     linked by edit distances of at most ``max_edits`` times the longer length.
     Digits are sampled into bands; a pair of fingerprints that agree on a share
-    s of digits meets in one with probability 1 - (1 - s^rows)^bands."""
+    s of digits meets in one with probability 1 - (1 - s^rows)^bands.  One walk
+    can, rarely, take long to meet again after an edit; such a pair is missed."""
     prints = written(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     pick = np.random.default_rng(61).permutation(SLOTS)
-    keys = [F.xxhash64(F.lit(b), *[F.substring("fingerprint", int(p) + 1, 1) for p in pick[b * rows : (b + 1) * rows]]) for b in range(min(bands, SLOTS // rows))]
-    node = F.unhex(F.md5(F.concat_ws("|", F.hex("hash"), "fingerprint")))
-    tagged = prints.withColumn("node", node)
+    bands = min(bands, SLOTS // rows)
+    keys = [F.xxhash64(F.lit(b), *[F.substring("fingerprint", int(p) + 1, 1) for p in pick[b * rows : (b + 1) * rows]]) for b in range(bands)]
+    # A text stands for its copies; numbers are given as they are written.
     nodes = written(
-        tagged.groupBy("node").agg(F.min("hash").alias("hash"), F.first("fingerprint").alias("fingerprint"), F.count("*").alias("copies"))
-        .select("node", "hash", F.lit(1).cast("bigint").alias("weight"), "copies", F.encode("fingerprint", "UTF-8").alias("signature"), F.array(*keys).alias("bands")),
+        prints.groupBy("hash").agg(F.first("fingerprint").alias("fingerprint"), F.count("*").alias("copies"), F.min("id").alias("id"))
+        .select(F.monotonically_increasing_id().alias("node"), "id", "hash", F.lit(1).cast("bigint").alias("weight"), "copies", "fingerprint", F.array(*keys).alias("bands")),
         "prints",
     )
-    texts = docs.select(text_hash(docs[text_col]).alias("hash"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    # Digits in band order, two bytes each, as the block step reads them.
+    wide = F.array_join(F.transform(F.array(*[F.lit(int(p) + 1) for p in pick[: bands * rows]]), lambda p: F.concat(F.lit("0"), F.substr("fingerprint", p, F.lit(1)), F.lit("00"))), "")
+    texts = docs.select(text_hash(docs[text_col]).alias("hash"), F.coalesce(docs[text_col], F.lit("")).alias("payload"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "hash"), "node")
-        known = written(texts.join(wanted, "hash").select("node", "text").dropDuplicates(["node"]), "edit-texts")
-        both = pairs.join(known.withColumnsRenamed({"node": "a", "text": "text_a"}), "a").join(known.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
-        most = F.floor(F.greatest(F.length("text_a"), F.length("text_b")) * max_edits).cast("int")
-        return both.withColumn("most", most).where("abs(length(text_a) - length(text_b)) <= most AND levenshtein(text_a, text_b) <= most").select("a", "b")
+    def payload_of(wanted: DataFrame) -> DataFrame:
+        return texts.join(wanted.select("node", "hash"), "hash").select("node", "payload").dropDuplicates(["node"])
+
+    def near(a: Column, b: Column) -> Column:
+        most = F.floor(F.greatest(F.length(a), F.length(b)) * max_edits).cast("int")
+        return (F.abs(F.length(a) - F.length(b)) <= most) & (F.levenshtein(a, b) <= most)
 
     # Edits of a share d leave about 1 - 3 d of the walk in place.
-    comps = written(linked(nodes, verify, 0.0, max(0.0, 1 - 5 * max_edits), "u1"), "edit-components")
+    signed = nodes.withColumn("signature", F.unhex(wide)).drop("fingerprint")
+    comps = written(linked(signed, payload_of, Same(native=near), rows=rows, threshold=0.0, floor=max(0.0, 1 - 5 * max_edits)), "edit-components")
+    tagged = prints.join(nodes.select("node", "hash"), "hash")
     labelled = tagged.join(comps, "node", "left").select("id", "hash", F.coalesce("comp", "node").alias("comp"))
     least = labelled.groupBy("comp").agg(F.min("id").alias("class_id"))
     return labelled.join(least, "comp").select("id", "hash", "class_id")

@@ -17,9 +17,10 @@ a partial aggregate):
 2. each bucket's members are compared with one leader (a star, not all pairs)
    by the exact similarity of the whole shingle sets;
 3. classes are the connected components of the verified links;
-4. buckets whose members still belong to different classes are cut into blocks
-   of bounded size; block pairs are compared by signature in numpy, and the
-   close pairs of different classes are verified exactly as well;
+4. buckets whose other members still belong to different classes are cut into
+   blocks of bounded size; a task takes two blocks, finds pairs of different
+   classes whose signatures are close, each pair in the first band it shares,
+   and verifies them exactly; one link per pair of classes is enough;
 5. components again, over all links.
 
 Every link between texts that share a bucket is thus found up to the signature
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,15 @@ BANDS, ROWS = 32, 6
 MARGIN = 4  # standard deviations below the threshold that step 4 still verifies
 BLOCK = 256
 
+@dataclass
+class Same:
+    """Decides whether two payloads are near: a function of two values, or a
+    native condition on two columns."""
+
+    python: Callable | None = None
+    native: Callable | None = None
+
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 # Cumulative probabilities of Poisson(1), to the precision of a 64-bit hash.
 _POISSON = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880, 3628800, 39916800, 479001600)])
@@ -146,7 +157,7 @@ def _word_lists(texts: list[bytes | None]):
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     """Per row: ``id``, ``hash``, ``node`` (its word sequence, 16 bytes; null
-    for a null text), ``weight``, ``signature`` (32-bit values) and ``bands``."""
+    for a null text), ``weight``, ``signature`` (16-bit values) and ``bands``."""
     source = docs.select(docs[id_col].alias("id"), text_hash(docs[text_col]).alias("hash"), docs[text_col].alias("text"))
     k = bands * rows
 
@@ -165,7 +176,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
                 out["node"].append(b"".join(int(mix(words ^ mix(place * p)).sum(dtype=np.uint64) + n & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") for p in (_GOLD, np.uint64(0xD1B54A32D192ED03))))
                 signature = dart_minhash(*shingles(words), k)
                 out["weight"].append(max(1, n - SHINGLE + 1))
-                out["signature"].append((signature & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
+                out["signature"].append((signature & np.uint64(0xFFFF)).astype("<u2").tobytes())
                 out["bands"].append(band_keys(signature, bands, rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out["node"], pa.binary()), pa.array(out["weight"], pa.int64()), pa.array(out["signature"], pa.binary()), pa.array(out["bands"], pa.list_(pa.int64()))],
@@ -176,31 +187,39 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
     return source.mapInArrow(task, schema)
 
 
-def _verified(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes with exact similarity ``threshold`` or more."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(nodes.select("node", "id", "hash"), "node").withColumnsRenamed({"id": "want_id", "hash": "want_hash"})
-    source = docs.select(docs[id_col].alias("id"), text_hash(docs[text_col]).alias("hash"), docs[text_col].alias("text"))
-    found = source.join(wanted, F.col("id").eqNullSafe(F.col("want_id")) & (F.col("hash") == F.col("want_hash"))).select("node", "text")
+def _judged(pairs: DataFrame, payload: DataFrame, same: Same) -> DataFrame:
+    """The pairs (a, b) of nodes whose payloads ``same`` accepts."""
+    both = (
+        pairs.join(payload.withColumnsRenamed({"node": "a", "payload": "left"}), "a")
+        .join(payload.withColumnsRenamed({"node": "b", "payload": "right"}), "b")
+        .select("a", "b", "left", "right")
+    )
+    if same.native:
+        return both.where(same.native(F.col("left"), F.col("right"))).select("a", "b")
+    decide = same.python
 
     def task(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(*shingles(w)) for w in _word_lists(texts)], pa.binary())], names=["node", "set"])
+            keep = [decide(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = written(found.mapInArrow(task, "node binary, set binary").dropDuplicates(["node"]), "shingle-sets")
-    both = (
-        pairs.join(sets.withColumnsRenamed({"node": "a", "set": "set_a"}), "a")
-        .join(sets.withColumnsRenamed({"node": "b", "set": "set_b"}), "b")
-        .select("a", "b", "set_a", "set_b")
-    )
+    return both.mapInArrow(task, "a bigint, b bigint")
+
+
+def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """(node, payload): packed shingle sets of the rows ``wanted`` (node, id,
+    hash), which stand for their texts."""
+    wanted = wanted.withColumnsRenamed({"id": "want_id", "hash": "want_hash"})
+    source = docs.select(docs[id_col].alias("id"), text_hash(docs[text_col]).alias("hash"), docs[text_col].alias("text"))
+    found = source.join(wanted, F.col("id").eqNullSafe(F.col("want_id")) & (F.col("hash") == F.col("want_hash"))).select("node", "text")
 
-    def judge(batches):
+    def task(batches):
         for batch in batches:
-            keep = [similarity(x.as_py(), y.as_py()) >= threshold for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(*shingles(w)) for w in _word_lists(texts)], pa.binary())], names=["node", "payload"])
 
-    return both.mapInArrow(judge, "a binary, b binary")
+    # Rows that repeat an id and text give the same set.
+    return found.mapInArrow(task, "node bigint, payload binary").dropDuplicates(["node"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,59 +254,99 @@ def _star_input(links: DataFrame) -> DataFrame:
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
 
 
-def _close_blocks(members: DataFrame, floor: float, values: str) -> DataFrame:
-    """Pairs (a, b) of different classes inside a bucket whose signatures agree
-    on a share of ``floor`` or more.  ``members``: key, size, node, comp,
-    signature (packed ``values``).  A bucket is cut into blocks by a hash of the
-    node; every block goes once to each block of its bucket, so no task holds
-    more than two blocks."""
-    chunked = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    blocks = chunked.groupBy("key", "block").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("node", "comp", "signature")).alias("rows"))
-    sent = blocks.select("key", "block", "rows", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = (
-        sent.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rows")
-        .groupBy("key", "lo", "hi")
-        .agg(F.collect_list("rows").alias("sides"))
-    )
+def _block_links(members: DataFrame, rows: int, floor: float, decide: Callable | None) -> DataFrame:
+    """Pairs (a, b) of different classes inside a bucket, in the first band
+    they share, whose signatures agree on a share of ``floor`` or more and that
+    ``decide`` accepts (None: all of them).  ``members``: key, band, size,
+    major, node, comp, signature, payload; nodes of the bucket's ``major``
+    class are compared with the others only.
+
+    Both kinds are cut into blocks by a hash of the node.  A block of others
+    goes to every block of its bucket, a block of the major class to every
+    block of others, so tasks hold two blocks and most rows are sent once."""
+    other = F.col("comp") != F.col("major")
+    sized = members.withColumns({"other": other, "n_other": F.ceil(F.col("others") / BLOCK).cast("int"), "n_major": F.ceil((F.col("size") - F.col("others")) / BLOCK).cast("int")})
+    block = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.when(F.col("other"), F.col("n_other")).otherwise(F.col("n_major")))).cast("int")
+    packed = sized.withColumn("block", block).groupBy("key", "other", "block").agg(
+        F.first("band").alias("band"), F.first("n_other").alias("n_other"), F.first("n_major").alias("n_major"),
+        F.collect_list(F.struct("node", "comp", "signature", "payload")).alias("rows"),
+    )
+    # Meetings: (others i, others j >= i) and (others i, major j).
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    none = F.array().cast("array<struct<kind:int,i:int,j:int>>")
+    meet = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    mine = F.col("block")
+    with_others = F.transform(upto(F.col("n_other")), lambda x: meet(0, F.least(x, mine), F.greatest(x, mine)))
+    with_major = F.when(F.col("n_major") > 0, F.transform(upto(F.col("n_major")), lambda x: meet(1, mine, x))).otherwise(none)
+    as_major = F.transform(upto(F.col("n_other")), lambda x: meet(1, x, mine))
+    sent = packed.select("key", "band", "rows", F.explode(F.when(F.col("other"), F.concat(with_others, with_major)).otherwise(as_major)).alias("meeting"))
+    met = sent.groupBy("key", "meeting").agg(F.first("band").alias("band"), F.collect_list("rows").alias("sides"))
 
     def task(batches):
         for batch in batches:
-            for sides in batch.column(0):
-                sides = [[(x["node"], x["comp"], np.frombuffer(x["signature"], values)) for x in side] for side in sides.as_py()]
+            for band, sides in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sides = [[(x["node"], x["comp"], np.frombuffer(x["signature"], "<u2"), x["payload"]) for x in side] for side in sides.as_py()]
                 left, right = sides[0], sides[-1]
-                signatures = np.array([s for _, _, s in right])
-                comps = np.array([c for _, c, _ in right], object)
+                signatures = np.array([s for _, _, s, _ in right])
+                comps = np.array([c for _, c, _, _ in right])
+                joined: dict[int, int] = {}
+
+                def root(c, joined=joined):
+                    while c in joined:
+                        c = joined[c]
+                    return c
+
                 a, b = [], []
-                for node, comp, signature in left:
-                    for j in np.flatnonzero(((signatures == signature).mean(1) >= floor) & (comps != comp)):
+                for node, comp, signature, payload in left:
+                    agree = signatures == signature
+                    first = agree.reshape(len(right), -1, rows).all(2).argmax(1) == band
+                    for j in np.flatnonzero((agree.mean(1) >= floor) & (comps != comp) & first):
+                        x, y = root(comp), root(int(comps[j]))
+                        if decide is not None and (x == y or not decide(payload, right[j][3])):
+                            continue
+                        if decide is not None:
+                            joined[x] = y
                         a.append(max(node, right[j][0]))
                         b.append(min(node, right[j][0]))
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return paired.select("sides").mapInArrow(task, "a binary, b binary").distinct()
-
-
-def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], threshold: float, floor: float, values: str = "<u4") -> DataFrame:
-    """(node, comp) of the nodes that ``verify`` links to others, steps 2 to 5
-    above.  ``nodes``: node, weight, copies, signature, bands; texts whose
-    weights differ by more than ``threshold`` allows are not compared."""
-    buckets = nodes.select("node", "weight", "copies", F.explode("bands").alias("key"))
-    rank = F.struct("copies", F.xxhash64("node").alias("order"), "node", "weight")
-    leaders = buckets.groupBy("key").agg(F.max(rank).alias("leader"), F.count("*").alias("size")).where("size > 1")
-    buckets = written(buckets.join(leaders, "key").select("key", "size", "node", "weight", "leader"), "buckets")
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.select("band", "sides").mapInArrow(task, "a bigint, b bigint").distinct()
+
+
+def linked(nodes: DataFrame, payload_of: Callable[[DataFrame], DataFrame], same: Same, *, rows: int, threshold: float, floor: float) -> DataFrame:
+    """(node, comp) of the nodes that are linked to others, steps 2 to 5 above.
+    ``nodes``: node (a number), id, hash, weight, copies, signature (16-bit
+    values) and bands; ``payload_of`` gives (node, payload) of the nodes that
+    share a bucket; texts whose weights differ by more than ``threshold``
+    allows are not compared."""
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    buckets = written(buckets.join(shared, "key").select("key", "band", "size", "node"), "buckets")
+    facts = nodes.select("node", "id", "hash", "weight", "copies")
+    payload = written(payload_of(buckets.select("node").distinct().join(facts.select("node", "id", "hash"), "node")), "payload")
+    known = buckets.join(facts.select("node", "weight", "copies"), "node")
+    leaders = known.groupBy("key").agg(F.max(F.struct("copies", F.xxhash64("node").alias("order"), F.col("node").alias("leader"), F.col("weight").alias("leader_weight"))).alias("top"))
+    known = written(known.join(leaders.select("key", "top.leader", "top.leader_weight"), "key"), "led")
     stars = (
-        buckets.where(F.col("node") != F.col("leader.node"))
-        .where(F.least("weight", "leader.weight") >= threshold * F.greatest("weight", "leader.weight"))
-        .select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
+        known.where(F.col("node") != F.col("leader"))
+        .where(F.least("weight", "leader_weight") >= threshold * F.greatest("weight", "leader_weight"))
+        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    links = written(verify(written(stars, "stars")), "verified")
+    links = written(_judged(stars, payload, same), "star-links")
     first = written(components(links), "components")
-    members = written(buckets.join(first, "node", "left").select("key", "size", "node", F.coalesce("comp", "node").alias("comp")), "members")
-    open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    unresolved = members.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
-    more = written(_close_blocks(unresolved, floor, values), "block-pairs")
-    return components(links.unionByName(verify(more)))
+    # What the leader has met is done: the others of a bucket of three or more.
+    rest = known.where("size > 2 AND node != leader").join(first, "node", "left").select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))
+    rest = written(rest, "members")
+    per_comp = rest.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    open_keys = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("comps")).where("comps > 1")
+    open_keys = open_keys.select("key", "size", F.col("top.comp").alias("major"), (F.col("size") - F.col("top.n")).alias("others"))
+    members = rest.join(open_keys, "key").join(nodes.select("node", "signature"), "node")
+    if same.python:
+        more = _block_links(members.join(payload, "node"), rows, floor, same.python)
+    else:
+        more = _judged(_block_links(members.withColumn("payload", F.lit(None).cast("binary")), rows, floor, None), payload, same)
+    return components(links.unionByName(written(more, "block-links")))
 
 
 def classes(
@@ -298,20 +357,22 @@ def classes(
     row of each class: least id, then least hash)."""
     rowwise = written(sketches(docs, id_col, text_col, bands, rows), "sketches")
     # Distinct texts; the row that stands for a text is the one of least id.
+    # They are numbered as they are written, so the numbers stay.
     nodes = written(
         rowwise.where("weight IS NOT NULL").groupBy("node")
         .agg(F.min(F.struct("id", "hash")).alias("row"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-        .select("node", "row.id", "row.hash", "copies", "weight", "signature", "bands"),
+        .select(F.monotonically_increasing_id().alias("number"), "node", "row.id", "row.hash", "copies", "weight", "signature", "bands"),
         "texts",
     )
     floor = threshold - MARGIN * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    final = written(linked(nodes, lambda pairs: _verified(docs, id_col, text_col, nodes, pairs, threshold), threshold, floor), "components")
-    labelled = rowwise.select("id", "hash", "node").join(final, "node", "left").select(
-        "id", "hash",
-        # A null text is a class of its own row: it has no node to share.
-        F.when(F.col("node").isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))).otherwise(F.hex(F.coalesce("comp", "node"))).alias("class"),
-    )
-    labelled = written(labelled, "labelled")
+    same = Same(python=lambda a, b: similarity(a, b) >= threshold)
+    numbered = nodes.drop("node").withColumnRenamed("number", "node")
+    comps = linked(numbered, lambda wanted: _shingle_sets(docs, id_col, text_col, wanted), same, rows=rows, threshold=threshold, floor=floor)
+    named = written(nodes.select("number", "node").join(comps.withColumnRenamed("node", "number"), "number").select("node", "comp"), "components")
+    # A null text is a class of its own row: it has no node to share.
+    alone = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
+    label = F.when(F.col("comp").isNotNull(), F.col("comp").cast("string")).when(F.col("node").isNotNull(), F.hex("node")).otherwise(alone)
+    labelled = written(rowwise.select("id", "hash", "node").join(named, "node", "left").select("id", "hash", label.alias("class")), "labelled")
     # One of several rows with the same id and text is kept: the first of its group.
     groups = labelled.groupBy("class").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("class_size"))
     return labelled.join(groups, "class").select(
