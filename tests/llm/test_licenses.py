@@ -38,7 +38,7 @@ def test_equals_brute_force_over_damaged_notices(spark):
 
 
 def test_known_notices(spark):
-    got = found(spark, ["Prose.\nLicensed under the Apache License, Version 2.0.", "RELEASED UNDER THE MIT LICENSE!", "Licensed under CC BY-NC 4.0", "the license plate of a car", "MIT"])
+    got = found(spark, ["Some words of prose before it.\nLicensed under the Apache License, Version 2.0.", "RELEASED UNDER THE MIT LICENSE!", "Licensed under CC BY-NC 4.0", "the license plate of a car", "MIT"])
     assert [[m[0] for m in got[i]] for i in range(5)] == [["Apache-2.0"], ["MIT"], ["CC-BY-NC-4.0"], [], []] and got[0][0][1:3] == (1, 1)
 
 
