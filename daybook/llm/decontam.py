@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from .common import WordHasher, steps, table, text_hash, written
 
 WINDOW = 13
+ONE_IN = 20
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 8 << 20  # benchmark text held by the driver at once
 
@@ -325,11 +326,11 @@ def proximity_matches(spark: SparkSession, docs: DataFrame, queries: list[str],
 
 def contamination(
     spark: SparkSession, docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", bench_text_col: str = "text", window: int = WINDOW, min_share: float = 0.05, block_bytes: int = BLOCK_BYTES,
+    item_col: str = "item_id", bench_text_col: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document row: ``id``, ``hash`` (of its text), ``n_words``,
     ``n_hit`` (words inside a matching window), ``items`` (ids as sorted
-    strings) and ``contaminated`` (hits are at least ``min_share``)."""
+    strings) and ``contaminated`` (at least one word in ``one_in`` is hit)."""
     result = per_doc = None
     for items in blocks(bench, item_col, bench_text_col, block_bytes):
         phrases = Phrases(items, window)
@@ -361,7 +362,7 @@ def contamination(
     return per_doc.join(hits, same, "left").select(
         "id", "hash", "n_words", n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((n_hit > 0) & (n_hit >= F.col("n_words") * F.lit(min_share))).alias("contaminated"),
+        ((n_hit > 0) & (n_hit * one_in >= F.col("n_words"))).alias("contaminated"),
     )
 
 
@@ -384,5 +385,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )

@@ -46,17 +46,17 @@ def test_phrases_equal_brute_force(spark, monkeypatch, block):
 
 def test_edges_and_share(spark, edges):
     bench = bench_of(spark, [(1, "it is a text of some words"), (2, "京")])
-    got = {(r.id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in dc.contamination(spark, edges, bench, min_share=0.5).collect()}
+    got = {(r.id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in dc.contamination(spark, edges, bench, one_in=2).collect()}
     assert (6, 7, 7, ("1",), True) in got and (0, 0, 0, (), False) in got and (9, 24000, 0, (), False) in got
-    kept = dc.drop_contaminated(spark, edges, bench, min_share=0.5)
+    kept = dc.drop_contaminated(spark, edges, bench, one_in=2)
     assert kept.columns == edges.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(["0", "1", "2", "3", "4", "5", "8", "9", "None", "11"])
 
 
 def test_rule_counts_a_twentieth_as_contaminated(spark):
     words = " ".join(f"w{i}" for i in range(13))
-    docs = docs_of(spark, [words + " x" * 247, words + " x" * 248])
-    bench = bench_of(spark, [(1, words)])
-    assert {r.id: r.contaminated for r in dc.contamination(spark, docs, bench).collect()} == {0: True, 1: False}
+    docs = docs_of(spark, [words + " x" * 247, words + " x" * 248, words + " y1 x" + " x" * 265, words + " y1 x" + " x" * 266])
+    bench = bench_of(spark, [(1, words), (2, words[3:] + " y1")])
+    assert {r.id: r.contaminated for r in dc.contamination(spark, docs, bench).collect()} == {0: True, 1: False, 2: True, 3: False}
 
 
 def test_empty_tables(spark, no_docs, edges):
