@@ -48,14 +48,17 @@ ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DATE = r"[0-9]{2}(?:/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{4}(?![0-9])"
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9](?:[ .-]?[0-9]){5,12}(?![0-9])"
+# A number does not run on into an address, a date or a long number after it.
+_APART = rf"(?![ .-](?:{IPV4}|{ISO_DATE}|{DATE}|[0-9]{{8}}))"
+US_PHONE = r"\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
+PHONE = rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9](?:{_APART}[ .-]?[0-9]){{5,12}}(?![0-9])"
 LOCAL_PHONE = r"(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}(?![0-9])"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 
 #: In the order in which they are tried at a place of the text.
 _KINDS = [
     ("secret", SECRET), ("email", EMAIL), ("access_key", ACCESS), ("iban", IBAN), ("date", ISO_DATE), ("date", DATE),
-    ("ipv4", IPV4), ("ssn", SSN), ("phone", PHONE), ("phone", LOCAL_PHONE), ("card", CARD),
+    ("ipv4", IPV4), ("ssn", SSN), ("phone", US_PHONE), ("phone", PHONE), ("phone", LOCAL_PHONE), ("card", CARD),
 ]
 PATTERN = r"(?<![A-Za-z0-9_+])(?<![0-9][.-])(?:" + "|".join(p for _, p in _KINDS) + ")"
 #: Texts without these hold no candidate.

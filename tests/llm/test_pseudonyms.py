@@ -141,6 +141,13 @@ def test_edges(spark, edges):
     assert all(r.kinds == [] for r in out) and len(out) == len(EDGES)
 
 
+def test_values_side_by_side_are_all_found(spark):
+    values = ["+1 (826) 555-4081", "190.137.223.204", "4777431686562174", "56.79.246.76", "+44 20 7946 0958", "2020-02-29", "4777 4316 8656 2174", "123-45-6789", "+44 20 7946 0958", "4777431686562174", "a.b@example.com", "29/02/2020"]
+    alone = [t for t, _ in new(spark, *values)]
+    ((both, kinds),) = new(spark, " ".join(values))
+    assert both == " ".join(alone) and len(kinds) == len(values)
+
+
 def test_many_matches_in_a_long_text(spark):
     ((a, kinds),) = new(spark, "x 4777431686562174 y " * 300)
     assert len(kinds) == 300 and len(set(a.split())) == 3
