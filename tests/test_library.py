@@ -52,3 +52,29 @@ def test_report_day_parameter_moves_every_date(spark):
     df = build_report(t, ReportParams.for_report_day(rep))
     assert df.select(F.countDistinct("tgl_pelaporan_data")).first()[0] == 1
     assert df.first()["tgl_pelaporan_data"] == rep
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Without a configured folder: scratch in local mode only."""
+    import pytest
+
+    from daybook.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
