@@ -374,7 +374,8 @@ def classes(
     label = F.when(F.col("comp").isNotNull(), F.col("comp").cast("string")).when(F.col("node").isNotNull(), F.hex("node")).otherwise(alone)
     labelled = written(rowwise.select("id", "hash", "node").join(named, "node", "left").select("id", "hash", label.alias("class")), "labelled")
     # One of several rows with the same id and text is kept: the first of its group.
-    groups = labelled.groupBy("class").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("class_size"))
+    # (written, so that AQE sees two plain sides and can split a large class)
+    groups = written(labelled.groupBy("class").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("class_size")), "classes")
     return labelled.join(groups, "class").select(
         "id", "hash", F.col("least.id").alias("class_id"), "class_size",
         (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("hash") == F.col("least.hash"))).alias("kept"),
