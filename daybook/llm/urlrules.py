@@ -3,8 +3,9 @@
 URLs become sets of tokens (scheme, host labels, path words with numbers as
 ``#``, file ending, query keys, fragment).  FP-growth over the labelled pages'
 tokens plus their label finds frequent combinations; rules "tokens => block"
-are kept by support, confidence and number of tokens.  An inverted index lists
-each rule under its rarest token; a URL's tokens look rules up there and the
+are kept by support and confidence, however many tokens they have.  A rule that
+comes after one of its own with one token less (by confidence, support, text) can
+never be a URL's best and is left out.  An inverted index lists each rule under its rarest token; a URL's tokens look rules up there and the
 rule matches if all its tokens are in the URL.  Stated host and path rules go
 before the learnt ones.
 
@@ -32,7 +33,6 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MIN_SUPPORT = 0.005
 MIN_PAGES = 5
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 3
 BROADCAST_RULES = 20_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,9 +74,7 @@ def tokens(url: Column) -> Column:
     return F.when(url.contains("://"), made).otherwise(F.array().cast("array<string>"))
 
 
-def learn(
-    labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS
-) -> DataFrame | None:
+def learn(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
     """Rules from rows (``tokens``, ``blocked``): ``tokens``, ``confidence``,
     ``support`` (pages with the tokens and the label) and ``anchor`` (the rule's
     rarest token); None without rows."""
@@ -88,9 +86,15 @@ def learn(
     # Half a page below the wanted count, as the miner rounds share x n up.
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (min_pages - 0.5) / n)), minConfidence=min_confidence).fit(baskets)
     sets = written(model.freqItemsets, "url-itemsets")
-    rules = model.associationRules.where((F.element_at("consequent", 1) == label) & (F.size("antecedent") <= max_tokens))
+    rules = model.associationRules.where(F.element_at("consequent", 1) == label)
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * n).cast("bigint").alias("support"))
-    rules = written(rules, "url-rules")
+    mined = written(rules, "url-mined")
+    # Whatever URL a rule matches, its part matches too.
+    parts = mined.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"), F.col("support").alias("s"))
+    longer = mined.select("*", F.explode("tokens").alias("token")).withColumn("part", F.array_remove("tokens", F.col("token"))).join(parts, "part")
+    first = (F.col("s") > F.col("support")) | ((F.col("s") == F.col("support")) & (F.array_join("part", " ") < F.array_join("tokens", " ")))
+    after = longer.where((F.col("c") > F.col("confidence")) | ((F.col("c") == F.col("confidence")) & first)).select("tokens").distinct()
+    rules = written(mined.join(after, "tokens", "left_anti"), "url-rules")
     common = sets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
     rarest = (
         rules.select("tokens", F.explode("tokens").alias("token")).join(common, "token")

@@ -68,3 +68,27 @@ def test_edges(spark):
     got = ur.judge(pages_of(spark, urls), labels, min_pages=1).orderBy("page_id").collect()
     assert len(got) == len(urls) and [r.verdict for r in got][3:5] == ["block", "block"] and got[0].verdict == "allow"
     assert ur.judge(pages_of(spark, []), labels).collect() == []
+
+
+def test_rules_of_all_sizes_equal_enumeration(spark):
+    rng = random.Random(4)
+    # Only four or five tokens together tell: three of them are never enough.
+    urls = [f"http://{rng.choice(['a', 'b'])}.{rng.choice(['x', 'y'])}.biz/{rng.choice(['p', 'q'])}/{rng.choice(['u', 'v'])}" for _ in range(600)]
+    bad = [int("//b.x." in u and "/q/v" in u) if rng.random() < 0.95 else rng.randint(0, 1) for u in urls]
+    pages, labels = pages_of(spark, urls), labels_of(spark, [(i, 1 - b, 0) for i, b in enumerate(bad)])
+    have = [set(r.t) for r in pages.select(ur.tokens(ur.F.col("url")).alias("t")).collect()]
+    sets = {}
+    for t, b in zip(have, bad, strict=True):
+        for n in range(1, len(t) + 1):
+            for c in itertools.combinations(sorted(t), n):
+                x = sets.setdefault(c, [0, 0])
+                x[0] += b
+                x[1] += 1
+    rules = {c: (b / n, b) for c, (b, n) in sets.items() if b >= 12 and b / n >= 0.6}
+    assert rules and min(map(len, rules)) == 4
+    want = []
+    for t in have:
+        fits = sorted((-conf, -sup, " ".join(c)) for c, (conf, sup) in rules.items() if set(c) <= t)
+        want.append((fits[0][2], -fits[0][0], "block") if fits else (None, None, "allow"))
+    got = ur.judge(pages, labels, min_support=0.02).orderBy("page_id").collect()
+    assert [(r.learnt, r.confidence, r.verdict) for r in got] == want
