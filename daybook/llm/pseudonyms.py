@@ -20,7 +20,9 @@ A permutation has fixed points: one value in 73,049 dates, in 2^32 addresses
 and so on may be its own pseudonym.
 
 Defined results: a null text stays null with nothing found; an empty text stays
-empty; values that fail their check stay as they are; repeated rows give
+empty; values that fail their check stay as they are; an IBAN of a
+country without a known length takes a following word of up to four capitals or
+digits with it and so may fail; repeated rows give
 repeated results; dates with separators are read day first, month first only if
 day first is no date; other columns are kept, columns named as the results are
 replaced.
@@ -43,7 +45,22 @@ KEY = b"replace this key in production"
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 ACCESS = r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = r"(?i:passwd|password|pwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}"
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Length of an IBAN: countries.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    rest = f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}{rest}(?![A-Za-z0-9])"
+
+
+# The country says where an IBAN ends; else it runs on as far as it can.
+_IBANS = [_iban_of(n, countries) for n, countries in _IBAN_LENGTHS.items()]
+IBAN = "(?:" + "|".join([*_IBANS, r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"]) + ")"
 ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DATE = r"[0-9]{2}(?:/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{4}(?![0-9])"
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"

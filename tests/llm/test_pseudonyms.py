@@ -160,3 +160,21 @@ def test_empty_table(no_docs):
 @pytest.mark.parametrize("kept", ["doi 10.1000/182", "v1.2.3", "id 1234567890123", "on 5 May 2020", "a@b"])
 def test_leaves_other_text_alone(spark, kept):
     assert new(spark, kept)[0][0] == kept
+
+
+def test_ibans_of_every_length_before_other_words(spark):
+    plain = []
+    for n, countries in ps._IBAN_LENGTHS.items():
+        for country in countries.split():
+            account = ("5390075470341827364509182736450918")[: n - 4]
+            number = int("".join(str(int(c, 36)) for c in account + country + "00"))
+            plain.append(f"{country}{98 - number % 97:02}{account}")
+    assert len(plain) > 80 and {len(p) for p in plain} == set(ps._IBAN_LENGTHS)
+    spaced = [" ".join(p[i : i + 4] for i in range(0, len(p), 4)) for p in plain]
+    texts = [f"{p} {word}" for p in plain + spaced for word in ("EUR", "BIC", "IBAN", "12", "1234")]
+    texts += ["BE68 5390 0754 7034 EUR", "BE68539007547034 IBAN", "SE45 5000 0000 0583 9825 7466 BIC"]
+    for text, (got, kinds) in zip(texts, new(spark, *texts), strict=True):
+        number, word = text.rsplit(" ", 1)
+        assert kinds == ["iban"] and got.endswith(" " + word) and got[:2] == text[:2] and got != text and len(got) == len(text), text
+        made = got.rsplit(" ", 1)[0].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in made[4:] + made[:4])) % 97 == 1
