@@ -175,3 +175,53 @@ SELECT doc_id, licence, dice, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(
 
 
 ORACLES["op10_licenses"] = _licenses()
+
+
+def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Lloyd's rounds written out; entries as lists by part and index."""
+    near = """{name} AS MATERIALIZED (
+  SELECT vec_id, any_value(label) AS label, p, any_value(x.v) AS v, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT x.id, x.vec_id, x.label, x.p, x.v, b.k, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM x JOIN {book} b ON x.p = b.p) x GROUP BY id, vec_id, p)"""
+    steps = []
+    for r in range(rounds):
+        steps.append(near.format(name=f"a{r}", book=f"b{r}"))
+        steps.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT p, k, coalesce(n.v, o.v) AS v FROM b{r} o LEFT JOIN (
+    SELECT p, k, list(floor_mean ORDER BY i) AS v FROM (
+      SELECT p, k, i, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+      FROM (SELECT p, k, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS c FROM a{r}) GROUP BY p, k, i) GROUP BY p, k) n USING (p, k))""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (
+  SELECT id, vec_id, label, p, x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS v
+  FROM (SELECT *, unnest(range(0, {parts})) AS p FROM kept)),
+b0 AS (SELECT p, id - 1 AS k, v FROM x WHERE id <= {entries}),
+{", ".join(steps)},
+{near.format(name="final", book=f"b{rounds}").replace("SELECT vec_id,", "SELECT id, vec_id,", 1)},
+digest AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, k, i)) AS h FROM (SELECT p, k, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS c FROM b{rounds})),
+coded AS (SELECT id, vec_id, any_value(label) AS label, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM final GROUP BY id, vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT h FROM digest) AS codebooks_sha256 FROM coded
+"""
+
+
+ORACLES["op11_vectorcodes"] = _vector_codes()
+
+ORACLES["op12_suffixdedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT r, i FROM w JOIN f USING (s) WHERE doc_id > least),
+run AS (SELECT r, i, i - lag(i, 1, -100) OVER (PARTITION BY r ORDER BY i) > 50 AS new FROM hit),
+span AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM run) GROUP BY r, g),
+gap AS (
+  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM span
+  UNION ALL SELECT r, length(h) // 2, NULL, coalesce(m, 0) FROM d LEFT JOIN (SELECT r, max(b) AS m FROM span GROUP BY r) USING (r)),
+part AS (SELECT r, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a, b NULLS LAST) AS kept FROM gap JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, ((length(h) - length(kept)) // 2)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN part USING (r) LEFT JOIN n USING (r)
+"""

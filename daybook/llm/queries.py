@@ -3,7 +3,7 @@ DuckDB oracles."""
 
 from __future__ import annotations
 
-from . import chat, decontam, editprints, langid, licenses, neardup, packing, pseudonyms, sharding, urlrules
+from . import chat, decontam, editprints, langid, licenses, neardup, packing, pseudonyms, sharding, suffixdedup, urlrules, vectorcodes, whitening
 from .oracles import ORACLES as _SQL
 
 QUERIES = {
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_licenses": licenses.op10_licenses,
+    "op11_vectorcodes": vectorcodes.op11_vectorcodes,
+    "op12_suffixdedup": suffixdedup.op12_suffixdedup,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES = {k: v for k, v in _SQL.items() if k in QUERIES}
