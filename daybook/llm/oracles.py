@@ -99,7 +99,7 @@ def _split(text: str, pattern: str, kind: str) -> str:
 def _url_rules(min_support: float = 0.005, min_pages: int = 5, min_confidence: float = 0.6) -> str:
     rest = "regexp_extract(lower(url), '(?s)^.*?://[^/?#]*(.*)$', 1)"
     return f"""
-WITH p AS (
+WITH RECURSIVE p AS (
   SELECT page_id, url,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
@@ -117,16 +117,20 @@ baskets AS (SELECT row_number() OVER () AS n, tokens, blocked FROM p JOIN t USIN
 least_count AS (SELECT greatest(ceil({min_support} * count(*)), {min_pages}) AS least FROM baskets),
 e AS (SELECT n, blocked, unnest(tokens) AS a FROM baskets),
 sets AS (
-  SELECT n, blocked, [a] AS tokens FROM e
-  UNION ALL SELECT x.n, x.blocked, [x.a, y.a] FROM e x JOIN e y ON x.n = y.n AND x.a < y.a
-  UNION ALL SELECT x.n, x.blocked, [x.a, y.a, z.a] FROM e x JOIN e y ON x.n = y.n AND x.a < y.a JOIN e z ON y.n = z.n AND y.a < z.a),
+  SELECT n, blocked, [a] AS tokens, a AS last FROM e
+  WHERE a IN (SELECT a FROM e GROUP BY a HAVING count(*) FILTER (WHERE blocked) >= (SELECT least FROM least_count))
+  UNION ALL
+  SELECT n, blocked, tokens, last FROM (
+    SELECT s.n, s.blocked, list_append(s.tokens, e.a) AS tokens, e.a AS last,
+      count(*) FILTER (WHERE s.blocked) OVER (PARTITION BY list_append(s.tokens, e.a)) AS c
+    FROM sets s JOIN e ON s.n = e.n AND e.a > s.last)
+  WHERE c >= (SELECT least FROM least_count)),
 rules AS (
   SELECT tokens, count(*) FILTER (WHERE blocked) AS support, count(*) FILTER (WHERE blocked)::DOUBLE / count(*) AS confidence
-  FROM sets GROUP BY tokens HAVING count(*) FILTER (WHERE blocked) >= (SELECT least FROM least_count)
-    AND count(*) FILTER (WHERE blocked)::DOUBLE / count(*) >= {min_confidence}),
+  FROM sets GROUP BY tokens HAVING count(*) FILTER (WHERE blocked)::DOUBLE / count(*) >= {min_confidence}),
 best AS (
   SELECT url, array_to_string(r.tokens, ' ') AS learnt, confidence,
-    row_number() OVER (PARTITION BY url ORDER BY confidence DESC, support DESC, array_to_string(r.tokens, ' ')) AS n
+    row_number() OVER (PARTITION BY url ORDER BY confidence DESC, support DESC, len(r.tokens), array_to_string(r.tokens, ' ')) AS n
   FROM t JOIN rules r ON list_has_all(t.tokens, r.tokens)),
 fit AS (
   SELECT *, CASE
@@ -210,18 +214,18 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 ORACLES["op11_vectorcodes"] = _vector_codes()
 
 ORACLES["op12_suffixdedup"] = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT r, doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, doc_id, i, array_slice(b, i + 1, i + 50) AS s FROM (SELECT r, doc_id, b, unnest(range(0, octet_length(b) - 49)) AS i FROM d)),
 f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 hit AS (SELECT r, i FROM w JOIN f USING (s) WHERE doc_id > least),
 run AS (SELECT r, i, i - lag(i, 1, -100) OVER (PARTITION BY r ORDER BY i) > 50 AS new FROM hit),
-span AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM run) GROUP BY r, g),
+span AS (SELECT r, min(i) AS a, max(i) + 50 AS z FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS g FROM run) GROUP BY r, g),
 gap AS (
-  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM span
-  UNION ALL SELECT r, length(h) // 2, NULL, coalesce(m, 0) FROM d LEFT JOIN (SELECT r, max(b) AS m FROM span GROUP BY r) USING (r)),
-part AS (SELECT r, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a, b NULLS LAST) AS kept FROM gap JOIN d USING (r) GROUP BY r),
+  SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM span
+  UNION ALL SELECT r, octet_length(b), NULL, coalesce(m, 0) FROM d LEFT JOIN (SELECT r, max(z) AS m FROM span GROUP BY r) USING (r)),
+part AS (SELECT r, string_agg(hex(array_slice(b, before + 1, a)), '' ORDER BY a, z NULLS LAST) AS kept FROM gap JOIN d USING (r) GROUP BY r),
 n AS (SELECT r, count(*) AS n_spans FROM span GROUP BY r)
-SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, ((length(h) - length(kept)) // 2)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, (octet_length(b) - length(kept) // 2)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
   sha256(unhex(kept)) AS kept_sha256
 FROM d JOIN part USING (r) LEFT JOIN n USING (r)
 """

@@ -3,16 +3,22 @@
 URLs become sets of tokens (scheme, host labels, path words with numbers as
 ``#``, file ending, query keys, fragment).  FP-growth over the labelled pages'
 tokens plus their label finds frequent combinations; rules "tokens => block"
-are kept by support and confidence, however many tokens they have.  A rule that
-comes after one of its own with one token less (by confidence, support, text) can
-never be a URL's best and is left out.  An inverted index lists each rule under its rarest token; a URL's tokens look rules up there and the
-rule matches if all its tokens are in the URL.  Stated host and path rules go
-before the learnt ones.
-
-Item sets with a support of at least a share s of the labelled pages are
-bounded by the token sets' length and 1/s, not by the data; the index is
-broadcast only below ``BROADCAST_RULES`` rows.  Matching works on distinct
-URLs, so a URL that a third of the pages share is matched once.
+are kept by support and confidence, however many tokens they have.
+
+Tokens that stand on exactly the same labelled pages can replace each other in
+any rule, so they form a group and FP-growth mines groups: a long URL that many
+labelled pages share adds one group, not a power of its tokens.  A URL has a
+group if it has one of its tokens.  A rule that has a part of one group less
+with at least its confidence can never be a URL's best (highest confidence,
+then support, then fewest tokens, then first text) and is left out.  An inverted
+index lists each rule under its rarest group; a URL's groups look rules up there
+and the rule matches if the URL has all its groups.  Stated host and path rules
+go before the learnt ones.
+
+Frequent combinations of groups are bounded by the number of groups on a page
+and the support, not by the data; the index is broadcast only below
+``BROADCAST_RULES`` rows.  Matching works on distinct URLs, so a URL that a third
+of the pages share is matched once.
 
 Defined results: null URLs and URLs without ``://`` have empty host and path,
 no rule and, lacking tokens, the verdict ``allow``; without labelled pages
@@ -74,46 +80,62 @@ def tokens(url: Column) -> Column:
     return F.when(url.contains("://"), made).otherwise(F.array().cast("array<string>"))
 
 
-def learn(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
-    """Rules from rows (``tokens``, ``blocked``): ``tokens``, ``confidence``,
-    ``support`` (pages with the tokens and the label) and ``anchor`` (the rule's
-    rarest token); None without rows."""
+def learn(
+    labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE
+) -> tuple[DataFrame, DataFrame] | None:
+    """From rows (``tokens``, ``blocked``) the rules: ``groups`` (their names),
+    ``confidence``, ``support`` (pages with the tokens and the label) and
+    ``anchor`` (the rule's rarest group); and the groups' tokens: ``token``,
+    ``group``.  None without rows."""
     label = "label:block"
-    baskets = written(labelled.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(label)))).otherwise(F.col("tokens")).alias("items")), "url-baskets")
-    n = baskets.count()
+    pages = written(labelled.select(F.monotonically_increasing_id().alias("page"), "tokens", "blocked"), "url-labelled")
+    n = pages.count()
     if not n:
         return None
     # Half a page below the wanted count, as the miner rounds share x n up.
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (min_pages - 0.5) / n)), minConfidence=min_confidence).fit(baskets)
-    sets = written(model.freqItemsets, "url-itemsets")
+    share = min(1.0, max(min_support, (min_pages - 0.5) / n))
+    # Tokens of the same pages have equal counts and equal sums of page hashes.
+    held = pages.select("page", F.explode("tokens").alias("token"))
+    signed = held.groupBy("token").agg(F.count("*").alias("freq"), *[F.bit_xor(F.xxhash64("page", F.lit(s))).alias(f"x{s}") for s in (1, 2)])
+    signed = signed.where(F.col("freq") >= share * n)
+    named = signed.groupBy("freq", "x1", "x2").agg(F.min("token").alias("group"))
+    members = written(signed.join(named, ["freq", "x1", "x2"]).select("token", "group", "freq"), "url-groups")
+    items = held.join(members, "token").groupBy("page").agg(F.collect_set("group").alias("items"))
+    baskets = pages.join(items, "page", "left").select(F.coalesce("items", F.array().cast("array<string>")).alias("items"), "blocked")
+    baskets = written(baskets.select(F.when(F.col("blocked"), F.concat("items", F.array(F.lit(label)))).otherwise(F.col("items")).alias("items")), "url-baskets")
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.element_at("consequent", 1) == label)
-    rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * n).cast("bigint").alias("support"))
+    rules = rules.select(F.array_sort("antecedent").alias("groups"), "confidence", F.round(F.col("support") * n).cast("bigint").alias("support"))
     mined = written(rules, "url-mined")
     # Whatever URL a rule matches, its part matches too.
-    parts = mined.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"), F.col("support").alias("s"))
-    longer = mined.select("*", F.explode("tokens").alias("token")).withColumn("part", F.array_remove("tokens", F.col("token"))).join(parts, "part")
-    first = (F.col("s") > F.col("support")) | ((F.col("s") == F.col("support")) & (F.array_join("part", " ") < F.array_join("tokens", " ")))
-    after = longer.where((F.col("c") > F.col("confidence")) | ((F.col("c") == F.col("confidence")) & first)).select("tokens").distinct()
-    rules = written(mined.join(after, "tokens", "left_anti"), "url-rules")
-    common = sets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
+    parts = mined.select(F.col("groups").alias("part"), F.col("confidence").alias("c"))
+    longer = mined.select("*", F.explode("groups").alias("group")).withColumn("part", F.array_remove("groups", F.col("group"))).join(parts, "part")
+    rules = written(mined.join(longer.where(F.col("c") >= F.col("confidence")).select("groups").distinct(), "groups", "left_anti"), "url-rules")
     rarest = (
-        rules.select("tokens", F.explode("tokens").alias("token")).join(common, "token")
-        .groupBy("tokens").agg(F.min(F.struct("freq", "token"))["token"].alias("anchor"))
+        rules.select("groups", F.explode("groups").alias("group")).join(members.where(F.col("token") == F.col("group")), "group")
+        .groupBy("groups").agg(F.min(F.struct("freq", "group"))["group"].alias("anchor"))
     )
-    return rules.join(rarest, "tokens")
+    return rules.join(rarest, "groups"), members.select("token", "group")
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match(urls: DataFrame, rules: DataFrame, members: DataFrame) -> DataFrame:
     """Per distinct non-null ``url`` that a rule matches: ``learnt`` (the best
     rule's tokens in one text), ``confidence`` and ``support``."""
-    index = written(rules, "url-index")
-    if index.count() <= BROADCAST_RULES:
-        index = F.broadcast(index)
-    listed = urls.select("url").where("url IS NOT NULL").distinct().select("url", tokens(F.col("url")).alias("have"))
-    hits = listed.select("url", "have", F.explode("have").alias("anchor")).join(index, "anchor")
-    hits = hits.where(F.size(F.array_except("tokens", "have")) == 0)
-    # Highest confidence, then support, then the first text: minima throughout.
-    best = F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.array_join("tokens", " ").alias("t")))
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_RULES else df
+
+    index = small(written(rules, "url-index"))
+    members = small(members.join(rules.select(F.explode("groups").alias("group")).distinct(), "group", "left_semi"))
+    listed = urls.select("url").where("url IS NOT NULL").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
+    # The first of the URL's tokens stands for the group.
+    have = listed.join(members, "token").groupBy("url", "group").agg(F.min("token").alias("token"))
+    have = have.groupBy("url").agg(F.map_from_entries(F.collect_list(F.struct("group", "token"))).alias("have"))
+    hits = have.select("url", "have", F.explode(F.map_keys("have")).alias("anchor")).join(index, "anchor")
+    hits = hits.where(F.forall("groups", lambda g: F.map_contains_key("have", g)))
+    text = F.array_join(F.array_sort(F.transform("groups", lambda g: F.element_at("have", g))), " ")
+    # Highest confidence, then support, then fewest, then the first text: minima throughout.
+    best = F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), F.size("groups").alias("n"), text.alias("t")))
     return hits.groupBy("url").agg(best.alias("b")).select("url", F.col("b.t").alias("learnt"), (-F.col("b.c")).alias("confidence"), (-F.col("b.s")).alias("support"))
 
 
@@ -129,7 +151,7 @@ def judge(pages: DataFrame, labels: DataFrame, *, rules: list[tuple[str, str, st
     if learnt is None:
         found = rows.withColumns({"learnt": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
     else:
-        found = rows.join(match(rows, learnt), "url", "left")
+        found = rows.join(match(rows, *learnt), "url", "left")
     name, verdict = stated(F.col("host"), F.col("path"), rules)
     found = found.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "learnt", "confidence")
     return found.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("learnt").isNotNull(), "block").otherwise("allow")).alias("verdict"), "learnt", "confidence")

@@ -55,8 +55,8 @@ def test_learnt_rules_equal_enumeration(spark):
     assert rules
     want = []
     for t in have:
-        fits = sorted((-conf, -sup, " ".join(c)) for c, (conf, sup) in rules.items() if set(c) <= t)
-        want.append((fits[0][2], -fits[0][0]) if fits else (None, None))
+        fits = sorted((-conf, -sup, len(c), " ".join(c)) for c, (conf, sup) in rules.items() if set(c) <= t)
+        want.append((fits[0][3], -fits[0][0]) if fits else (None, None))
     got = ur.judge(pages, labels, min_support=0.02).orderBy("page_id").collect()
     assert [(r.learnt, r.confidence) for r in got] == want
     assert [r.verdict for r in got] == ["block" if w else "allow" for w, _ in want]
@@ -88,7 +88,17 @@ def test_rules_of_all_sizes_equal_enumeration(spark):
     assert rules and min(map(len, rules)) == 4
     want = []
     for t in have:
-        fits = sorted((-conf, -sup, " ".join(c)) for c, (conf, sup) in rules.items() if set(c) <= t)
-        want.append((fits[0][2], -fits[0][0], "block") if fits else (None, None, "allow"))
+        fits = sorted((-conf, -sup, len(c), " ".join(c)) for c, (conf, sup) in rules.items() if set(c) <= t)
+        want.append((fits[0][3], -fits[0][0], "block") if fits else (None, None, "allow"))
     got = ur.judge(pages, labels, min_support=0.02).orderBy("page_id").collect()
     assert [(r.learnt, r.confidence, r.verdict) for r in got] == want
+
+
+def test_long_shared_url(spark):
+    """A URL of 40 tokens on 1 % of the labelled pages adds one group, not 2^40 sets."""
+    long = "http://a.spam.biz/" + "/".join(f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6))
+    urls = [f"http://{'abc'[i % 3]}.{'xy'[i % 2]}.biz/p" for i in range(990)] + [long] * 10
+    pages = pages_of(spark, [*urls, "http://z/waa", "http://z/wff/q", "http://z/none"])
+    got = {r.page_id: r for r in ur.judge(pages, labels_of(spark, [(i, int(i < 990), 0) for i in range(1000)])).collect()}
+    assert all(got[i].verdict == "block" and got[i].learnt == "host:spam" and got[i].confidence == 1.0 for i in range(990, 1000))
+    assert [(got[i].verdict, got[i].learnt) for i in (0, 1000, 1001, 1002)] == [("allow", None), ("block", "path:waa"), ("block", "path:wff"), ("allow", None)]
