@@ -72,14 +72,16 @@ ORACLES["op1_packing"] = _packing()
 ORACLES["op8_chat"] = """
 WITH t AS (
   SELECT conv_id, turn, CASE WHEN coalesce(role, '') IN ('', 'system') THEN 'system' ELSE role END AS role,
-    replace(coalesce(text, ''), '<|', '< |') AS body, text, coalesce(floor(turn / 256), -1)::BIGINT AS part
+    replace(coalesce(text, ''), '<|', '< |') AS body, text, 0::BIGINT AS part
   FROM conversations),
-p AS (SELECT DISTINCT conv_id, role AS assistant FROM t WHERE role <> 'system'),
+p AS (SELECT DISTINCT conv_id, role AS assistant, regexp_replace(role, '[\\s<>|#]+', '_', 'g') AS plain FROM t WHERE role <> 'system'),
+q AS (SELECT conv_id, assistant AS role, plain || CASE WHEN k > 1 THEN '#' || k ELSE '' END AS name
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, plain ORDER BY assistant) AS k FROM p)),
 s AS (
-  SELECT t.conv_id, assistant, part, turn, role, text, body, role = assistant AS mine,
-    CASE WHEN role = 'system' THEN '<|im_start|>system' WHEN role = assistant THEN '<|im_start|>assistant'
-      ELSE '<|im_start|>user name=' || regexp_replace(role, '[\\s<>|]+', '_', 'g') END || chr(10) AS head
-  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+  SELECT t.conv_id, assistant, part, turn, t.role, text, body, t.role = assistant AS mine,
+    CASE WHEN t.role = 'system' THEN '<|im_start|>system' WHEN t.role = assistant THEN '<|im_start|>assistant'
+      ELSE '<|im_start|>user name=' || name END || chr(10) AS head
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id LEFT JOIN q ON t.conv_id IS NOT DISTINCT FROM q.conv_id AND t.role = q.role),
 o AS (
   SELECT *, row_number() OVER w AS n,
     sum(length(head) + length(body) + length('<|im_end|>') + 1) OVER w - length(body) - length('<|im_end|>') - 1 AS at_body

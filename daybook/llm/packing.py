@@ -22,7 +22,12 @@ are ignored.
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,20 +45,20 @@ def byte_tokens(text: Column) -> Column:
 
 
 def bpe_tokens(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``: tokens of a byte-pair vocabulary (a file of
-    base64 tokens and ranks, present on every executor), plus the end token."""
-    import pyarrow as pa
-
-    def task(texts: pa.Array) -> pa.Array:
-        import base64
-
-        import tiktoken
-
-        with open(ranks_file, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    """``docs`` with ``n_tokens``: tokens of a byte-pair vocabulary, plus the end
+    token.  The file (lines of base64 token and rank) is read on the driver and
+    broadcast; every task builds the vocabulary once.  Null counts as empty."""
+    with open(ranks_file, "rb") as f:
+        lines = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def task(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.value.splitlines() if line.strip())}
         bpe = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        return pa.array([len(bpe.encode_ordinary(t or "")) + 1 for t in texts.to_pylist()], pa.int64())
+        for texts in batches:
+            yield pa.array([len(bpe.encode_ordinary(t or "")) + 1 for t in texts.to_pylist()], pa.int64())
 
+    # The hints are given as types: under deferred annotations they are names.
+    task.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn("n_tokens", F.arrow_udf(task, "bigint")(docs[text_col]))
 
 

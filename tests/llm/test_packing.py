@@ -67,3 +67,14 @@ def test_bpe_tokens(spark):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     bpe = tiktoken.Encoding("x", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert got == {i: len(bpe.encode_ordinary(t or "")) + 1 for i, t in enumerate(texts)}
+
+
+def test_bpe_tokens_of_a_tiny_vocabulary(spark, tmp_path):
+    import base64
+
+    ranks = [bytes([i]) for i in range(256)] + [b"ab", b"abab", b"cd"]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(ranks)) + b"\n")
+    texts = ["abab", "ababcd x", "", None, "é", "abc" * 500]
+    got = {r.doc_id: r.n_tokens for r in packing.bpe_tokens(docs_of(spark, texts), str(path), r"\S+|\s+").collect()}
+    assert got == {0: 2, 1: 5, 2: 1, 3: 1, 4: 3, 5: 1001}
