@@ -149,16 +149,16 @@ def eigenvectors(d: np.ndarray, e: np.ndarray, values: np.ndarray) -> np.ndarray
 
 def principal(cov: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` largest eigenvalues, falling, and their unit vectors (rows)."""
-    n = len(cov)
-    if n == 1:
-        return cov[0, :1].copy(), np.ones((1, 1))
-    d, e, reflectors = tridiagonal(cov)
+    n, size = len(cov), np.abs(cov).max()
+    if n == 1 or not size:
+        return np.diag(cov)[:k].copy(), np.eye(min(k, n), n)
+    d, e, reflectors = tridiagonal(cov / size)
     values = leading_eigenvalues(d, e, min(k, n))
     vectors = eigenvectors(d, e, values)
     for j in range(len(reflectors) - 1, -1, -1):
         u = reflectors[j]
         vectors[:, j + 1 :] -= 2 * np.outer(vectors[:, j + 1 :] @ u, u)
-    return values, vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return values * size, vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
 def _matrix_sum(rows: DataFrame, width: int, of) -> np.ndarray:
