@@ -667,8 +667,49 @@ JOIN ordDelayRecord e ON a.uuid = e.orderNo JOIN ordOrder f ON e.delayOrderNo =
     return o
 
 
+# ---- table jobs of the client library ----------------------------------------------
+def _quoted(text: str) -> str:
+    for plain, form in (("chr(92)", "chr(92) || chr(92)"), ("chr(10)", "chr(92) || 'n'"), ("chr(13)", "chr(92) || 'r'"),
+                        ("chr(26)", "chr(92) || 'Z'"), ("chr(34)", "chr(92) || chr(34)"), ("chr(39)", "chr(92) || chr(39)")):
+        text = f"replace({text}, {plain}, {form})"
+    return f"chr(39) || {text} || chr(39)"
+
+
+def _statements(limit: int, k: int) -> str:
+    """Greedy packing, one statement after the other."""
+    return f"""
+n{k} AS MATERIALIZED (
+  SELECT t.rn, greatest(coalesce(b.rn, (SELECT max(rn) + 1 FROM t)), t.rn + 1) AS after
+  FROM t ASOF LEFT JOIN (SELECT rn, upto FROM t) b ON t.upto - t.size + {limit} - (SELECT length(pre) + length(post) - 1 FROM c) < b.upto),
+s{k} AS (
+  SELECT 1 AS rn, 0 AS statement
+  UNION ALL SELECT n{k}.after, statement + 1 FROM s{k} JOIN n{k} USING (rn) WHERE n{k}.after <= (SELECT max(rn) FROM t)),
+m{k} AS (
+  SELECT {limit}::BIGINT AS max_bytes, statement::BIGINT AS statement, count(*)::BIGINT AS n_rows,
+    (SELECT pre FROM c) || string_agg(v, ',' ORDER BY t.rn) || (SELECT post FROM c) AS sql
+  FROM t ASOF JOIN s{k} ON t.rn >= s{k}.rn GROUP BY statement)"""
+
+
+def _oracles_client() -> dict[str, str]:
+    from daybook.plans.client_jobs import STATEMENT_BYTES, STATEMENT_POSTFIX
+
+    o: dict[str, str] = {}
+    note = "'it''s ' || chr(34) || chr(92) || chr(10) || o_orderpriority || chr(9) || chr(13) || ' é' || chr(26)"
+    o["insert_statements"] = f"""WITH RECURSIVE c AS (
+  SELECT 'INSERT INTO orders (o_orderkey, o_custkey, o_totalprice, per_day, o_orderdate, note) VALUES ' AS pre, '{STATEMENT_POSTFIX}' AS post),
+r AS (
+  SELECT row_number() OVER (ORDER BY o_orderkey) AS rn, '(' || o_orderkey || ',' || o_custkey || ',' || printf('%.15g', o_totalprice) || ',' || printf('%.15g', o_totalprice / 365)
+    || ',' || chr(39) || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(o_orderdate) % 1000000 = 0 THEN '' ELSE strftime(o_orderdate, '.%f') END || chr(39)
+    || ',' || CASE WHEN o_orderkey % 7 = 0 THEN 'NULL' ELSE {_quoted(note)} END || ')' AS v FROM orders),
+t AS MATERIALIZED (SELECT rn, v, octet_length(encode(v)) + 1 AS size, (sum(octet_length(encode(v)) + 1) OVER (ORDER BY rn))::BIGINT AS upto FROM r),
+{",".join(_statements(size, k) for k, size in enumerate(STATEMENT_BYTES))}
+SELECT max_bytes, statement, n_rows, octet_length(encode(sql))::BIGINT AS n_bytes, md5(sql) AS digest
+FROM ({" UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(len(STATEMENT_BYTES)))})"""
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return {**_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k(), **_oracles_j()}
+    return {**_oracles_client(), **_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k(), **_oracles_j()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
