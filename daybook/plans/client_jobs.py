@@ -6,8 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators import result_sets as rs
+from daybook.operators.ranges import range_read_plan
 from daybook.operators.statements import MAX_BYTES, insert_statements
 from daybook.session import tune
+from daybook.sources import raw_text
 from daybook.sources.tables import read_table
 
 #: Statement sizes of the query: the client's own, and one that gives many.
@@ -32,6 +35,69 @@ def q_insert_statements(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+BINARY = rs.BINARY_CHARSET
+#: (result, position, table, name, type code, flags, scale, charset)
+RESULT_COLUMNS = [
+    ("events", 0, "events", "at", rs.DATETIME, 0, 6, BINARY), ("events", 1, "events", "gap", rs.TIME, 0, 6, BINARY),
+    ("events", 2, "events", "stamp", rs.TIMESTAMP, 0, 0, BINARY), ("events", 3, "events", "props", rs.JSON, 0, 0, BINARY),
+    ("events", 4, "events", "kind", rs.VAR_STRING, 0, 0, 45),
+    ("orders", 0, "orders", "day", rs.DATE, 0, 0, BINARY), ("orders", 1, "orders", "price", rs.NEWDECIMAL, 0, 18, BINARY),
+    ("orders", 2, "orders", "number", rs.LONGLONG, 0, 0, BINARY), ("orders", 3, "orders", "count", rs.LONGLONG, rs.UNSIGNED, 0, BINARY),
+    ("orders", 4, "orders", "real", rs.DOUBLE, 0, 0, BINARY), ("orders", 5, "orders", "small", rs.TINY, 0, 0, BINARY),
+    ("pages", 0, "pages", "tags", rs.SET, 0, 0, 45), ("pages", 1, "pages", "bytes", rs.BLOB, 0, 0, rs.BINARY_CHARSET),
+]
+
+
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw cells of three result sets in one long table; every eleventh row of a
+    column is NULL."""
+    events, orders, pages = (read_table(spark, sf, n) for n in ("events", "orders", "pages"))
+    number = raw_text.numeric_texts(orders)
+    columns = {
+        "events": [raw_text.datetime_texts(events), raw_text.interval_texts(events), raw_text.compact_texts(events), events.select("event_id", "props"), events.select("event_id", "event_type")],
+        "orders": [raw_text.date_texts(orders), number, number, number, number, orders.select("o_orderkey", (F.col("o_orderkey") % 300 - 150).cast("string"))],
+        "pages": [raw_text.set_texts(pages), pages.select("page_id", "url")],
+    }
+    out = None
+    for result, raws in columns.items():
+        for position, raw in enumerate(raws):
+            row, content = (F.col(c) for c in raw.columns)
+            content = F.when(row % 11 != position, F.encode(content, "UTF-8"))
+            cells = raw.select(F.lit(result).alias("result"), row.alias("row"), F.lit(position).alias("position"), content.alias("content"))
+            out = cells if out is None else out.unionByName(cells)
+    return out
+
+
+def q_decode_by_descriptor(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cell with its value, by the kind of type its descriptor names."""
+    tune(spark)
+    done = rs.decode_cells(_cells(spark, sf), spark.createDataFrame(RESULT_COLUMNS, rs.DESCRIPTORS))
+    get = lambda kind, *codes: F.when(F.col("type_code").isin(*codes), F.try_variant_get("value", "$", kind))
+    number = F.replace(F.format_number(get("decimal(38,18)", rs.NEWDECIMAL, rs.LONGLONG, rs.TINY), 18), F.lit(","), F.lit(""))
+    return done.select(
+        "result", "row", "name", number.alias("as_decimal"), get("double", rs.DOUBLE).alias("as_double"), get("bigint", rs.TIME).alias("as_micros"),
+        F.coalesce(get("timestamp_ntz", rs.DATETIME, rs.TIMESTAMP), get("date", rs.DATE).cast("timestamp_ntz")).alias("as_time"),
+        F.coalesce(get("string", rs.VAR_STRING), F.array_join(get("array<string>", rs.SET), "|"), F.hex(get("binary", rs.BLOB))).alias("as_text"),
+        F.when(F.col("type_code") == rs.JSON, F.col("value").isNotNull()).alias("is_json"), F.col("reject").cast("string").alias("reject"),
+    )
+
+
+def wanted_ranges(events: DataFrame) -> DataFrame:
+    """Byte ranges of files, from events: a third of all (the clicks) want one
+    file, the others one for each of 50 groups of users."""
+    k = F.col("event_id")
+    size = F.when(F.col("event_type") == "error", F.lit(0)).when(F.col("event_type") == "purchase", k % 300_007).otherwise(k * 31 % 9_001)
+    file = F.when(F.col("event_type") == "click", "hot").otherwise(F.concat(F.lit("user-"), (F.col("user_id") % 50).cast("string")))
+    return events.select(file.alias("file"), (k * 104_729 % 40_000_003).alias("offset"), size.alias("size"))
+
+
+def q_range_read_plan(spark: SparkSession, sf: str) -> DataFrame:
+    tune(spark)
+    return range_read_plan(wanted_ranges(read_table(spark, sf, "events")))
+
+
 QUERIES = {
     "insert_statements": q_insert_statements,
+    "decode_by_descriptor": q_decode_by_descriptor,
+    "range_read_plan": q_range_read_plan,
 }

@@ -705,6 +705,43 @@ t AS MATERIALIZED (SELECT rn, v, octet_length(encode(v)) + 1 AS size, (sum(octet
 {",".join(_statements(size, k) for k, size in enumerate(STATEMENT_BYTES))}
 SELECT max_bytes, statement, n_rows, octet_length(encode(sql))::BIGINT AS n_bytes, md5(sql) AS digest
 FROM ({" UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(len(STATEMENT_BYTES)))})"""
+    i = _oracles_i()
+    sides = {
+        "events": [("at", RAW_DATETIME), ("gap", RAW_INTERVAL), ("stamp", RAW_COMPACT), ("props", "SELECT event_id AS id, props AS raw FROM events"), ("kind", "SELECT event_id AS id, event_type AS raw FROM events")],
+        "orders": [("day", RAW_DATE), *[(n, RAW_NUMERIC) for n in ("price", "number", "count", "real")], ("small", "SELECT o_orderkey AS id, CAST(o_orderkey % 300 - 150 AS VARCHAR) AS raw FROM orders")],
+        "pages": [("tags", "SELECT page_id AS id, regexp_replace(url, '[/?#&=.:]+', ',', 'g') AS raw FROM pages"), ("bytes", "SELECT page_id AS id, url AS raw FROM pages")],
+    }
+    cells = " UNION ALL ".join(
+        f"SELECT '{result}' AS result, id AS row, '{name}' AS name, CASE WHEN id % 11 <> {k} THEN raw END AS raw FROM ({raw})"
+        for result, columns in sides.items() for k, (name, raw) in enumerate(columns)
+    )
+    int_ok = lambda low, high: f"CASE WHEN regexp_matches(raw, '^\\s*[+-]?[0-9]+\\s*$') AND TRY_CAST(trim(raw) AS HUGEINT) BETWEEN {low} AND {high} THEN CAST(CAST(trim(raw) AS DECIMAL(38,18)) AS VARCHAR) END"
+    o["decode_by_descriptor"] = f"""WITH cells AS ({cells}),
+num AS MATERIALIZED (SELECT id, as_decimal, as_float FROM ({i["decode_numeric"]})),
+micros AS (SELECT id, value FROM ({i["decode_time_interval"]})),
+compact AS (SELECT id, value FROM ({i["decode_compact_timestamp"]})),
+made AS (
+  SELECT c.result, c.row, c.name, c.raw,
+    CASE name WHEN 'price' THEN CAST(num.as_decimal AS VARCHAR) WHEN 'number' THEN {int_ok("-9223372036854775808", "9223372036854775807")}
+      WHEN 'count' THEN {int_ok("0", "18446744073709551615")} WHEN 'small' THEN {int_ok("-128", "127")} END AS as_decimal,
+    CASE WHEN name = 'real' THEN as_float END AS as_double,
+    CASE WHEN name = 'gap' THEN micros.value END AS as_micros,
+    CASE name WHEN 'at' THEN {sql_datetime_value("raw")} WHEN 'stamp' THEN compact.value WHEN 'day' THEN CAST({sql_date_value("raw")} AS TIMESTAMP) END AS as_time,
+    CASE name WHEN 'kind' THEN c.raw WHEN 'tags' THEN array_to_string(list_sort(list_distinct(string_split(c.raw, ','))), '|') WHEN 'bytes' THEN hex(encode(c.raw)) END AS as_text,
+    CASE WHEN name = 'props' THEN c.raw IS NOT NULL AND json_valid(c.raw) END AS is_json
+  FROM cells c LEFT JOIN num ON c.result = 'orders' AND name IN ('price', 'real') AND c.row = num.id AND c.raw IS NOT NULL
+  LEFT JOIN micros ON name = 'gap' AND c.row = micros.id AND c.raw IS NOT NULL LEFT JOIN compact ON name = 'stamp' AND c.row = compact.id AND c.raw IS NOT NULL)
+SELECT result, row, name, as_decimal, as_double, as_micros, as_time, as_text, is_json,
+  CASE WHEN coalesce(as_decimal, as_text) IS NULL AND as_double IS NULL AND as_micros IS NULL AND as_time IS NULL AND NOT coalesce(is_json, FALSE) THEN raw END AS reject
+FROM made"""
+    o["range_read_plan"] = """WITH r AS (
+  SELECT CASE WHEN event_type = 'click' THEN 'hot' ELSE 'user-' || (user_id % 50) END AS file, event_id * 104729 % 40000003 AS a,
+    CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN event_id % 300007 ELSE event_id * 31 % 9001 END AS size FROM events),
+p AS (SELECT file, a, a + size AS b, max(a + size) OVER (PARTITION BY file ORDER BY a, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, size FROM r WHERE size > 0),
+g AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY a, size ROWS UNBOUNDED PRECEDING) AS island FROM p),
+s AS (SELECT file, min(a) AS a, max(b) AS b FROM g GROUP BY file, island),
+q AS (SELECT file, b, unnest(generate_series(a, b - 1, 32768)) AS off FROM s)
+SELECT file, off::BIGINT AS "offset", least(32768, b - off)::BIGINT AS length FROM q"""
     return o
 
 
