@@ -6,14 +6,19 @@ the character, the same bits for all texts.  Where two texts differ by an edit,
 their walks meet again after a few steps, so texts at a small edit distance
 have embeddings at a small Hamming distance.
 
-A text is walked in windows of ``WINDOW`` characters, nine steps to four
-characters (a walk needs two a character on average, the rest is for slow
-ones), all windows of many texts in step; the embedding is the windows' walks
-one after the other.  The fingerprint samples the embedding at ``SLOTS``
-places, four bits each, one hex digit.  A slot's place depends on the
-embedding's length only and is sampled consistently: it moves between lengths t
-and t' with probability 1 - t / t', as if it were the place of least hash.
-``likeness`` is the share of equal digits, corrected for chance.
+A text is walked in windows that begin where its content says: at characters
+whose ``GRAM`` characters have the least hash within ``REACH`` characters on
+both sides (and at the start; a window ends after ``4 * REACH`` characters).  So
+windows line up again after an inserted or deleted passage, which disturbs the
+windows it touches and no others.  A walk takes nine steps to four characters
+(it needs two a character on average, the rest is for slow ones).  The
+fingerprint has ``SLOTS`` digits of four bits.  A slot samples the window whose
+beginning has the least hash for that slot, and in it a step that depends on the
+walk's length only and is sampled consistently: it moves between lengths t and
+t' with probability 1 - t / t', as if it were the step of least hash.  The digit
+is a hash of the character there.  ``likeness`` is the share of equal digits,
+corrected for chance; of two texts that share some windows it is about the
+share of shared windows among all windows of either.
 
 ``edit_classes`` joins texts: bands of sampled digits name buckets, close
 fingerprints are verified by the edit distance itself.
@@ -39,11 +44,11 @@ from pyspark.sql import types as T
 from .common import mix, table, text_hash, written
 from .neardup import Same, linked
 
-WINDOW = 512  # a multiple of 4
+REACH = 64
+GRAM = 8
 SLOTS = 256
 CLASSES = 512  # characters are told apart by this many classes
 STEP_CHARS = 1 << 20
-LONGEST = 1 << 42  # characters a text can have
 _PAD = CLASSES - 1
 
 
@@ -55,7 +60,7 @@ def sample_places(slots: int = SLOTS) -> list[np.ndarray]:
     out = []
     for _ in range(slots):
         at, p = [], 0
-        while p < 3 * LONGEST:
+        while p < 16 * REACH:
             at.append(p)
             p = max(p + 1, int((p + 1) / rng.random()))
         out.append(np.array(at, np.int64))
@@ -65,13 +70,21 @@ def sample_places(slots: int = SLOTS) -> list[np.ndarray]:
 class Embedder:
     """Fingerprints of batches of texts."""
 
-    def __init__(self, window: int = WINDOW, slots: int = SLOTS) -> None:
-        self.window, self.slots, self.steps = window, slots, 9 * window // 4
+    def __init__(self, reach: int = REACH, slots: int = SLOTS) -> None:
+        self.reach, self.slots, self.longest = reach, slots, 4 * reach
         rng = np.random.default_rng(60)
-        self.moves = rng.integers(0, 2, (self.steps, CLASSES), dtype=np.int64)
+        self.moves = rng.integers(0, 2, (self.walk(self.longest), CLASSES), dtype=np.int64)
         self.moves[:, _PAD] = 0
         self.digit = rng.integers(0, 16, (slots, CLASSES), dtype=np.uint8)
-        self.places = sample_places(slots)
+        self.seed = rng.integers(0, 1 << 63, slots, dtype=np.int64).astype(np.uint64)
+        # The sampled step of each slot for every possible walk.
+        lengths = self.walk(np.arange(1, self.longest + 1))
+        self.step = np.stack([p[np.searchsorted(p, lengths) - 1] for p in sample_places(slots)], 1)
+
+    @staticmethod
+    def walk(chars):
+        """Steps of the walk over so many characters."""
+        return 9 * chars // 4
 
     def classes(self, text: str) -> np.ndarray:
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -81,36 +94,73 @@ class Embedder:
             code[wide] = 256 + mix(code[wide].astype(np.uint64)) % np.uint64(_PAD - 256)
         return code.astype(np.int64)
 
+    def windows(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of a text begin, and the hashes that name them."""
+        n = len(code)
+        starts, names = np.zeros(1, np.int64), np.zeros(1, np.uint64)
+        if n >= GRAM:
+            grams, l = mix(code.astype(np.uint64) + np.uint64(1)), 1
+            while l < GRAM:
+                grams, l = mix(grams[:-l] * np.uint64(3) + grams[l:]), 2 * l
+            # Hash order in the upper, place in the lower half: the leftmost of equals.
+            order = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+            pad = np.full(self.reach, np.iinfo(np.uint64).max)
+            least, l = np.concatenate([pad, order, pad]), 1
+            while 2 * l <= 2 * self.reach + 1:
+                least, l = np.minimum(least[:-l], least[l:]), 2 * l
+            rest = 2 * self.reach + 1 - l
+            least = np.minimum(least[: len(order)], least[rest : rest + len(order)])
+            cuts = np.flatnonzero(least == order)
+            cuts = cuts[cuts > 0]
+            starts, names = np.append(0, cuts), np.append(np.uint64(0), grams[cuts])
+        size = np.diff(starts, append=n)
+        if size.max() > self.longest:  # long windows go on in pieces
+            pieces = -(-size // self.longest)
+            k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            starts, names = np.repeat(starts, pieces) + k * self.longest, np.repeat(names, pieces)
+            names = np.where(k > 0, mix(names + k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), names)
+        return starts, names
+
+    def sampled(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every slot the start and size of its window and the step."""
+        starts, names = self.windows(code)
+        size = np.diff(starts, append=len(code))
+        at = mix(names[:, None] ^ self.seed).argmin(0)
+        return starts[at], size[at], self.step[size[at] - 1, np.arange(self.slots)]
+
     def __call__(self, texts: list[str]) -> np.ndarray:
         """One row of ``slots`` digits per text."""
         out = np.zeros((len(texts), self.slots), np.uint8)
-        size = np.array([len(t) for t in texts], np.int64)
-        some = np.flatnonzero(size)
-        if not len(some):
+        some = [i for i, t in enumerate(texts) if t]
+        if not some:
             return out
-        # Sampled places as (text, slot) -> window of the text and step in it.
-        total = 9 * size[some] // 4
-        at = np.stack([p[np.searchsorted(p, total) - 1] for p in self.places], 1)
-        n_windows = -(-size[some] // self.window)
-        first = np.cumsum(n_windows) - n_windows
-        window, step = at // self.steps + first[:, None], at % self.steps
-        # Every window is a row of characters and one pad.
-        rows = int(n_windows.sum())
-        grid = np.full((rows, self.window + 1), _PAD, np.int64)
-        flat = np.concatenate([self.classes(texts[i]) for i in some])
-        begin = np.cumsum(size[some]) - size[some]
-        place = np.arange(len(flat)) - np.repeat(begin, size[some])
-        grid[np.repeat(first, size[some]) + place // self.window, place % self.window] = flat
-        cells, here = grid.ravel(), np.arange(rows) * (self.window + 1)
-        order = np.argsort(step, axis=None, kind="stable")
-        by_step = np.searchsorted(step.ravel()[order], np.arange(self.steps + 1))
-        seen = np.empty(step.size, np.int64)
-        for j in range(self.steps):
-            symbol = cells[here]
+        codes = [self.classes(texts[i]) for i in some]
+        begin, size, step = (np.concatenate(x) for x in zip(*map(self.sampled, codes), strict=True))
+        lengths = np.array([len(c) for c in codes])
+        begin += np.repeat(np.cumsum(lengths) - lengths, self.slots)
+        # Every sampled window is walked once, as far as a slot needs it; those
+        # that are walked furthest come first.
+        first, of = np.unique(begin, return_inverse=True)
+        need, chars = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        np.maximum.at(need, of, step)
+        chars[of] = size
+        rank = np.argsort(-need, kind="stable")
+        place = np.empty_like(rank)
+        place[rank] = np.arange(len(rank))
+        first, chars, row = first[rank], chars[rank], place[of]
+        alive = np.searchsorted(-need[rank], -np.arange(need.max() + 1), side="right")
+        flat = np.append(np.concatenate(codes), _PAD)
+        order = np.argsort(step, kind="stable")
+        by_step = np.searchsorted(step[order], np.arange(need.max() + 2))
+        here, end, seen = first.copy(), first + chars, np.empty(len(step), np.int64)
+        for j in range(int(need.max()) + 1):
+            n = alive[j]
+            at = here[:n]
+            symbol = np.where(at < end[:n], flat[np.minimum(at, len(flat) - 1)], _PAD)
             now = order[by_step[j] : by_step[j + 1]]
-            seen[now] = symbol[window.ravel()[now]]
-            here += self.moves[j][symbol]
-        out[some] = self.digit[np.arange(self.slots), seen.reshape(step.shape)]
+            seen[now] = symbol[row[now]]
+            at += self.moves[j][symbol]
+        out[some] = self.digit[np.tile(np.arange(self.slots), len(some)), seen].reshape(len(some), self.slots)
         return out
 
 
@@ -157,8 +207,13 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     last stretch)."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].alias("id"), text_hash(docs[text_col]).alias("hash"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    if isinstance(rows.schema["id"].dataType, T.IntegralType):
+        rows = rows.withColumn("rank", F.col("id").cast("bigint"))
+    else:  # any other type is ranked first: numbers that rise with the ids
+        ranks = written(rows.select(F.col("id").alias("of")).where("of IS NOT NULL").distinct().orderBy("of").withColumn("rank", F.monotonically_increasing_id()), "id-ranks")
+        rows = rows.join(ranks, F.col("id") == F.col("of"), "left").drop("of")
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(docs[id_col].cast("bigint").alias("id"))
+    ids = rows.select(F.col("rank").alias("id"))
     cuts = sorted({int(x) for x in ids.where("id IS NOT NULL").approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n))})
 
     def stretch(x) -> int:
@@ -172,7 +227,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def targets(a: pa.Array) -> pa.Array:
         return pa.array([[stretch(x)] + ([halo[x]] if x in halo else []) for x in a.to_pylist()], pa.list_(pa.int32()))
 
-    sent = rows.select("id", "hash", "text", F.posexplode(F.arrow_udf(targets, "array<int>")(F.col("id").cast("bigint"))).alias("halo", "place"))
+    sent = rows.select("id", "hash", "text", F.posexplode(F.arrow_udf(targets, "array<int>")("rank")).alias("halo", "place"))
     return sent.repartition("place").sortWithinPartitions("place", "halo", F.desc_nulls_last("id"), "hash", "text")
 
 
@@ -240,12 +295,14 @@ def compare_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return rows.select("halo", "place", "id", "text").mapInArrow(task, schema)
 
 
-def edit_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: float = 0.1, bands: int = 42, rows: int = 6) -> DataFrame:
+def edit_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: float = 0.1, bands: int = 64, rows: int = 4, floor: float = 0.2) -> DataFrame:
     """One row per document: ``id``, ``hash``, ``class_id`` (least id): texts
     linked by edit distances of at most ``max_edits`` times the longer length.
     Digits are sampled into bands; a pair of fingerprints that agree on a share
-    s of digits meets in one with probability 1 - (1 - s^rows)^bands.  One walk
-    can, rarely, take long to meet again after an edit; such a pair is missed."""
+    s of digits meets in one with probability 1 - (1 - s^rows)^bands.  Pairs as
+    alike as ``floor`` are verified by the edit distance, which stops at its
+    bound.  Unlike texts meet by chance in 16^-rows of a band: take more rows for
+    many more texts.  A pair whose fingerprints differ too much is missed."""
     prints = written(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     pick = np.random.default_rng(61).permutation(SLOTS)
     bands = min(bands, SLOTS // rows)
@@ -265,11 +322,10 @@ def edit_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def near(a: Column, b: Column) -> Column:
         most = F.floor(F.greatest(F.length(a), F.length(b)) * max_edits).cast("int")
-        return (F.abs(F.length(a) - F.length(b)) <= most) & (F.levenshtein(a, b) <= most)
+        return (F.abs(F.length(a) - F.length(b)) <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
-    # Edits of a share d leave about 1 - 3 d of the walk in place.
     signed = nodes.withColumn("signature", F.unhex(wide)).drop("fingerprint")
-    comps = written(linked(signed, payload_of, Same(native=near), rows=rows, threshold=0.0, floor=max(0.0, 1 - 5 * max_edits)), "edit-components")
+    comps = written(linked(signed, payload_of, Same(native=near), rows=rows, threshold=0.0, floor=floor), "edit-components")
     tagged = prints.join(nodes.select("node", "hash"), "hash")
     labelled = tagged.join(comps, "node", "left").select("id", "hash", F.coalesce("comp", "node").alias("comp"))
     least = labelled.groupBy("comp").agg(F.min("id").alias("class_id"))
