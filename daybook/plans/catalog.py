@@ -40,7 +40,7 @@ from daybook.session import scratch_path, tune
 from daybook.sources import jdbc, partner, raw_text
 from daybook.sources.config import config_lookup, long_config
 from daybook.sources.loan_model import LoanTables, loan_tables
-from daybook.sources.tables import read_table
+from daybook.sources.tables import read_table, table_path
 
 P = ReportParams()
 REP = P.rep
@@ -60,10 +60,10 @@ _STORED: dict[tuple, str] = {}  # the last written history of a context
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot table with eight report days, as a daily job leaves it:
-    written once per session and data directory, then read with filters on its
-    partition column."""
+    written once per session and state of the input files, then read with
+    filters on its partition column."""
     t, sc = _t(spark, sf), spark.sparkContext
-    key = (sc.applicationId, sc.startTime, sf)
+    key = (sc.applicationId, sc.startTime, sf, _state(spark, sf))
     if key not in _STORED:
         path = scratch_path(spark, "history")
         days = [FIRST + dt.timedelta(days=i) for i in range(8)]
@@ -74,6 +74,17 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.read_snapshot(spark, _STORED[key], schema).select(*REPORT_COLUMNS)
 
 
+def _state(spark: SparkSession, sf: str) -> tuple:
+    """Names, sizes and times of the files of the tables behind the report.
+    (One listing per table: as many entries as a scan of it would plan.)"""
+    jvm, found = spark.sparkContext._jvm, []
+    for name in ("orders", "customer", "lineitem"):
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf, name))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return tuple(sorted(found))
+
+
 def _report(spark: SparkSession, sf: str) -> DataFrame:
     return build_report(_t(spark, sf), P)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import result_sets as rs
+from daybook.operators.host_config import host_config_lookup
 from daybook.operators.ranges import range_read_plan
 from daybook.operators.statements import MAX_BYTES, insert_statements
 from daybook.session import tune
@@ -96,8 +97,49 @@ def q_range_read_plan(spark: SparkSession, sf: str) -> DataFrame:
     return range_read_plan(wanted_ranges(read_table(spark, sf, "events")))
 
 
+#: A block for every host of the pages, numbered by a hash of the host.
+HOST = r"^[^:]+://([^/?#]*)"
+LAST_BLOCK = 1 << 28
+
+
+def host_rules(hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(patterns, options) made from hosts: patterns of five shapes, some
+    negated ones, and a last block for all."""
+    spark = hosts.sparkSession
+    block = F.conv(F.substring(F.md5("host"), 1, 7), 16, 10).cast("bigint")
+    rows = hosts.select("host", block.alias("block"))
+    k, h = F.col("block"), F.col("host")
+    shape = (
+        F.when(k % 5 == 0, h).when(k % 5 == 1, F.concat(F.lit("*"), F.regexp_extract(h, r"\..*$", 0))).when(k % 5 == 2, F.concat(F.substring(h, 1, 3), F.lit("*")))
+        .when(k % 5 == 3, F.concat(F.lit("?"), F.substr(h, F.lit(2)))).otherwise(F.concat(F.lit("*["), F.substring(h, -7, 1), F.lit("x]"), F.substr(h, F.length(h) - 5)))
+    )
+    last = spark.createDataFrame([(LAST_BLOCK, "*", False)], "block long, pattern string, negated boolean")
+    patterns = rows.select("block", shape.alias("pattern"), F.lit(False).alias("negated")).unionByName(rows.where(k % 4 == 0).select("block", F.lit("m.*").alias("pattern"), F.lit(True).alias("negated"))).unionByName(last)
+    number = k.cast("string")
+    given = [
+        (F.when(k % 2 == 0, "Port"), F.concat(F.lit("1"), number)),
+        (F.lit("User"), F.concat(F.lit("u"), number)),
+        (F.lit("user"), F.lit("second")),
+        (F.when(k % 3 == 0, "ProxyCommand"), F.when(k % 9 == 0, "none").otherwise("nc %h:%p -l %r ~")),
+        (F.lit("IdentityFile"), F.concat(F.lit("%d/id_"), (k % 3).cast("string"), F.lit("_%r"))),
+        (F.when(k % 7 == 0, "HostName"), F.lit("%h.internal")),
+    ]
+    given = F.array(*[F.struct(F.lit(i).alias("position"), name.alias("key"), value.alias("value")) for i, (name, value) in enumerate(given)])
+    options = rows.select("block", F.inline(given)).where("key IS NOT NULL")
+    last = spark.createDataFrame([(LAST_BLOCK, 0, "ControlPath", "%n-%p-%u"), (LAST_BLOCK, 1, "User", "root")], "block long, position int, key string, value string")
+    return patterns, options.unionByName(last)
+
+
+def q_host_config_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    tune(spark)
+    hosts = read_table(spark, sf, "pages").select(F.regexp_extract("url", HOST, 1).alias("host")).distinct()
+    done = host_config_lookup(hosts, *host_rules(hosts), {"%u": "me", "%d": "/home/me"})
+    return done.select("host", "key", F.size("values").alias("n"), F.array_join("values", "|", "(none)").alias("text"))
+
+
 QUERIES = {
     "insert_statements": q_insert_statements,
     "decode_by_descriptor": q_decode_by_descriptor,
     "range_read_plan": q_range_read_plan,
+    "host_config_lookup": q_host_config_lookup,
 }

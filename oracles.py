@@ -742,6 +742,33 @@ g AS (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY f
 s AS (SELECT file, min(a) AS a, max(b) AS b FROM g GROUP BY file, island),
 q AS (SELECT file, b, unnest(generate_series(a, b - 1, 32768)) AS off FROM s)
 SELECT file, off::BIGINT AS "offset", least(32768, b - off)::BIGINT AS length FROM q"""
+    o["host_config_lookup"] = r"""WITH h AS (
+  SELECT host, ('0x' || substr(md5(host), 1, 7))::BIGINT AS k FROM (SELECT DISTINCT regexp_extract(url, '^[^:]+://([^/?#]*)', 1) AS host FROM pages)),
+pat AS (
+  SELECT k AS block, CASE k % 5 WHEN 0 THEN host WHEN 1 THEN '*' || regexp_extract(host, '\..*$') WHEN 2 THEN substr(host, 1, 3) || '*'
+    WHEN 3 THEN '?' || substr(host, 2) ELSE '*[' || substr(host, length(host) - 6, 1) || 'x]' || substr(host, length(host) - 5) END AS pattern, FALSE AS negated FROM h
+  UNION ALL SELECT k, 'm.*', TRUE FROM h WHERE k % 4 = 0 UNION ALL SELECT 268435456, '*', FALSE),
+fit AS (
+  SELECT host, block FROM h JOIN pat ON host GLOB pattern GROUP BY host, block HAVING bool_or(NOT negated) AND NOT bool_or(negated)),
+opt AS (
+  SELECT k AS block, 'port' AS key, '1' || k AS value FROM h WHERE k % 2 = 0 UNION ALL SELECT k, 'user', 'u' || k FROM h
+  UNION ALL SELECT k, 'proxycommand', CASE WHEN k % 9 = 0 THEN NULL ELSE 'nc %h:%p -l %r ~' END FROM h WHERE k % 3 = 0
+  UNION ALL SELECT k, 'identityfile', '%d/id_' || (k % 3) || '_%r' FROM h UNION ALL SELECT k, 'hostname', '%h.internal' FROM h WHERE k % 7 = 0
+  UNION ALL SELECT 268435456, 'controlpath', '%n-%p-%u' UNION ALL SELECT 268435456, 'user', 'root'),
+hits AS (SELECT host, key, block, value, row_number() OVER (PARTITION BY host, key ORDER BY block) AS n FROM fit JOIN opt USING (block)),
+one AS (SELECT host, key, value FROM hits WHERE n = 1 AND key <> 'identityfile'),
+known AS (
+  SELECT h.host, coalesce(replace(a.value, '%h', h.host), h.host) AS name, coalesce(p.value, '22') AS port, u.value AS usr
+  FROM h LEFT JOIN one a ON a.host = h.host AND a.key = 'hostname' LEFT JOIN one p ON p.host = h.host AND p.key = 'port' LEFT JOIN one u ON u.host = h.host AND u.key = 'user'),
+files AS (
+  SELECT host, count(*) AS n, string_agg(replace(replace(value, '%d', '/home/me'), '%r', usr), '|' ORDER BY block) AS text
+  FROM (SELECT host, value, min(block) AS block FROM hits WHERE key = 'identityfile' GROUP BY host, value) JOIN known USING (host) GROUP BY host)
+SELECT host, 'hostname' AS key, 1 AS n, name AS text FROM known
+UNION ALL SELECT host, 'identityfile', n::INT, text FROM files
+UNION ALL SELECT host, key, 1, CASE key
+    WHEN 'proxycommand' THEN coalesce(replace(replace(replace(replace(value, '%h', name), '%p', port), '%r', usr), '~', '/home/me'), '(none)')
+    WHEN 'controlpath' THEN replace(replace(replace(value, '%n', host), '%p', port), '%u', 'me') ELSE value END
+  FROM one JOIN known USING (host) WHERE key <> 'hostname'"""
     return o
 
 

@@ -154,3 +154,18 @@ def test_check_raises_on_a_result_file_that_is_not_utf8(spark):
     open(os.path.join(local_dir(results), "statistic_820053.json"), "wb").close()
     with pytest.raises(PySparkException, match="MALFORMED_CHARACTER_CODING"):
         daily.check(spark, P, snap, counter, results).message.collect()
+
+
+def test_history_follows_rewritten_tables(spark, tmp_path):
+    """The stored history is built anew when the tables' files change."""
+    from conftest import SF001
+    from daybook.plans import catalog
+
+    sf = str(tmp_path)
+    for name in ("orders", "customer", "lineitem"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    before = {r[0]: r[1] for r in catalog.QUERIES["daily_counts"](spark, sf).collect()}
+    assert {r[0]: r[1] for r in catalog.QUERIES["daily_counts"](spark, sf).collect()} == before
+    spark.read.parquet(f"{SF001}/orders.parquet").where("o_orderkey % 2 = 0").write.mode("overwrite").parquet(f"{sf}/orders.parquet")
+    after = {r[0]: r[1] for r in catalog.QUERIES["daily_counts"](spark, sf).collect()}
+    assert after.keys() == before.keys() and all(after[d] < before[d] for d in before)
