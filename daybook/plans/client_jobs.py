@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import result_sets as rs
 from daybook.operators.host_config import host_config_lookup
+from daybook.operators.links import resolve_links
 from daybook.operators.ranges import range_read_plan
 from daybook.operators.statements import MAX_BYTES, insert_statements
 from daybook.session import tune
@@ -137,9 +138,26 @@ def q_host_config_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("host", "key", F.size("values").alias("n"), F.array_join("values", "|", "(none)").alias("text"))
 
 
+def q_resolve_links(spark: SparkSession, sf: str) -> DataFrame:
+    """A link for every order: chains to every tenth order's file (missing for
+    a third of these), and cycles of four in every fifty."""
+    tune(spark)
+    k = F.col("o_orderkey")
+    orders = read_table(spark, sf, "orders").select(k)
+    following = (k + 1).cast("string")
+    target = (
+        F.when(k % 10 == 0, F.concat(F.lit("../o/f"), k.cast("string"))).when(k % 50 == 7, F.concat(F.lit("l"), (k - 3).cast("string")))
+        .when(k % 2 == 0, F.concat(F.lit("./l"), following)).otherwise(F.concat(F.lit("/o/x/..//l"), following))
+    )
+    links = orders.select(F.concat(F.lit("/o/l"), k.cast("string")).alias("path"), target.alias("target"))
+    files = orders.where((k % 10 == 0) & (k % 3 != 0)).select(F.concat(F.lit("/o/f"), k.cast("string")).alias("path"))
+    return resolve_links(links, files)
+
+
 QUERIES = {
     "insert_statements": q_insert_statements,
     "decode_by_descriptor": q_decode_by_descriptor,
     "range_read_plan": q_range_read_plan,
     "host_config_lookup": q_host_config_lookup,
+    "resolve_links": q_resolve_links,
 }

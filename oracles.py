@@ -769,6 +769,16 @@ UNION ALL SELECT host, key, 1, CASE key
     WHEN 'proxycommand' THEN coalesce(replace(replace(replace(replace(value, '%h', name), '%p', port), '%r', usr), '~', '/home/me'), '(none)')
     WHEN 'controlpath' THEN replace(replace(replace(value, '%n', host), '%p', port), '%u', 'me') ELSE value END
   FROM one JOIN known USING (host) WHERE key <> 'hostname'"""
+    o["resolve_links"] = """WITH RECURSIVE l AS (
+  SELECT '/o/l' || k AS path, CASE WHEN k % 10 = 0 THEN '/o/f' || k WHEN k % 50 = 7 THEN '/o/l' || (k - 3) ELSE '/o/l' || (k + 1) END AS target
+  FROM (SELECT o_orderkey AS k FROM orders)),
+walk AS (
+  SELECT path, target AS here, 1 AS hops FROM l
+  UNION ALL SELECT walk.path, l.target, hops + 1 FROM walk JOIN l ON walk.here = l.path WHERE hops < 64),
+stop AS (SELECT path, here, hops FROM walk WHERE here NOT IN (SELECT path FROM l))
+SELECT l.path, l.target, here AS final, hops::BIGINT AS hops,
+  CASE WHEN here IS NULL THEN 'cycle' WHEN here IN (SELECT '/o/f' || o_orderkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 3 <> 0) THEN 'ok' ELSE 'broken' END AS status
+FROM l LEFT JOIN stop USING (path)"""
     return o
 
 
