@@ -27,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +47,8 @@ def bpe_tokens(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "
     """``docs`` with ``n_tokens``: tokens of a byte-pair vocabulary, plus the end
     token.  The file (lines of base64 token and rank) is read on the driver and
     broadcast; every task builds the vocabulary once.  Null counts as empty."""
+    import tiktoken
+
     with open(ranks_file, "rb") as f:
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
