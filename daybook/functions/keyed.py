@@ -2,8 +2,7 @@
 MACs and SipHash.
 
 Everything is a native Spark expression on binary columns.  Words of 64 bits are
-``bigint``; sums modulo 2^64 are made of 32-bit halves, so that ANSI mode sees no
-overflow.  A value that an expression uses more than once is bound to a lambda
+``bigint``; sums modulo 2^64 never overflow one (ANSI mode would raise).  A value that an expression uses more than once is bound to a lambda
 variable (``protect.bind``): Catalyst would copy it into each use.
 
 Defined results: NULL data or a NULL key gives NULL, an empty text is no bytes,
@@ -61,11 +60,10 @@ def _signed(value: int) -> Column:
 
 
 def add64(a: Column, b: Column) -> Column:
-    """Sum modulo 2^64."""
-    mask = F.lit(0xFFFFFFFF).cast("bigint")
-    low = a.bitwiseAND(mask) + b.bitwiseAND(mask)
-    high = F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32) + F.shiftrightunsigned(low, 32)
-    return F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(mask))
+    """Sum modulo 2^64.  Numbers of different signs cannot overflow; of others one
+    changes its sign bit, and so does the sum."""
+    top = _signed(1 << 63)
+    return F.when(a.bitwiseXOR(b) < 0, a + b).otherwise((a.bitwiseXOR(top) + b).bitwiseXOR(top))
 
 
 def rotl64(a: Column, by: int) -> Column:

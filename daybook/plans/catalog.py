@@ -26,7 +26,7 @@ from daybook.operators.aggregates import daily_counts, daily_counts_sql
 from daybook.operators.counter import counter_read, counter_upsert, runs_per_day
 from daybook.operators.filters import REPORT_DATE_COLUMN, filter_last_days, filter_report_day
 from daybook.params import ReportParams
-from daybook.plans import client_jobs, snapshot
+from daybook.plans import client_jobs, key_jobs, snapshot
 from daybook.plans.check import summary_message
 from daybook.plans.present import comparable
 from daybook.plans.report import (
@@ -765,3 +765,4 @@ QUERIES.update({
 
 # ---- table jobs of the client library ------------------------------------------------
 QUERIES.update(client_jobs.QUERIES)
+QUERIES.update(key_jobs.QUERIES)

@@ -782,8 +782,102 @@ FROM l LEFT JOIN stop USING (path)"""
     return o
 
 
+# ---- keyed functions -------------------------------------------------------------
+def _sql_pads(digits: str, size: int) -> str:
+    """(inner, outer) hex pads of a key given as hex digits, at most a block long."""
+    padded = f"rpad({digits}, {2 * size}, '0')"
+    mixed = lambda p: " || ".join(f"lpad(hex(xor(('0x' || substr({padded}, {16 * i + 1}, 16))::UBIGINT, ('0x' || repeat('{p}', 8))::UBIGINT)), 16, '0')" for i in range(size // 8))
+    return f"{mixed('36')} AS i, {mixed('5c')} AS o"
+
+
+def _sql_mac(digest: str, data: str) -> str:
+    return f"{digest}(from_hex(o) || from_hex({digest}(from_hex(i) || {data})))"
+
+
+def _sql_siphash() -> str:
+    """One sum, turn and mix after another; every state binds the one before as
+    the only element of a list."""
+    add = lambda a, b: f"((({a})::UHUGEINT + ({b})::UHUGEINT) % 18446744073709551616)::UBIGINT"
+    rot = lambda a, n: f"((({a})::UHUGEINT * {1 << n}) % 18446744073709551616 + ({a})::UHUGEINT // {1 << (64 - n)})::UBIGINT"
+    pack = lambda a, b, c, d, m: f"{{'a': {a}, 'b': {b}, 'c': {c}, 'd': {d}, 'm': {m}}}"
+
+    def let(value: str, name: str, body: str) -> str:
+        return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+    def sip_round(s: str, t: str) -> str:
+        step = pack(add(f"{s}.a", f"{s}.b"), f"{s}.b", add(f"{s}.c", f"{s}.d"), f"{s}.d", f"{s}.m")
+        u, v = t + "u", t + "v"
+        turned = pack(rot(f"{u}.a", 32), f"xor({rot(f'{u}.b', 13)}, {u}.a)", f"{u}.c", f"xor({rot(f'{u}.d', 16)}, {u}.c)", f"{u}.m")
+        again = pack(add(f"{v}.a", f"{v}.d"), f"{v}.b", add(f"{v}.c", f"{v}.b"), f"{v}.d", f"{v}.m")
+        w = t + "w"
+        last = pack(f"{w}.a", f"xor({rot(f'{w}.b', 17)}, {w}.c)", rot(f"{w}.c", 32), f"xor({rot(f'{w}.d', 21)}, {w}.a)", f"{w}.m")
+        return let(step, u, let(turned, v, let(again, w, last)))
+
+    def rounds(start: str, n: int, tag: str, body) -> str:
+        def go(name: str, i: int) -> str:
+            return body(name) if i == n else let(sip_round(name, f"{tag}{i}"), f"{tag}{i}r", go(f"{tag}{i}r", i + 1))
+
+        return let(start, f"{tag}s", go(f"{tag}s", 0))
+
+    entered = pack("s.a", "s.b", "s.c", "xor(s.d, x.m)", "x.m")
+    fold = rounds(entered, 2, "p", lambda t: pack(f"xor({t}.a, {t}.m)", f"{t}.b", f"{t}.c", f"{t}.d", f"{t}.m"))
+    end = rounds(pack("z.a", "z.b", "xor(z.c, 255::UBIGINT)", "z.d", "z.m"), 4, "q", lambda t: f"xor(xor({t}.a, {t}.b), xor({t}.c, {t}.d))")
+    little = lambda text, at: "('0x' || " + " || ".join(f"substr({text}, {at} + {14 - 2 * j}, 2)" for j in range(8)) + ")::UBIGINT"
+    zero = "0::UBIGINT"
+    start = [f"xor({k}, ('0x{v}')::UBIGINT)" for k, v in (("k0", "736f6d6570736575"), ("k1", "646f72616e646f6d"), ("k0", "6c7967656e657261"), ("k1", "7465646279746573"))]
+    return f"""WITH t AS MATERIALIZED (
+  SELECT doc_id, md5(coalesce(source, '')) AS k, octet_length(encode(text)) AS n,
+    rpad(hex(encode(text)), ((octet_length(encode(text)) // 8) * 16 + 14)::INT, '0') || lpad(hex(octet_length(encode(text)) % 256), 2, '0') AS h FROM documents),
+w AS (SELECT doc_id, n, {little("k", "1")} AS k0, {little("k", "17")} AS k1, list_transform(range(0, n // 8 + 1), lambda j: substr(h, (16 * j + 1)::BIGINT, 16)) AS parts FROM t),
+m AS (SELECT doc_id, [{pack(*start, zero)}] || list_transform(parts, lambda x: {pack(zero, zero, zero, zero, little("x", "1"))}) AS l FROM w),
+f AS (SELECT doc_id, list_reduce(l, lambda s, x: {fold}) AS z FROM m WHERE l IS NOT NULL),
+g AS (SELECT doc_id, {end} AS v FROM f)
+SELECT doc_id, (CASE WHEN v >= 9223372036854775808 THEN v::HUGEINT - 18446744073709551616 ELSE v END)::BIGINT AS hash FROM documents LEFT JOIN g USING (doc_id)"""
+
+
+def _oracles_keyed() -> dict[str, str]:
+    from daybook.plans.key_jobs import KEY_BYTES, SINGLE_BYTES
+
+    info = "encode(doc_id::VARCHAR)"
+    block = lambda before, i: _sql_mac("sha256", f"{before}{info} || from_hex('{i:02x}')")
+    o: dict[str, str] = {}
+    o["hkdf_column"] = f"""WITH s AS (
+  SELECT doc_id, encode(text) AS data, encode(coalesce(source, '')) AS salt, {_sql_pads("hex(encode(coalesce(source, '')))", 64)} FROM documents),
+p AS MATERIALIZED (SELECT doc_id, data, salt, {_sql_mac("sha256", "data")} AS prk FROM s),
+e AS MATERIALIZED (SELECT doc_id, data, salt, {_sql_pads("prk", 64)} FROM p),
+t1 AS MATERIALIZED (SELECT *, {block("", 1)} AS b1 FROM e),
+t2 AS MATERIALIZED (SELECT *, {block("from_hex(b1) || ", 2)} AS b2 FROM t1),
+t3 AS MATERIALIZED (SELECT *, {block("from_hex(b2) || ", 3)} AS b3 FROM t2),
+k AS MATERIALIZED (SELECT doc_id, data, salt, substr(b1 || b2 || b3, 1, {2 * KEY_BYTES}) AS derived FROM t3),
+h AS MATERIALIZED (SELECT *, sha256(from_hex(derived)) AS short FROM k),
+q AS (SELECT doc_id, data, salt, derived, {_sql_pads("short", 64)} FROM h)
+SELECT doc_id, derived, substr(sha256(from_hex('00000001') || data || {info}) || sha256(from_hex('00000002') || data || {info}), 1, {2 * SINGLE_BYTES}) AS single,
+  {_sql_mac("sha256", "salt")} AS mac FROM q"""
+    code = lambda counter: _sql_mac("sha1", f"from_hex(lpad(hex({counter}), 16, '0'))")
+    digits = "lpad(((('0x' || substr(mac, 2 * ('0x' || right(mac, 1))::INT + 1, 8))::BIGINT & 2147483647) % 1000000)::VARCHAR, 6, '0')"
+    o["totp_verify"] = f"""WITH e AS (
+  SELECT event_id, user_id, event_type, CAST(floor(epoch_us(ts) / 86400000000.0) AS BIGINT) * 86400 + event_id % 60 AS sec FROM events),
+u AS MATERIALIZED (SELECT user_id, {_sql_pads("substr(sha256('secret ' || user_id), 1, 40)", 64)} FROM (SELECT DISTINCT user_id FROM events)),
+need AS (SELECT DISTINCT user_id, sec // 30 + d AS counter FROM e, range(-1, 3) t(d)),
+codes AS MATERIALIZED (SELECT user_id, counter, {digits} AS code FROM (SELECT user_id, counter, {code("counter")} AS mac FROM need JOIN u USING (user_id))),
+g AS (
+  SELECT e.*, CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN NULL WHEN event_type = 'purchase' THEN reverse(code) ELSE code END AS given
+  FROM e JOIN codes c ON c.user_id = e.user_id AND c.counter = sec // 30 + CASE event_type WHEN 'view' THEN -1 WHEN 'signup' THEN 2 ELSE 0 END),
+m AS (
+  SELECT event_id, g.user_id, sec, given, arg_min(c.counter, abs(c.counter - sec // 30) * 2 + CASE WHEN c.counter > sec // 30 THEN 1 ELSE 0 END) AS step
+  FROM g LEFT JOIN codes c ON c.user_id = g.user_id AND c.code = given AND c.counter BETWEEN sec // 30 - 1 AND sec // 30 + 1
+  GROUP BY event_id, g.user_id, sec, given)
+SELECT event_id AS attempt, given AS code, step,
+  CASE WHEN step IS NULL THEN 'refused' WHEN row_number() OVER (PARTITION BY user_id, step ORDER BY sec, event_id) = 1 THEN 'accepted' ELSE 'replayed' END AS status
+FROM m"""
+    o["siphash_column"] = _sql_siphash()
+    o["cmac_column"] = """SELECT doc_id, CASE WHEN text IS NOT NULL THEN 16 END AS tag_bytes, CASE WHEN text IS NOT NULL THEN true END AS ok_self,
+  CASE WHEN text IS NOT NULL THEN false END AS ok_longer, CASE WHEN text IS NOT NULL THEN false END AS ok_other_key FROM documents"""
+    return o
+
+
 def oracles() -> dict[str, str]:
-    return {**_oracles_client(), **_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k(), **_oracles_j()}
+    return {**_oracles_client(), **_oracles_keyed(), **_oracles_a_to_h(), **_oracles_i(), **_oracles_l(), **_oracles_k(), **_oracles_j()}
 
 
 if __name__ == "__main__":  # pragma: no cover - manual inspection
