@@ -28,8 +28,8 @@ margin of step 4; with 32 bands of 6 a pair at 0.8 shares none with probability
 6e-5.
 
 Defined results: null texts and texts without words stand alone unless equal
-(equal empty texts are copies; nulls never are); rows that repeat an id and text
-are copies of each other; a null id is kept as null and sorts first as a class
+(equal empty texts are copies; null texts only those of one id); rows that repeat
+an id and text, null or not, are copies of each other; a null id is kept as null and sorts first as a class
 id; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -354,7 +354,8 @@ def classes(
 ) -> DataFrame:
     """One row per document row: ``id``, ``hash`` (of its text), ``class_id``
     (least id of the class), ``class_size`` (rows) and ``kept`` (true for one
-    row of each class: least id, then least hash)."""
+    row of each class: least id, then least hash, then one of the rows that repeat
+    both)."""
     rowwise = written(sketches(docs, id_col, text_col, bands, rows), "sketches")
     # Distinct texts; the row that stands for a text is the one of least id.
     # They are numbered as they are written, so the numbers stay.
@@ -369,32 +370,30 @@ def classes(
     numbered = nodes.drop("node").withColumnRenamed("number", "node")
     comps = linked(numbered, lambda wanted: _shingle_sets(docs, id_col, text_col, wanted), same, rows=rows, threshold=threshold, floor=floor)
     named = written(nodes.select("number", "node").join(comps.withColumnRenamed("node", "number"), "number").select("node", "comp"), "components")
-    # A null text is a class of its own row: it has no node to share.
-    alone = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
+    # A null text has no node to share: it is a class with those of the same id.
+    alone = F.concat(F.lit("null "), F.coalesce(F.concat(F.lit("of "), F.col("id").cast("string")), F.lit("")))
     label = F.when(F.col("comp").isNotNull(), F.col("comp").cast("string")).when(F.col("node").isNotNull(), F.hex("node")).otherwise(alone)
-    labelled = written(rowwise.select("id", "hash", "node").join(named, "node", "left").select("id", "hash", label.alias("class")), "labelled")
-    # One of several rows with the same id and text is kept: the first of its group.
-    # (written, so that AQE sees two plain sides and can split a large class)
-    groups = written(labelled.groupBy("class").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("class_size")), "classes")
-    return labelled.join(groups, "class").select(
-        "id", "hash", F.col("least.id").alias("class_id"), "class_size",
-        (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("hash") == F.col("least.hash"))).alias("kept"),
-    )
+    labelled = rowwise.select("id", "hash", "node").join(named, "node", "left").select("id", "hash", label.alias("class"))
+    # Rows are numbered as they are written, so one of several rows with the same
+    # id and text can be named, and AQE sees two plain sides and can split a large class.
+    labelled = written(labelled.withColumn("number", F.monotonically_increasing_id()), "labelled")
+    groups = written(labelled.groupBy("class").agg(F.min(F.struct("id", "hash", "number")).alias("least"), F.count("*").alias("class_size")), "classes")
+    return labelled.join(groups, "class").select("id", "hash", F.col("least.id").alias("class_id"), "class_size", (F.col("number") == F.col("least.number")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs`` with one row of each class (rows repeating the kept row's id and
-    text go too)."""
+    """``docs`` with one row of each class.  (Of rows that repeat the kept row's
+    id and text one stays; their other columns are those of any of them.)"""
     judged = written(classes(docs, id_col=id_col, text_col=text_col, **kw), "near-duplicates")
-    gone = judged.where("NOT kept").select(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash")).distinct()
-    rest = docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & (text_hash(docs[text_col]) == gone["gone_hash"]), "left_anti")
-    unrepeated = judged.where("kept").groupBy("id", "hash").count().where("count > 1").isEmpty()
-    return rest if unrepeated else _one_per_row(rest, id_col, text_col)
-
-
-def _one_per_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    tagged = docs.withColumn("__hash", text_hash(docs[text_col]))
-    return tagged.dropDuplicates([id_col, "__hash"]).drop("__hash")
+    fates = judged.groupBy("id", "hash").agg(F.max("kept").alias("__stays"), F.count("*").alias("__n"))
+    fates = written(fates.where("NOT __stays OR __n > 1").withColumnsRenamed({"id": "__id", "hash": "__hash"}), "fates")
+    same = lambda f: docs[id_col].eqNullSafe(f["__id"]) & (text_hash(docs[text_col]) == f["__hash"])
+    single = docs.join(fates, same(fates), "left_anti")
+    repeated = fates.where("__stays")
+    # Repeats of a kept row: the first that each task meets, then of these.
+    columns = [c for c in docs.columns if c not in (id_col, text_col)]
+    rest = docs.join(repeated, same(repeated), "left_semi").groupBy(id_col, text_col).agg(F.first(F.struct(F.lit(0).alias("__one"), *[docs[c] for c in columns])).alias("__row"))
+    return single.unionByName(rest.select(id_col, text_col, "__row.*").drop("__one"))
 
 
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ The first pass scatters the records by seeded hashes: rendezvous hashing of
 the id chooses the shard (the greatest of one hash per shard wins, so a further
 shard takes rows only into itself), and a second hash of the whole record
 chooses one of the shard's buckets, sized to fit a task's memory.  The scatter
-is a hash repartition: records lie in Spark's shuffle files, not in memory.
+is a repartition by the bucket's number, one task per bucket: records lie in
+Spark's shuffle files, not in memory.
 The second pass shuffles each bucket by Fisher-Yates (Spark's ``shuffle`` of an
 array with a seed).  A record's slot in its shard is its place in the bucket
 plus the sizes of the buckets before.
@@ -62,9 +63,12 @@ def external_shuffle(
     sizes = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    scattered = placed.repartition(shards * buckets, "shard", "bucket").sortWithinPartitions("shard", "bucket", "order")
-    shuffled = scattered.groupBy("shard", "bucket").agg(F.shuffle(F.collect_list("row"), F.lit(seed)).alias("rows"))
-    out = shuffled.join(sizes, ["shard", "bucket"]).select("shard", "bucket", "before", F.posexplode("rows").alias("place", "row"))
+    # One task per bucket: the bucket's number is the partition's.
+    cell = (F.col("shard") * buckets + F.col("bucket")).cast("int")
+    scattered = placed.withColumn("cell", cell).repartitionById(shards * buckets, F.col("cell")).sortWithinPartitions("cell", "order")
+    shuffled = scattered.groupBy("cell").agg(F.shuffle(F.collect_list("row"), F.lit(seed)).alias("rows"))
+    sizes = sizes.withColumn("cell", cell)
+    out = shuffled.join(sizes, "cell").select("shard", "bucket", "before", F.posexplode("rows").alias("place", "row"))
     return out.select("row.*", "shard", "bucket", (F.col("before") + F.col("place")).cast("bigint").alias("slot"))
 
 

@@ -130,6 +130,23 @@ def test_one_document_of_each_class_stays(spark, edges):
     assert texts.count("a") == 1 and texts.count("It is a text of some words.") == 1 and texts.count(None) == 2
 
 
+def test_one_of_repeated_rows_is_kept(spark):
+    """Equal ids and texts, null texts and null ids: one rule, whatever else the table holds."""
+    long = "a text of some words that goes on for a while and is met again here and there"
+    rows = [(1, long), (1, long), (1, long), (2, long + " now"), (3, None), (3, None), (4, None), (None, None), (None, None), (None, "x"), (5, "y")]
+    for left in (rows, rows[4:], rows[3:]):
+        docs = spark.createDataFrame([(*r, i, "z") for i, r in enumerate(left)], "doc_id long, text string, id int, hash string").repartition(5)
+        got = nd.classes(docs).collect()
+        assert len(got) == len(left)
+        kept = [r.class_id for r in got if r.kept]
+        stay = nd.drop_near_duplicates(docs)
+        assert stay.columns == docs.columns and stay.dtypes == docs.dtypes
+        wanted = {r for r in left if r not in {(2, long + " now")} or (1, long) not in left}
+        assert sorted(map(str, ((r.doc_id, r.text) for r in stay.collect()))) == sorted(map(str, wanted))
+        assert sorted(map(str, kept)) == sorted(str(r[0]) for r in wanted)
+        assert [r.class_size for r in got if r.id == 3] == [2, 2]
+
+
 def test_empty_table(no_docs):
     assert nd.classes(no_docs).collect() == []
     assert nd.drop_near_duplicates(no_docs).collect() == []

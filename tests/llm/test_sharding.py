@@ -64,6 +64,38 @@ def test_many_small_buckets(spark):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
 
 
+def test_shards_equal_plain_rendezvous(placed):
+    """Each shard draws a hash of its number and the id; the greatest wins."""
+    import xxhash
+
+    def draw(shard, key):
+        seed = 42
+        for part in ((sh.SEED).to_bytes(4, "little"), shard.to_bytes(4, "little"), str(key).encode()):
+            seed = xxhash.xxh64_intdigest(part, seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    for r in placed:
+        for shards, got in ((16, r.shard), (17, r.grown_shard)):
+            assert got == max(range(shards), key=lambda i: (draw(i, r.doc_id), i))
+
+
+def test_one_bucket_a_task_and_slots_bucket_by_bucket(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    out = sh.external_shuffle(docs, shards=4, bucket_bytes=100_000).withColumn("task", F.spark_partition_id()).collect()
+    buckets = collections.defaultdict(list)
+    for r in out:
+        buckets[r.shard, r.bucket].append(r)
+    assert len(buckets) > 20 and sorted(r.doc_id for r in out) == sorted(r.doc_id for r in docs.collect())
+    assert len({r.task for r in out}) == len(buckets)
+    begins = collections.Counter()
+    for (shard, _), rows in sorted(buckets.items()):
+        assert sorted(r.slot for r in rows) == list(range(begins[shard], begins[shard] + len(rows)))
+        assert len({r.task for r in rows}) == 1
+        begins[shard] += len(rows)
+
+
 def test_edges(spark, edges):
     out = sh.external_shuffle(edges).collect()
     assert len(out) == len(EDGES) and {"doc_id", "text", "kinds", "shard", "bucket", "slot"} <= set(out[0].asDict())
