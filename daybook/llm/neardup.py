@@ -385,15 +385,16 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """``docs`` with one row of each class.  (Of rows that repeat the kept row's
     id and text one stays; their other columns are those of any of them.)"""
     judged = written(classes(docs, id_col=id_col, text_col=text_col, **kw), "near-duplicates")
-    fates = judged.groupBy("id", "hash").agg(F.max("kept").alias("__stays"), F.count("*").alias("__n"))
-    fates = written(fates.where("NOT __stays OR __n > 1").withColumnsRenamed({"id": "__id", "hash": "__hash"}), "fates")
-    same = lambda f: docs[id_col].eqNullSafe(f["__id"]) & (text_hash(docs[text_col]) == f["__hash"])
-    single = docs.join(fates, same(fates), "left_anti")
-    repeated = fates.where("__stays")
-    # Repeats of a kept row: the first that each task meets, then of these.
-    columns = [c for c in docs.columns if c not in (id_col, text_col)]
-    rest = docs.join(repeated, same(repeated), "left_semi").groupBy(id_col, text_col).agg(F.first(F.struct(F.lit(0).alias("__one"), *[docs[c] for c in columns])).alias("__row"))
-    return single.unionByName(rest.select(id_col, text_col, "__row.*").drop("__one"))
+    fates = judged.groupBy("id", "hash").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    gone = fates.where("NOT stays").select(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash"))
+    rest = docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & (text_hash(docs[text_col]) == gone["gone_hash"]), "left_anti")
+    # Equal ids and texts are one class, so this changes nothing where none repeats.
+    return rest if fates.where("stays AND n > 1").isEmpty() else _one_per_row(rest, id_col, text_col)
+
+
+def _one_per_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    tagged = docs.withColumn("__hash", text_hash(docs[text_col]))
+    return tagged.dropDuplicates([id_col, "__hash"]).drop("__hash")
 
 
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
