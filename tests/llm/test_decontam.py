@@ -32,15 +32,16 @@ def brute(docs, items, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block", [1 << 20, 40])
-def test_phrases_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "vocabulary", "pairs"), [(1 << 20, 1 << 22, 1 << 20), (40, 2, 7)])
+def test_phrases_equal_brute_force(spark, monkeypatch, block, vocabulary, pairs):
     """Few distinct words, so that windows repeat and overlap; small shards."""
     monkeypatch.setattr(dc, "SHARD_WORDS", 50)
+    monkeypatch.setattr(dc, "PAIRS", pairs)
     rng = random.Random(2)
     text = lambda n: " ".join(rng.choice("ab cd ef,gh".split()) for _ in range(n))
     docs = [(i, text(rng.randint(0, 60))) for i in range(60)] + [(60, None), (61, ""), (62, "AB cd"), (62, "AB cd")]
     items = [(i, text(rng.randint(1, 9))) for i in range(12)] + [(12, None), (13, "!"), (None, "ab cd ef"), (3, "ef ab"), (14, "ab cd ef"), (15, "zz yy")]
-    got = dc.contamination(spark, docs_of(spark, [t for _, t in docs], [i for i, _ in docs], clash=True), bench_of(spark, items), window=4, block_bytes=block)
+    got = dc.contamination(spark, docs_of(spark, [t for _, t in docs], [i for i, _ in docs], clash=True), bench_of(spark, items), window=4, block_bytes=block, vocabulary=vocabulary)
     assert sorted(((r.id, r.n_words, r.n_hit, list(r["items"])) for r in got.collect()), key=str) == brute(docs, items, 4)
 
 
@@ -87,3 +88,27 @@ def test_digest_columns(spark, tmp_path):
     bench_of(spark, [(10, "One, TWO!"), (9, "two")]).write.parquet(str(tmp_path / "benchmark.parquet"))
     got = {r.doc_id: (r.n_items, r.items_sha256) for r in op9_decontaminate(spark, str(tmp_path)).collect()}
     assert got == {0: (0, hashlib.sha256(b"").hexdigest()), 1: (2, hashlib.sha256(b"10,9").hexdigest())}
+
+
+def test_a_block_is_held_as_arrays():
+    """Some bytes per byte of the benchmark, and a shard visits only windows
+    whose rarest term it holds."""
+    import numpy as np
+
+    rng = random.Random(7)
+    items = [(i, " ".join(f"word{rng.randint(0, 5000)}" for _ in range(rng.randint(1, 400)))) for i in range(500)]
+    phrases = dc.Phrases(items, 13)
+    terms = phrases.terms()
+    plans = phrases.rarest_first(terms, np.ones(len(terms), np.int64))
+    size = sum(v.nbytes for v in vars(plans).values() if isinstance(v, np.ndarray))
+    assert size < 8 * sum(len(t) for _, t in items)
+    assert len(phrases.rarest_first(terms, np.zeros(len(terms), np.int64)).starts) == 0
+
+
+def test_documents_are_indexed_once(spark, monkeypatch):
+    made = []
+    build = dc.build_index
+    monkeypatch.setattr(dc, "build_index", lambda *a, **k: made.append(1) or build(*a, **k))
+    bench = bench_of(spark, [(i, f"some words of item {i}") for i in range(12)])
+    got = dc.contamination(spark, docs_of(spark, ["here are some words of item 7 again", "none"]), bench, block_bytes=100).collect()
+    assert made == [1] and sorted((r.id, r.n_hit, tuple(r["items"])) for r in got) == [(0, 5, ("7",)), (1, 0, ())]
