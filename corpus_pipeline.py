@@ -59,9 +59,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of all stages over the ``documents`` of ``sf_dir``."""
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
+    """The result of all stages over the ``documents`` of ``sf_dir``.
+
+    The last stage says where every piece of a text goes; the text itself is
+    the result of the stage before.  With ``out``, every stage's result is a
+    Parquet table of that folder named like the stage, so the prepared text is
+    ``out``/pseudonyms; an existing table there is an error."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", path=out and f"{out.rstrip('/')}/{name}")
     return docs

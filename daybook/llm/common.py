@@ -17,15 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, *split_by: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back; with columns
-    to split by, every task writes a file for each of their values it holds.
+def written(df: DataFrame, name: str, *split_by: str, path: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, or at ``path``, read back;
+    with columns to split by, every task writes a file for each of their values
+    it holds.
 
     Later steps read the files, so a lost executor never re-runs what is
     before them, and tasks that are dealt anew see the same rows.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     (df.write.partitionBy(*split_by) if split_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -72,5 +72,19 @@ def test_packing_stage_holds_every_token(stages):
     assert sum(r.n_tokens for r in out.collect()) == sum(len(r.text.encode()) + 1 for r in docs.collect())
 
 
-def test_run_gives_the_last_stage(spark, stages):
-    assert corpus_pipeline.run(spark, SF001).count() == stages[-1][2].count()
+def test_run_hands_out_every_stage(spark, stages, tmp_path):
+    """The pieces of the last stage cut the text of the stage before it."""
+    from pyspark.errors import AnalysisException
+
+    out = str(tmp_path / "corpus")
+    pieces = corpus_pipeline.run(spark, SF001, out)
+    assert pieces.count() == stages[-1][2].count()
+    texts = {r.doc_id: r.text.encode() + b"\n" for r in spark.read.parquet(f"{out}/pseudonyms").collect()}
+    assert {i: t[:-1].decode() for i, t in texts.items()} == {r.doc_id: r.text for r in stages[3][2].collect()}
+    upto = {}
+    for r in pieces.orderBy("doc_id", "piece").collect():
+        assert r.start == upto.get(r.doc_id, 0) and len(texts[r.doc_id][r.start : r.start + r.n_tokens]) == r.n_tokens
+        upto[r.doc_id] = r.start + r.n_tokens
+    assert upto == {i: len(t) for i, t in texts.items()}
+    with pytest.raises(AnalysisException):
+        corpus_pipeline.run(spark, SF001, out)
