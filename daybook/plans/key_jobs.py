@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.functions import keyed
 from daybook.functions.dates import epoch_seconds, floor_div
 from daybook.functions.protect import bind
+from daybook.operators import ber
 from daybook.operators.one_time_codes import hotp, totp_verify
 from daybook.session import tune
 from daybook.sources.tables import read_table
@@ -75,7 +76,23 @@ def q_totp_verify(spark: SparkSession, sf: str) -> DataFrame:
     return totp_verify(sign_ins(read_table(spark, sf, "events"))).select("attempt", "code", "step", "status")
 
 
+def q_ber_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order as nested tag-length-value bytes, taken apart again; of one
+    in eleven the last byte is lost."""
+    tune(spark)
+    key, words = F.col("o_orderkey"), F.encode(F.repeat("o_orderpriority", F.col("o_custkey").cast("int") % 60), "UTF-8")
+    inner = ber.sequence(ber.integer(key * F.pow(F.lit(10), key % 13).cast("bigint") * -1), ber.boolean(key % 2 == 0))
+    whole = ber.sequence(ber.integer(key), ber.part(words, ber.OCTETS), inner, ber.part(F.encode("o_orderstatus", "UTF-8"), 200, ber.CONTEXT))
+    rows = read_table(spark, sf, "orders").select("o_orderkey", bind(whole, lambda b: F.when(key % 11 == 0, F.substring(b, F.lit(1), F.octet_length(b) - 1)).otherwise(b)).alias("data"))
+    value, number = F.col("value"), (F.col("tag") == ber.INTEGER) & (F.col("class") == ber.UNIVERSAL)
+    return ber.ber_explode(rows, "o_orderkey", "data").select(
+        F.col("id").alias("o_orderkey"), F.concat_ws(".", "path").alias("path"), "class", "constructed", "tag", "size",
+        F.when(number, ber.integer_of(value).cast("string")).when(F.col("tag") == ber.BOOLEAN, F.hex(value)).otherwise(F.decode(value, "UTF-8")).alias("value"), "status",
+    )
+
+
 QUERIES = {
+    "ber_explode": q_ber_explode,
     "hkdf_column": q_hkdf_column,
     "totp_verify": q_totp_verify,
     "siphash_column": q_siphash_column,

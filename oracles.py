@@ -870,6 +870,18 @@ m AS (
 SELECT event_id AS attempt, given AS code, step,
   CASE WHEN step IS NULL THEN 'refused' WHEN row_number() OVER (PARTITION BY user_id, step ORDER BY sec, event_id) = 1 THEN 'accepted' ELSE 'replayed' END AS status
 FROM m"""
+    fewest = lambda x: f"CASE {' '.join(f'WHEN {x} BETWEEN {-(1 << 8 * k - 1)} AND {(1 << 8 * k - 1) - 1} THEN {k}' for k in range(1, 8))} ELSE 8 END"
+    head = lambda n: f"CASE WHEN {n} < 128 THEN 2 WHEN {n} < 256 THEN 3 ELSE 4 END"
+    o["ber_explode"] = f"""WITH b AS (
+  SELECT o_orderkey AS k, repeat(o_orderpriority, o_custkey % 60) AS words, o_orderstatus AS status, -o_orderkey * CAST(pow(10, o_orderkey % 13) AS BIGINT) AS far FROM orders),
+n AS MATERIALIZED (SELECT *, {fewest("k")} AS nk, octet_length(encode(words)) AS nw, {fewest("far")} AS nf, octet_length(encode(status)) AS ns FROM b),
+p AS (
+  SELECT k, '1' AS path, 0 AS class, true AS constructed, 16 AS tag, 2 + nk + {head("nw")} + nw + 2 + 2 + nf + 3 + 4 + ns AS size, NULL AS value FROM n
+  UNION ALL SELECT k, '1.1', 0, false, 2, nk, k::VARCHAR FROM n UNION ALL SELECT k, '1.2', 0, false, 4, nw, words FROM n
+  UNION ALL SELECT k, '1.3', 0, true, 16, nf + 5, NULL FROM n UNION ALL SELECT k, '1.3.1', 0, false, 2, nf, far::VARCHAR FROM n
+  UNION ALL SELECT k, '1.3.2', 0, false, 1, 1, CASE WHEN k % 2 = 0 THEN 'FF' ELSE '00' END FROM n UNION ALL SELECT k, '1.4', 2, false, 200, ns, status FROM n)
+SELECT k AS o_orderkey, path, class, constructed, tag::BIGINT AS tag, CASE WHEN k % 11 <> 0 THEN size END::BIGINT AS size, value, CASE WHEN k % 11 = 0 THEN 'truncated' ELSE 'ok' END AS status
+FROM p WHERE k % 11 <> 0 OR path = '1'"""
     o["siphash_column"] = _sql_siphash()
     o["cmac_column"] = """SELECT doc_id, CASE WHEN text IS NOT NULL THEN 16 END AS tag_bytes, CASE WHEN text IS NOT NULL THEN true END AS ok_self,
   CASE WHEN text IS NOT NULL THEN false END AS ok_longer, CASE WHEN text IS NOT NULL THEN false END AS ok_other_key FROM documents"""
