@@ -71,7 +71,11 @@ def spark_type(type_code: int, flags: int = 0, scale: int = 0, charset: int = 33
 
 def typed(content: Column, type_code: int, flags: int = 0, scale: int = 0, charset: int = 33) -> Column:
     """The typed value of raw bytes, null where they do not parse."""
-    kind, text = spark_type(type_code, flags, scale, charset), _text(content)
+    return _typed(content, _text(content), type_code, flags, scale, charset)
+
+
+def _typed(content: Column, text: Column, type_code: int, flags: int = 0, scale: int = 0, charset: int = 33) -> Column:
+    kind = spark_type(type_code, flags, scale, charset)
     if type_code in INTEGERS:
         value = _whole(text).try_cast("decimal(38,0)").try_cast(kind)
         return F.when(value >= 0, value) if flags & UNSIGNED else value
@@ -100,8 +104,11 @@ def decode_cells(cells: DataFrame, descriptors: DataFrame) -> DataFrame:
     is not null but has no value).  Cells without a descriptor are text named by
     their position."""
     known = descriptors.select("result", "position", "name", "type_code", "flags", "scale", "charset")
-    rows = cells.join(known, ["result", "position"], "left")
-    code, content, text = F.col("type_code"), F.col("content"), _text(F.col("content"))
+    code, content, text, exact = F.col("type_code"), F.col("content"), F.col("_text"), F.col("_exact")
+    # The text and its decimal reading are columns of their own: inside the rules
+    # below, each use would compute them again.
+    rows = cells.join(known, ["result", "position"], "left").withColumn("_text", _text(content))
+    rows = rows.withColumn("_exact", F.when(code.isin(*DECIMALS), decode.decode_numeric(text)["as_decimal"]))
     unsigned = F.col("flags").bitwiseAND(UNSIGNED) != 0
     whole = _whole(text)
     bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
@@ -118,22 +125,21 @@ def decode_cells(cells: DataFrame, descriptors: DataFrame) -> DataFrame:
         return out
 
     def scaled() -> Column:
-        d = decode.decode_numeric(text)
-        at_scale = F.when(F.bround(d["as_decimal"], 0) == d["as_decimal"], True)
+        at_scale = F.when(F.bround(exact, 0) == exact, True)
         # A fraction longer than the column's scale cannot be one of its values.
-        digits = F.length(F.regexp_replace(F.regexp_extract(d["as_decimal"].cast("string"), r"\.(\d*)$", 1), "0+$", ""))
-        return F.when(F.coalesce(at_scale, digits <= F.greatest(F.col("scale"), F.lit(0))), d["as_decimal"].cast("variant"))
+        digits = F.length(F.regexp_replace(F.regexp_extract(exact.cast("string"), r"\.(\d*)$", 1), "0+$", ""))
+        return F.when(F.coalesce(at_scale, digits <= F.greatest(F.col("scale"), F.lit(0))), exact.cast("variant"))
 
     value = (
         F.when(code.isin(*INTEGERS), integers())
-        .when(code == FLOAT, typed(content, FLOAT).cast("variant"))
-        .when(code == DOUBLE, typed(content, DOUBLE).cast("variant"))
+        .when(code == FLOAT, _typed(content, text, FLOAT).cast("variant"))
+        .when(code == DOUBLE, _typed(content, text, DOUBLE).cast("variant"))
         .when(code.isin(*DECIMALS), scaled())
-        .when(code.isin(*DATES), typed(content, DATE).cast("variant"))
-        .when(code == DATETIME, typed(content, DATETIME).cast("variant"))
-        .when(code == TIMESTAMP, typed(content, TIMESTAMP).cast("variant"))
-        .when(code == TIME, decode.interval_micros(typed(content, TIME)).cast("variant"))
-        .when(code == SET, typed(content, SET).cast("variant"))
+        .when(code.isin(*DATES), _typed(content, text, DATE).cast("variant"))
+        .when(code == DATETIME, _typed(content, text, DATETIME).cast("variant"))
+        .when(code == TIMESTAMP, _typed(content, text, TIMESTAMP).cast("variant"))
+        .when(code == TIME, decode.interval_micros(_typed(content, text, TIME)).cast("variant"))
+        .when(code == SET, _typed(content, text, SET).cast("variant"))
         .when(code == JSON, F.try_parse_json(text))
         .when(code == NULL, F.lit(None).cast("variant"))
         .when(code.isin(*BYTES) | (code.isin(*TEXTS) & (F.col("charset") == BINARY_CHARSET)), content.cast("variant"))

@@ -71,9 +71,11 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_decode_by_descriptor(spark: SparkSession, sf: str) -> DataFrame:
-    """Every cell with its value, by the kind of type its descriptor names."""
+    """Every cell with its value, by the kind of type its descriptor names.
+    (The descriptors are a fixed few, of a size Spark does not know: broadcast,
+    so that no cell is shuffled to the task of its column.)"""
     tune(spark)
-    done = rs.decode_cells(_cells(spark, sf), spark.createDataFrame(RESULT_COLUMNS, rs.DESCRIPTORS))
+    done = rs.decode_cells(_cells(spark, sf), F.broadcast(spark.createDataFrame(RESULT_COLUMNS, rs.DESCRIPTORS)))
     get = lambda kind, *codes: F.when(F.col("type_code").isin(*codes), F.try_variant_get("value", "$", kind))
     number = F.replace(F.format_number(get("decimal(38,18)", rs.NEWDECIMAL, rs.LONGLONG, rs.TINY), 18), F.lit(","), F.lit(""))
     return done.select(

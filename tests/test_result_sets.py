@@ -100,3 +100,21 @@ def test_repeated_names_and_empty_results(spark):
 def test_cells_meet_descriptors_by_broadcast_not_by_pairs(spark, inputs):
     plan = rs.decode_cells(*inputs)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_cells_are_not_shuffled_to_the_task_of_their_column(spark):
+    """The cells of a column would all meet in one task: 13 tasks at any size."""
+    from conftest import SF001
+    from daybook.plans.client_jobs import q_decode_by_descriptor
+
+    plan = q_decode_by_descriptor(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_the_decimal_reading_is_computed_once(spark):
+    cells = spark.createDataFrame([("r", 1, 0, b"1.50"), ("r", 2, 0, b"1.234"), ("r", 3, 0, b"x")], rs.CELLS)
+    known = spark.createDataFrame([("r", 0, "t", "c", rs.NEWDECIMAL, 0, 2, B)], rs.DESCRIPTORS)
+    done = rs.decode_cells(cells, known)
+    assert done._jdf.queryExecution().executedPlan().toString().count("as decimal(38,18)") <= 2
+    got = done.select("row", F.try_variant_get("value", "$", "decimal(38,18)").alias("v"), "reject").orderBy("row").collect()
+    assert [(r["v"], r["reject"] and bytes(r["reject"])) for r in got] == [(D("1.50"), None), (None, b"1.234"), (None, b"x")]
