@@ -36,7 +36,7 @@ from daybook.plans.report import (
     build_report_days,
     reported_orders,
 )
-from daybook.session import scratch_path, tune
+from daybook.session import scratch_path, sized_shuffles, tune
 from daybook.sources import jdbc, partner, raw_text
 from daybook.sources.config import config_lookup, long_config
 from daybook.sources.loan_model import LoanTables, loan_tables
@@ -63,11 +63,12 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
     written once per session and state of the input files, then read with
     filters on its partition column."""
     t, sc = _t(spark, sf), spark.sparkContext
-    key = (sc.applicationId, sc.startTime, sf, _state(spark, sf))
+    key = (sc.applicationId, sc.startTime, sf, state := _state(spark, sf))
     if key not in _STORED:
         path = scratch_path(spark, "history")
         days = [FIRST + dt.timedelta(days=i) for i in range(8)]
-        snapshot.replace_snapshot(spark, build_report_days(t, FIRST, REP, P), path, days)
+        with sized_shuffles(spark, _bytes(state)):
+            snapshot.replace_snapshot(spark, build_report_days(t, FIRST, REP, P), path, days)
         _STORED.clear()
         _STORED[key] = path
     schema = cached(("report_schema", sf), lambda: build_report(t, P).schema)
@@ -85,6 +86,10 @@ def _state(spark: SparkSession, sf: str) -> tuple:
     return tuple(sorted(found))
 
 
+def _bytes(state: tuple) -> int:
+    return sum(size for _, size, _ in state)
+
+
 def _report(spark: SparkSession, sf: str) -> DataFrame:
     return build_report(_t(spark, sf), P)
 
@@ -146,8 +151,9 @@ def _written_snapshot(spark: SparkSession, sf: str) -> str:
     t = _t(spark, sf)
     path = scratch_path(spark, "snapshot")
     days = [FIRST + dt.timedelta(days=i) for i in range(8)]
-    snapshot.replace_snapshot(spark, build_report_days(t, FIRST, REP, P), path, days)
-    snapshot.replace_snapshot(spark, build_report(t, P), path, [REP])
+    with sized_shuffles(spark, _bytes(_state(spark, sf))):
+        snapshot.replace_snapshot(spark, build_report_days(t, FIRST, REP, P), path, days)
+        snapshot.replace_snapshot(spark, build_report(t, P), path, [REP])
     return path
 
 

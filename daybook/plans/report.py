@@ -143,16 +143,17 @@ REP_DAY = "rep_day"
 def build_report_days(t: LoanTables, first_rep: dt.date, last_rep: dt.date, params: ReportParams | None = None) -> DataFrame:
     """Reports of every day in ``first_rep .. last_rep`` in one plan (backfill).
 
-    The day-independent joins (bills, extension) run once; each candidate row
-    is repeated per day by a generator (no join), the population filter and
-    rules read the day from the row, and the history and borrower joins run
-    once over all admitted (row, day) pairs.  Equal to the union of the daily
-    reports, at the cost of one join pipeline instead of one per day."""
+    All joins run once, on rows without a day: none of them reads it.  A joined
+    row is then repeated per day by a generator and the population filter and
+    rules read the day from the row, so no sort or shuffle of a join holds the
+    copies of a row for its days (only the rows of loans that no day admits
+    cross the history and borrower joins in addition).  Equal to the union of
+    the daily reports, at the cost of one join pipeline instead of one per day."""
     params = params or ReportParams()
     days = [first_rep + dt.timedelta(days=i) for i in range((last_rep - first_rep).days + 1)]
     rules = LoanRules(rep_col=REP_DAY)
-    rows = candidate_rows(t).withColumn(REP_DAY, F.explode(F.array(*[F.lit(d) for d in days])))
+    rows = joins.join_latest_history(candidate_rows(t), joins.latest_agreement_rows(t.history, co_located=t.bucketed))
+    rows = joins.join_borrower(rows, t.user).withColumn(REP_DAY, F.explode(F.array(*[F.lit(d) for d in days])))
     rows = rows.where(cached(("population", rules.key), rules.population))
-    rows = joins.join_latest_history(rows, joins.latest_agreement_rows(t.history, co_located=t.bucketed))
-    rows = with_days(joins.expand_copies(joins.join_borrower(rows, t.user)), rules)
+    rows = with_days(joins.expand_copies(rows), rules)
     return rows.select(*report_columns(rules, params))

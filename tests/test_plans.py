@@ -107,3 +107,29 @@ def test_backfill_runs_the_joins_once_for_all_days(spark):
     assert eight.count("Exchange hashpartitioning(a_uuid") == 1
     assert eight.count("FileScan parquet") == one.count("FileScan parquet")
     assert "Generate explode" in eight  # the days are a generator, not a join
+
+
+def test_backfill_repeats_rows_per_day_after_all_joins(spark):
+    """No join's sort or shuffle holds a row once per day."""
+    import datetime as dt
+
+    from daybook.plans.report import build_report_days
+
+    t, rep = loan_tables(spark, SF001), ReportParams().rep
+    plan = build_report_days(t, rep - dt.timedelta(days=7), rep)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode([") < plan.index("Join ")
+
+
+def test_history_is_written_with_partitions_for_its_input(spark, monkeypatch):
+    """However few shuffle partitions are set, a task's share stays the same."""
+    from daybook.plans import catalog
+    from daybook.session import INPUT_PER_PARTITION
+
+    count, seen = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(count)
+    monkeypatch.setattr(catalog, "_state", lambda *_: (("a", 300 * INPUT_PER_PARTITION, 1), ("b", 1, 1)))
+    monkeypatch.setattr(catalog, "_STORED", {})
+    monkeypatch.setattr(catalog.snapshot, "replace_snapshot", lambda spark, *_: seen.append(int(spark.conf.get(count))))
+    catalog._history(spark, SF001)
+    catalog._written_snapshot(spark, SF001)
+    assert seen == [301, 301, 301] and spark.conf.get(count) == before
