@@ -3,7 +3,7 @@ MACs and SipHash.
 
 Everything is a native Spark expression on binary columns.  Words of 64 bits are
 ``bigint``; sums modulo 2^64 never overflow one (ANSI mode would raise).  A value that an expression uses more than once is bound to a lambda
-variable (``protect.bind``): Catalyst would copy it into each use.
+variable (``protect.bind``; ``let`` inside a loop): Catalyst would copy it into each use.
 
 Defined results: NULL data or a NULL key gives NULL, an empty text is no bytes,
 a key of a wrong length is an error where the length is fixed.
@@ -63,7 +63,7 @@ def add64(a: Column, b: Column) -> Column:
     """Sum modulo 2^64.  Numbers of different signs cannot overflow; of others one
     changes its sign bit, and so does the sum."""
     top = _signed(1 << 63)
-    return F.when(a.bitwiseXOR(b) < 0, a + b).otherwise((a.bitwiseXOR(top) + b).bitwiseXOR(top))
+    return F.call_function("if", a.bitwiseXOR(b) < 0, a + b, (a.bitwiseXOR(top) + b).bitwiseXOR(top))
 
 
 def rotl64(a: Column, by: int) -> Column:
@@ -191,28 +191,36 @@ SIP_START = (0x736F6D6570736575, 0x646F72616E646F6D, 0x6C7967656E657261, 0x74656
 SIP_HALVES = ((13, 16), (17, 21))
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(v)`` with ``value`` evaluated once, as ``protect.bind``, but without an
+    array around it: the start of a fold over nothing is what its end is given."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, fn)
+
+
 def _state(*ws: Column) -> Column:
     return F.struct(*[w.alias(n) for w, n in zip(ws, "abcd")])
 
 
-def _half(s: Column, turns: tuple[int, int]) -> Column:
+def _half(a: Column, b: Column, c: Column, d: Column, turns: tuple[int, int], then: Callable[..., Column]) -> Column:
     """Half a round: a + b and c + d, the second of each pair turned and mixed.
-    (The pairs change partners, so the next half begins with c and b.)"""
-    def mixed(t: Column) -> Column:
-        b = rotl64(s["b"], turns[0]).bitwiseXOR(t["ab"])
-        d = rotl64(s["d"], turns[1]).bitwiseXOR(t["cd"])
-        return _state(t["cd"], b, rotl64(t["ab"], 32), d)
-
-    return bind(F.struct(add64(s["a"], s["b"]).alias("ab"), add64(s["c"], s["d"]).alias("cd")), mixed)
+    (The pairs change partners, so the next half begins with c and b.)  Lambdas are
+    interpreted: a variable costs as much as some seven operations."""
+    mixed = lambda w, by, total: rotl64(w, by).bitwiseXOR(total)
+    return let(add64(a, b), lambda ab: let(add64(c, d), lambda cd: let(mixed(b, turns[0], ab), lambda b1: let(mixed(d, turns[1], cd), lambda d1: then(cd, b1, rotl64(ab, 32), d1)))))
 
 
-def _rounds(s: Column, n: int, then: Callable[[Column], Column]) -> Column:
+def _rounds(ws: tuple[Column, ...], n: int, then: Callable[..., Column]) -> Column:
     turns = [h for _ in range(n) for h in SIP_HALVES]
 
-    def go(state: Column, i: int) -> Column:
-        return then(state) if i == len(turns) else bind(_half(state, turns[i]), lambda t: go(t, i + 1))
+    def go(state: tuple[Column, ...], i: int) -> Column:
+        return then(*state) if i == len(turns) else _half(*state, turns[i], lambda *t: go(t, i + 1))
+
+    return go(ws, 0)
+
 
-    return go(s, 0)
+def _backwards(data: Column) -> Column:
+    """The bytes in reverse order."""
+    return F.encode(F.reverse(F.decode(data, "ISO-8859-1")), "ISO-8859-1")
 
 
 def siphash_column(data: Column, key: Column, compression: int = 2, finalization: int = 4) -> Column:
@@ -222,25 +230,25 @@ def siphash_column(data: Column, key: Column, compression: int = 2, finalization
     # Whole words, the last one filled with zeros and the length modulo 256.
     size = (F.floor(n / 8).cast("int") + 1) * 8
     filled = F.concat(F.rpad(data, size - 1, F.lit(b"\0")), _byte(F.pmod(n, F.lit(256))))
-    swapped = lambda b: F.regexp_replace(F.hex(b), "(..)(..)(..)(..)(..)(..)(..)(..)", "$8$7$6$5$4$3$2$1")
-    blocks = F.regexp_extract_all(swapped(filled), F.lit("(.{16})"), F.lit(1))
+    # Backwards, a little-endian word is a big-endian one, and the first is the last.
+    at = lambda back, i: word(F.hex(F.substring(back, i, F.lit(8))))
 
-    def hashed(k: Column) -> Column:
-        k0, k1 = word(F.substring(k, 1, 16)), word(F.substring(k, 17, 16))
-        a, b, c, d = (k_.bitwiseXOR(_signed(v)) for k_, v in zip((k0, k1, k0, k1), SIP_START))
+    def hashed(k: Column, back: Column) -> Column:
+        k0, k1 = at(k, F.lit(9)), at(k, F.lit(1))
+        start = _state(*(k_.bitwiseXOR(_signed(v)) for k_, v in zip((k0, k1, k0, k1), SIP_START)))
 
-        def step(s: Column, digits: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
             def enter(m: Column) -> Column:
-                entered = _state(s["a"], s["b"], s["c"], s["d"].bitwiseXOR(m))
-                return _rounds(entered, compression, lambda t: _state(t["a"].bitwiseXOR(m), t["b"], t["c"], t["d"]))
+                mixed = lambda a, b, c, d: _state(a.bitwiseXOR(m), b, c, d)
+                return let(s["b"], lambda b: let(s["d"].bitwiseXOR(m), lambda d: _rounds((s["a"], b, s["c"], d), compression, mixed)))
 
-            return bind(word(digits), enter)
+            return let(at(back, i), enter)
 
         def finish(s: Column) -> Column:
-            ended = _state(s["a"], s["b"], s["c"].bitwiseXOR(F.lit(0xFF).cast("bigint")), s["d"])
-            return _rounds(ended, finalization, lambda t: t["a"].bitwiseXOR(t["b"]).bitwiseXOR(t["c"]).bitwiseXOR(t["d"]))
+            ended = (s["a"], s["b"], s["c"].bitwiseXOR(F.lit(0xFF).cast("bigint")), s["d"])
+            return _rounds(ended, finalization, lambda a, b, c, d: a.bitwiseXOR(b).bitwiseXOR(c).bitwiseXOR(d))
 
-        return F.aggregate(blocks, _state(a, b, c, d), step, finish)
+        return F.aggregate(F.sequence(F.octet_length(back) - 7, F.lit(1), F.lit(-8)), start, step, finish)
 
     checked = F.when(F.octet_length(key) == 16, key).when(key.isNull(), F.lit(None).cast("binary")).otherwise(F.raise_error(F.lit("a key has 16 bytes")).cast("binary"))
-    return F.when(data.isNotNull() & key.isNotNull(), bind(swapped(checked), hashed))
+    return F.when(data.isNotNull() & key.isNotNull(), let(_backwards(checked), lambda k: let(_backwards(filled), lambda back: hashed(k, back))))

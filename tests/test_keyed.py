@@ -198,6 +198,32 @@ def test_siphash_equals_plain(spark, c, d):
             assert got & M64 == plain_siphash(bytes(data), bytes(key), c, d)
 
 
+def test_siphash_binds_without_arrays_or_patterns(spark):
+    """What a word's rounds reuse is bound without an array around it, and words
+    are read without patterns over the text."""
+    df = spark.createDataFrame([(b"d", b"k" * 16)], "d binary, k binary")
+    plan = df.select(kd.siphash_column(F.col("d"), F.col("k")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan
+    assert "transform(" not in plan and "regexp" not in plan
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_siphash_every_byte_and_sign(spark, ansi):
+    rows = [(bytes(range(256)), bytes(range(240, 256))), (b"\xff" * 64, b"\0" * 16), (b"\x80" * 33, b"\xff" * 16), ("aé漢😀\0".encode() * 9, b"\x7f" * 16)]
+    numbers = [0, 1, -1, (1 << 63) - 1, -(1 << 63), 1 << 62, -(1 << 62) - 1]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame(rows, "d binary, k binary")
+        hashes = df.select("d", "k", kd.siphash_column(F.col("d"), F.col("k"))).collect()
+        pairs = spark.createDataFrame([(a, b) for a in numbers for b in numbers], "a bigint, b bigint")
+        sums = pairs.select("a", "b", kd.add64(F.col("a"), F.col("b"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert all(got & M64 == plain_siphash(bytes(d), bytes(k)) for d, k, got in hashes)
+    assert all(got & M64 == (a + b) & M64 for a, b, got in sums)
+
+
 def test_siphash_key_length(spark):
     with pytest.raises(Exception, match="16 bytes"):
         one(spark, kd.siphash_column(F.col("d"), F.col("k")), d=b"d", k=b"short")
